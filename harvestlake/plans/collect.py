@@ -53,9 +53,11 @@ def load_catalog(
 
     Like the collection loop, every hit is stored by default, so a record found by
     k queries gives k project rows; ``dedup=True`` stores first hits only. The
-    numbered parents are staged once in the shared folder, and the six writes read
-    only the columns they need.
+    relevant records are staged once in the shared folder before they are numbered,
+    so payloads are parsed once, and the numbered parents once more, so each of the
+    six writes reads only the columns it needs.
     """
-    numbered = catalog_parents(dedup_records(records, dedup), catalog.highest_ids())
+    kept = dedup_records(records, dedup)
+    numbered = catalog_parents(stage(kept, "records") if staged else kept, catalog.highest_ids())
     parents = stage(numbered, "parents") if staged else numbered
     catalog.append(shred(parents), batch)

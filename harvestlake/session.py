@@ -22,6 +22,8 @@ def build_session(app_name: str = "harvestlake", master: str | None = None, **co
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Capturing a call site per column expression makes building wide plans slow.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)

@@ -1,0 +1,225 @@
+"""Queries for download planning: work lists, decisions and tallies."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from harvestlake.operators import worklist as wl
+from harvestlake.plans.download import download_round, round_tally
+from harvestlake.refdata import DEFAULT_EXTENSIONS
+from workload.projections import cte, view
+from workload.registry import query, sql_list
+
+_FILE_COLUMNS = ["id", "project_id", "file_name", "file_type", "download_url", "status"]
+_FOLDERS = [
+    "id", "download_repository_folder", "download_project_folder", "download_version_folder",
+]
+_PATH = (
+    "'downloads/' || p.download_repository_folder || '/' || p.download_project_folder || "
+    "case when coalesce(p.download_version_folder, '') = '' then '' else '/' || "
+    "p.download_version_folder end || '/' || f.file_name"
+)
+_HAS_URL = "coalesce(f.download_url, '') <> ''"
+
+
+def _files(spark, sf_dir):
+    return view(spark, sf_dir, "files", *_FILE_COLUMNS)
+
+
+def _projects(spark, sf_dir):
+    return view(spark, sf_dir, "projects", *_FOLDERS)
+
+
+def plan_sql(status: str | None, extensions: list[str], strict: bool = False) -> str:
+    wanted = f"file_type in {sql_list(extensions)}"
+    state = f"status = '{status}'" if status else "true"
+    chosen = (
+        f"f.{state}" if strict else
+        f"f.project_id in (select project_id from files_ where {state} and {wanted})"
+    )
+    return (
+        f"select f.id, {_PATH} as path from files_ f join projects_ p on f.project_id = p.id "
+        f"where f.{wanted} and {_HAS_URL} and {chosen}"
+    )
+
+
+@query(
+    "n1_plan_for_projects",
+    cte("projects", "files")
+    + f"select f.id, {_PATH} as path from files_ f join projects_ p on f.project_id = p.id "
+    f"where f.file_type in {sql_list(DEFAULT_EXTENSIONS)} and {_HAS_URL} and f.project_id in "
+    "(select id from projects_ where repository_id = 1)",
+)
+def plan_for_projects(spark, sf_dir):
+    """Work list for the projects of one repository."""
+    keys = view(spark, sf_dir, "projects", "id", "repository_id").where("repository_id = 1")
+    return wl.plan_projects(
+        _files(spark, sf_dir), _projects(spark, sf_dir), keys.select(F.col("id").alias("project_id"))
+    ).select("id", "path")
+
+
+def _plan(name: str, choice: wl.Selection, strict: bool = False):
+    sql = cte("projects", "files") + plan_sql(choice.status_filter, list(choice.extensions), strict)
+
+    @query(name, sql)
+    def run(spark, sf_dir):
+        return wl.plan_all(
+            _files(spark, sf_dir), _projects(spark, sf_dir), choice, strict
+        ).select("id", "path")
+
+
+_plan("n2_plan_pending", wl.selection())
+_plan("n2_plan_retry_failed", wl.selection("retry_failed"))
+_plan("n2_plan_retry_failed_strict", wl.selection("retry_failed"), strict=True)
+_plan("n2_plan_zip", wl.selection("zip"))
+_plan("n2_plan_by_type", wl.selection("by_type", "PDF"))
+_plan("n2_plan_by_status", wl.selection("by_status", "success"))
+_plan("n2_plan_everything", wl.selection("everything"))
+
+# ---- decisions ----------------------------------------------------------------
+
+# File names are made coarse, so that many files of a record share one path.
+_COARSE = "'f' || cast(partkey % 5 as string) || '.' || file_type"
+_COARSE_FILES = f"coarse_ as (select * replace ({_COARSE} as file_name) from files_)"
+_INVENTORY = "suppkey % 13 = 0"
+
+_DECIDED_SQL = (
+    cte("projects", "files", "outcomes")
+    + f", {_COARSE_FILES}, plan_ as (select f.*, {_PATH} as path from coarse_ f join projects_ p "
+    f"on f.project_id = p.id where f.file_type in {sql_list(DEFAULT_EXTENSIONS)} and {_HAS_URL}), "
+    "first_ as (select l.*, case when l.path in (select path from plan_ where "
+    f"{_INVENTORY}) then 'skipped_exists' when coalesce(l.content_length, 0) > 524288000 "
+    "then 'skipped_size' when o.fetched then 'success' when not o.fetched then 'failed' "
+    "else 'pending' end as s, row_number() over (order by l.project_id, l.id) as n from plan_ l "
+    "left join outcomes_ o on o.id = l.id), decided_ as (select *, case when n > min(case when s = "
+    "'success' then n end) over (partition by path) then 'skipped_exists' else s end as new_status "
+    "from first_)"
+)
+
+
+def _round_inputs(spark, sf_dir):
+    files = view(spark, sf_dir, "files").withColumn("file_name", F.expr(_COARSE))
+    projects = _projects(spark, sf_dir)
+    plan = wl.plan_projects(files, projects)
+    inventory = plan.where(_INVENTORY).select("path")
+    heads = view(spark, sf_dir, "files", "id", "content_length")
+    outcomes = view(spark, sf_dir, "outcomes")
+    return files, projects, plan, inventory, heads, outcomes
+
+
+@query(
+    "n4_file_decisions",
+    _DECIDED_SQL + " select id, path, new_status from decided_",
+)
+def decisions(spark, sf_dir):
+    _, _, plan, inventory, heads, outcomes = _round_inputs(spark, sf_dir)
+    return wl.classify(plan.select("id", "project_id", "path"), inventory, heads, outcomes).select(
+        "id", "path", "new_status"
+    )
+
+
+@query(
+    "download_round",
+    _DECIDED_SQL
+    + ", chosen_ as (select distinct project_id from coarse_ where status = 'pending' and "
+    f"file_type in {sql_list(DEFAULT_EXTENSIONS)}) select case when d.new_status is null then f.status "
+    "else d.new_status end as new_status, count(*) as n from coarse_ f left join (select * from "
+    "decided_ where project_id in (select project_id from chosen_)) d on f.id = d.id group by 1",
+)
+def whole_round(spark, sf_dir):
+    """Statuses after a round over everything with a pending file.
+
+    Copies of a record share a path across projects, and each copy that takes part
+    has a pending file here, so the reference may decide before it selects.
+    """
+    files, projects, _, inventory, heads, outcomes = _round_inputs(spark, sf_dir)
+    after = download_round(files, projects, inventory, heads, outcomes)
+    return after.groupBy("new_status").agg(F.count("*").alias("n"))
+
+
+# ---- tallies ------------------------------------------------------------------
+
+
+@query(
+    "h7_outcome_tally",
+    cte("files")
+    + "select count_if(status = 'success') as success, count_if(status = 'failed') as failed, "
+    "count_if(status not in ('success', 'failed')) as skipped from files_",
+)
+def tally(spark, sf_dir):
+    return wl.outcome_tally(view(spark, sf_dir, "files", "status"))
+
+
+def _per_project_sql(extensions: list[str], state: str, stored: str = "true") -> str:
+    wanted = f"file_type in {sql_list(extensions)}"
+    planned = f"{wanted} and coalesce(download_url, '') <> ''"
+    return (
+        f", stored_ as (select id from projects_ where {stored}), sums_ as (select project_id, "
+        f"count(*) as n_files, count_if({state}) as n_status, count_if({state} and {wanted}) as "
+        f"n_matching, count_if({planned}) as n_planned, count_if({planned} and status = 'success') "
+        f"as s, count_if({planned} and status = 'failed') as f from files_ group by project_id), "
+        "tallies_ as (select m.*, p.id is not null as known, case when p.id is null then 0 else s end "
+        "as success, case when p.id is null then 0 else f end as failed, case when p.id is null then 1 "
+        "when n_planned = 0 then n_files else n_planned - s - f end as skipped from sums_ m "
+        "left join stored_ p on p.id = m.project_id) "
+    )
+
+
+_OPEN_STORED = "license is not null"
+
+
+@query(
+    "h8_tally_per_project",
+    cte("projects", "files")
+    + _per_project_sql(DEFAULT_EXTENSIONS, "status = 'pending'", _OPEN_STORED)
+    + "select project_id, cast(success as bigint) as success, cast(failed as bigint) as failed, "
+    "cast(skipped as bigint) as skipped from tallies_",
+)
+def per_project(spark, sf_dir):
+    """Tally per project; projects without a licence are taken as not stored."""
+    stored = view(spark, sf_dir, "projects", "id", "license").where(_OPEN_STORED)
+    return wl.project_tallies(_files(spark, sf_dir), stored, status="status").select(
+        "project_id", "success", "failed", "skipped"
+    )
+
+
+def _run_tally(name: str, choice: wl.Selection):
+    state = f"status = '{choice.status_filter}'" if choice.status_filter else "true"
+    sql = (
+        cte("projects", "files")
+        + _per_project_sql(list(choice.extensions), state, _OPEN_STORED)
+        + "select cast(coalesce(sum(success) filter (known and n_matching > 0), 0) as bigint) as "
+        "success, cast(coalesce(sum(failed) filter (known and n_matching > 0), 0) as bigint) as "
+        "failed, cast(case when sum(n_matching) = 0 then sum(n_status) else "
+        "coalesce(sum(skipped) filter (known and n_matching > 0), 0) end as bigint) as skipped "
+        "from tallies_"
+    )
+
+    @query(name, sql)
+    def run(spark, sf_dir):
+        stored = view(spark, sf_dir, "projects", "id", "license").where(_OPEN_STORED)
+        return wl.run_tally(_files(spark, sf_dir), stored, choice, status="status")
+
+
+_run_tally("h9_skip_accounting", wl.selection())
+_run_tally("h9_skip_accounting_zip", wl.selection("zip"))
+_run_tally("h9_skip_accounting_no_match", wl.selection("by_type", "docx"))
+_run_tally("h9_skip_accounting_everything", wl.selection("everything"))
+
+
+@query(
+    "download_round_tally",
+    _DECIDED_SQL
+    + ", chosen_ as (select distinct project_id from coarse_ where status = 'pending' and "
+    f"file_type in {sql_list(DEFAULT_EXTENSIONS)}), after_ as (select f.project_id, "
+    f"f.file_type in {sql_list(DEFAULT_EXTENSIONS)} and {_HAS_URL} as planned, "
+    "d.new_status from coarse_ f left join decided_ d on f.id = d.id where f.project_id in "
+    "(select project_id from chosen_)), sums_ as (select count(*) as n, count_if(planned) as p, "
+    "count_if(planned and new_status = 'success') as s, count_if(planned and new_status = 'failed') "
+    "as e from after_ group by project_id) select cast(sum(s) as bigint) as success, cast(sum(e) as "
+    "bigint) as failed, cast(sum(case when p = 0 then n else p - s - e end) as bigint) as skipped "
+    "from sums_",
+)
+def whole_round_tally(spark, sf_dir):
+    files, projects, _, inventory, heads, outcomes = _round_inputs(spark, sf_dir)
+    return round_tally(download_round(files, projects, inventory, heads, outcomes), projects)

@@ -150,7 +150,7 @@ VIEWS: dict[str, tuple[str, str | None, list[tuple[str, str]]]] = {
             ("project_id", "o_orderkey"),
             (
                 "name",
-                "case o_orderkey % 13 when 0 then '   ' when 5 then ' \t' "
+                "case o_orderkey % 13 when 0 then '   ' when 5 then '\u00a0\t' "
                 "else ' Author ' || cast(o_custkey as string) end",
             ),
             ("role", "'AUTHOR'"),

@@ -11,7 +11,7 @@ from harvestlake.operators.pagination import counted_pages
 from harvestlake.operators.shred import catalog_parents, shred
 from harvestlake.plans.collect import load_catalog, relevant_records
 from harvestlake.refdata import OPEN_LICENCE_PREFIXES, TITLE_KEYWORDS
-from harvestlake.session import scratch_path
+from harvestlake.session import scratch_path, stage
 from harvestlake.sources.catalog import Catalog
 from workload.payloads import landed, landing_pages, records_sql, side_documents
 from workload.registry import query
@@ -257,7 +257,7 @@ _BASE_URL = (
 
 
 def _shredded(spark, sf_dir) -> dict[str, DataFrame]:
-    return shred(catalog_parents(_relevant(spark, sf_dir)))
+    return shred(catalog_parents(stage(_relevant(spark, sf_dir), "records")))
 
 
 @query(

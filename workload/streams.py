@@ -1,0 +1,76 @@
+"""Incremental jobs: the landing folder and the status ledger as streams."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from harvestlake.session import scratch_path
+from harvestlake.sources.catalog import Catalog
+from harvestlake.sources.landing import write_landing
+from harvestlake.streaming.ingest import ingest, landing_stream, unique_record_stream
+from harvestlake.streaming.status import UPDATES, current_files, read_ledger, record_outcomes
+from workload.payloads import landing_pages, side_documents
+from workload.projections import cte, view
+from workload.records import _RELEVANT
+from workload.registry import query
+
+
+@query(
+    "o1_incremental_ingest",
+    _RELEVANT + "select repo as download_repository_folder, record_id as download_project_folder, "
+    "query as query_string, title from relevant_",
+)
+def incremental_ingest(spark, sf_dir):
+    """Pages landed in two halves; the stream is run after each half."""
+    landing, base = scratch_path(spark, "landing"), scratch_path(spark, "catalog")
+    checkpoint = scratch_path(spark, "checkpoint")
+    pages = landing_pages(spark, sf_dir)
+    side = side_documents(spark, sf_dir)
+    for half in ("page <= 5", "page > 5"):
+        write_landing(pages.where(half), landing)
+        ingest(spark, landing, base, checkpoint, side).awaitTermination()
+    return Catalog(spark, base).read("projects").select(
+        "download_repository_folder", "download_project_folder", "query_string", "title"
+    )
+
+
+@query(
+    "o2_streaming_dedup",
+    _RELEVANT + "select distinct source, record_id from relevant_ where repo in ('zenodo', 'cessda')",
+)
+def streaming_dedup(spark, sf_dir):
+    """Every page is landed under two queries; each record key comes out once."""
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "unique")
+    pages = landing_pages(spark, sf_dir, "zenodo", "cessda")
+    again = pages.withColumn("query_idx", F.col("query_idx") + 5000)
+    write_landing(pages.unionByName(again), landing)
+    records = unique_record_stream(landing_stream(spark, landing), watermark="1 day")
+    (
+        records.select("source", "record_id")
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", scratch_path(spark, "checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return spark.read.schema("source STRING, record_id STRING").parquet(out)
+
+
+@query(
+    "o3_streaming_status_ledger",
+    cte("files", "updates")
+    + ", last_ as (select id, arg_max(status, updated_at) as new_status from updates_ group by id) "
+    "select f.id, coalesce(l.new_status, f.status) as status from files_ f left join last_ l "
+    "on f.id = l.id",
+)
+def status_ledger(spark, sf_dir):
+    """Status changes arrive in two steps; the ledger keeps the last per file."""
+    incoming, ledger = scratch_path(spark, "updates"), scratch_path(spark, "ledger")
+    checkpoint = scratch_path(spark, "checkpoint")
+    updates = view(spark, sf_dir, "updates")
+    for step in (1, 2):
+        updates.where(F.col("updated_at") == step).write.mode("append").parquet(incoming)
+        stream = spark.readStream.schema(UPDATES).parquet(incoming)
+        record_outcomes(stream, ledger, checkpoint).awaitTermination()
+    return current_files(view(spark, sf_dir, "files", "id", "status"), read_ledger(spark, ledger))

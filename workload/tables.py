@@ -1,0 +1,128 @@
+"""Queries over the catalog tables as stored: scans, SQL, exports, checks."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from harvestlake.operators.integrity import check_catalog, violation_counts
+from harvestlake.session import scratch_path
+from harvestlake.sources.catalog import Catalog, catalog_sql
+from harvestlake.sources.export import export_files, export_projects, read_export
+from workload.projections import VIEWS, catalog, cte, view
+from workload.registry import query
+
+
+@query("a2_scan_projects", cte("projects") + "select * from projects_")
+def scan_projects(spark, sf_dir):
+    return view(spark, sf_dir, "projects")
+
+
+@query("a2_scan_files", cte("files") + "select * from files_")
+def scan_files(spark, sf_dir):
+    return view(spark, sf_dir, "files")
+
+
+@query(
+    "a2_stored_table",
+    cte("relevance_scores") + "select * from relevance_scores_",
+)
+def stored_table(spark, sf_dir):
+    """A table written to the catalog folder and scanned from there."""
+    store = Catalog(spark, scratch_path(spark, "catalog"))
+    store.append({"relevance_scores": view(spark, sf_dir, "relevance_scores")})
+    return store.read("relevance_scores")
+
+
+@query(
+    "a3_catalog_sql",
+    cte("projects", "files")
+    + "select p.query_string, f.file_type, count(*) as n from files_ f join projects_ p "
+    "on f.project_id = p.id where f.status = 'failed' and f.content_length >= 100000000 "
+    "group by p.query_string, f.file_type",
+)
+def parameterised_sql(spark, sf_dir):
+    return catalog_sql(
+        spark,
+        {n: view(spark, sf_dir, n) for n in ("projects", "files")},
+        "select p.query_string, f.file_type, count(*) as n from files f join projects p "
+        "on f.project_id = p.id where f.status = ? and f.content_length >= ? "
+        "group by p.query_string, f.file_type",
+        ["failed", 100_000_000],
+    )
+
+
+_PROJECT_COLUMNS = [c for c, _ in VIEWS["projects"][2]]
+
+
+@query(
+    "a4_export_projects",
+    cte("projects")
+    + "select "
+    + ", ".join(f"nullif(cast({c} as string), '') as {c}" for c in _PROJECT_COLUMNS)
+    + " from projects_",
+)
+def exported_projects(spark, sf_dir):
+    """CSV export read back as text; empty cells are NULL."""
+    path = scratch_path(spark, "projects_csv")
+    export_projects(view(spark, sf_dir, "projects"), path)
+    return read_export(spark, path, ", ".join(f"{c} STRING" for c in _PROJECT_COLUMNS))
+
+
+@query(
+    "a5_export_files",
+    cte("projects", "files")
+    + "select f.id, nullif(p.title, '') as title, p.project_url, f.file_name, "
+    "nullif(f.file_type, '') as file_type, f.status from files_ f join projects_ p "
+    "on f.project_id = p.id",
+)
+def exported_files(spark, sf_dir):
+    path = scratch_path(spark, "files_csv")
+    export_files(view(spark, sf_dir, "files"), view(spark, sf_dir, "projects"), path)
+    return read_export(
+        spark,
+        path,
+        "id STRING, title STRING, project_url STRING, file_name STRING, file_type STRING, "
+        "status STRING",
+    )
+
+
+@query(
+    "a8_integrity_violations",
+    cte("projects", "files", "relevance_scores")
+    + ", bad_projects_ as (select * replace (case when id % 97 = 0 then null else title end as title, "
+    "case when id % 89 = 0 then 'FTP' else download_method end as download_method) from projects_), "
+    "bad_files_ as (select * replace (case when suppkey % 50 = 7 then project_id + 1000000000 else "
+    "project_id end as project_id, case when partkey % 31 = 0 then null else file_name end as "
+    "file_name) from files_), bad_scores_ as (select * from relevance_scores_ union all "
+    "select * from relevance_scores_ where project_id % 101 = 0), found_ as ("
+    "select 'projects' as table_name, 'not null: title' as rule from bad_projects_ where title is null "
+    "union all select 'projects', 'not null: description' from bad_projects_ where description is null "
+    "union all select 'projects', 'check: download_method' from bad_projects_ "
+    "where download_method not in ('SCRAPING', 'API-CALL') "
+    "union all select 'files', 'not null: file_name' from bad_files_ where file_name is null "
+    "union all select 'files', 'foreign key: project_id' from bad_files_ f "
+    "where not exists (select 1 from projects_ p where p.id = f.project_id) "
+    "union all select 'relevance_scores', 'unique: project_id' from (select project_id from "
+    "bad_scores_ group by project_id having count(*) > 1)) "
+    "select table_name, rule, count(*) as n from found_ group by table_name, rule",
+)
+def integrity(spark, sf_dir):
+    """The tables with broken rows put in; every declared rule is checked."""
+    tables = catalog(spark, sf_dir)
+    tables["projects"] = tables["projects"].withColumns(
+        {
+            "title": F.expr("case when id % 97 = 0 then null else title end"),
+            "download_method": F.expr("case when id % 89 = 0 then 'FTP' else download_method end"),
+        }
+    )
+    tables["files"] = tables["files"].withColumns(
+        {
+            "project_id": F.expr(
+                "case when suppkey % 50 = 7 then project_id + 1000000000 else project_id end"
+            ),
+            "file_name": F.expr("case when partkey % 31 = 0 then null else file_name end"),
+        }
+    )
+    scores = tables["relevance_scores"]
+    tables["relevance_scores"] = scores.unionByName(scores.where("project_id % 101 = 0"))
+    return violation_counts(check_catalog(tables))
