@@ -54,7 +54,9 @@ def with_offsets(df: DataFrame, key: str, weights: dict[str, Column]) -> DataFra
     names = list(weights)
     weighted = df.select(
         "*",
-        F.shiftright(key, RADIX_BITS).alias("_p1"),
+        # Never NULL, so that no join adds a null test of its own and the three uses
+        # of the first-level sums share one exchange.
+        F.coalesce(F.shiftright(key, RADIX_BITS), F.lit(0)).alias("_p1"),
         *[w.cast("bigint").alias(f"_w_{n}") for n, w in weights.items()],
     )
 

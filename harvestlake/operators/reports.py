@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Each child table's own order within a project.
@@ -142,17 +142,12 @@ def status_counts(files: DataFrame) -> DataFrame:
 def status_shares(files: DataFrame) -> DataFrame:
     """Files per status with their share of the total in percent.
 
-    The total is a scalar subquery over the handful of status counts, not a window
+    The window runs over the counts, one row per status of a fixed vocabulary, not
     over the files.
     """
-    counts = status_counts(files)
-    total = counts.agg(F.sum("n")).scalar()
-    return counts.select(
-        "status",
-        "n",
-        F.when(total > 0, F.lit(100.0).cast("double") * F.col("n") / total)
-        .otherwise(F.lit(0.0).cast("double"))
-        .alias("pct"),
+    total = F.sum("n").over(Window.partitionBy(F.lit(0)))
+    return status_counts(files).select(
+        "status", "n", (F.lit(100.0).cast("double") * F.col("n") / total).alias("pct")
     )
 
 

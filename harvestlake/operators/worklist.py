@@ -161,15 +161,15 @@ def classify(
     """
     present = inventory.select("path", F.lit(True).alias("_present")).distinct()
     decided = (
-        plan.join(heads.select(key, "content_length"), key, "left")
-        .join(outcomes.select(key, "fetched"), key, "left")
+        plan.join(heads.select(key, F.col("content_length").alias("_length")), key, "left")
+        .join(outcomes.select(key, F.col("fetched").alias("_fetched")), key, "left")
         .join(present, "path", "left")
         .withColumn(
             "new_status",
             F.when(F.col("_present"), F.lit(SKIPPED_EXISTS))
-            .when(exceeds_size(F.col("content_length"), max_size_mb), F.lit(SKIPPED_SIZE))
-            .when(F.col("fetched"), F.lit(SUCCESS))
-            .when(~F.col("fetched"), F.lit(FAILED))
+            .when(exceeds_size(F.col("_length"), max_size_mb), F.lit(SKIPPED_SIZE))
+            .when(F.col("_fetched"), F.lit(SUCCESS))
+            .when(~F.col("_fetched"), F.lit(FAILED))
             .otherwise(F.lit(PENDING)),
         )
     )

@@ -83,20 +83,28 @@ _COARSE = "'f' || cast(partkey % 5 as string) || '.' || file_type"
 _COARSE_FILES = f"coarse_ as (select * replace ({_COARSE} as file_name) from files_)"
 _INVENTORY = "suppkey % 13 = 0"
 
-_DECIDED_SQL = (
-    cte("projects", "files", "outcomes")
-    + f", {_COARSE_FILES}, plan_ as (select f.*, {_PATH} as path from coarse_ f join projects_ p "
-    f"on f.project_id = p.id where f.file_type in {sql_list(DEFAULT_EXTENSIONS)} and {_HAS_URL}), "
-    "first_ as (select l.*, case when l.path in (select path from plan_ where "
-    f"{_INVENTORY}) then 'skipped_exists' when coalesce(l.content_length, 0) > 524288000 "
-    "then 'skipped_size' when o.fetched then 'success' when not o.fetched then 'failed' "
-    "else 'pending' end as s, row_number() over (order by l.project_id, l.id) as n from plan_ l "
-    "left join outcomes_ o on o.id = l.id), decided_ as (select *, case when n > min(case when s = "
-    "'success' then n end) over (partition by path) then 'skipped_exists' else s end as new_status "
-    "from first_)"
+_CHOSEN = (
+    "project_id in (select project_id from coarse_ where status = 'pending' and "
+    f"file_type in {sql_list(DEFAULT_EXTENSIONS)})"
 )
 
 
+def _decided_sql(taking_part: str = "true") -> str:
+    return (
+        cte("projects", "files", "outcomes")
+        + f", {_COARSE_FILES}, every_ as (select f.*, {_PATH} as path from coarse_ f join projects_ p "
+        f"on f.project_id = p.id where f.file_type in {sql_list(DEFAULT_EXTENSIONS)} and {_HAS_URL}), "
+        f"plan_ as (select * from every_ where {taking_part}), "
+        "first_ as (select l.*, case when l.path in (select path from every_ where "
+        f"{_INVENTORY}) then 'skipped_exists' when coalesce(l.content_length, 0) > 524288000 "
+        "then 'skipped_size' when o.fetched then 'success' when not o.fetched then 'failed' "
+        "else 'pending' end as s, row_number() over (order by l.project_id, l.id) as n from plan_ l "
+        "left join outcomes_ o on o.id = l.id), decided_ as (select *, case when n > min(case when s = "
+        "'success' then n end) over (partition by path) then 'skipped_exists' else s end as new_status "
+        "from first_)"
+    )
+
+
 def _round_inputs(spark, sf_dir):
     files = view(spark, sf_dir, "files").withColumn("file_name", F.expr(_COARSE))
     projects = _projects(spark, sf_dir)
@@ -109,7 +117,7 @@ def _round_inputs(spark, sf_dir):
 
 @query(
     "n4_file_decisions",
-    _DECIDED_SQL + " select id, path, new_status from decided_",
+    _decided_sql() + " select id, path, new_status from decided_",
 )
 def decisions(spark, sf_dir):
     _, _, plan, inventory, heads, outcomes = _round_inputs(spark, sf_dir)
@@ -120,18 +128,12 @@ def decisions(spark, sf_dir):
 
 @query(
     "download_round",
-    _DECIDED_SQL
-    + ", chosen_ as (select distinct project_id from coarse_ where status = 'pending' and "
-    f"file_type in {sql_list(DEFAULT_EXTENSIONS)}) select case when d.new_status is null then f.status "
-    "else d.new_status end as new_status, count(*) as n from coarse_ f left join (select * from "
-    "decided_ where project_id in (select project_id from chosen_)) d on f.id = d.id group by 1",
+    _decided_sql(_CHOSEN)
+    + " select coalesce(d.new_status, f.status) as new_status, count(*) as n from coarse_ f "
+    "left join decided_ d on f.id = d.id group by 1",
 )
 def whole_round(spark, sf_dir):
-    """Statuses after a round over everything with a pending file.
-
-    Copies of a record share a path across projects, and each copy that takes part
-    has a pending file here, so the reference may decide before it selects.
-    """
+    """Statuses after a round over every project with a pending file."""
     files, projects, _, inventory, heads, outcomes = _round_inputs(spark, sf_dir)
     after = download_round(files, projects, inventory, heads, outcomes)
     return after.groupBy("new_status").agg(F.count("*").alias("n"))
@@ -209,12 +211,10 @@ _run_tally("h9_skip_accounting_everything", wl.selection("everything"))
 
 @query(
     "download_round_tally",
-    _DECIDED_SQL
-    + ", chosen_ as (select distinct project_id from coarse_ where status = 'pending' and "
-    f"file_type in {sql_list(DEFAULT_EXTENSIONS)}), after_ as (select f.project_id, "
-    f"f.file_type in {sql_list(DEFAULT_EXTENSIONS)} and {_HAS_URL} as planned, "
-    "d.new_status from coarse_ f left join decided_ d on f.id = d.id where f.project_id in "
-    "(select project_id from chosen_)), sums_ as (select count(*) as n, count_if(planned) as p, "
+    _decided_sql(_CHOSEN)
+    + f", after_ as (select f.project_id, f.file_type in {sql_list(DEFAULT_EXTENSIONS)} and {_HAS_URL} "
+    f"as planned, d.new_status from coarse_ f left join decided_ d on f.id = d.id where f.{_CHOSEN}), "
+    "sums_ as (select count(*) as n, count_if(planned) as p, "
     "count_if(planned and new_status = 'success') as s, count_if(planned and new_status = 'failed') "
     "as e from after_ group by project_id) select cast(sum(s) as bigint) as success, cast(sum(e) as "
     "bigint) as failed, cast(sum(case when p = 0 then n else p - s - e end) as bigint) as skipped "
