@@ -50,7 +50,7 @@ class CatalogFormat:
     is_object: bool = True
     keep: Callable[[Column], Column] | None = None
     side_key: Callable[[Column], Column] | None = None
-    merge_detail: Callable[[Column, Column], Column] | None = None
+    side_detail: Callable[[Column], Column] | None = None
     side_files: Callable[[Column], Column] | None = None
 
 
@@ -124,10 +124,10 @@ def _figshare_record(hit: Column) -> dict[str, Column]:
     }
 
 
-def _figshare_detail(hit: Column, payload: Column) -> Column:
-    """A non-empty detail object replaces the whole search row."""
+def _figshare_detail(payload: Column) -> Column:
+    """The detail of an article; NULL for an empty object or unreadable text."""
     detail = F.from_json(payload, schemas.FIGSHARE_ARTICLE, _PERMISSIVE)
-    return F.when(F.size(F.json_object_keys(payload)) > 0, detail).otherwise(hit)
+    return F.when(F.size(F.json_object_keys(payload)) > 0, detail)
 
 
 def _figshare_files(payload: Column) -> Column:
@@ -195,7 +195,7 @@ FORMATS: dict[str, CatalogFormat] = {
         total=lambda page, landed: landed,
         is_object=False,
         side_key=lambda hit: hit["id"],
-        merge_detail=_figshare_detail,
+        side_detail=_figshare_detail,
         side_files=_figshare_files,
     ),
 }
@@ -226,10 +226,12 @@ def search_hits(landing: DataFrame, fmt: CatalogFormat) -> DataFrame:
 
 
 def side_documents_by_key(side: DataFrame, fmt: CatalogFormat) -> DataFrame:
-    """One row per key: the newest detail and the newest file list.
+    """One row per key: the newest detail and the newest file list, parsed.
 
-    Both kinds meet in one aggregation, so a search hit needs a single join, and
-    a key that was fetched very often shrinks before the exchange.
+    Both kinds meet in one aggregation, so a search hit needs a single join, and a
+    key that was fetched very often shrinks before the exchange. The texts are parsed
+    on this side of the join, once per key; after it they would be parsed again
+    wherever a filter on a record's files is pushed down to.
     """
     usable = side.where(
         (F.col("repo") == fmt.name) & ~F.coalesce(F.col("failed"), F.lit(False))
@@ -238,8 +240,13 @@ def side_documents_by_key(side: DataFrame, fmt: CatalogFormat) -> DataFrame:
     def newest(kind: str) -> Column:
         return F.max_by("payload", F.when(F.col("kind") == kind, F.col("fetched_at")))
 
-    return usable.groupBy(F.col("key").alias("side_key")).agg(
-        newest("detail").alias("detail_payload"), newest("files").alias("files_payload")
+    latest = usable.groupBy(F.col("key").alias("side_key")).agg(
+        newest("detail").alias("detail"), newest("files").alias("files")
+    )
+    return latest.select(
+        "side_key",
+        (fmt.side_detail(F.col("detail")) if fmt.side_detail else F.lit(None)).alias("detail"),
+        fmt.side_files(F.col("files")).alias("side_files"),
     )
 
 
@@ -262,14 +269,12 @@ def attach_side_documents(
         return hits.withColumn("search_hit", F.col("hit")).withColumn("files", no_files())
     keyed = hits.withColumn("side_key", _spread_missing(fmt.side_key(F.col("hit"))))
     joined = keyed.join(side_documents_by_key(side, fmt), "side_key", "left")
-    joined = joined.withColumn("search_hit", F.col("hit"))
-    if fmt.merge_detail:
-        joined = joined.withColumn(
-            "hit", fmt.merge_detail(F.col("hit"), F.col("detail_payload"))
-        )
-    return joined.withColumn(
-        "files", F.coalesce(fmt.side_files(F.col("files_payload")), no_files())
+    joined = joined.withColumns(
+        {"search_hit": F.col("hit"), "files": F.coalesce("side_files", no_files())}
     )
+    if fmt.side_detail:
+        joined = joined.withColumn("hit", F.coalesce("detail", "hit"))
+    return joined
 
 
 def extract(landing: DataFrame, fmt: CatalogFormat, side: DataFrame | None = None) -> DataFrame:
