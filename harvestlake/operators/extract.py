@@ -225,17 +225,23 @@ def search_hits(landing: DataFrame, fmt: CatalogFormat) -> DataFrame:
     return hits.where(fmt.keep(F.col("hit"))) if fmt.keep else hits
 
 
-def side_documents_by_key(side: DataFrame, fmt: CatalogFormat) -> DataFrame:
+def side_documents_by_key(
+    side: DataFrame, fmt: CatalogFormat, wanted: DataFrame | None = None
+) -> DataFrame:
     """One row per key: the newest detail and the newest file list, parsed.
 
     Both kinds meet in one aggregation, so a search hit needs a single join, and a
     key that was fetched very often shrinks before the exchange. The texts are parsed
     on this side of the join, once per key; after it they would be parsed again
-    wherever a filter on a record's files is pushed down to.
+    wherever a filter on a record's files is pushed down to. ``wanted`` restricts the
+    documents to the keys of a small set of hits before they are aggregated.
     """
     usable = side.where(
         (F.col("repo") == fmt.name) & ~F.coalesce(F.col("failed"), F.lit(False))
     )
+    if wanted is not None:
+        keys = wanted.select(F.col("side_key").alias("key")).distinct()
+        usable = usable.join(keys, "key", "left_semi")
 
     def newest(kind: str) -> Column:
         return F.max_by("payload", F.when(F.col("kind") == kind, F.col("fetched_at")))
@@ -260,15 +266,20 @@ def _spread_missing(key: Column) -> Column:
 
 
 def attach_side_documents(
-    hits: DataFrame, side: DataFrame | None, fmt: CatalogFormat
+    hits: DataFrame, side: DataFrame | None, fmt: CatalogFormat, few_hits: bool = False
 ) -> DataFrame:
-    """Replace hits by their details and add the ``files`` array."""
+    """Replace hits by their details and add the ``files`` array.
+
+    ``few_hits`` is for increments: the side documents, which cover the whole past,
+    are first reduced to the keys of these hits.
+    """
     if fmt.side_key is None:
         return hits
     if side is None:
         return hits.withColumn("search_hit", F.col("hit")).withColumn("files", no_files())
     keyed = hits.withColumn("side_key", _spread_missing(fmt.side_key(F.col("hit"))))
-    joined = keyed.join(side_documents_by_key(side, fmt), "side_key", "left")
+    documents = side_documents_by_key(side, fmt, keyed if few_hits else None)
+    joined = keyed.join(documents, "side_key", "left")
     joined = joined.withColumns(
         {"search_hit": F.col("hit"), "files": F.coalesce("side_files", no_files())}
     )
@@ -277,9 +288,14 @@ def attach_side_documents(
     return joined
 
 
-def extract(landing: DataFrame, fmt: CatalogFormat, side: DataFrame | None = None) -> DataFrame:
+def extract(
+    landing: DataFrame,
+    fmt: CatalogFormat,
+    side: DataFrame | None = None,
+    few_hits: bool = False,
+) -> DataFrame:
     """Records of one catalog in the flat schema, with their run position."""
-    hits = attach_side_documents(search_hits(landing, fmt), side, fmt)
+    hits = attach_side_documents(search_hits(landing, fmt), side, fmt, few_hits)
     columns = {"source": F.lit(fmt.name)} | fmt.record(F.col("hit"))
     if fmt.side_key is not None:
         columns["files"] = F.col("files")
@@ -310,9 +326,10 @@ def extract_all(
     landing: DataFrame,
     side: DataFrame | None = None,
     formats: dict[str, CatalogFormat] | None = None,
+    few_hits: bool = False,
 ) -> DataFrame:
     """Records of every catalog in one frame."""
-    frames = [extract(landing, fmt, side) for fmt in (formats or FORMATS).values()]
+    frames = [extract(landing, fmt, side, few_hits) for fmt in (formats or FORMATS).values()]
     return reduce(DataFrame.unionByName, frames)
 
 

@@ -36,14 +36,16 @@ def within_stops():
     )
 
 
-def counted_pages(pages: DataFrame, facts: DataFrame, max_pages: int | None = None) -> DataFrame:
+def counted_pages(pages: DataFrame, stops: DataFrame, max_pages: int | None = None) -> DataFrame:
     """Rows of ``pages`` that the sequential page loop would have reached.
 
-    ``pages`` is any frame with the sequence columns and ``page``. It stays on
-    the left, where adaptive execution can split a sequence with very many rows.
+    ``pages`` is any frame with the sequence columns and ``page``; ``stops`` comes
+    from ``stop_pages``. The pages stay on the left, where adaptive execution can
+    split a sequence with very many rows. Staged stops let Spark see their real size
+    and choose between a broadcast and a shuffled join by its own threshold.
     """
     kept = (
-        pages.join(stop_pages(facts), SEQUENCE, "left")
+        pages.join(stops, SEQUENCE, "left")
         .where(within_stops())
         .drop("hard_stop", "soft_stop")
     )

@@ -55,23 +55,13 @@ def _status_matches(choice: Selection) -> Column:
     return F.lit(True) if wanted is None else F.col("status") == wanted
 
 
-def _with_paths(targets: DataFrame, projects: DataFrame, output_dir: str) -> DataFrame:
-    folders = projects.select(
+def _folders(projects: DataFrame) -> DataFrame:
+    return projects.select(
         F.col("id").alias("project_id"),
         "download_repository_folder",
         "download_project_folder",
         "download_version_folder",
     )
-    return targets.join(folders, "project_id").select(
-        *targets.columns,
-        storage_path(
-            output_dir,
-            F.col("download_repository_folder"),
-            F.col("download_project_folder"),
-            F.col("download_version_folder"),
-            F.col("file_name"),
-        ).alias("path"),
-    )
 
 
 def plan_projects(
@@ -83,12 +73,25 @@ def plan_projects(
 ) -> DataFrame:
     """Files to fetch for the given projects: wanted extension and a URL, any status.
 
-    Projects that do not exist drop out with the join that supplies the folders.
+    Projects that do not exist drop out with the join that supplies the folders. The
+    keys restrict the projects, not the files: the files meet one join only, with
+    one row per project on the other side, so adaptive execution may split a project
+    that holds very many of them.
     """
     targets = with_url(with_extension(files, list(extensions)))
+    wanted = _folders(projects)
     if keys is not None:
-        targets = targets.join(keys.select("project_id").distinct(), "project_id", "left_semi")
-    return _with_paths(targets, projects, output_dir)
+        wanted = wanted.join(keys.select("project_id").distinct(), "project_id", "left_semi")
+    return targets.join(wanted, "project_id").select(
+        *targets.columns,
+        storage_path(
+            output_dir,
+            F.col("download_repository_folder"),
+            F.col("download_project_folder"),
+            F.col("download_version_folder"),
+            F.col("file_name"),
+        ).alias("path"),
+    )
 
 
 def selected_projects(files: DataFrame, choice: Selection) -> DataFrame:
@@ -158,37 +161,38 @@ def classify(
 
     Rows of one record found by several queries share a path. With ``shared_paths``
     those after the first fetched one (by project, then file) are already present.
+
+    What is known of a path (present, first fetched row) is aggregated to one row per
+    path, combining before the exchange, and joined once. A path shared by very many
+    rows stays splittable.
     """
-    present = inventory.select("path", F.lit(True).alias("_present")).distinct()
-    decided = (
+    attempt = (
         plan.join(heads.select(key, F.col("content_length").alias("_length")), key, "left")
         .join(outcomes.select(key, F.col("fetched").alias("_fetched")), key, "left")
-        .join(present, "path", "left")
         .withColumn(
-            "new_status",
-            F.when(F.col("_present"), F.lit(SKIPPED_EXISTS))
-            .when(exceeds_size(F.col("_length"), max_size_mb), F.lit(SKIPPED_SIZE))
+            "_attempt",
+            F.when(exceeds_size(F.col("_length"), max_size_mb), F.lit(SKIPPED_SIZE))
             .when(F.col("_fetched"), F.lit(SUCCESS))
             .when(~F.col("_fetched"), F.lit(FAILED))
             .otherwise(F.lit(PENDING)),
         )
     )
-    columns = [*plan.columns, "new_status"]
-    if not shared_paths:
-        return decided.select(*columns)
     order = F.struct("project_id", key)
-    first = (
-        decided.where(F.col("new_status") == SUCCESS)
-        .groupBy("path")
-        .agg(F.min(order).alias("_first"))
+    known = inventory.select("path", F.lit(True).alias("_present"))
+    if shared_paths:
+        fetched = attempt.where(F.col("_attempt") == SUCCESS).select("path", order.alias("_order"))
+        known = known.unionByName(fetched, allowMissingColumns=True)
+    else:
+        known = known.withColumn("_order", F.lit(None))
+    paths = known.groupBy("path").agg(
+        F.bool_or("_present").alias("_present"), F.min("_order").alias("_first")
     )
-    late = F.coalesce(order > F.col("_first"), F.lit(False))
-    return (
-        decided.join(first, "path", "left")
-        .withColumn(
-            "new_status", F.when(late, F.lit(SKIPPED_EXISTS)).otherwise(F.col("new_status"))
-        )
-        .select(*columns)
+    exists = F.col("_present")
+    if shared_paths:
+        exists = F.coalesce(exists, F.lit(False)) | (order > F.col("_first"))
+    return attempt.join(paths, "path", "left").select(
+        *plan.columns,
+        F.when(exists, F.lit(SKIPPED_EXISTS)).otherwise(F.col("_attempt")).alias("new_status"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from harvestlake.operators.dedup import dedup_records
 from harvestlake.operators.extract import extract_all, page_facts
-from harvestlake.operators.pagination import counted_pages
+from harvestlake.operators.pagination import counted_pages, stop_pages
 from harvestlake.operators.records import is_relevant, score
 from harvestlake.operators.shred import catalog_parents, shred
 from harvestlake.session import stage
@@ -19,16 +19,20 @@ def relevant_records(
     min_score: int = 1,
     max_pages: int | None = None,
     cut_off: bool = True,
+    few_hits: bool = False,
 ) -> DataFrame:
     """Scored, open-licensed, relevant records of all counted pages.
 
-    Fat payloads are parsed once for the records; the page facts read only ids and
-    totals. Duplicates across queries are still present.
+    The page cut-off is worked out first, by a job that reads only ids and totals,
+    and staged: a row per (repository, query). Spark then knows its size and need not
+    exchange the payloads for it while it is small. Duplicates across queries are
+    still present.
     """
     pages = landing
     if cut_off:
-        pages = counted_pages(landing, page_facts(landing), max_pages)
-    return is_relevant(score(extract_all(pages, side)), min_score)
+        stops = stage(stop_pages(page_facts(landing)), "stops")
+        pages = counted_pages(landing, stops, max_pages)
+    return is_relevant(score(extract_all(pages, side, few_hits=few_hits)), min_score)
 
 
 def collect(

@@ -37,7 +37,7 @@ def ingest(
     """
 
     def load(pages: DataFrame, batch_id: int) -> None:
-        records = relevant_records(pages, side, min_score, cut_off=False)
+        records = relevant_records(pages, side, min_score, cut_off=False, few_hits=True)
         load_catalog(Catalog(pages.sparkSession, catalog_base), records, f"{batch_id:09d}", dedup)
 
     return (

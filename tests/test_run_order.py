@@ -37,13 +37,13 @@ def facts(spark, *pages, repo="zenodo"):
 )
 def test_counted_pages(spark, pages, expected):
     frame = facts(spark, *pages)
-    kept = pagination.counted_pages(frame, frame)
+    kept = pagination.counted_pages(frame, pagination.stop_pages(frame))
     assert sorted(r["page"] for r in kept.collect()) == expected
 
 
 def test_counted_pages_within_limit(spark):
     frame = facts(spark, *[(25, 0, False)] * 5)
-    assert pagination.counted_pages(frame, frame, max_pages=2).count() == 2
+    assert pagination.counted_pages(frame, pagination.stop_pages(frame), max_pages=2).count() == 2
 
 
 def test_expected_pages(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from harvestlake.operators.dedup import count_unique, dedup_records
 from harvestlake.operators.ids import with_dense_id, with_offsets
 from harvestlake.operators.ledger import apply_status, latest_status, update_scores, upsert_scores
-from harvestlake.operators.pagination import counted_pages
+from harvestlake.operators.pagination import counted_pages, stop_pages
 from harvestlake.operators.records import is_relevant
 from workload.projections import cte, view
 from workload.records import sql_is_open
@@ -72,7 +72,7 @@ def unique_relevant_projects(spark, sf_dir):
 )
 def pages_reached(spark, sf_dir):
     facts = event_pages(spark, sf_dir)
-    return counted_pages(facts, facts).select("repo", "query", "page", "n_records")
+    return counted_pages(facts, stop_pages(facts)).select("repo", "query", "page", "n_records")
 
 
 _SPARSE_KEY = "id * 1000 + cast(record_id as bigint) % 1000"

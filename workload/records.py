@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from harvestlake.operators import extract as x
 from harvestlake.operators.dedup import count_unique
-from harvestlake.operators.pagination import counted_pages
+from harvestlake.operators.pagination import counted_pages, stop_pages
 from harvestlake.operators.shred import catalog_parents, shred
 from harvestlake.plans.collect import load_catalog, relevant_records
 from harvestlake.refdata import OPEN_LICENCE_PREFIXES, TITLE_KEYWORDS
@@ -226,7 +226,7 @@ def collection_run(spark, sf_dir):
 def pages_cut(spark, sf_dir):
     """Twice the real page size is asked for: the run stops at half of the total."""
     pages = landing_pages(spark, sf_dir).withColumn("page_size", F.lit(11))
-    kept = counted_pages(pages, x.page_facts(pages))
+    kept = counted_pages(pages, stop_pages(x.page_facts(pages)))
     return x.extract_all(kept, side_documents(spark, sf_dir)).select(
         "repo", "query", "page", "record_id"
     )
