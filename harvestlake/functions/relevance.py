@@ -17,6 +17,17 @@ from harvestlake.refdata import (
 )
 
 
+def computed_once(number: Column) -> Column:
+    """The same number, in a form Spark does not copy into filters.
+
+    A filter on a computed column is pushed below it and computes it again, there
+    without sharing common parts such as the lower-cased title: three times the work
+    in total for the title score. Adding a value that is always 0 but not
+    deterministic to the optimizer keeps the computation where it is written.
+    """
+    return number + F.least(F.spark_partition_id(), F.lit(0))
+
+
 def _points(condition: Column, points: int) -> Column:
     return F.when(condition, F.lit(points)).otherwise(F.lit(0))
 
@@ -30,13 +41,10 @@ def title_score(title: Column, keywords: list[str] | None = None) -> Column:
     )
 
 
-def composite_score(
-    title: Column, tool_export: Column, text_file: Column, all_code: Column
-) -> Column:
-    """Title points plus the file bonuses, less the code-only penalty."""
+def file_score(tool_export: Column, text_file: Column, all_code: Column) -> Column:
+    """The file bonuses, less the code-only penalty."""
     return (
-        title_score(title)
-        + _points(tool_export, TOOL_FILE_BONUS)
+        _points(tool_export, TOOL_FILE_BONUS)
         + _points(text_file, TEXT_FILE_BONUS)
         - _points(all_code, CODE_ONLY_PENALTY)
     )
@@ -44,6 +52,6 @@ def composite_score(
 
 def record_score(title: Column, files: Column) -> Column:
     """Score of a nested record."""
-    return composite_score(
-        title, has_tool_export(files), has_text_file(files), is_all_code(files)
+    return title_score(title) + file_score(
+        has_tool_export(files), has_text_file(files), is_all_code(files)
     )

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harvestlake.functions.relevance import computed_once
 from harvestlake.refdata import query_terms
 
 
@@ -19,18 +20,18 @@ def match_queries(records: DataFrame, queries: list[str], *text_columns: str) ->
     any join or exchange, and only matches are emitted.
     """
     haystack = F.lower(F.concat_ws("\n", *text_columns))
-    hits = []
+    found = []
     for index, query in enumerate(queries):
         terms = [F.contains(F.col("_text"), F.lit(t.lower())) for t in query_terms(query)]
         if terms:
-            matched = reduce(lambda a, b: a & b, terms)
-            hits.append(
-                F.when(
-                    matched, F.struct(F.lit(index).alias("query_idx"), F.lit(query).alias("query"))
-                )
+            hit = F.struct(
+                computed_once(F.lit(index)).alias("query_idx"), F.lit(query).alias("query")
             )
+            found.append(F.when(reduce(lambda a, b: a & b, terms), hit))
     return (
         records.withColumn("_text", haystack)
-        .withColumn("_hit", F.explode(F.array_compact(F.array(*hits))))
+        # A column of its own: the row is dropped on its size without another scan.
+        .withColumn("_found", F.array(*found))
+        .withColumn("_hit", F.explode(F.array_compact("_found")))
         .select(*records.columns, "_hit.query_idx", "_hit.query")
     )

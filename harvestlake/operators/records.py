@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestlake.functions.licences import is_open_licence
-from harvestlake.functions.relevance import composite_score, record_score
+from harvestlake.functions.relevance import computed_once, file_score, record_score, title_score
 from harvestlake.refdata import (
     CODE_EXTENSIONS,
     DEFAULT_METHOD,
@@ -20,7 +20,7 @@ from harvestlake.refdata import (
 def score(records: DataFrame) -> DataFrame:
     """Add ``relevance_score`` to nested records."""
     return records.withColumn(
-        "relevance_score", record_score(F.col("title"), F.col("files"))
+        "relevance_score", computed_once(record_score(F.col("title"), F.col("files")))
     )
 
 
@@ -34,6 +34,11 @@ def is_relevant(
     )
 
 
+def open_licensed(records: DataFrame, exclude_restrictive: bool = False) -> DataFrame:
+    """The licence half of the relevance test; put before scoring it spares the scores."""
+    return records.where(is_open_licence(F.col("license"), exclude_restrictive))
+
+
 def open_access_only(records: DataFrame, column: str = "access_right") -> DataFrame:
     """Records whose access right is open (the Zenodo search condition)."""
     return records.where(F.col(column) == "open")
@@ -61,19 +66,18 @@ def file_facts(files: DataFrame, key: str = "project_id", file_type: str = "file
 
 
 def score_projects(projects: DataFrame, files: DataFrame) -> DataFrame:
-    """Composite score of projects whose files are rows of their own table."""
+    """Composite score of projects whose files are rows of their own table.
+
+    The title is scored below the join, so a filter on the score does not repeat it.
+    """
     facts = file_facts(files).select(
         F.col("project_id").alias("id"), "has_tool_export", "has_text_file", "all_code"
     )
+    points = file_score(F.col("has_tool_export"), F.col("has_text_file"), F.col("all_code"))
     return (
-        projects.join(facts, "id", "left")
-        .withColumn(
-            "relevance_score",
-            composite_score(
-                F.col("title"), F.col("has_tool_export"), F.col("has_text_file"), F.col("all_code")
-            ),
-        )
-        .drop("has_tool_export", "has_text_file", "all_code")
+        projects.withColumn("_title_score", title_score(F.col("title")))
+        .join(facts, "id", "left")
+        .select(*projects.columns, (F.col("_title_score") + points).alias("relevance_score"))
     )
 
 

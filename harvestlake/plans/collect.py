@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from harvestlake.operators.dedup import dedup_records
 from harvestlake.operators.extract import extract_all, page_facts
 from harvestlake.operators.pagination import counted_pages, stop_pages
-from harvestlake.operators.records import is_relevant, score
+from harvestlake.operators.records import open_licensed, score
 from harvestlake.operators.shred import catalog_parents, shred
 from harvestlake.session import stage
 from harvestlake.sources.catalog import Catalog
@@ -32,7 +33,8 @@ def relevant_records(
     if cut_off:
         stops = stage(stop_pages(page_facts(landing)), "stops")
         pages = counted_pages(landing, stops, max_pages)
-    return is_relevant(score(extract_all(pages, side, few_hits=few_hits)), min_score)
+    found = open_licensed(extract_all(pages, side, few_hits=few_hits))
+    return score(found).where(F.col("relevance_score") >= min_score)
 
 
 def collect(

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from harvestlake.operators.records import is_relevant, score
+from harvestlake.operators.records import open_licensed, score
 from harvestlake.operators.extract import extract_all
 from harvestlake.plans.collect import load_catalog, relevant_records
 from harvestlake.schemas import LANDING
@@ -58,7 +59,9 @@ def unique_record_stream(
     once the watermark on ``fetched_at`` has passed it, which bounds the state. Which
     of the copies within a micro-batch survives is not fixed.
     """
-    records = is_relevant(score(extract_all(pages)), min_score)
+    records = score(open_licensed(extract_all(pages))).where(
+        F.col("relevance_score") >= min_score
+    )
     keys = ["source", "record_id"]
     if watermark:
         return records.withWatermark("fetched_at", watermark).dropDuplicatesWithinWatermark(keys)
