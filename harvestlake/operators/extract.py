@@ -29,6 +29,7 @@ from harvestlake.functions.nested import (
     or_empty,
 )
 from harvestlake.functions.text import doi_from_identifiers, iso_day, prefixed_url, text
+from harvestlake.operators.joins import join_to_one
 from harvestlake.refdata import REPOSITORY_ORDER
 
 # Named so that from_json keeps the whole schema and with it the corrupt-record field.
@@ -241,7 +242,7 @@ def side_documents_by_key(
     )
     if wanted is not None:
         keys = wanted.select(F.col("side_key").alias("key")).distinct()
-        usable = usable.join(keys, "key", "left_semi")
+        usable = join_to_one(usable, keys, ["key"], "left_semi")
 
     def newest(kind: str) -> Column:
         return F.max_by("payload", F.when(F.col("kind") == kind, F.col("fetched_at")))
@@ -279,7 +280,7 @@ def attach_side_documents(
         return hits.withColumn("search_hit", F.col("hit")).withColumn("files", no_files())
     keyed = hits.withColumn("side_key", _spread_missing(fmt.side_key(F.col("hit"))))
     documents = side_documents_by_key(side, fmt, keyed if few_hits else None)
-    joined = keyed.join(documents, "side_key", "left")
+    joined = join_to_one(keyed, documents, ["side_key"])
     joined = joined.withColumns(
         {"search_hit": F.col("hit"), "files": F.coalesce("side_files", no_files())}
     )

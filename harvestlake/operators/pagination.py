@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from harvestlake.operators.joins import join_to_one
 from harvestlake.refdata import REPOSITORIES
 
 SEQUENCE = ["repo", "query_idx", "query"]
@@ -45,7 +46,7 @@ def counted_pages(pages: DataFrame, stops: DataFrame, max_pages: int | None = No
     and choose between a broadcast and a shuffled join by its own threshold.
     """
     kept = (
-        pages.join(stops, SEQUENCE, "left")
+        join_to_one(pages, stops, SEQUENCE)
         .where(within_stops())
         .drop("hard_stop", "soft_stop")
     )

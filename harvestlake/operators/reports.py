@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from harvestlake.operators.joins import join_to_one
+
 # Each child table's own order within a project.
 CHILD_ORDER = {
     "files": "id",
@@ -47,7 +49,7 @@ def children_of(child: DataFrame, table: str, keys: DataFrame | int, tie: str =
     """
     if isinstance(keys, DataFrame):
         wanted = keys.select("project_id").distinct()
-        rows = child.join(wanted, "project_id", "left_semi")
+        rows = join_to_one(child, wanted, ["project_id"], "left_semi")
     else:
         rows = child.where(F.col("project_id") == keys)
     own = CHILD_ORDER.get(table, tie)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestlake.functions.text import storage_path
+from harvestlake.operators.joins import join_to_one
 from harvestlake.operators.reports import with_extension, with_url
 from harvestlake.refdata import (
     DEFAULT_EXTENSIONS,
@@ -82,7 +83,7 @@ def plan_projects(
     wanted = _folders(projects)
     if keys is not None:
         wanted = wanted.join(keys.select("project_id").distinct(), "project_id", "left_semi")
-    return targets.join(wanted, "project_id").select(
+    return join_to_one(targets, wanted, ["project_id"], "inner").select(
         *targets.columns,
         storage_path(
             output_dir,
@@ -137,11 +138,11 @@ def exceeds_size(length: Column, max_size_mb: float = DEFAULT_MAX_SIZE_MB) -> Co
 
 def already_present(plan: DataFrame, inventory: DataFrame) -> DataFrame:
     """Planned files whose path is in the inventory."""
-    return plan.join(inventory.select("path").distinct(), "path", "left_semi")
+    return join_to_one(plan, inventory.select("path").distinct(), ["path"], "left_semi")
 
 
 def not_present(plan: DataFrame, inventory: DataFrame) -> DataFrame:
-    return plan.join(inventory.select("path").distinct(), "path", "left_anti")
+    return join_to_one(plan, inventory.select("path").distinct(), ["path"], "left_anti")
 
 
 def classify(
@@ -190,7 +191,7 @@ def classify(
     exists = F.col("_present")
     if shared_paths:
         exists = F.coalesce(exists, F.lit(False)) | (order > F.col("_first"))
-    return attempt.join(paths, "path", "left").select(
+    return join_to_one(attempt, paths, ["path"]).select(
         *plan.columns,
         F.when(exists, F.lit(SKIPPED_EXISTS)).otherwise(F.col("_attempt")).alias("new_status"),
     )

@@ -10,7 +10,7 @@ from harvestlake.operators.extract import extract_all, page_facts
 from harvestlake.operators.pagination import counted_pages, stop_pages
 from harvestlake.operators.records import open_licensed, score
 from harvestlake.operators.shred import catalog_parents, shred
-from harvestlake.session import stage
+from harvestlake.session import stage, staging
 from harvestlake.sources.catalog import Catalog
 
 
@@ -61,9 +61,12 @@ def load_catalog(
     k queries gives k project rows; ``dedup=True`` stores first hits only. The
     relevant records are staged once in the shared folder before they are numbered,
     so payloads are parsed once, and the numbered parents once more, so each of the
-    six writes reads only the columns it needs.
+    six writes reads only the columns it needs; both are deleted at the end.
     """
     kept = dedup_records(records, dedup)
-    numbered = catalog_parents(stage(kept, "records") if staged else kept, catalog.highest_ids())
-    parents = stage(numbered, "parents") if staged else numbered
-    catalog.append(shred(parents), batch)
+    if not staged:
+        catalog.append(shred(catalog_parents(kept, catalog.highest_ids())), batch)
+        return
+    with staging(catalog.spark) as put:
+        numbered = catalog_parents(put(kept, "records"), catalog.highest_ids())
+        catalog.append(shred(put(numbered, "parents")), batch)

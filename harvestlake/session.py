@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,13 +59,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/harvestlake/{uuid.uuid4().hex}/{name}"
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where several outputs hang on one expensive parent: the parent is
     computed once, later readers prune columns, and a lost executor costs a
     re-read rather than a recomputation.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = path or scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """``stage`` for the length of a block; what it wrote is deleted afterwards.
+
+    Only for blocks that finish all reads of the staged frames inside.
+    """
+    root = scratch_path(spark, "block")
+    try:
+        yield lambda df, name: stage(df, name, f"{root}/{name}")
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

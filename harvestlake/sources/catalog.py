@@ -106,6 +106,10 @@ class Catalog:
         number = int(self._current(table).split("=")[1]) + 1
         self._write(df, table, f"{self.base}/{table}/snapshot={number:06d}/batch=base")
 
+    def compact(self, table: str) -> None:
+        """Publish the table's batches as one snapshot; useful after many small batches."""
+        self.replace(table, self.read(table))
+
     def reset(self) -> None:
         """Empty all six tables by publishing empty snapshots."""
         for name, schema in TABLES.items():

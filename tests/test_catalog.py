@@ -50,12 +50,17 @@ def records(spark):
     )
 
 
+@pytest.fixture(scope="module")
+def staged(spark):
+    return stage(records(spark))
+
+
 def rows(df, *columns):
     return [tuple(r) for r in df.select(*columns).orderBy("id").collect()]
 
 
-def test_shred(spark):
-    tables = shred(catalog_parents(records(spark)))
+def test_shred(staged):
+    tables = shred(stage(catalog_parents(staged)))
     assert list(tables) == list(schemas.TABLES)
     projects = tables["projects"]
     order = rows(projects, "id", "query_string", "download_repository_folder", "download_project_folder")
@@ -124,12 +129,12 @@ def test_repository_lookup(spark):
     ]
 
 
-def test_append_replace_reset(spark, tmp_path):
+def test_append_replace_reset(spark, staged, tmp_path):
     store = Catalog(spark, str(tmp_path / "catalog"))
     assert store.read("projects").count() == 0
-    load_catalog(store, records(spark), "0", staged=False)
-    load_catalog(store, records(spark), "1")
-    load_catalog(store, records(spark), "1")  # a repeated batch replaces itself
+    load_catalog(store, staged, "0", staged=False)
+    load_catalog(store, staged, "1")
+    load_catalog(store, staged, "1")  # a repeated batch replaces itself
     counts = {n: df.count() for n, df in store.tables().items()}
     assert counts["projects"] == 8 and counts["relevance_scores"] == 8
     assert store.read("projects").select("id").distinct().count() == 8
@@ -138,20 +143,23 @@ def test_append_replace_reset(spark, tmp_path):
     files = store.read("files")
     store.replace("files", files.withColumn("status", F.lit("success")))
     assert [r[0] for r in store.read("files").select("status").distinct().collect()] == ["success"]
-    load_catalog(store, records(spark), "2")
+    load_catalog(store, staged, "2")
     assert store.read("files").count() == counts["files"] // 2 * 3
+    before = sorted(store.read("projects").collect())
+    store.compact("projects")
+    assert sorted(store.read("projects").collect()) == before
 
     found = store.sql("select count(*) as n from projects where repository_id = ?", [3])
     assert found.first()["n"] == 3
     store.reset()
     assert all(df.count() == 0 for df in store.tables().values())
-    load_catalog(store, records(spark), "0")
+    load_catalog(store, staged, "0")
     assert store.read("projects").agg(F.min("id")).first()[0] == 1, "ids restart after a reset"
 
 
-def test_unfinished_batches_are_not_read(spark, tmp_path):
+def test_unfinished_batches_are_not_read(spark, staged, tmp_path):
     store = Catalog(spark, str(tmp_path / "catalog"))
-    load_catalog(store, records(spark), "0")
+    load_catalog(store, staged, "0")
     half = tmp_path / "catalog" / "projects" / "snapshot=000000" / "batch=9"
     store.read("projects").write.parquet(str(half))
     (half / "_SUCCESS").unlink()
@@ -168,8 +176,8 @@ def test_collect_keeps_first_hits(spark, sf_dir):
     assert collect(pages.unionByName(again), side, dedup=False).count() == 2 * once.count()
 
 
-def test_check_catalog_finds_each_kind(spark):
-    tables = shred(catalog_parents(records(spark)))
+def test_check_catalog_finds_each_kind(staged):
+    tables = shred(stage(catalog_parents(staged)))
     tables["projects"] = tables["projects"].withColumns(
         {"title": F.when(F.col("id") != 2, F.col("title")),
          "download_method": F.when(F.col("id") == 3, "FTP").otherwise(F.col("download_method"))}
@@ -237,3 +245,29 @@ def test_reports_on_empty_tables(spark):
     assert reports.status_shares(empty["files"]).count() == 0
     report = {(r["metric"], r["key"]): r["value"] for r in reports.stats(empty).collect()}
     assert report[("rows", "projects")] == 0 and report[("relevance_score", "avg")] == 0.0
+
+
+def test_filters_reach_the_stored_files(spark, staged, tmp_path):
+    store = Catalog(spark, str(tmp_path / "catalog"))
+    load_catalog(store, staged, "0")
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    pending = plan(reports.files_by_status(store.read("files"), "pending").select("file_name"))
+    assert "EqualTo(status,pending)" in pending and "download_url" not in pending
+    zenodo = plan(store.read("projects").where("repository_id = 1").select("title"))
+    assert "repository_id#" in zenodo.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_block_staging_leaves_nothing_behind(spark, tmp_path):
+    from pathlib import Path
+
+    from harvestlake.session import scratch_root, staging
+
+    root = Path(scratch_root(spark)) / "harvestlake"
+    root.mkdir(parents=True, exist_ok=True)
+    before = {p.name for p in root.glob("*/block")} | {str(p) for p in root.glob("*/block/*")}
+    with staging(spark) as put:
+        assert put(spark.range(5), "numbers").count() == 5
+    assert {p.name for p in root.glob("*/block")} | {str(p) for p in root.glob("*/block/*")} == before
