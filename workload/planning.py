@@ -145,8 +145,9 @@ def whole_round(spark, sf_dir):
 @query(
     "h7_outcome_tally",
     cte("files")
-    + "select count_if(status = 'success') as success, count_if(status = 'failed') as failed, "
-    "count_if(status not in ('success', 'failed')) as skipped from files_",
+    + "select cast(count_if(status = 'success') as bigint) as success, "
+    "cast(count_if(status = 'failed') as bigint) as failed, "
+    "cast(count_if(status not in ('success', 'failed')) as bigint) as skipped from files_",
 )
 def tally(spark, sf_dir):
     return wl.outcome_tally(view(spark, sf_dir, "files", "status"))
