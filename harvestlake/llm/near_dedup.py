@@ -7,10 +7,13 @@ signature make buckets. Documents with equal sets are one class; only classes ar
 
 Candidates of a bucket are a star: one centre against the others. Links are confirmed on the
 full sets. As a star may miss a link between two outer members, rounds go on in those buckets
-whose members are not all in one component yet: small remainders are compared outright, in
-large ones another member that is not in the largest component becomes the centre. A member
-that was the centre is done there, so the rounds end with every pair of a bucket either
-compared or already in one component. No link between two members of a bucket is lost.
+whose members are not all in one component yet: first a second star around another centre,
+then every member outside the bucket's largest component, if they are few, against all of
+other components. A bucket that still has many such members, because its documents share a
+long passage without being alike, is taken apart: sets that overlap enough must share one of
+their rarest shingles (prefix filter), and those rare shingles become the buckets in which
+the same rounds go on until every bucket is finished. In a finished bucket every two members
+are either in one component or compared, so no link between members of a bucket is lost.
 """
 
 from __future__ import annotations
@@ -20,10 +23,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harvestlake.llm.common import free_name, row_tie, small_batches, stage, text_of
+from harvestlake.llm.common import free_name, small_batches, stage, text_of
 from harvestlake.llm.components import components
 from harvestlake.operators.joins import join_to_one
 
@@ -77,8 +80,8 @@ class Signer:
         self.bands, self.rows = bands, rows
         k = bands * rows
         rng = np.random.default_rng(seed)
-        #: The order in which an empty bin asks the bins.
-        self.orders = np.argsort(rng.random((k, k)), axis=1).astype(np.int32)
+        #: The order in which an empty bin asks the bins, each bin an order of its own.
+        self.orders = np.argsort(rng.random((k, k)), axis=1).astype(np.int32).T.copy()
         self.salt = rng.integers(1, 1 << 63, size=(bands, rows), dtype=np.uint64) | np.uint64(1)
 
     def bins(self, hashes: np.ndarray) -> np.ndarray:
@@ -89,10 +92,13 @@ class Signer:
         np.minimum.at(least, bin_of.astype(np.int64), h)
         full = least != np.iinfo(np.uint64).max
         empty = np.flatnonzero(~full)
-        if len(empty):
-            orders = self.orders[empty]
-            source = orders[np.arange(len(empty)), full[orders].argmax(axis=1)]
-            least[empty] = least[source]
+        for asked in self.orders:
+            if not len(empty):
+                break
+            source = asked[empty]
+            answered = full[source]
+            least[empty[answered]] = least[source[answered]]
+            empty = empty[~answered]
         return least
 
     def buckets(self, hashes: np.ndarray) -> np.ndarray:
@@ -163,28 +169,27 @@ def _overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _crowded(members: DataFrame) -> DataFrame:
     """Members of buckets that hold more than one class."""
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     return join_to_one(members, sizes.select("bucket"), ["bucket"], "inner")
 
 
-def _unfinished(members: DataFrame, component: DataFrame | None) -> DataFrame:
+def _labelled(members: DataFrame, component: DataFrame) -> DataFrame:
+    return join_to_one(members, component, ["node"]).withColumn("component", F.coalesce("component", "node"))
+
+
+def _unfinished(members: DataFrame, component: DataFrame) -> DataFrame:
     """Members of the buckets where a pair may still be a missed link.
 
     Adds ``component`` and ``open``: whether the member is outside its bucket's largest
     component and was no centre yet. A bucket without open members is finished: of any two
     members in different components one has been compared with the other.
     """
-    if component is None:
-        labelled = members.withColumn("component", F.col("node"))
-    else:
-        labelled = join_to_one(members, component, ["node"], "left").withColumn(
-            "component", F.coalesce("component", "node")
-        )
+    labelled = _labelled(members, component)
     parts = labelled.groupBy("bucket", "component").agg(
-        F.count("*").alias("size"), F.count(F.when(~F.col("done"), 1)).alias("fresh")
+        F.count("*").alias("members"), F.count(F.when(~F.col("done"), 1)).alias("fresh")
     )
     top = parts.groupBy("bucket").agg(
-        F.max(F.struct("size", "component", "fresh")).alias("top"), F.sum("fresh").alias("fresh")
+        F.max(F.struct("members", "component", "fresh")).alias("top"), F.sum("fresh").alias("fresh")
     )
     top = top.where(F.col("fresh") > F.col("top.fresh")).select(
         "bucket", F.col("top.component").alias("largest"), (F.col("fresh") - F.col("top.fresh")).alias("n_open")
@@ -194,34 +199,101 @@ def _unfinished(members: DataFrame, component: DataFrame | None) -> DataFrame:
     )
 
 
-def _candidates(members: DataFrame, round_: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs to compare now, and the members, those marked that are done with them.
+def _compare(
+    members: DataFrame, centres: DataFrame, sets: DataFrame, percent: int, compared: DataFrame | None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links of the members with their bucket's centres, the pairs tried, and the members with
+    the centres marked as done. Members of one component aren't compared, nor are sets whose
+    sizes alone rule a link out, nor pairs that were ``compared`` before.
+    """
+    hubs = join_to_one(centres, members.select("bucket", "node", "size", "component"), ["bucket", "node"], "inner")
+    hubs = hubs.groupBy("bucket").agg(
+        F.collect_set(F.struct(F.col("node").alias("node"), F.col("size").alias("size"), "component")).alias("centres")
+    )
+    near = join_to_one(members, hubs, ["bucket"])
+    marked = near.select(
+        "bucket", "node", "size",
+        (F.col("done") | F.coalesce(F.array_contains("centres.node", F.col("node")), F.lit(False))).alias("done"),
+    )
+    pairs = near.where(F.col("centres").isNotNull()).select("node", "size", "component", F.explode("centres").alias("c"))
+    pairs = pairs.where(
+        (F.col("component") != F.col("c.component"))
+        & (100 * F.least("size", "c.size") >= percent * F.greatest("size", "c.size"))
+    )
+    pairs = pairs.select(
+        F.least("node", "c.node").alias("u"), F.greatest("node", "c.node").alias("v")
+    ).distinct()
+    if compared is not None:
+        pairs = pairs.join(compared, ["u", "v"], "left_anti")
+    marked, pairs = stage(marked, "members"), stage(pairs, "pairs")
+    return stage(_overlaps(pairs, sets, percent), "found"), pairs, marked
+
+
+def _rare_shingles(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Buckets by rare shingles: two sets that overlap enough meet in one of them.
 
-    In the first round every bucket gives a star around its least node. Later, buckets with
-    few open members have each of them compared with all members of other components, the
-    rest another star around one open member.
+    In one order of all shingles, rarest first, sets with 100 * intersection >= percent *
+    union share a shingle among the first n - ceil(percent / 100 * n) + 1 of each.
     """
-    order = F.xxhash64(F.col("node"), F.lit(round_))
-    if round_ == 0:
-        centres = members.groupBy("bucket").agg(F.min("node").alias("centre"))
-    else:
-        few = members.where(F.col("open") & (F.col("n_open") <= OUTRIGHT))
-        many = members.where(F.col("open") & (F.col("n_open") > OUTRIGHT))
-        centres = few.select("bucket", F.col("node").alias("centre")).unionByName(
-            many.groupBy("bucket").agg(F.min_by("node", order).alias("centre"))
-        )
-    # At most OUTRIGHT centres a bucket, so they travel as one short array.
-    hubs = centres.groupBy("bucket").agg(F.collect_set("centre").alias("centres"))
-    with_hubs = join_to_one(members, hubs, ["bucket"], "left").withColumn(
-        "centres", F.coalesce("centres", F.array().cast("array<long>"))
+    own = sets.join(nodes, "node", "left_semi")
+    single = own.select("node", F.explode("shingles").alias("shingle"))
+    often = single.groupBy("shingle").agg(F.count("*").alias("often"))
+    ranked = join_to_one(single, often, ["shingle"], "inner").groupBy("node").agg(
+        F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("order")
     )
-    pairs = with_hubs.select("node", F.explode("centres").alias("centre")).where("node <> centre")
-    marked = with_hubs.select(
-        "bucket", "node", (F.col("done") | F.array_contains("centres", F.col("node"))).alias("done")
+    n = F.size("order")
+    first = n - F.ceil(n * F.lit(percent) / F.lit(100)) + 1
+    prefix = F.filter(F.slice("order", F.lit(1), first.cast("int")), lambda s: s["often"] > 1)
+    return ranked.select("node", n.cast("bigint").alias("size"), F.explode(prefix).alias("s")).select(
+        F.col("s.shingle").alias("bucket"), "node", "size"
     )
-    return pairs.select(
-        F.least("node", "centre").alias("u"), F.greatest("node", "centre").alias("v")
-    ).distinct(), marked
+
+
+class _Rounds:
+    """Components of the classes as links are found."""
+
+    def __init__(self, sets: DataFrame, percent: int, heads: DataFrame):
+        self.sets, self.percent = sets, percent
+        self.component = heads.select("node", F.col("node").alias("component")).limit(0)
+        self.compared: DataFrame | None = None
+
+    def star(self, members: DataFrame, centres: DataFrame) -> DataFrame:
+        found, pairs, members = _compare(members, centres, self.sets, self.percent, self.compared)
+        self.compared = pairs if self.compared is None else self.compared.unionByName(pairs)
+        if not found.isEmpty():
+            stars = self.component.where("node <> component").toDF("u", "v")
+            self.component = stage(components(found.unionByName(stars)), "components")
+        return members
+
+    def run(self, members: DataFrame, may_refine: bool) -> None:
+        """Until every bucket of ``members`` (bucket, node, size) is finished."""
+        members = _labelled(members.withColumn("done", F.lit(False)), self.component)
+        members = self.star(members, members.groupBy("bucket").agg(F.min("node").alias("node")))
+        left = stage(_unfinished(members, self.component), "unfinished")
+        # A second star, around a centre that differs from bucket to bucket.
+        order = F.xxhash64("node", "bucket")
+        members = self.star(left, left.groupBy("bucket").agg(F.min_by("node", order).alias("node")))
+        few = OUTRIGHT
+        while True:
+            left = stage(_unfinished(members, self.component), "unfinished")
+            if left.isEmpty():
+                return
+            now = left.where(F.col("n_open") <= few)
+            many = left.where(F.col("n_open") > few)
+            if may_refine:
+                # Finished at once, so that the rest can go on by rare shingles.
+                crowd = stage(many.select("node").distinct(), "crowd")
+                self.star(now, now.where("open").select("bucket", "node"))
+                if not crowd.isEmpty():
+                    rare = stage(_crowded(_rare_shingles(crowd, self.sets, self.percent)), "rare")
+                    self.run(rare, may_refine=False)
+                return
+            # Few at a time where many are open; each round takes more of them.
+            turn = F.row_number().over(Window.partitionBy("bucket").orderBy(order))
+            some = many.where("open").withColumn("turn", turn).where(F.col("turn") <= few)
+            centres = now.where("open").select("bucket", "node").unionByName(some.select("bucket", "node"))
+            members = self.star(left, centres)
+            few *= 8
 
 
 def similar_classes(
@@ -241,34 +313,15 @@ def similar_classes(
         "classes",
     )
     heads = member_of.where(F.col("node") == F.col("class")).select("node")
-    members = sets_.select("node", F.explode("buckets").alias("bucket")).join(heads, "node", "left_semi")
-    members = stage(_crowded(members).withColumn("done", F.lit(False)), "buckets")
+    members = sets_.select("node", F.col("n_shingles").alias("size"), F.explode("buckets").alias("bucket"))
+    members = stage(_crowded(members.join(heads, "node", "left_semi")), "buckets")
     involved = members.select("node").distinct()
     sets = stage(_sets_of(docs.join(involved, "node", "left_semi"), words), "sets")
+    rounds = _Rounds(sets, percent, heads)
+    if not members.isEmpty():
+        rounds.run(members, may_refine=True)
 
-    links, component, compared, round_ = None, None, None, 0
-    while True:
-        members = stage(_unfinished(members, component), "unfinished")
-        if members.isEmpty():
-            break
-        pairs, members = _candidates(members, round_)
-        if round_:
-            pairs = join_to_one(pairs, component.toDF("u", "cu"), ["u"], "left")
-            pairs = (
-                join_to_one(pairs, component.toDF("v", "cv"), ["v"], "left")
-                .where(F.coalesce("cu", "u") != F.coalesce("cv", "v"))
-                .select("u", "v")
-                .join(compared, ["u", "v"], "left_anti")
-            )
-        members, pairs = stage(members, "members"), stage(pairs, "pairs")
-        found = stage(_overlaps(pairs, sets, percent), "found")
-        links = found if links is None else links.unionByName(found)
-        compared = pairs if compared is None else compared.unionByName(pairs)
-        component = stage(components(links), "components")
-        round_ += 1
-
-    top = component if component is not None else heads.select("node", F.col("node").alias("component"))
-    by_class = top.select(F.col("node").alias("class"), "component")
+    by_class = rounds.component.select(F.col("node").alias("class"), "component")
     whole = join_to_one(member_of, by_class, ["class"], "left").select(
         "node", F.coalesce("component", "class").alias("component")
     )
@@ -337,5 +390,3 @@ def drop_near_copies(
     kept = kept.withColumnRenamed("_kept_id", own)
     return docs.join(kept, docs[id_column].eqNullSafe(kept[own]), "left_semi")
 
-
-__all__ = ["Signer", "drop_near_copies", "near_groups", "row_tie", "shingle_hashes", "similar_classes"]
