@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestlake.llm import exact_dedup, mixing, near_dedup, sentencepiece, toxicity
-from harvestlake.llm.common import fold, table, text_of
+from harvestlake.llm import (
+    exact_dedup,
+    licences,
+    mixing,
+    near_dedup,
+    quality,
+    sentencepiece,
+    simhash,
+    token_counts,
+    toxicity,
+    warc,
+)
+from harvestlake.llm.common import fold, stage, table, text_of
+from harvestlake.operators.joins import join_to_one
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 REFERENCE_SQL: dict[str, str] = {}
@@ -69,6 +81,39 @@ def near_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(table(spark, sf_dir, "documents"), words=4)
 
 
+@query("op3_token_counts")
+def token_counts_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query("op4_quality")
+def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = fold("doc_id", 5) == 0
+    ensemble = quality.fit_quality(docs, table(spark, sf_dir, "labels"), held_out)
+    return quality.score_quality(docs, ensemble).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query("op5_licence_scan")
+def licence_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence paragraphs of every whole text: one row per document, with the confirmed families."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = licences.scan(docs, licences.fit_licences(docs))
+    confirmed = F.filter("licences", lambda p: p["confirmed"])
+    return found.select(
+        "doc_id",
+        F.array_join(F.array_sort(F.array_distinct(F.transform(confirmed, lambda p: p["family"]))), ",").alias("families"),
+        F.size(confirmed).alias("n_confirmed"),
+        (F.size("licences") - F.size(confirmed)).alias("n_unconfirmed"),
+        F.coalesce(F.round(F.array_max(F.transform(confirmed, lambda p: p["probability"])), 4), F.lit(0.0)).alias("probability"),
+    )
+
+
 @query("op6_sentencepiece")
 def sentencepiece_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every whole text, the round trip of each, and parity for every twentieth."""
@@ -95,6 +140,45 @@ def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+WARC_SQL = """
+with p as (select page_id, coalesce(html, '') as html, min(page_id) over (partition by coalesce(html, '')) as first_id
+           from pages),
+d as (select *, unhex(sha1(html)) as raw from p)
+select page_id, cast(strlen(html) as bigint) as payload_bytes, to_base32_ as payload_digest,
+  case when page_id = first_id then 'response' else 'revisit' end as record_type,
+  case when page_id <> first_id then first_id end as refers_to
+from (select *, array_to_string(list_transform(range(0, 32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + cast(('0b' || substr(bits, 1 + 5 * i, 5))::bigint as int), 1)), '') as to_base32_
+  from (select *, array_to_string(list_transform(range(0, 40), lambda i:
+    lpad(bin(('0x' || substr(sha1(html), 1 + i, 1))::bigint), 4, '0')), '') as bits from d))
+"""
+
+
+@query("op7_warc", WARC_SQL)
+def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op9_simhash")
+def simhash_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of texts and edited texts; for each twentieth id also how many other
+    fingerprints of the whole table are within 3 bits of its own."""
+    found = simhash.edited_likeness(table(spark, sf_dir, "documents"))
+    prints = stage(found, "simhash")
+    asked = prints.where(F.col("doc_id") % 20 == 0)
+    near = simhash.neighbours(asked, prints).groupBy(F.col("a").alias("fingerprint")).agg(F.count("*").alias("n"))
+    return join_to_one(prints, near, ["fingerprint"]).select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        simhash.as_hex(F.col("fingerprint")).alias("fingerprint"),
+        simhash.as_hex(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        F.when(F.col("doc_id") % 20 == 0, F.coalesce("n", F.lit(0))).alias("n_near_fingerprints"),
+    )
+
+
 EXACT_SQL = """
 select doc_id, max(doc_id) over g as keep_id, count(*) over g as group_size,
   doc_id = max(doc_id) over g as kept, sha256(coalesce(text, '')) as text_sha256

@@ -16,9 +16,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
-import io
 import json
-import struct
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from urllib.parse import quote, urlsplit
@@ -134,7 +132,7 @@ class _Writer:
             self.uri = f"{self.name}-{self.number:03d}{self.suffix}"
             system, path = file_system(self.uri)
             system.create_dir(path.rpartition("/")[0], recursive=True)
-            self.stream, self.at, self.number = system.open_output_stream(path), 0, self.number + 1
+            self.stream, self.at, self.number = system.open_output_stream(path, compression=None), 0, self.number + 1
         place = (self.uri, self.at, len(data))
         self.stream.write(data)
         self.at += len(data)
@@ -379,5 +377,3 @@ def archive_round_trip(pages: DataFrame, min_bytes: int = 0, block_lines: int =
     columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
     return records.where("record_type = 'response'").select(*columns).unionByName(revisits)
 
-
-__all__ = ["archive_round_trip", "build_index", "io", "lookup", "read_records", "struct", "url_key", "write_archives"]
