@@ -129,7 +129,7 @@ def mix(
     text: str = "text",
     id_column: str = "doc_id",
     tokens: Column | None = None,
-    entropy_share: float | None = 0.995,
+    entropy_share: float | None = 0.9,
     max_repeats: float | None = 4.0,
     budget: int | None = None,
     block_tokens: int = BLOCK_TOKENS,

@@ -45,7 +45,7 @@ def tokenizer_path(name: str) -> str:
 
 @query("op1_mixing")
 def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The mixture of all documents at 99.5 % of the sources' greatest entropy."""
+    """The mixture of all documents at 90 % of the sources' greatest entropy at least."""
     docs = table(spark, sf_dir, "documents")
     return mixing.mix(docs).select("doc_id", "source", "mix.*")
 
