@@ -28,6 +28,8 @@ MAX_BACKGROUND = 4000
 MAX_FEATURES = 400
 #: An n-gram in a larger share of the background paragraphs is no sign of a licence.
 COMMON = 0.002
+#: A paragraph that contains so much of a template confirms its family.
+SIMILAR = 0.6
 UNKNOWN = "unknown"
 
 # What licence notices say, by family.
@@ -205,12 +207,15 @@ def fit_licences(docs: DataFrame | None = None, text: str = "text", penalty: flo
         sample = sample.orderBy(F.xxhash64("text"), "text").limit(MAX_BACKGROUND)
         paragraph = F.element_at(F.filter(F.split("text", "\n"), lambda p: F.trim(p) != ""), 1)
         hits = F.array_intersect(grams_column(F.coalesce(paragraph, F.lit(""))), F.array(*map(F.lit, known)))
-        background = [list(r["g"]) for r in sample.select(hits.alias("g")).collect()]
+        # Paragraphs that are licences themselves don't teach what is none.
+        own = [set(grams_of(t)) for texts in TEMPLATES.values() for t in texts]
+        rows = [list(r["g"]) for r in sample.select(hits.alias("g")).collect()]
+        background = [g for g in rows if max(len(t.intersection(g)) / len(t) for t in own) < SIMILAR]
         seen: dict[str, int] = {}
         for grams in background:
             for g in grams:
                 seen[g] = seen.get(g, 0) + 1
-        known = [g for g in known if seen.get(g, 0) <= COMMON * len(background)]
+        known = [g for g in known if seen.get(g, 0) <= max(2.0, COMMON * len(background))]
     features = known[:MAX_FEATURES]
     at = {f: i for i, f in enumerate(features)}
     examples += background
@@ -234,7 +239,7 @@ def scan(
     model: LicenceModel,
     text: str = "text",
     threshold: float = 0.5,
-    similarity: float = 0.6,
+    similarity: float = SIMILAR,
     found: str = "licences",
 ) -> DataFrame:
     """``docs`` with an array of the licence paragraphs of each whole text.
