@@ -17,17 +17,6 @@ from harvestlake.refdata import (
 )
 
 
-def computed_once(number: Column) -> Column:
-    """The same number, in a form Spark does not copy into filters.
-
-    A filter on a computed column is pushed below it and computes it again, there
-    without sharing common parts such as the lower-cased title: three times the work
-    in total for the title score. Adding a value that is always 0 but not
-    deterministic to the optimizer keeps the computation where it is written.
-    """
-    return number + F.least(F.spark_partition_id(), F.lit(0))
-
-
 def _points(condition: Column, points: int) -> Column:
     return F.when(condition, F.lit(points)).otherwise(F.lit(0))
 

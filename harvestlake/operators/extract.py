@@ -29,6 +29,7 @@ from harvestlake.functions.nested import (
     or_empty,
 )
 from harvestlake.functions.text import doi_from_identifiers, iso_day, prefixed_url, text
+from harvestlake.operators.dedup import first_per_key
 from harvestlake.operators.joins import join_to_one
 from harvestlake.refdata import REPOSITORY_ORDER
 
@@ -221,7 +222,8 @@ def search_hits(landing: DataFrame, fmt: CatalogFormat) -> DataFrame:
         F.lit(REPOSITORY_ORDER.get(fmt.name, len(REPOSITORY_ORDER))).alias("repo_idx"),
         "page",
         "fetched_at",
-        F.posexplode(fmt.hits(F.col("doc"))).alias("pos", "hit"),
+        # Outer, as Spark would test the size of an inner one below, parsing again.
+        F.posexplode_outer(fmt.hits(F.col("doc"))).alias("pos", "hit"),
     ).where(F.col("hit").isNotNull())
     return hits.where(fmt.keep(F.col("hit"))) if fmt.keep else hits
 
@@ -231,11 +233,12 @@ def side_documents_by_key(
 ) -> DataFrame:
     """One row per key: the newest detail and the newest file list, parsed.
 
-    Both kinds meet in one aggregation, so a search hit needs a single join, and a
-    key that was fetched very often shrinks before the exchange. The texts are parsed
-    on this side of the join, once per key; after it they would be parsed again
-    wherever a filter on a record's files is pushed down to. ``wanted`` restricts the
-    documents to the keys of a small set of hits before they are aggregated.
+    Of equally new ones that with the greatest hash. The newest per key and kind is
+    picked before the exchange too, so a key that was fetched very often shrinks there;
+    what is left are two rows per key at most. The texts are parsed on this side of the
+    join, once per key; after it they would be parsed again wherever a filter on a
+    record's files is pushed down to. ``wanted`` restricts the documents to the keys of
+    a small set of hits.
     """
     usable = side.where(
         (F.col("repo") == fmt.name) & ~F.coalesce(F.col("failed"), F.lit(False))
@@ -244,17 +247,17 @@ def side_documents_by_key(
         keys = wanted.select(F.col("side_key").alias("key")).distinct()
         usable = join_to_one(usable, keys, ["key"], "left_semi")
 
-    def newest(kind: str) -> Column:
-        return F.max_by("payload", F.when(F.col("kind") == kind, F.col("fetched_at")))
+    newest_first = [F.desc_nulls_last("fetched_at"), F.xxhash64("payload").desc()]
 
-    latest = usable.groupBy(F.col("key").alias("side_key")).agg(
-        newest("detail").alias("detail"), newest("files").alias("files")
-    )
-    return latest.select(
-        "side_key",
-        (fmt.side_detail(F.col("detail")) if fmt.side_detail else F.lit(None)).alias("detail"),
-        fmt.side_files(F.col("files")).alias("side_files"),
-    )
+    def newest(kind: str, parsed: Column, name: str) -> DataFrame:
+        own = first_per_key(usable.where(F.col("kind") == kind), ["key"], newest_first)
+        return own.select(F.col("key").alias("side_key"), parsed.alias(name))
+
+    files = newest("files", fmt.side_files(F.col("payload")), "side_files")
+    if not fmt.side_detail:
+        return files
+    detail = newest("detail", fmt.side_detail(F.col("payload")), "detail")
+    return detail.join(files, "side_key", "full")
 
 
 def _spread_missing(key: Column) -> Column:
@@ -346,6 +349,8 @@ def _page_facts(landing: DataFrame, fmt: CatalogFormat) -> DataFrame:
         "query_idx",
         "page",
         "page_size",
+        "fetched_at",
+        F.xxhash64("payload").alias("payload_hash"),
         (F.coalesce(F.col("failed"), F.lit(False)) | F.col("payload").isNull()).alias("failed"),
         F.coalesce(F.size(kept), F.lit(0)).alias("n_records"),
         F.coalesce(fmt.total(F.col("doc"), F.col("total")), F.lit(0))

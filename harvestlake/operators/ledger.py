@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestlake.operators.dedup import first_per_key
@@ -10,8 +10,15 @@ from harvestlake.operators.ids import with_dense_id
 
 
 def latest_status(updates: DataFrame, key: str = "id", order: str = "updated_at") -> DataFrame:
-    """Last status per file; combines before the exchange."""
-    return updates.groupBy(key).agg(F.max_by("status", order).alias("new_status"))
+    """Last status per file, of equally late ones the greatest in text order.
+
+    The last row is picked before the exchange as well, so a file with very many updates
+    reaches its task with one row per sender.
+    """
+    last = first_per_key(
+        updates.select(key, order, "status"), [key], [F.desc_nulls_last(order), F.desc_nulls_last("status")]
+    )
+    return last.select(key, F.col("status").alias("new_status"))
 
 
 def apply_status(
@@ -31,11 +38,11 @@ def upsert_scores(
 ) -> DataFrame:
     """Scores with ``new`` inserted or put in place of existing rows.
 
-    If a project occurs more than once in ``new``, the highest ``order`` wins. A
-    replaced row gets a new id, after the highest one in use and in ``order``
-    (a unique BIGINT).
+    If a project occurs more than once in ``new``, the highest ``order`` wins, then the
+    highest score, then the greatest description. A replaced row gets a new id, after
+    the highest one in use and in ``order`` (a unique BIGINT).
     """
-    incoming = first_per_key(new, ["project_id"], [F.desc(order)]) if order else new
+    incoming = first_per_key(new, ["project_id"], _latest_score(new, order))
     kept = current.join(incoming.select("project_id"), "project_id", "left_anti")
     if number:
         start = F.coalesce(current.agg(F.max("id")).scalar(), F.lit(0))
@@ -43,9 +50,19 @@ def upsert_scores(
     return kept.select(*current.columns).unionByName(incoming.select(*current.columns))
 
 
-def update_scores(current: DataFrame, new: DataFrame) -> DataFrame:
-    """Scores of existing rows changed; description kept, unknown projects ignored."""
-    changed = new.select("project_id", F.col("relevance_score").alias("_new"))
+def _latest_score(new: DataFrame, order: str | None) -> list[Column]:
+    by = [order] if order else []
+    return [F.desc_nulls_last(c) for c in [*by, "relevance_score", "description"] if c in new.columns]
+
+
+def update_scores(current: DataFrame, new: DataFrame, order: str | None = None) -> DataFrame:
+    """Scores of existing rows changed; description kept, unknown projects ignored.
+
+    Of several scores for a project the highest ``order`` wins, then the highest score.
+    """
+    changed = first_per_key(new, ["project_id"], _latest_score(new, order)).select(
+        "project_id", F.col("relevance_score").alias("_new")
+    )
     return current.join(changed, "project_id", "left").select(
         *[
             F.coalesce("_new", "relevance_score").alias(c) if c == "relevance_score" else F.col(c)

@@ -7,7 +7,6 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harvestlake.functions.relevance import computed_once
 from harvestlake.refdata import query_terms
 
 
@@ -24,14 +23,13 @@ def match_queries(records: DataFrame, queries: list[str], *text_columns: str) ->
     for index, query in enumerate(queries):
         terms = [F.contains(F.col("_text"), F.lit(t.lower())) for t in query_terms(query)]
         if terms:
-            hit = F.struct(
-                computed_once(F.lit(index)).alias("query_idx"), F.lit(query).alias("query")
-            )
+            hit = F.struct(F.lit(index).alias("query_idx"), F.lit(query).alias("query"))
             found.append(F.when(reduce(lambda a, b: a & b, terms), hit))
     return (
         records.withColumn("_text", haystack)
-        # A column of its own: the row is dropped on its size without another scan.
         .withColumn("_found", F.array(*found))
-        .withColumn("_hit", F.explode(F.array_compact("_found")))
+        # Outer, as Spark would test the size of an inner one below, searching again.
+        .withColumn("_hit", F.explode_outer(F.array_compact("_found")))
+        .where(F.col("_hit").isNotNull())
         .select(*records.columns, "_hit.query_idx", "_hit.query")
     )

@@ -2,13 +2,51 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harvestlake.operators.dedup import first_per_key
 from harvestlake.operators.joins import join_to_one
 from harvestlake.refdata import REPOSITORIES
+from harvestlake.session import stage
 
 SEQUENCE = ["repo", "query_idx", "query"]
+PAGE = [*SEQUENCE, "page"]
+
+
+def effective_pages(facts: DataFrame) -> DataFrame:
+    """One landed copy per page: a successful one before a failed one, then the newest.
+
+    A page that failed and was fetched again counts with its success. Copies of the same
+    time are told apart by their contents, so the choice doesn't depend on the run.
+    """
+    order = [F.col("failed").asc()]
+    order += [F.desc_nulls_last(c) for c in ("fetched_at", "payload_hash", "n_records", "total") if c in facts.columns]
+    return first_per_key(facts, PAGE, order)
+
+
+def effective_copies(landing: DataFrame, facts: DataFrame) -> DataFrame:
+    """The landed pages less the copies that don't count.
+
+    ``facts`` is the staged ``page_facts`` of ``landing``. Only pages landed more than
+    once take part in the choice, a small table that Spark can broadcast by its size.
+    """
+    often = facts.groupBy(*PAGE).agg(F.count("*").alias("copies")).where("copies > 1")
+    chosen = stage(
+        effective_pages(facts.join(often.select(*PAGE), PAGE, "left_semi")).select(
+            *PAGE, F.col("fetched_at").alias("_at"), F.col("payload_hash").alias("_hash")
+        ),
+        "copies",
+    )
+    if chosen.isEmpty():
+        return landing
+    marked = join_to_one(landing, chosen.withColumn("_often", F.lit(True)), PAGE)
+    counts = F.col("fetched_at").eqNullSafe(F.col("_at")) & F.xxhash64("payload").eqNullSafe(F.col("_hash"))
+    single = marked.where(F.col("_often").isNull())
+    # Copies alike in time and contents are one.
+    several = marked.where(F.col("_often") & counts)
+    several = first_per_key(several, PAGE, [F.coalesce("failed", F.lit(False)).asc()])
+    return single.unionByName(several).select(*landing.columns)
 
 
 def stop_pages(facts: DataFrame) -> DataFrame:
@@ -16,10 +54,11 @@ def stop_pages(facts: DataFrame) -> DataFrame:
 
     ``hard_stop`` is the first page that failed or gave no records (itself left
     out); ``soft_stop`` the first page that reaches the reported total (itself
-    kept). The requested page size counts, and a total of 0 means unknown. Two
-    minima per sequence: they combine before the exchange, however long one
-    sequence is.
+    kept). The requested page size counts, and a total of 0 means unknown. Of pages
+    landed more than once, the effective copy counts. Two minima per sequence: they
+    combine before the exchange, however long one sequence is.
     """
+    facts = effective_pages(facts)
     ended = F.col("failed") | (F.col("n_records") == 0)
     reached = (F.col("total") != 0) & (
         F.col("page").cast("bigint") * F.col("page_size") >= F.col("total")
@@ -93,8 +132,10 @@ def expected_pages(
 def missing_pages(expected: DataFrame, facts: DataFrame, refetch_failed: bool = False) -> DataFrame:
     """Expected pages that are neither landed nor beyond the end of their sequence.
 
-    ``refetch_failed`` also asks again for pages that were landed as failed.
+    ``refetch_failed`` also asks again for pages that were landed as failed and not
+    fetched since.
     """
+    facts = effective_pages(facts)
     landed = facts.where(~F.col("failed")) if refetch_failed else facts
     due = F.least(F.col("soft_stop"), F.col("hard_stop"))
     open_pages = (
@@ -102,12 +143,4 @@ def missing_pages(expected: DataFrame, facts: DataFrame, refetch_failed: bool =
         .where(due.isNull() | (F.col("page") <= due))
         .drop("hard_stop", "soft_stop")
     )
-    keys = [*SEQUENCE, "page"]
-    return open_pages.join(landed.select(*keys).distinct(), keys, "left_anti")
-
-
-def default_run(spark: SparkSession, **options) -> DataFrame:
-    """Page requests of the full fixed query list."""
-    from harvestlake.refdata import queries_table
-
-    return expected_pages(queries_table(spark), **options)
+    return open_pages.join(landed.select(*PAGE), PAGE, "left_anti")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestlake.functions.licences import is_open_licence
-from harvestlake.functions.relevance import computed_once, file_score, record_score, title_score
+from harvestlake.functions.relevance import file_score, record_score, title_score
 from harvestlake.refdata import (
     CODE_EXTENSIONS,
     DEFAULT_METHOD,
@@ -18,10 +18,14 @@ from harvestlake.refdata import (
 
 
 def score(records: DataFrame) -> DataFrame:
-    """Add ``relevance_score`` to nested records."""
-    return records.withColumn(
-        "relevance_score", computed_once(record_score(F.col("title"), F.col("files")))
-    )
+    """Add ``relevance_score`` to nested records.
+
+    The score comes out of a generator: a filter on it stays above and doesn't score
+    again, while filters on other columns still pass down to the scan.
+    """
+    points = record_score(F.col("title"), F.col("files"))
+    others = [c for c in records.columns if c != "relevance_score"]
+    return records.select(*others, F.explode(F.array(points)).alias("relevance_score"))
 
 
 def is_relevant(

@@ -158,7 +158,8 @@ def classify(
 
     In order: already present, too large, fetched, failed; ``pending`` when there is
     no outcome yet. ``inventory(path)``, ``heads(key, content_length)`` and
-    ``outcomes(key, fetched)`` hold one row per path or key.
+    ``outcomes(key, fetched)`` may hold several rows per path or key: the largest
+    length counts, and one successful fetch makes the file a success.
 
     Rows of one record found by several queries share a path. With ``shared_paths``
     those after the first fetched one (by project, then file) are already present.
@@ -167,6 +168,8 @@ def classify(
     path, combining before the exchange, and joined once. A path shared by very many
     rows stays splittable.
     """
+    heads = heads.groupBy(key).agg(F.max("content_length").alias("content_length"))
+    outcomes = outcomes.groupBy(key).agg(F.bool_or("fetched").alias("fetched"))
     attempt = (
         plan.join(heads.select(key, F.col("content_length").alias("_length")), key, "left")
         .join(outcomes.select(key, F.col("fetched").alias("_fetched")), key, "left")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from harvestlake.operators.dedup import dedup_records
 from harvestlake.operators.extract import extract_all, page_facts
-from harvestlake.operators.pagination import counted_pages, stop_pages
+from harvestlake.operators.pagination import counted_pages, effective_copies, stop_pages
 from harvestlake.operators.records import open_licensed, score
 from harvestlake.operators.shred import catalog_parents, shred
 from harvestlake.session import stage, staging
@@ -26,13 +26,15 @@ def relevant_records(
 
     The page cut-off is worked out first, by a job that reads only ids and totals,
     and staged: a row per (repository, query). Spark then knows its size and need not
-    exchange the payloads for it while it is small. Duplicates across queries are
-    still present.
+    exchange the payloads for it while it is small. The same holds for the pages that
+    were landed more than once, of which one copy counts. Duplicates across queries
+    are still present.
     """
     pages = landing
     if cut_off:
-        stops = stage(stop_pages(page_facts(landing)), "stops")
-        pages = counted_pages(landing, stops, max_pages)
+        facts = stage(page_facts(landing), "facts")
+        stops = stage(stop_pages(facts), "stops")
+        pages = counted_pages(effective_copies(landing, facts), stops, max_pages)
     found = open_licensed(extract_all(pages, side, few_hits=few_hits))
     return score(found).where(F.col("relevance_score") >= min_score)
 
@@ -51,7 +53,7 @@ def collect(
 def load_catalog(
     catalog: Catalog,
     records: DataFrame,
-    batch: str = "0",
+    batch: str | None = None,
     dedup: bool = False,
     staged: bool = True,
 ) -> None:
@@ -61,12 +63,17 @@ def load_catalog(
     k queries gives k project rows; ``dedup=True`` stores first hits only. The
     relevant records are staged once in the shared folder before they are numbered,
     so payloads are parsed once, and the numbered parents once more, so each of the
-    six writes reads only the columns it needs; both are deleted at the end.
+    six writes reads only the columns it needs; both are deleted at the end. A batch
+    that the catalog already holds is not loaded again.
     """
     kept = dedup_records(records, dedup)
+    version = catalog.version()
+    if batch in version.batches:
+        return
+    start = catalog.highest_ids(version)
     if not staged:
-        catalog.append(shred(catalog_parents(kept, catalog.highest_ids())), batch)
+        catalog.append(shred(catalog_parents(kept, start)), batch, version)
         return
     with staging(catalog.spark) as put:
-        numbered = catalog_parents(put(kept, "records"), catalog.highest_ids())
-        catalog.append(shred(put(numbered, "parents")), batch)
+        numbered = catalog_parents(put(kept, "records"), start)
+        catalog.append(shred(put(numbered, "parents")), batch, version)

@@ -1,20 +1,46 @@
-"""The six catalog tables as Parquet folders.
+"""The six catalog tables as Parquet folders under one manifest.
 
-Layout: ``<base>/<table>/snapshot=<n>/batch=<b>/...``. Appends write a batch folder
-of the current snapshot; changes write a whole new snapshot. Spark's ``_SUCCESS``
-marker publishes a folder: readers see only finished batches of the newest finished
-snapshot, and nothing is overwritten while it is being read. Writing a batch again
-replaces it, so a retried batch leaves no duplicates.
+Layout: ``<base>/<table>/<name>/...`` for data and ``<base>/_manifest/<n>.json`` for the
+versions of the catalog. A version lists the folders of every table, the batches it holds
+and the highest id of each table. It is written last, in one small file that must not exist
+yet, so all six tables change together and a reader sees one version of all. Nothing is
+overwritten; folders of writes that never reached a version are not read.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from dataclasses import dataclass, field
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harvestlake.operators.shred import with_defaults
 from harvestlake.schemas import TABLES
 
+# Tries to publish against other writers before giving up.
+_TRIES = 20
+
+
+class CatalogChanged(RuntimeError):
+    """Another writer has changed what this write was based on; read again and repeat."""
+
+
+@dataclass(frozen=True)
+class Version:
+    """One published state of the catalog."""
+
+    number: int = 0
+    #: folder names per table
+    folders: dict[str, list[str]] = field(default_factory=lambda: {t: [] for t in TABLES})
+    #: the folder names of each batch's own rows, as they were appended
+    batches: dict[str, dict[str, str]] = field(default_factory=dict)
+    highest: dict[str, int] = field(default_factory=lambda: dict.fromkeys(TABLES, 0))
+
+    def to_json(self) -> str:
+        return json.dumps({"folders": self.folders, "batches": self.batches, "highest": self.highest})
+
 
 class Catalog:
     """Reads and writes the catalog below one base folder."""
@@ -23,97 +49,155 @@ class Catalog:
         self.spark = spark
         self.base = base.rstrip("/")
 
-    # ---- folders --------------------------------------------------------------
-
-    def _children(self, path: str, prefix: str) -> list[str]:
-        jvm = self.spark._jvm
-        folder = jvm.org.apache.hadoop.fs.Path(path)
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    # ---- versions -------------------------------------------------------------
+
+    def _file(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/_manifest/{name}")
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _load(self, name: str) -> dict | None:
+        path, fs = self._file(name)
+        stream = fs.open(path)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        try:
+            return json.loads(text)
+        except ValueError:  # still being written
+            return None
+
+    def version(self) -> Version:
+        """The newest published version."""
+        folder, fs = self._file("")
         if not fs.exists(folder):
-            return []
-        names = [status.getPath().getName() for status in fs.listStatus(folder)]
-        found = [n for n in names if n.startswith(prefix)]
-        return sorted(
-            n
-            for n in found
-            if prefix == "snapshot="
-            or fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))
-        )
-
-    def _snapshots(self, table: str) -> list[str]:
-        """Snapshots whose first batch is finished, oldest first."""
-        root = f"{self.base}/{table}"
-        return [
-            s
-            for s in self._children(root, "snapshot=")
-            if self._children(f"{root}/{s}", "batch=")
-        ]
-
-    def _current(self, table: str) -> str:
-        snapshots = self._snapshots(table)
-        return snapshots[-1] if snapshots else "snapshot=000000"
-
-    def _batches(self, table: str) -> list[str]:
-        folder = f"{self.base}/{table}/{self._current(table)}"
-        return [f"{folder}/{b}" for b in self._children(folder, "batch=")]
+            return Version()
+        names = sorted((s.getPath().getName() for s in fs.listStatus(folder)), reverse=True)
+        for name in (n for n in names if n.endswith(".json")):
+            told = self._load(name)
+            if told is not None:
+                return Version(int(name.removesuffix(".json")), **told)
+        return Version()
+
+    def _publish(self, version: Version) -> bool:
+        """Write the version's file; False when that version exists already."""
+        path, fs = self._file(f"{version.number:012d}.json")
+        try:
+            stream = fs.create(path, False)
+        except Exception:
+            if fs.exists(path):
+                return False
+            raise
+        try:
+            stream.write(bytearray(version.to_json(), "utf-8"))
+        finally:
+            stream.close()
+        return True
 
     # ---- reading --------------------------------------------------------------
 
-    def read(self, table: str) -> DataFrame:
-        """The table's current rows."""
-        paths = self._batches(table)
+    def read(self, table: str, besides: str | None = None, version: Version | None = None) -> DataFrame:
+        """The table's current rows; ``besides`` leaves out those that a batch has appended."""
+        version = version or self.version()
+        own = version.batches.get(besides, {}).get(table) if besides else None
+        paths = [f"{self.base}/{table}/{f}" for f in version.folders[table] if f != own]
         schema = TABLES[table]
         if not paths:
             return self.spark.createDataFrame([], schema)
-        root = f"{self.base}/{table}"
         names = [part.split()[0] for part in schema.split(", ")]
-        return (
-            self.spark.read.schema(schema)
-            .option("basePath", root)
-            .parquet(*paths)
-            .select(*names)
-        )
+        frames = self.spark.read.schema(schema)
+        if table != "projects":
+            return frames.parquet(*paths).select(*names)
+        # Each folder has sub-folders by repository, so each is a root of its own.
+        whole = frames.option("basePath", paths[0]).parquet(paths[0])
+        for path in paths[1:]:
+            whole = whole.unionByName(frames.option("basePath", path).parquet(path))
+        return whole.select(*names)
 
     def tables(self) -> dict[str, DataFrame]:
-        return {name: self.read(name) for name in TABLES}
+        """All six tables in one version."""
+        version = self.version()
+        return {name: self.read(name, version=version) for name in TABLES}
 
-    def highest_ids(self) -> dict[str, Column]:
-        """Highest id in use per table, as scalar subqueries; nothing is collected."""
-        return {
-            name: F.coalesce(self.read(name).agg(F.max("id")).scalar(), F.lit(0))
-            for name in TABLES
-            if self._batches(name)
-        }
+    def highest_ids(self, version: Version | None = None) -> dict[str, Column]:
+        """Highest id in use per table, from the manifest; no table is read."""
+        highest = (version or self.version()).highest
+        return {name: F.lit(highest[name]).cast("bigint") for name in TABLES}
 
     # ---- writing --------------------------------------------------------------
 
-    def _write(self, df: DataFrame, table: str, folder: str) -> None:
+    def _write(self, df: DataFrame, table: str, name: str) -> str:
+        name = f"{name}-{uuid.uuid4().hex}"
         writer = with_defaults(df, table)
         if table == "projects":
             writer = writer.hint("rebalance", "repository_id")
             writer = writer.write.partitionBy("repository_id")
         else:
             writer = writer.write
-        writer.mode("overwrite").parquet(folder)
-
-    def append(self, tables: dict[str, DataFrame], batch: str = "0") -> None:
-        """Add one batch to each table; the same batch name replaces itself."""
-        for name, df in tables.items():
-            self._write(df, name, f"{self.base}/{name}/{self._current(name)}/batch={batch}")
-
-    def replace(self, table: str, df: DataFrame) -> None:
-        """Publish ``df`` as the table's next snapshot."""
-        number = int(self._current(table).split("=")[1]) + 1
-        self._write(df, table, f"{self.base}/{table}/snapshot={number:06d}/batch=base")
+        writer.parquet(f"{self.base}/{table}/{name}")
+        return name
+
+    def _top(self, table: str, name: str) -> int:
+        rows = self.spark.read.schema(TABLES[table]).parquet(f"{self.base}/{table}/{name}")
+        return rows.agg(F.max("id")).first()[0] or 0
+
+    def append(
+        self, tables: dict[str, DataFrame], batch: str | None = None, based_on: Version | None = None
+    ) -> None:
+        """Add one batch to the tables, all at once.
+
+        A batch that a version already holds is not added again, also after compaction.
+        ``based_on`` is the version whose highest ids the rows were numbered from; if
+        another batch has used ids since, nothing is published.
+        """
+        batch = batch or uuid.uuid4().hex
+        if batch in self.version().batches:
+            return
+        own = {name: self._write(df, name, f"batch-{batch}") for name, df in tables.items()}
+        tops = {name: self._top(name, folder) for name, folder in own.items()}
+        for _ in range(_TRIES):
+            now = self.version()
+            if batch in now.batches:
+                return
+            if based_on is not None and now.highest != based_on.highest:
+                raise CatalogChanged("ids were taken by another batch")
+            folders = {t: [*now.folders[t], *([own[t]] if t in own else [])] for t in TABLES}
+            highest = {t: max(now.highest[t], tops.get(t, 0)) for t in TABLES}
+            if self._publish(Version(now.number + 1, folders, {**now.batches, batch: own}, highest)):
+                return
+        raise CatalogChanged("too many writers at once")
+
+    def replace(self, table: str, df: DataFrame, based_on: Version | None = None) -> None:
+        """Publish ``df`` in place of the rows of a version; later batches stay.
+
+        Nothing is published when the replaced rows are no longer the table's.
+        """
+        base = based_on or self.version()
+        name = self._write(df, table, "state")
+        top = self._top(table, name)
+        gone = set(base.folders[table])
+        for _ in range(_TRIES):
+            now = self.version()
+            if not gone <= set(now.folders[table]):
+                raise CatalogChanged(f"{table} was replaced by another writer")
+            later = [f for f in now.folders[table] if f not in gone]
+            folders = {**now.folders, table: [name, *later]}
+            highest = {**now.highest, table: max(now.highest[table], top)}
+            if self._publish(Version(now.number + 1, folders, now.batches, highest)):
+                return
+        raise CatalogChanged("too many writers at once")
 
     def compact(self, table: str) -> None:
-        """Publish the table's batches as one snapshot; useful after many small batches."""
-        self.replace(table, self.read(table))
+        """Publish the table's batches as one folder; useful after many small batches."""
+        version = self.version()
+        self.replace(table, self.read(table, version=version), version)
 
     def reset(self) -> None:
-        """Empty all six tables by publishing empty snapshots."""
-        for name, schema in TABLES.items():
-            self.replace(name, self.spark.createDataFrame([], schema))
+        """Empty all six tables at once; ids restart, and batches may be loaded again."""
+        for _ in range(_TRIES):
+            if self._publish(Version(self.version().number + 1)):
+                return
+        raise CatalogChanged("too many writers at once")
 
     # ---- SQL ------------------------------------------------------------------
 

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from harvestlake.operators.records import open_licensed, score
 from harvestlake.operators.extract import extract_all
+from harvestlake.operators.joins import join_to_one
 from harvestlake.plans.collect import load_catalog, relevant_records
 from harvestlake.schemas import LANDING
 from harvestlake.sources.catalog import Catalog
@@ -34,12 +35,20 @@ def ingest(
     """Append the relevant records of all pages landed since the last call.
 
     The checkpoint remembers which files were read. A batch is written under its own
-    number and replaces itself when repeated, so a restart adds no duplicates.
+    number and replaces itself when repeated, so a restart adds no duplicates. With
+    ``dedup`` a record that an earlier batch has stored is left out too.
     """
 
     def load(pages: DataFrame, batch_id: int) -> None:
+        store, batch = Catalog(pages.sparkSession, catalog_base), f"{batch_id:09d}"
         records = relevant_records(pages, side, min_score, cut_off=False, few_hits=True)
-        load_catalog(Catalog(pages.sparkSession, catalog_base), records, f"{batch_id:09d}", dedup)
+        if dedup:
+            stored = store.read("projects", besides=batch).select(
+                F.col("download_repository_folder").alias("repo"),
+                F.col("download_project_folder").alias("record_id"),
+            )
+            records = join_to_one(records, stored.distinct(), ["repo", "record_id"], "left_anti")
+        load_catalog(store, records, batch, dedup)
 
     return (
         landing_stream(spark, landing_path, max_files)
@@ -51,15 +60,19 @@ def ingest(
 
 
 def unique_record_stream(
-    pages: DataFrame, min_score: int = 1, watermark: str | None = None
+    pages: DataFrame,
+    side: DataFrame | None = None,
+    min_score: int = 1,
+    watermark: str | None = None,
 ) -> DataFrame:
     """Relevant records of a page stream, one per (source, record id).
 
-    Without a watermark the keys seen are kept for ever. With one, a key is forgotten
+    ``side`` is the table of file lists and details that has landed when the stream
+    starts. Without a watermark the keys seen are kept for ever. With one, a key is forgotten
     once the watermark on ``fetched_at`` has passed it, which bounds the state. Which
     of the copies within a micro-batch survives is not fixed.
     """
-    records = score(open_licensed(extract_all(pages))).where(
+    records = score(open_licensed(extract_all(pages, side))).where(
         F.col("relevance_score") >= min_score
     )
     keys = ["source", "record_id"]

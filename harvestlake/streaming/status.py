@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from harvestlake.operators.dedup import first_per_key
 from harvestlake.operators.ledger import apply_status
 
 UPDATES = "id STRING, status STRING, updated_at BIGINT"
@@ -19,10 +20,8 @@ def record_outcomes(updates: DataFrame, ledger_path: str, checkpoint: str) -> St
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        last = batch.groupBy("id").agg(
-            F.max_by("status", "updated_at").alias("status"),
-            F.max("updated_at").alias("updated_at"),
-        )
+        order = [F.desc_nulls_last("updated_at"), F.desc_nulls_last("status")]
+        last = first_per_key(batch.select("id", "status", "updated_at"), ["id"], order)
         last.write.mode("overwrite").parquet(f"{ledger_path}/batch={batch_id}")
 
     return (

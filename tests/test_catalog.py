@@ -11,7 +11,7 @@ from harvestlake.operators.records import attach_repository, score, source_name
 from harvestlake.operators.shred import catalog_parents, shred, with_defaults
 from harvestlake.plans.collect import collect, load_catalog, relevant_records
 from harvestlake.session import stage
-from harvestlake.sources.catalog import Catalog
+from harvestlake.sources.catalog import Catalog, CatalogChanged
 from harvestlake.sources.export import export_files, export_projects, read_export
 from workload.payloads import landing_pages, side_documents
 
@@ -134,7 +134,7 @@ def test_append_replace_reset(spark, staged, tmp_path):
     assert store.read("projects").count() == 0
     load_catalog(store, staged, "0", staged=False)
     load_catalog(store, staged, "1")
-    load_catalog(store, staged, "1")  # a repeated batch replaces itself
+    load_catalog(store, staged, "1")  # a repeated batch is stored once
     counts = {n: df.count() for n, df in store.tables().items()}
     assert counts["projects"] == 8 and counts["relevance_scores"] == 8
     assert store.read("projects").select("id").distinct().count() == 8
@@ -157,13 +157,61 @@ def test_append_replace_reset(spark, staged, tmp_path):
     assert store.read("projects").agg(F.min("id")).first()[0] == 1, "ids restart after a reset"
 
 
-def test_unfinished_batches_are_not_read(spark, staged, tmp_path):
+def test_unpublished_folders_are_not_read(spark, staged, tmp_path):
+    """A writer that dies between the tables leaves nothing that is read."""
     store = Catalog(spark, str(tmp_path / "catalog"))
     load_catalog(store, staged, "0")
-    half = tmp_path / "catalog" / "projects" / "snapshot=000000" / "batch=9"
-    store.read("projects").write.parquet(str(half))
-    (half / "_SUCCESS").unlink()
-    assert store.read("projects").count() == 4
+    before = {n: sorted(df.collect()) for n, df in store.tables().items()}
+    tables = shred(stage(catalog_parents(staged, store.highest_ids())))
+    store._write(tables["projects"], "projects", "batch-1")
+    (tmp_path / "catalog" / "_manifest" / "000000000099.json").write_text('{"folders": ')
+    assert {n: sorted(df.collect()) for n, df in store.tables().items()} == before
+
+
+def test_replay_after_compaction(spark, staged, tmp_path):
+    store = Catalog(spark, str(tmp_path / "catalog"))
+    load_catalog(store, staged, "0")
+    load_catalog(store, staged, "1")
+    for table in schemas.TABLES:
+        store.compact(table)
+    load_catalog(store, staged, "1")
+    assert store.read("projects").count() == 8
+    assert store.read("projects", besides="0").count() == 8, "compacted batches are no longer apart"
+
+
+def test_append_while_a_table_is_replaced(spark, staged, tmp_path):
+    store = Catalog(spark, str(tmp_path / "catalog"))
+    load_catalog(store, staged, "0")
+    base = store.version()
+    done = store.read("files", version=base).withColumn("status", F.lit("success"))
+    load_catalog(store, staged, "1")
+    store.replace("files", done, base)
+    found = dict(store.read("files").groupBy("status").count().collect())
+    assert found == {"success": 3, "pending": 3}
+    with pytest.raises(CatalogChanged):
+        store.replace("files", done, base)
+    # ids that were numbered before another batch came are refused
+    tables = shred(stage(catalog_parents(staged, store.highest_ids(base))))
+    with pytest.raises(CatalogChanged):
+        store.append(tables, "2", base)
+    assert store.read("projects").count() == 8
+
+
+def test_refetched_pages_give_their_records_once(spark, sf_dir):
+    """Copies landed twice, failed copies fetched again, and stale copies change nothing."""
+    pages, side = stage(landing_pages(spark, sf_dir)), side_documents(spark, sf_dir)
+    failed = pages.where("page = 2").withColumns({"failed": F.lit(True), "payload": F.lit(None).cast("string")})
+    later = F.col("fetched_at") + F.expr("interval 1 day")
+    earlier = F.col("fetched_at") - F.expr("interval 1 day")
+    landed = (
+        pages.unionByName(failed.withColumn("fetched_at", earlier))
+        .unionByName(failed.withColumn("fetched_at", later))
+        .unionByName(pages.where("page = 3"))
+        .unionByName(pages.where("page = 4").withColumns({"fetched_at": earlier, "payload": F.lit("{}")}))
+    )
+    columns = ["repo", "query_idx", "page", "pos", "record_id", "title", "relevance_score"]
+    want = relevant_records(pages, side).select(*columns)
+    assert sorted(relevant_records(landed, side).select(*columns).collect()) == sorted(want.collect())
 
 
 def test_collect_keeps_first_hits(spark, sf_dir):

@@ -1,10 +1,20 @@
 """What the physical plans must and must not contain."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from harvestlake.operators.extract import FORMATS, extract
 from harvestlake.operators.ids import with_dense_id
+from harvestlake.operators.records import score
+from harvestlake.plans.collect import relevant_records
+from harvestlake.session import stage
+from workload import load_all
+from workload.payloads import landing_pages, side_documents
+from workload.registry import QUERIES
+
+load_all()
 
 # Queries that run jobs of their own while they are being built.
 EAGER = (
@@ -24,7 +34,7 @@ def plans(spark, sf_dir):
     try:
         yield {
             name: plan_of(run(spark, sf_dir))
-            for name, run in entry.queries().items()
+            for name, run in QUERIES.items()
             if not name.startswith(EAGER)
         }
     finally:
@@ -69,6 +79,30 @@ def test_first_occurrence_is_limited_before_the_exchange(plans):
     assert plan.index("Final") < plan.index("Exchange") < plan.index("Partial")
 
 
+@pytest.fixture(scope="module")
+def extraction(spark, sf_dir):
+    """Staged pages and side documents, as tables whose scans show in plans."""
+    return stage(landing_pages(spark, sf_dir)), stage(side_documents(spark, sf_dir))
+
+
+@pytest.mark.parametrize("name", ["zenodo", "dryad", "cessda", "figshare"])
+def test_payloads_are_parsed_once(extraction, name):
+    pages, side = extraction
+    fmt = FORMATS[name]
+    plan = plan_of(score(extract(pages, fmt, side)).where("relevance_score >= 1"))
+    kinds = 1 + (fmt.side_files is not None) + (fmt.side_detail is not None)
+    # Spark writes a parser of a payload column as from_json(schema, ..., payload#id, ...)
+    assert len(re.findall(r"from_json\(", plan)) == kinds
+    assert "SortAggregate" not in plan
+
+
+def test_filters_pass_the_score(extraction):
+    pages, side = extraction
+    found = relevant_records(pages, side, cut_off=False).where("page = 3 and query_idx = 1")
+    scans = re.findall(r"PushedFilters: \[([^\]]*)\]", plan_of(found))
+    assert sum("EqualTo(page,3)" in s for s in scans) == 4
+
+
 def test_offsets_read_their_input_twice_only(spark):
     df = spark.range(0, 100_000, 1, 4).select((F.col("id") * 7919).alias("k"))
     numbered = with_dense_id(df, "k")

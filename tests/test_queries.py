@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from tools.check import compare, connect
+from workload import load_all
+from workload.registry import QUERIES, REFERENCE_SQL as REFERENCES
 
-QUERIES = entry.queries()
-REFERENCES = entry.oracle_sql()
+load_all()
 
 
 @pytest.fixture(scope="module")

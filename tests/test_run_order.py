@@ -46,6 +46,35 @@ def test_counted_pages_within_limit(spark):
     assert pagination.counted_pages(frame, pagination.stop_pages(frame), max_pages=2).count() == 2
 
 
+def copies(spark, *rows):
+    """Copies of pages given as (page, fetched_at, records, total, failed)."""
+    made = [("zenodo", 0, "q", p, 25, failed, n, total, at) for p, at, n, total, failed in rows]
+    return spark.createDataFrame(made, FACTS + ", fetched_at INT")
+
+
+def test_a_page_fetched_again_after_a_failure_counts(spark):
+    landed = [(1, 1, 25, 100, False), (2, 2, 0, 0, True), (3, 3, 25, 100, False), (4, 4, 25, 100, False)]
+    queries = queries_table(spark, ["q"])
+    expected = pagination.expected_pages(queries, max_pages=4, repositories=["zenodo"])
+
+    def state(rows):
+        frame = copies(spark, *rows)
+        kept = pagination.counted_pages(pagination.effective_pages(frame), pagination.stop_pages(frame))
+        due = pagination.missing_pages(expected, frame, refetch_failed=True)
+        return sorted(r["page"] for r in kept.collect()), sorted(r["page"] for r in due.collect())
+
+    assert state(landed) == ([1], [2])
+    assert state([*landed, (2, 9, 25, 100, False)]) == ([1, 2, 3, 4], [])
+    # a failure after a success changes nothing, nor does another copy of the same page
+    assert state([*landed, (2, 9, 25, 100, False), (2, 10, 0, 0, True), (1, 1, 25, 100, False)]) == ([1, 2, 3, 4], [])
+
+
+def test_the_newest_success_is_the_effective_copy(spark):
+    frame = copies(spark, (1, 1, 5, 0, False), (1, 3, 7, 0, False), (1, 9, 0, 0, True), (2, 4, 0, 0, True), (2, 4, 1, 0, True))
+    got = pagination.effective_pages(frame).orderBy("page").collect()
+    assert [(r["page"], r["fetched_at"], r["n_records"]) for r in got] == [(1, 3, 7), (2, 4, 1)]
+
+
 def test_expected_pages(spark):
     plan = pagination.expected_pages(queries_table(spark), max_pages=3, page_size=250)
     assert plan.count() == 67 * 4 * 3

@@ -7,15 +7,28 @@ from pyspark.sql import functions as F
 from harvestlake.operators.dedup import count_unique, dedup_records
 from harvestlake.operators.ids import with_dense_id, with_offsets
 from harvestlake.operators.ledger import apply_status, latest_status, update_scores, upsert_scores
-from harvestlake.operators.pagination import counted_pages, stop_pages
+from harvestlake.operators.pagination import counted_pages, effective_pages, stop_pages
 from harvestlake.operators.records import is_relevant
 from workload.projections import cte, view
 from workload.records import sql_is_open
 from workload.registry import query
-from workload.relational import EVENT_PAGES_SQL, event_pages
+from workload.relational import event_pages, event_pages_sql
 from workload.scalars import _SCORED, scored
 
-_RUN = "query_idx, repo_idx, page, pos"
+
+
+def _last(updates: str) -> str:
+    """``last_``: the newest status per file, of equally new ones the greatest."""
+    return (
+        ", last_ as (select id, status as new_status from (select *, row_number() over (partition by id "
+        f"order by updated_at desc, status desc) as n from {updates}_) where n = 1) "
+    )
+
+
+_NEW = (
+    ", newest_ as (select * from (select *, row_number() over (partition by project_id order by "
+    "arrived desc, relevance_score desc) as n from new_scores_) where n = 1) "
+)
 
 
 def _occurrences(spark, sf_dir):
@@ -65,14 +78,15 @@ def unique_relevant_projects(spark, sf_dir):
 @query(
     "j1_counted_pages",
     "with "
-    + EVENT_PAGES_SQL
+    + event_pages_sql()
     + "select p.repo, p.query, p.page, p.n_records from pages_ p join stops_ s on p.repo = s.repo "
     "and p.query = s.query where (s.hard is null or p.page < s.hard) and (s.soft is null or "
     "p.page <= s.soft)",
 )
 def pages_reached(spark, sf_dir):
     facts = event_pages(spark, sf_dir)
-    return counted_pages(facts, stop_pages(facts)).select("repo", "query", "page", "n_records")
+    kept = counted_pages(effective_pages(facts), stop_pages(facts))
+    return kept.select("repo", "query", "page", "n_records")
 
 
 _SPARSE_KEY = "id * 1000 + cast(record_id as bigint) % 1000"
@@ -108,17 +122,17 @@ def child_offsets(spark, sf_dir):
 
 @query(
     "j2_latest_status",
-    cte("updates") + "select id, arg_max(status, updated_at) as new_status from updates_ group by id",
+    cte("all_updates") + _last("all_updates") + "select id, new_status from last_",
 )
 def newest_status(spark, sf_dir):
-    return latest_status(view(spark, sf_dir, "updates"))
+    return latest_status(view(spark, sf_dir, "all_updates"))
 
 
 @query(
     "m2_apply_status",
     cte("files", "updates")
-    + ", last_ as (select id, arg_max(status, updated_at) as new_status from updates_ group by id) "
-    "select f.id, f.project_id, coalesce(l.new_status, f.status) as status from files_ f "
+    + _last("updates")
+    + "select f.id, f.project_id, coalesce(l.new_status, f.status) as status from files_ f "
     "left join last_ l on f.id = l.id",
 )
 def status_applied(spark, sf_dir):
@@ -130,10 +144,11 @@ def status_applied(spark, sf_dir):
 @query(
     "m3_upsert_scores",
     cte("relevance_scores", "new_scores")
+    + _NEW
     + "select id, project_id, relevance_score, description from relevance_scores_ where project_id "
     "not in (select project_id from new_scores_) union all select (select max(id) from "
     "relevance_scores_) + row_number() over (order by arrived) as id, project_id, relevance_score, "
-    "description from new_scores_",
+    "description from newest_",
 )
 def upserted(spark, sf_dir):
     return upsert_scores(
@@ -144,10 +159,11 @@ def upserted(spark, sf_dir):
 @query(
     "m4_update_scores",
     cte("relevance_scores", "new_scores")
+    + _NEW
     + "select s.id, s.project_id, coalesce(n.relevance_score, s.relevance_score) as relevance_score, "
-    "s.description from relevance_scores_ s left join new_scores_ n on s.project_id = n.project_id",
+    "s.description from relevance_scores_ s left join newest_ n on s.project_id = n.project_id",
 )
 def updated(spark, sf_dir):
     return update_scores(
-        view(spark, sf_dir, "relevance_scores"), view(spark, sf_dir, "new_scores")
+        view(spark, sf_dir, "relevance_scores"), view(spark, sf_dir, "new_scores"), "arrived"
     )

@@ -27,8 +27,7 @@ DAY = (
     "|| '-' || cast(10 + doc_id % 18 as string)"
 )
 TITLE = (
-    "case doc_id % 3 when 0 then 'Interview ' || substr(text, 1, 40) "
-    "else substr(text, 1, 40) end"
+    "case doc_id % 3 when 0 then 'Interview ' || text else text end"
 )
 
 # Shared by Spark and DuckDB: position of a document in the run.

@@ -24,6 +24,13 @@ _TYPE = (
 )
 _STEM = "'f' || cast(l_partkey as string) || '_' || cast(l_suppkey as string)"
 
+# In every third row both changes have the same time.
+_UPDATES = [
+    ("id", _KEY),
+    ("status", "case (step + l_suppkey) % 2 when 1 then 'failed' else 'success' end"),
+    ("updated_at", "cast(case when l_orderkey % 3 = 0 then 1 else step end as bigint)"),
+]
+
 VIEWS: dict[str, tuple[str, str | None, list[tuple[str, str]]]] = {
     "projects": (
         "orders",
@@ -171,24 +178,17 @@ VIEWS: dict[str, tuple[str, str | None, list[tuple[str, str]]]] = {
         "l_partkey % 17 <> 0",
         [("id", _KEY), ("fetched", "l_suppkey % 3 <> 0")],
     ),
-    # Two status changes for a fifth of the files.
-    "updates": (
-        "lineitem",
-        "l_partkey % 5 = 0",
-        [
-            ("id", _KEY),
-            ("status", "case step when 1 then 'failed' else 'success' end"),
-            ("updated_at", "cast(step as bigint)"),
-        ],
-    ),
+    # Two status changes for a fifth of the files, and for all files.
+    "updates": ("lineitem", "l_partkey % 5 = 0", _UPDATES),
+    "all_updates": ("lineitem", None, _UPDATES),
     "new_scores": (
         "orders",
         "o_orderkey % 10 = 0",
         [
             ("project_id", "o_orderkey"),
-            ("relevance_score", "cast(99 as int)"),
+            ("relevance_score", "cast(90 + step * (o_orderkey % 3 - 1) as int)"),
             ("description", "'rescored'"),
-            ("arrived", "o_orderkey"),
+            ("arrived", "cast(o_orderkey * 2 + step * (1 - 2 * (o_custkey % 2)) as bigint)"),
         ],
     ),
     "documents": (
@@ -212,7 +212,7 @@ VIEWS: dict[str, tuple[str, str | None, list[tuple[str, str]]]] = {
 
 
 # Views in which every table row occurs once per step 1..n.
-STEPS = {"updates": 2}
+STEPS = {"updates": 2, "all_updates": 2, "new_scores": 2}
 
 
 def view_sql(name: str) -> str:

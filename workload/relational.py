@@ -157,63 +157,58 @@ def existing_groups(spark, sf_dir):
     return wl.existing_projects(groups, stored)
 
 
-# Landed pages for planning: the pages of ``events`` that are at hand.
+# Landed pages: every event is one copy of a page, computed from its own row. Pages are
+# landed up to several times, a fifth of the copies as failed.
 _EVENT_PAGES = (
-    "select event_type as query, cast(length(event_type) as int) as query_idx, "
+    "select event_type || '-' || cast(cast(floor(event_id / 240) as bigint) as string) as query, "
+    "cast(floor(event_id / 240) as int) as query_idx, "
     "case user_id % 4 when 0 then 'zenodo' when 1 then 'dryad' when 2 then 'cessda' "
-    "else 'figshare' end as repo, event_id, "
-    "event_id % 23 = 0 as failed, cast(event_id % 7 as int) as n_records, "
-    "case when event_id % 3 = 0 then 0 else 25 * (event_id % 12) end as total from events"
+    "else 'figshare' end as repo, cast(1 + floor((event_id % 240) / 20) as int) as page, "
+    "25 as page_size, event_id, event_id as fetched_at, event_id % 5 = 0 as failed, "
+    "cast(event_id % 7 as int) as n_records, "
+    "case when event_id % 3 = 0 then 0 else 25 * (event_id % 24) end as total from events"
 )
 
 
-def event_pages(spark, sf_dir, longest: int = 10):
-    """Page facts derived from ``events``: at most ten numbered pages per sequence."""
-    from pyspark.sql import Window
-
+def event_pages(spark, sf_dir):
+    """Facts of all landed copies of pages, derived from ``events``."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    columns = _EVENT_PAGES.removeprefix("select ").removesuffix(" from events")
     events.createOrReplaceTempView("events_source")
-    rows = spark.sql(f"select {columns} from events_source")
-    order = Window.partitionBy("query", "repo").orderBy("event_id")
-    return (
-        rows.withColumn("page", F.row_number().over(order))
-        .where(F.col("page") <= longest)
-        .withColumn("page_size", F.lit(25))
-    )
+    columns = _EVENT_PAGES.removeprefix("select ").removesuffix(" from events")
+    return spark.sql(f"select {columns} from events_source")
 
 
-EVENT_PAGES_SQL = (
-    f"pages_ as (select *, 25 as page_size from (select *, cast(row_number() over (partition by "
-    f"query, repo order by event_id) as int) as page from ({_EVENT_PAGES})) where page <= 10), "
-    "stops_ as (select repo, query, min(case when failed or n_records = 0 then page end) as hard, "
-    "min(case when total <> 0 and page * page_size >= total then page end) as soft "
-    "from pages_ group by repo, query) "
-)
+def event_pages_sql(where: str = "true") -> str:
+    """``pages_`` (one copy of each page: success first, then the newest) and ``stops_``."""
+    return (
+        f"pages_ as (select * from (select *, row_number() over (partition by repo, query, page "
+        f"order by failed, event_id desc) as copy from ({_EVENT_PAGES}) where {where}) where copy = 1), "
+        "stops_ as (select repo, query, min(case when failed or n_records = 0 then page end) as hard, "
+        "min(case when total <> 0 and page * page_size >= total then page end) as soft "
+        "from pages_ group by repo, query) "
+    )
 
 
 @query(
     "g8_missing_pages",
     "with "
-    + EVENT_PAGES_SQL
-    + ", landed_ as (select * from pages_ where event_id % 5 <> 0), landed_stops_ as (select repo, "
-    "query, min(case when failed or n_records = 0 then page end) as hard, min(case when total <> 0 "
-    "and page * page_size >= total then page end) as soft from landed_ group by repo, query), "
-    "queries_ as (select distinct query, query_idx from pages_), repos_ as (select * from (values "
-    "('zenodo', 25), ('dryad', 40), ('cessda', 40), ('figshare', 40)) as r(repo, cap)) "
+    + event_pages_sql("event_id % 11 <> 0")
+    + f", queries_ as (select distinct query, query_idx from ({_EVENT_PAGES})), repos_ as (select * "
+    "from (values ('zenodo', 25), ('dryad', 40), ('cessda', 40), ('figshare', 40)) as r(repo, cap)) "
     "select q.query, r.repo, cast(n.page as int) as page, cast(least(40, r.cap) as int) as size, "
     'cast((n.page - 1) * 40 as bigint) as "offset" from queries_ q cross join repos_ r cross join '
-    "(select unnest(range(1, 13)) as page) n left join landed_stops_ s on s.repo = r.repo and "
+    "(select unnest(range(1, 13)) as page) n left join stops_ s on s.repo = r.repo and "
     "s.query = q.query where (least(s.soft, s.hard) is null or n.page <= least(s.soft, s.hard)) "
-    "and not exists (select 1 from landed_ l where l.repo = r.repo and l.query = q.query and "
-    "l.page = n.page)",
+    "and not exists (select 1 from pages_ l where l.repo = r.repo and l.query = q.query and "
+    "l.page = n.page and not l.failed)",
 )
 def pages_to_fetch(spark, sf_dir):
-    """Expected pages that have not been landed."""
+    """Expected pages that have not been landed, or as failed only; a part is missing."""
     facts = event_pages(spark, sf_dir)
     queries = facts.select("query_idx", "query").distinct()
     expected = expected_pages(queries, max_pages=12, page_size=40, with_token=False)
-    return missing_pages(expected, facts.where("event_id % 5 <> 0")).select(
+    landed = facts.where("event_id % 11 <> 0")
+    return missing_pages(expected, landed, refetch_failed=True).select(
         "query", "repo", "page", "size", "offset"
     )
 

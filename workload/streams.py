@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from harvestlake.session import scratch_path
+from harvestlake.session import scratch_path, stage
 from harvestlake.sources.catalog import Catalog
 from harvestlake.sources.landing import write_landing
 from harvestlake.streaming.ingest import ingest, landing_stream, unique_record_stream
 from harvestlake.streaming.status import UPDATES, current_files, read_ledger, record_outcomes
+from workload.history import _last
 from workload.payloads import landing_pages, side_documents
 from workload.projections import cte, view
 from workload.records import _RELEVANT
@@ -36,15 +37,16 @@ def incremental_ingest(spark, sf_dir):
 
 @query(
     "o2_streaming_dedup",
-    _RELEVANT + "select distinct source, record_id from relevant_ where repo in ('zenodo', 'cessda')",
+    _RELEVANT + "select distinct source, record_id from relevant_",
 )
 def streaming_dedup(spark, sf_dir):
     """Every page is landed under two queries; each record key comes out once."""
     landing, out = scratch_path(spark, "landing"), scratch_path(spark, "unique")
-    pages = landing_pages(spark, sf_dir, "zenodo", "cessda")
+    pages = landing_pages(spark, sf_dir)
     again = pages.withColumn("query_idx", F.col("query_idx") + 5000)
     write_landing(pages.unionByName(again), landing)
-    records = unique_record_stream(landing_stream(spark, landing), watermark="1 day")
+    side = stage(side_documents(spark, sf_dir), "side")
+    records = unique_record_stream(landing_stream(spark, landing), side, watermark="1 day")
     (
         records.select("source", "record_id")
         .writeStream.format("parquet")
@@ -60,8 +62,8 @@ def streaming_dedup(spark, sf_dir):
 @query(
     "o3_streaming_status_ledger",
     cte("files", "updates")
-    + ", last_ as (select id, arg_max(status, updated_at) as new_status from updates_ group by id) "
-    "select f.id, coalesce(l.new_status, f.status) as status from files_ f left join last_ l "
+    + _last("updates")
+    + "select f.id, coalesce(l.new_status, f.status) as status from files_ f left join last_ l "
     "on f.id = l.id",
 )
 def status_ledger(spark, sf_dir):
