@@ -5,40 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# How a record's place in a collection run is packed into one BIGINT (63 bits).
-QUERY_BITS, REPO_BITS, PAGE_BITS, POS_BITS = 20, 6, 24, 13
+from harvestlake.session import stage
+
+# The pages of a collection run, in order.
+RUN_PAGE = ["query_idx", "repo_idx", "page"]
 # Rows below one offset bucket: 2**16 at most, as keys are unique.
 RADIX_BITS = 16
 
 
-def _checked(value: Column, bits: int, name: str) -> Column:
-    wide = value.cast("bigint")
-    return F.when((wide >= 0) & (wide < (1 << bits)), wide).otherwise(
-        F.raise_error(
-            F.concat(
-                F.lit(f"{name} does not fit {bits} bits: "),
-                F.coalesce(wide.cast("string"), F.lit("NULL")),
-            )
-        )
-    )
-
-
-def insertion_key(query_idx: Column, repo_idx: Column, page: Column, pos: Column) -> Column:
-    """BIGINT that is unique per record occurrence and grows in insertion order.
-
-    It is computed from the row alone, so it is the same after a retry and costs no
-    exchange; unlike a hash it cannot collide. A value outside its bits is an error.
-    """
-    key = _checked(query_idx, QUERY_BITS, "query")
-    for value, bits, name in (
-        (repo_idx, REPO_BITS, "repository"),
-        (page, PAGE_BITS, "page"),
-        (pos, POS_BITS, "position"),
-    ):
-        key = F.shiftleft(key, bits).bitwiseOR(_checked(value, bits, name))
-    return key
-
-
 def _before(name: str, window) -> Column:
     frame = window.rowsBetween(Window.unboundedPreceding, -1)
     return F.coalesce(F.sum(name).over(frame), F.lit(0).cast("bigint"))
@@ -86,6 +60,47 @@ def with_offsets(df: DataFrame, key: str, weights: dict[str, Column]) -> DataFra
     )
 
 
+def with_run_offsets(df: DataFrame, weights: dict[str, Column]) -> DataFrame:
+    """Add, per weight, its sum over all records that come earlier in the collection run.
+
+    The run's order is query, repository, page, position; the values may be of any size.
+    Pages are summed up first and sorted in ranges, narrow rows that are written once, so
+    that the ranges read are those that were made; the ends of the ranges, one row each,
+    are put together by one window. The records themselves are dealt once, by page, and
+    running sums inside a page cover what one response held. A record without a place in
+    the run is an error.
+    """
+    names = list(weights)
+
+    def placed(name: str) -> Column:
+        lost = F.raise_error(F.lit(f"a record without {name} has no place in the run"))
+        return F.coalesce(F.col(name), lost.cast("int"))
+
+    keyed = df.withColumns({c: placed(c) for c in [*RUN_PAGE, "pos"]})
+    weighted = keyed.select("*", *[w.cast("bigint").alias(f"_w_{n}") for n, w in weights.items()])
+    sums = [F.sum(f"_w_{n}").alias(f"_w_{n}") for n in names]
+    ranged = stage(
+        weighted.groupBy(*RUN_PAGE)
+        .agg(*sums)
+        .repartitionByRange(*RUN_PAGE)
+        .sortWithinPartitions(*RUN_PAGE)
+        .withColumn("_part", F.spark_partition_id()),
+        "page-order",
+    )
+    whole = Window.partitionBy(F.lit(0)).orderBy("_part")
+    parts = ranged.groupBy("_part").agg(*sums)
+    parts = parts.select("_part", *[_before(f"_w_{n}", whole).alias(f"_p_{n}") for n in names])
+    inside = Window.partitionBy("_part").orderBy(*RUN_PAGE)
+    pages = ranged.join(parts, "_part").select(
+        *RUN_PAGE, *[(F.col(f"_p_{n}") + _before(f"_w_{n}", inside)).alias(f"_o_{n}") for n in names]
+    )
+    rows = weighted.join(pages, RUN_PAGE)
+    page = Window.partitionBy(*RUN_PAGE).orderBy("pos")
+    return rows.select(
+        *df.columns, *[(F.col(f"_o_{n}") + _before(f"_w_{n}", page)).alias(n) for n in names]
+    )
+
+
 def with_dense_id(
     df: DataFrame, key: str, name: str = "id", start: Column | None = None
 ) -> DataFrame:

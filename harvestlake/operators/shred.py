@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestlake.functions.text import is_not_blank, null_if_empty, partial_date, text
-from harvestlake.operators.ids import insertion_key, with_offsets
+from harvestlake.operators.ids import with_run_offsets
 from harvestlake.operators.records import attach_repository, known_repository
 from harvestlake.refdata import PENDING
 from harvestlake.schemas import COLUMN_DEFAULTS, TABLES
@@ -44,12 +44,7 @@ def catalog_parents(
     are left out. ``start_ids`` holds the highest id used so far per table.
     """
     known = known_repository(attach_repository(records, "repo", "source"))
-    prepared = known.select(
-        insertion_key(
-            F.col("query_idx"), F.col("repo_idx"), F.col("page"), F.col("pos")
-        ).alias("_key"),
-        "*",
-    ).withColumns(
+    prepared = known.withColumns(
         {
             "creators": F.filter("creators", is_not_blank),
             "keywords": F.filter("keywords", is_not_blank),
@@ -58,9 +53,8 @@ def catalog_parents(
             ),
         }
     )
-    numbered = with_offsets(
+    numbered = with_run_offsets(
         prepared,
-        "_key",
         {
             "_projects": F.lit(1),
             "_files": F.size("files"),

@@ -117,24 +117,25 @@ def test_first_occurrence_wins_and_is_idempotent(spark):
     assert dedup_records(df, dedup=False).count() == 5
 
 
-def test_insertion_key_orders_like_the_run(spark):
+def test_run_offsets_of_any_place(spark):
+    """Queries, repositories, pages and positions far beyond what one number could hold."""
     rng = random.Random(5)
-    places = {
-        (rng.randrange(1 << 20), rng.randrange(1 << 6), rng.randrange(1 << 24), rng.randrange(1 << 13))
-        for _ in range(500)
-    }
-    df = spark.createDataFrame(list(places), "q INT, r INT, p INT, i INT")
-    keyed = df.select("*", ids.insertion_key(*[F.col(c) for c in "qrpi"]).alias("k"))
-    by_key = [tuple(r)[:4] for r in keyed.orderBy("k").collect()]
-    assert by_key == sorted(places)
-    assert keyed.agg(F.min("k")).first()[0] >= 0
-
-
-@pytest.mark.parametrize("place", [(-1, 0, 0, 0), (1 << 20, 0, 0, 0), (0, 64, 0, 0), (0, 0, 0, 8192), (None, 0, 0, 0)])
-def test_insertion_key_rejects_what_does_not_fit(spark, place):
-    df = spark.createDataFrame([place], "q INT, r INT, p INT, i INT")
-    with pytest.raises(Exception, match="does not fit"):
-        df.select(ids.insertion_key(*[F.col(c) for c in "qrpi"])).collect()
+    big = (1 << 31) - 1
+    places = {tuple(rng.choice([rng.randrange(4), rng.randrange(big)]) for _ in range(4)) for _ in range(500)}
+    rows = [(*p, rng.randrange(5)) for p in places]
+    df = spark.createDataFrame(rows, "query_idx INT, repo_idx INT, page INT, pos INT, w INT").repartition(7)
+    got = ids.with_run_offsets(df, {"id": F.lit(1), "before": F.col("w")})
+    expected, total = [], 0
+    for n, row in enumerate(sorted(rows)):
+        expected.append((*row, n, total))
+        total += row[-1]
+    assert sorted(tuple(r) for r in got.collect()) == expected
+
+
+def test_a_record_without_a_place_is_an_error(spark):
+    df = spark.createDataFrame([(0, 0, None, 0)], "query_idx INT, repo_idx INT, page INT, pos INT")
+    with pytest.raises(Exception, match="no place in the run"):
+        ids.with_run_offsets(df, {"id": F.lit(1)}).collect()
 
 
 def test_dense_ids_over_scattered_keys(spark):
