@@ -22,7 +22,7 @@ def _toward_least(edges: DataFrame, least_side: str) -> DataFrame:
         )
     else:
         moved = linked.where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))
-    return moved.where("u <> v").distinct()
+    return moved.where("u <> v")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -38,7 +38,7 @@ def components(edges: DataFrame) -> DataFrame:
     links = stage(links.distinct(), "links")
     state = None
     while True:
-        links = stage(_toward_least(_toward_least(links, "large"), "small"), "links")
+        links = stage(_toward_least(_toward_least(links, "large"), "small").distinct(), "links")
         # Equal counts and hash sums of the links mean that the round has moved nothing.
         now = links.agg(
             F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))

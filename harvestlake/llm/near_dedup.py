@@ -6,14 +6,12 @@ from the first full bin in a random order of its own (optimal densification). Ba
 signature make buckets. Documents with equal sets are one class; only classes are compared.
 
 Candidates of a bucket are a star: one centre against the others. Links are confirmed on the
-full sets. As a star may miss a link between two outer members, rounds go on in those buckets
-whose members are not all in one component yet: first a second star around another centre,
-then every member outside the bucket's largest component, if they are few, against all of
-other components. A bucket that still has many such members, because its documents share a
-long passage without being alike, is taken apart: sets that overlap enough must share one of
-their rarest shingles (prefix filter), and those rare shingles become the buckets in which
-the same rounds go on until every bucket is finished. In a finished bucket every two members
-are either in one component or compared, so no link between members of a bucket is lost.
+full sets. As a star may miss a link between two outer members, a second star follows around
+another centre in those buckets whose members are not all in one component yet. In buckets
+that even then are in several components, the members outside the largest component are a
+query set that is compared with all members: pair by pair where the bucket is small, else in
+blocks of bounded size, inside tasks that only give back the links. Afterwards any two
+members of a bucket are in one component or have been compared, so no link is lost.
 """
 
 from __future__ import annotations
@@ -23,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from harvestlake.llm.common import free_name, small_batches, stage, text_of
@@ -32,8 +30,10 @@ from harvestlake.operators.joins import join_to_one
 
 BANDS = 40
 ROWS = 6
-#: Members of a bucket that are compared outright when its star has left them unlinked.
-OUTRIGHT = 12
+#: Members of a bucket that are compared pair by pair; larger buckets go in blocks.
+SMALL = 16
+#: Rows of a block.
+BLOCK = 128
 
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
@@ -168,15 +168,11 @@ def _overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _crowded(members: DataFrame) -> DataFrame:
-    """Members of buckets that hold more than one class."""
+    """Members of buckets that hold more than one node."""
     sizes = members.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
     return join_to_one(members, sizes.select("bucket"), ["bucket"], "inner")
 
 
-def _labelled(members: DataFrame, component: DataFrame) -> DataFrame:
-    return join_to_one(members, component, ["node"]).withColumn("component", F.coalesce("component", "node"))
-
-
 def _unfinished(members: DataFrame, component: DataFrame) -> DataFrame:
     """Members of the buckets where a pair may still be a missed link.
 
@@ -184,69 +180,63 @@ def _unfinished(members: DataFrame, component: DataFrame) -> DataFrame:
     component and was no centre yet. A bucket without open members is finished: of any two
     members in different components one has been compared with the other.
     """
-    labelled = _labelled(members, component)
+    labelled = join_to_one(members, component, ["node"]).withColumn(
+        "component", F.coalesce("component", "node")
+    )
     parts = labelled.groupBy("bucket", "component").agg(
         F.count("*").alias("members"), F.count(F.when(~F.col("done"), 1)).alias("fresh")
     )
     top = parts.groupBy("bucket").agg(
-        F.max(F.struct("members", "component", "fresh")).alias("top"), F.sum("fresh").alias("fresh")
+        F.max(F.struct("members", "component", "fresh")).alias("top"),
+        F.sum("fresh").alias("fresh"),
+        F.sum("members").alias("members"),
     )
     top = top.where(F.col("fresh") > F.col("top.fresh")).select(
-        "bucket", F.col("top.component").alias("largest"), (F.col("fresh") - F.col("top.fresh")).alias("n_open")
+        "bucket", "members", F.col("top.component").alias("largest"), (F.col("fresh") - F.col("top.fresh")).alias("n_open")
     )
     return join_to_one(labelled, top, ["bucket"], "inner").withColumn(
         "open", ~F.col("done") & (F.col("component") != F.col("largest"))
     )
 
 
-def _compare(
-    members: DataFrame, centres: DataFrame, sets: DataFrame, percent: int, compared: DataFrame | None
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Links of the members with their bucket's centres, the pairs tried, and the members with
-    the centres marked as done. Members of one component aren't compared, nor are sets whose
-    sizes alone rule a link out, nor pairs that were ``compared`` before.
-    """
-    hubs = join_to_one(centres, members.select("bucket", "node", "size", "component"), ["bucket", "node"], "inner")
-    hubs = hubs.groupBy("bucket").agg(
-        F.collect_set(F.struct(F.col("node").alias("node"), F.col("size").alias("size"), "component")).alias("centres")
-    )
-    near = join_to_one(members, hubs, ["bucket"])
-    marked = near.select(
-        "bucket", "node", "size",
-        (F.col("done") | F.coalesce(F.array_contains("centres.node", F.col("node")), F.lit(False))).alias("done"),
-    )
-    pairs = near.where(F.col("centres").isNotNull()).select("node", "size", "component", F.explode("centres").alias("c"))
-    pairs = pairs.where(
-        (F.col("component") != F.col("c.component"))
-        & (100 * F.least("size", "c.size") >= percent * F.greatest("size", "c.size"))
-    )
-    pairs = pairs.select(
-        F.least("node", "c.node").alias("u"), F.greatest("node", "c.node").alias("v")
-    ).distinct()
-    if compared is not None:
-        pairs = pairs.join(compared, ["u", "v"], "left_anti")
-    marked, pairs = stage(marked, "members"), stage(pairs, "pairs")
-    return stage(_overlaps(pairs, sets, percent), "found"), pairs, marked
-
-
-def _rare_shingles(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Buckets by rare shingles: two sets that overlap enough meet in one of them.
+def _block_links(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the open members of each bucket and its other members, in blocks.
 
-    In one order of all shingles, rarest first, sets with 100 * intersection >= percent *
-    union share a shingle among the first n - ceil(percent / 100 * n) + 1 of each.
+    ``left`` has bucket, node, size, component, open, members and n_open. Open members are
+    dealt to chunks and all members to blocks by hash, and each chunk meets each block once.
     """
-    own = sets.join(nodes, "node", "left_semi")
-    single = own.select("node", F.explode("shingles").alias("shingle"))
-    often = single.groupBy("shingle").agg(F.count("*").alias("often"))
-    ranked = join_to_one(single, often, ["shingle"], "inner").groupBy("node").agg(
-        F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("order")
+    key = F.xxhash64("node", "bucket")
+    chunks, blocks = F.ceil(F.col("n_open") / BLOCK), F.ceil(F.col("members") / BLOCK)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
+    asked = left.where("open").select(
+        "bucket", "node", "component", F.lit(True).alias("asks"),
+        F.pmod(key, chunks).alias("chunk"), every(blocks).alias("block"),
     )
-    n = F.size("order")
-    first = n - F.ceil(n * F.lit(percent) / F.lit(100)) + 1
-    prefix = F.filter(F.slice("order", F.lit(1), first.cast("int")), lambda s: s["often"] > 1)
-    return ranked.select("node", n.cast("bigint").alias("size"), F.explode(prefix).alias("s")).select(
-        F.col("s.shingle").alias("bucket"), "node", "size"
+    asking = left.select(
+        "bucket", "node", "component", F.lit(False).alias("asks"),
+        every(chunks).alias("chunk"), F.pmod(key, blocks).alias("block"),
     )
+    rows = asked.unionByName(asking.select(*asked.columns))
+    rows = join_to_one(rows, sets, ["node"], "inner")
+
+    def links(frame: pd.DataFrame) -> pd.DataFrame:
+        members = frame[~frame["asks"]]
+        nodes, parts = members["node"].to_numpy(), members["component"].to_numpy()
+        found: set[tuple[int, int]] = set()
+        if len(nodes):
+            each = [np.asarray(v) for v in members["shingles"]]
+            sizes = np.array([len(v) for v in each])
+            starts, values = np.cumsum(sizes) - sizes, np.concatenate(each)
+            asks = frame[frame["asks"]]
+            for node, part, own in zip(asks["node"], asks["component"], asks["shingles"], strict=True):
+                own = np.asarray(own)
+                at = np.minimum(np.searchsorted(own, values), len(own) - 1)
+                both = np.add.reduceat((own[at] == values).astype(np.int64), starts)
+                linked = (100 * both >= percent * (len(own) + sizes - both)) & (parts != part)
+                found.update((min(node, n), max(node, n)) for n in nodes[linked])
+        return pd.DataFrame(sorted(found), columns=["u", "v"], dtype="int64")
+
+    return rows.groupBy("bucket", "chunk", "block").applyInPandas(links, "u long, v long").distinct()
 
 
 class _Rounds:
@@ -255,45 +245,60 @@ class _Rounds:
     def __init__(self, sets: DataFrame, percent: int, heads: DataFrame):
         self.sets, self.percent = sets, percent
         self.component = heads.select("node", F.col("node").alias("component")).limit(0)
-        self.compared: DataFrame | None = None
 
     def star(self, members: DataFrame, centres: DataFrame) -> DataFrame:
-        found, pairs, members = _compare(members, centres, self.sets, self.percent, self.compared)
-        self.compared = pairs if self.compared is None else self.compared.unionByName(pairs)
-        if not found.isEmpty():
+        """Compare the members of each bucket with its centres; returns them with these done.
+
+        ``centres`` has one array of (node, size, component) per bucket. Members of one
+        component aren't compared, nor sets whose sizes alone rule a link out.
+        """
+        near = join_to_one(members, centres, ["bucket"])
+        wanted = F.filter(
+            "centres",
+            lambda c: (c["component"] != F.col("component"))
+            & (100 * F.least(c["size"], F.col("size")) >= self.percent * F.greatest(c["size"], F.col("size"))),
+        )
+        near = stage(
+            near.select(
+                "bucket", "node", "size", wanted.alias("wanted"),
+                (F.col("done") | F.coalesce(F.array_contains("centres.node", F.col("node")), F.lit(False))).alias("done"),
+            ),
+            "members",
+        )
+        pairs = near.select("node", F.explode("wanted").alias("c"))
+        pairs = pairs.select(
+            F.least("node", "c.node").alias("u"), F.greatest("node", "c.node").alias("v")
+        ).distinct()
+        self.add(_overlaps(pairs, self.sets, self.percent))
+        return near.drop("wanted")
+
+    def add(self, links: DataFrame) -> None:
+        links = stage(links, "links")
+        if not links.isEmpty():
             stars = self.component.where("node <> component").toDF("u", "v")
-            self.component = stage(components(found.unionByName(stars)), "components")
-        return members
+            self.component = stage(components(links.unionByName(stars)), "components")
 
-    def run(self, members: DataFrame, may_refine: bool) -> None:
+    def run(self, members: DataFrame) -> None:
         """Until every bucket of ``members`` (bucket, node, size) is finished."""
-        members = _labelled(members.withColumn("done", F.lit(False)), self.component)
-        members = self.star(members, members.groupBy("bucket").agg(F.min("node").alias("node")))
+        whole = F.struct("node", "size", "component")
+
+        def star(frame: DataFrame, centres) -> DataFrame:
+            return self.star(frame, frame.groupBy("bucket").agg(centres.alias("centres")))
+
+        members = members.withColumns({"done": F.lit(False), "component": F.col("node")})
+        members = star(members, F.array(F.min_by(whole, F.col("node"))))
         left = stage(_unfinished(members, self.component), "unfinished")
+        if left.isEmpty():
+            return
         # A second star, around a centre that differs from bucket to bucket.
-        order = F.xxhash64("node", "bucket")
-        members = self.star(left, left.groupBy("bucket").agg(F.min_by("node", order).alias("node")))
-        few = OUTRIGHT
-        while True:
-            left = stage(_unfinished(members, self.component), "unfinished")
-            if left.isEmpty():
-                return
-            now = left.where(F.col("n_open") <= few)
-            many = left.where(F.col("n_open") > few)
-            if may_refine:
-                # Finished at once, so that the rest can go on by rare shingles.
-                crowd = stage(many.select("node").distinct(), "crowd")
-                self.star(now, now.where("open").select("bucket", "node"))
-                if not crowd.isEmpty():
-                    rare = stage(_crowded(_rare_shingles(crowd, self.sets, self.percent)), "rare")
-                    self.run(rare, may_refine=False)
-                return
-            # Few at a time where many are open; each round takes more of them.
-            turn = F.row_number().over(Window.partitionBy("bucket").orderBy(order))
-            some = many.where("open").withColumn("turn", turn).where(F.col("turn") <= few)
-            centres = now.where("open").select("bucket", "node").unionByName(some.select("bucket", "node"))
-            members = self.star(left, centres)
-            few *= 8
+        members = star(left, F.array(F.min_by(whole, F.xxhash64("node", "bucket"))))
+        left = stage(_unfinished(members, self.component), "unfinished")
+        if left.isEmpty():
+            return
+        small = F.col("members") <= SMALL
+        links = _block_links(left.where(~small), self.sets, self.percent)
+        star(left.where(small), F.collect_list(F.when(F.col("open"), whole)))
+        self.add(links)
 
 
 def similar_classes(
@@ -306,23 +311,25 @@ def similar_classes(
     """
     small_batches(docs.sparkSession)
     facts = stage(describe(docs, words, bands, rows), "minhash")
-    sets_ = facts.where("n_shingles > 0")
-    classes = sets_.groupBy("set_hash").agg(F.min("node").alias("class"))
-    member_of = stage(
-        join_to_one(sets_.select("node", "set_hash"), classes, ["set_hash"], "inner").select("node", "class"),
-        "classes",
+    filled = facts.where("n_shingles > 0")
+    classes = filled.groupBy("set_hash").agg(F.min("node").alias("class"))
+    member_of = stage(join_to_one(filled, classes, ["set_hash"], "inner").drop("set_hash"), "classes")
+    heads = member_of.where(F.col("node") == F.col("class"))
+    buckets = _crowded(heads.select("node", F.explode("buckets").alias("bucket")))
+    buckets = stage(buckets, "buckets")
+    involved = stage(
+        heads.select("node", F.col("n_shingles").alias("size")).join(
+            buckets.select("node").distinct(), "node", "left_semi"
+        ),
+        "involved",
     )
-    heads = member_of.where(F.col("node") == F.col("class")).select("node")
-    members = sets_.select("node", F.col("n_shingles").alias("size"), F.explode("buckets").alias("bucket"))
-    members = stage(_crowded(members.join(heads, "node", "left_semi")), "buckets")
-    involved = members.select("node").distinct()
     sets = stage(_sets_of(docs.join(involved, "node", "left_semi"), words), "sets")
     rounds = _Rounds(sets, percent, heads)
-    if not members.isEmpty():
-        rounds.run(members, may_refine=True)
+    if not buckets.isEmpty():
+        rounds.run(join_to_one(buckets, involved, ["node"], "inner"))
 
     by_class = rounds.component.select(F.col("node").alias("class"), "component")
-    whole = join_to_one(member_of, by_class, ["class"], "left").select(
+    whole = join_to_one(member_of.select("node", "class"), by_class, ["class"], "left").select(
         "node", F.coalesce("component", "class").alias("component")
     )
     return join_to_one(

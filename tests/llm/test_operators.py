@@ -138,7 +138,8 @@ def brute_components(rows, n, percent):
 
 def test_near_groups_of_families(spark, monkeypatch):
     """Chains, near copies of copies, and many documents that share a long passage only."""
-    monkeypatch.setattr(near_dedup, "OUTRIGHT", 2)
+    monkeypatch.setattr(near_dedup, "SMALL", 3)
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
     rng = random.Random(9)
     rows, passage = [], words(rng, 60)
     for family in range(4):
