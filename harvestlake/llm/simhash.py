@@ -143,6 +143,39 @@ def with_next(ids: DataFrame, id_column: str = "doc_id") -> DataFrame:
     )
 
 
+def _both_fingerprints(rows: DataFrame) -> DataFrame:
+    """Fingerprints of the texts and of the edited texts, whose new end is in ``start``."""
+    n = F.char_length("text")
+    quarter = F.floor(n / 4).cast("int")
+    both = rows.select(
+        "doc_id",
+        "text_hash",
+        "next_id",
+        n.cast("bigint").alias("n_chars"),
+        F.explode(
+            F.array(
+                F.struct(F.lit(0).alias("edited"), F.col("text").alias("text")),
+                F.struct(
+                    F.lit(1).alias("edited"),
+                    F.concat(
+                        F.left("text", n - quarter), F.coalesce(F.left("start", quarter), F.lit(""))
+                    ).alias("text"),
+                ),
+            )
+        ).alias("v"),
+    )
+    both = both.select(
+        "doc_id", "text_hash", "next_id", "n_chars", "v.edited", "v.text",
+        F.when(F.col("v.edited") == 1, F.sha2("v.text", 256)).alias("sha"),
+    )
+    prints = fingerprints(both, ["doc_id", "text_hash", "next_id", "n_chars", "edited", "sha"])
+    return prints.groupBy("doc_id", "text_hash", "next_id", "n_chars").agg(
+        F.max(F.when(F.col("edited") == 0, F.col("fingerprint"))).alias("fingerprint"),
+        F.max(F.when(F.col("edited") == 1, F.col("fingerprint"))).alias("edited_fingerprint"),
+        F.max("sha").alias("edited_sha256"),
+    )
+
+
 def edited_likeness(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Fingerprints of each text and of its edited text, and how alike they are.
 
@@ -157,6 +190,7 @@ def edited_likeness(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     stop_if_missing(docs, id_column, text)
     rows = docs.select(F.col(f"`{id_column}`").alias("doc_id"), text_of(text).alias("text"))
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    placed, lost = rows.where(F.col("doc_id").isNotNull()), rows.where(F.col("doc_id").isNull())
     known = stage(rows.groupBy("doc_id", "text_hash").agg(F.count("*").alias("times")), "id-texts")
     names = known.groupBy("doc_id").agg(F.min("text_hash").alias("text_hash"))
     order = stage(with_next(names.select("doc_id")), "next-ids")
@@ -170,41 +204,17 @@ def edited_likeness(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     heads = wanted.join(names.withColumnRenamed("text_hash", "head_hash"), "doc_id")
     # Joined by id alone, so that the texts are dealt once for this join and the next.
     starts = (
-        rows.join(heads, "doc_id")
-        .where(F.col("text_hash") == F.col("head_hash"))
+        placed.join(heads, "doc_id")
+        # No equality of columns, which would become a second key and deal the texts again.
+        .where(F.col("text_hash").bitwiseXOR(F.col("head_hash")) == 0)
         .select(F.col("asker").alias("doc_id"), F.col("doc_id").alias("next_id"), F.expr("left(text, need)").alias("start"))
         .groupBy("doc_id", "next_id")
         .agg(F.max("start").alias("start"))
     )
     n = F.char_length("text")
     quarter = F.floor(n / 4).cast("int")
-    both = rows.join(starts, "doc_id", "left").select(
-        "doc_id",
-        "text_hash",
-        "next_id",
-        n.cast("bigint").alias("n_chars"),
-        F.explode(
-            F.array(
-                F.struct(F.lit(0).alias("edited"), F.col("text").alias("text")),
-                F.struct(
-                    F.lit(1).alias("edited"),
-                    F.concat(
-                        F.left("text", n - quarter), F.coalesce(F.left("start", quarter), F.lit(""))
-                    ).alias("text"),
-                ),
-            )
-        ).alias("v"),
-    )
-    both = both.select(
-        "doc_id", "text_hash", "next_id", "n_chars", "v.edited", "v.text",
-        F.when(F.col("v.edited") == 1, F.sha2("v.text", 256)).alias("sha"),
-    )
-    keys = ["doc_id", "text_hash", "next_id", "n_chars", "edited", "sha"]
-    prints = fingerprints(both, keys)
-    wide = prints.groupBy("doc_id", "text_hash", "next_id", "n_chars").agg(
-        F.max(F.when(F.col("edited") == 0, F.col("fingerprint"))).alias("fingerprint"),
-        F.max(F.when(F.col("edited") == 1, F.col("fingerprint"))).alias("edited_fingerprint"),
-        F.max("sha").alias("edited_sha256"),
+    wide = _both_fingerprints(placed.join(starts, "doc_id", "left")).unionByName(
+        _both_fingerprints(lost.withColumns({"next_id": F.lit(None).cast("bigint"), "start": F.lit("")}))
     )
     wide = stage(wide, "fingerprints")
     next_prints = wide.join(names, ["doc_id", "text_hash"], "left_semi").select(
