@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from harvestlake.session import scratch_path, stage
 
 __all__ = [
-    "fold", "free_name", "row_tie", "scratch_path", "small_batches", "stage", "stop_if_missing",
-    "table", "text_of",
+    "fold", "free_name", "row_tie", "sample_of_ids", "sample_of_texts", "scratch_path", "small_batches",
+    "stage", "stop_if_missing", "table", "text_of",
 ]
 
 #: Rows in one Arrow batch of the operators that hand whole texts to Python.
@@ -54,6 +54,25 @@ def stop_if_missing(df: DataFrame, *columns: str) -> None:
         raise ValueError(f"no column {', '.join(missing)} among {', '.join(df.columns)}")
 
 
+def sample_of_ids(df: DataFrame, id_column: str, n: int) -> DataFrame:
+    """The ``n`` ids with the smallest hashes, as a small written table; only ids are sorted."""
+    ids = df.select(id_column).where(F.col(id_column).isNotNull()).distinct()
+    return stage(ids.orderBy(F.xxhash64(id_column), id_column).limit(n), "sample-ids")
+
+
+def sample_of_texts(df: DataFrame, text: str, n: int) -> DataFrame:
+    """About ``n`` distinct texts of ``df``, those with small hashes, the same on every run.
+
+    The share is worked out from the number of rows; copies of a text count once, so no text
+    that very many rows repeat can swell the sample.
+    """
+    share = min(1.0, n / max(1, df.count()))
+    rows = df.select(text_of(text).alias("text")).withColumn("hash", F.xxhash64("text"))
+    if share < 1.0:
+        rows = rows.where(F.col("hash") < int(-(1 << 63) + share * (1 << 64)))
+    return rows.dropDuplicates(["hash"]).select("text")
+
+
 def small_batches(spark: SparkSession) -> None:
     """Let Arrow batches of whole texts stay small, however long the texts are on average."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harvestlake.llm.common import free_name, text_of
+from harvestlake.llm.common import free_name, sample_of_texts, text_of
 
 #: Paragraphs of the corpus that teach the unknown class.
 MAX_BACKGROUND = 4000
@@ -188,8 +188,8 @@ def _temperature(logits: np.ndarray, y: np.ndarray) -> float:
 def fit_licences(docs: DataFrame | None = None, text: str = "text", penalty: float = 2e-4, seed: int = 3) -> LicenceModel:
     """Train on the templates and a bounded sample of the paragraphs of ``docs``.
 
-    The sample is the first paragraph of those ``MAX_BACKGROUND`` documents whose texts have
-    the smallest hashes; only the n-grams that templates know of it reach the driver. Every
+    The sample is the first paragraph of about ``MAX_BACKGROUND`` distinct texts with small
+    hashes; only the n-grams that templates know of it reach the driver. Every
     fourth example is held back to fit the temperature.
     """
     examples, names = _examples(seed)
@@ -203,8 +203,7 @@ def fit_licences(docs: DataFrame | None = None, text: str = "text", penalty: flo
     known = list(dict.fromkeys(known))
     background: list[list[str]] = []
     if docs is not None:
-        sample = docs.select(text_of(text).alias("text")).where("text <> ''")
-        sample = sample.orderBy(F.xxhash64("text"), "text").limit(MAX_BACKGROUND)
+        sample = sample_of_texts(docs, text, MAX_BACKGROUND).where("text <> ''")
         paragraph = F.element_at(F.filter(F.split("text", "\n"), lambda p: F.trim(p) != ""), 1)
         hits = F.array_intersect(grams_column(F.coalesce(paragraph, F.lit(""))), F.array(*map(F.lit, known)))
         # Paragraphs that are licences themselves don't teach what is none.

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harvestlake.llm.common import free_name, text_of
+from harvestlake.llm.common import free_name, sample_of_ids, stage, text_of
 
 #: Bound of the labelled sample that the ensemble is fitted on; scoring has no bound.
 MAX_ROWS = 20_000
@@ -198,15 +198,17 @@ def fit_quality(docs: DataFrame, labels: DataFrame, held_out: Column | None = No
     """Train on ``docs`` (doc_id, text) and ``labels`` (doc_id, quality).
 
     Rows whose id makes ``held_out`` true or is null, and rows without label, take no part.
-    At most ``MAX_ROWS`` labelled rows are used, the smallest by a hash of text and id; only
+    The labels of at most ``MAX_ROWS`` ids are used, the smallest by a hash of the id; only
     their statistics reach the driver. Without labels every text scores one half.
     """
     trains = F.col("doc_id").isNotNull() & F.col("quality").isNotNull()
     if held_out is not None:
         trains = trains & ~held_out
     known = labels.where(trains).select("doc_id", F.col("quality").cast("int").alias("quality")).distinct()
-    rows = docs.select("doc_id", text_of().alias("text")).join(known, "doc_id")
-    rows = rows.orderBy(F.xxhash64("text"), "doc_id", "quality").limit(MAX_ROWS)
+    # The ids are chosen first, so that the texts are read where they are and not moved.
+    ids = sample_of_ids(known, "doc_id", MAX_ROWS)
+    sample_labels = stage(known.join(ids, "doc_id", "left_semi"), "sample-labels")
+    rows = docs.select("doc_id", text_of().alias("text")).join(sample_labels, "doc_id").limit(2 * MAX_ROWS)
     columns = statistics(F.col("text"))
     sample = rows.select("quality", *[c.alias(n) for n, c in columns.items()]).toPandas()
     x = sample[list(columns)].to_numpy(dtype=float)

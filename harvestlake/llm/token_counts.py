@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from harvestlake.llm.common import small_batches, stage, text_of
+from harvestlake.llm.common import sample_of_texts, small_batches, stage, text_of
 from harvestlake.operators.joins import join_to_one
 
 #: Texts whose pre-tokens are counted to choose the vocabulary that is sent along.
@@ -109,9 +109,7 @@ def _frequent(texts: DataFrame, definition: str) -> dict[str, int]:
         items = list(all_.items())
         yield pd.DataFrame({"pre": [w for w, _ in items], "n": [n for _, n in items]})
 
-    sample = texts.select("text").orderBy(F.xxhash64("text")).limit(SAMPLE_TEXTS)
-    # Spread again: the smallest hashes come out of the sort in one partition.
-    sample = sample.repartition(8).mapInPandas(counted, "pre string, n long")
+    sample = sample_of_texts(texts, "text", SAMPLE_TEXTS).mapInPandas(counted, "pre string, n long")
     top = sample.groupBy("pre").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pre").limit(VOCABULARY)
     words = [r["pre"] for r in top.select("pre").collect()]
     return dict(zip(words, PreTokens(definition).pieces(words), strict=True))

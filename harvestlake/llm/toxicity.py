@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from harvestlake.llm.common import free_name, small_batches, stage, text_of
+from harvestlake.llm.common import free_name, sample_of_ids, small_batches, stage, text_of
 
 #: Bounds of the sample that the classifier is fitted on; scoring has no bound.
 MAX_POSITIVE = 3000
@@ -91,12 +91,13 @@ class ToxicityModel:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, trains) -> DataFrame:
-    """(text, positive): the bounded sample, chosen by a hash of the rows."""
-    confirmed = labels.where((F.col("toxic") == 1) & trains).select("doc_id").distinct()
+    """(text, positive): the bounded sample, chosen by a hash of the ids."""
     pool = docs.where(trains)
-    order = [F.xxhash64(F.lit("toxicity"), "text"), "doc_id"]
-    positives = pool.join(confirmed, "doc_id", "left_semi").orderBy(*order).limit(MAX_POSITIVE)
-    unlabelled = pool.orderBy(*order).limit(MAX_UNLABELLED)
+    # The ids are chosen first, so that the texts are read where they are and not moved.
+    confirmed = sample_of_ids(labels.where((F.col("toxic") == 1) & trains), "doc_id", MAX_POSITIVE)
+    others = sample_of_ids(pool, "doc_id", MAX_UNLABELLED)
+    positives = pool.join(confirmed, "doc_id", "left_semi").limit(2 * MAX_POSITIVE)
+    unlabelled = pool.join(others, "doc_id", "left_semi").limit(2 * MAX_UNLABELLED)
     # A text copied many times would pass its own words off as signs of toxicity.
     return (
         positives.select("text", F.lit(1).alias("positive"))
