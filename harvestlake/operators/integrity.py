@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from harvestlake.operators.joins import join_to_one
 from harvestlake.refdata import METHODS
 from harvestlake.schemas import CHILD_TABLES, NOT_NULL
 
@@ -19,47 +20,41 @@ def _violations(df: DataFrame, table: str, rule: str, key: str) -> DataFrame:
     )
 
 
-def null_violations(df: DataFrame, table: str, key: str = "id") -> DataFrame:
-    """One row per missing value in a NOT NULL column, in a single scan."""
-    columns = [c for c in NOT_NULL[table] if c in df.columns]
-    broken = F.array_compact(
-        F.array(*[F.when(F.col(c).isNull(), F.lit(f"not null: {c}")) for c in columns])
-    )
-    return df.select(
-        F.lit(table).alias("table_name"),
-        F.explode(broken).alias("rule"),
-        F.col(key).cast("string").alias("key"),
-    )
-
-
-def method_violations(projects: DataFrame, key: str = "id") -> DataFrame:
-    bad = projects.where(~F.col("download_method").isin(METHODS))
-    return _violations(bad, "projects", "check: download_method", key)
-
-
 def duplicate_scores(scores: DataFrame) -> DataFrame:
     doubled = scores.groupBy("project_id").count().where("count > 1")
     return _violations(doubled, "relevance_scores", "unique: project_id", "project_id")
 
 
-def orphans(child: DataFrame, table: str, projects: DataFrame, key: str = "id") -> DataFrame:
-    """Child rows whose project does not exist."""
-    parents = projects.select(F.col("id").alias("project_id"))
-    missing = child.join(parents, "project_id", "left_anti")
-    return _violations(missing, table, "foreign key: project_id", key)
+def row_violations(
+    df: DataFrame, table: str, projects: DataFrame | None = None, key: str = "id"
+) -> DataFrame:
+    """All rules that a row alone, or with its project, can break, in one scan of the table.
+
+    Children are joined with one narrow row per project, the children on the side that may
+    hold very many rows per project.
+    """
+    columns = [c for c in NOT_NULL[table] if c in df.columns]
+    rules = {f"not null: {c}": F.col(c).isNull() for c in columns}
+    if table == "projects":
+        rules["check: download_method"] = ~F.col("download_method").isin(METHODS)
+    elif projects is not None and table in CHILD_TABLES:
+        parents = projects.select(F.col("id").alias("project_id"), F.lit(True).alias("_known"))
+        df = join_to_one(df, parents, ["project_id"])
+        rules["foreign key: project_id"] = F.col("_known").isNull()
+    broken = F.array_compact(F.array(*[F.when(test, F.lit(rule)) for rule, test in rules.items()]))
+    # Outer, as Spark would evaluate all rules again to test the size of an inner one.
+    return df.select(
+        F.lit(table).alias("table_name"),
+        F.explode_outer(broken).alias("rule"),
+        F.col(key).cast("string").alias("key"),
+    ).where(F.col("rule").isNotNull())
 
 
 def check_catalog(tables: dict[str, DataFrame], keys: dict[str, str] | None = None) -> DataFrame:
     """All violations in the given tables: (table_name, rule, key)."""
     keys = keys or {}
-    parts = [null_violations(df, name, keys.get(name, "id")) for name, df in tables.items()]
-    if "projects" in tables:
-        parts.append(method_violations(tables["projects"], keys.get("projects", "id")))
-        parts += [
-            orphans(tables[c], c, tables["projects"], keys.get(c, "id"))
-            for c in CHILD_TABLES
-            if c in tables
-        ]
+    projects = tables.get("projects")
+    parts = [row_violations(df, name, projects, keys.get(name, "id")) for name, df in tables.items()]
     if "relevance_scores" in tables:
         parts.append(duplicate_scores(tables["relevance_scores"]))
     return reduce(DataFrame.unionByName, parts)
