@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -328,26 +330,25 @@ def _count_words(column: str) -> str:
     return f"case when {column} = '' then 0 else len(string_split({column}, '|')) end"
 
 
-@query(
-    "a6_append_catalog",
-    _RELEVANT
-    + ", n_ as (select count(*) as p, sum("
-    + _count_words("files")
-    + ") as f, sum("
-    + _count_words("keywords")
-    + ") as k, sum("
-    + _count_words("creators")
-    + ") as c, sum(case when license <> '' then 1 else 0 end) as l from relevant_) "
-    "select t as table_name, cast(2 * n as bigint) as n_rows, cast(2 * n as bigint) as n_ids, "
-    "cast(2 * n as bigint) as highest_id from n_, lateral (values ('projects', p), ('files', f), "
-    "('keywords', k), ('person_role', c), ('licenses', l), ('relevance_scores', p)) as v(t, n)",
-)
-def append_catalog(spark, sf_dir):
-    """The same run stored twice: ids of the second batch continue after the first."""
-    store = Catalog(spark, scratch_path(spark, "catalog"))
-    records = _relevant(spark, sf_dir)
-    load_catalog(store, records, "0")
-    load_catalog(store, records, "1")
+def _table_totals_sql(times: int) -> str:
+    """Rows, distinct ids and highest id of each table when the run is stored ``times`` times."""
+    return (
+        _RELEVANT
+        + ", n_ as (select count(*) as p, sum("
+        + _count_words("files")
+        + ") as f, sum("
+        + _count_words("keywords")
+        + ") as k, sum("
+        + _count_words("creators")
+        + ") as c, sum(case when license <> '' then 1 else 0 end) as l from relevant_) "
+        f"select t as table_name, cast({times} * n as bigint) as n_rows, cast({times} * n as bigint) "
+        f"as n_ids, cast({times} * n as bigint) as highest_id from n_, lateral (values ('projects', p), "
+        "('files', f), ('keywords', k), ('person_role', c), ('licenses', l), ('relevance_scores', p)) "
+        "as v(t, n)"
+    )
+
+
+def _table_totals(store: Catalog) -> DataFrame:
     frames = [
         df.agg(
             F.count("*").alias("n_rows"),
@@ -356,7 +357,26 @@ def append_catalog(spark, sf_dir):
         ).select(F.lit(name).alias("table_name"), "n_rows", "n_ids", "highest_id")
         for name, df in store.tables().items()
     ]
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+    return reduce(DataFrame.unionByName, frames)
+
+
+@query("a6_append_catalog", _table_totals_sql(2))
+def append_catalog(spark, sf_dir):
+    """The same run stored twice: ids of the second batch continue after the first."""
+    store = Catalog(spark, scratch_path(spark, "catalog"))
+    records = _relevant(spark, sf_dir)
+    load_catalog(store, records, "0")
+    load_catalog(store, records, "1")
+    load_catalog(store, records, "1")
+    return _table_totals(store)
+
+
+@query("a9_reset_catalog", _table_totals_sql(1))
+def reset_catalog(spark, sf_dir):
+    """A run stored, all tables emptied, and the same batch stored again: ids restart."""
+    store = Catalog(spark, scratch_path(spark, "catalog"))
+    records = stage(_relevant(spark, sf_dir), "records")
+    load_catalog(store, records, "0")
+    store.reset()
+    load_catalog(store, records, "0")
+    return _table_totals(store)
