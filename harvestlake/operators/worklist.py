@@ -168,11 +168,15 @@ def classify(
     path, combining before the exchange, and joined once. A path shared by very many
     rows stays splittable.
     """
-    heads = heads.groupBy(key).agg(F.max("content_length").alias("content_length"))
-    outcomes = outcomes.groupBy(key).agg(F.bool_or("fetched").alias("fetched"))
+    # Both logs meet in one aggregation, so the plan is joined once.
+    logged = (
+        heads.select(key, "content_length")
+        .unionByName(outcomes.select(key, "fetched"), allowMissingColumns=True)
+        .groupBy(key)
+        .agg(F.max("content_length").alias("_length"), F.bool_or("fetched").alias("_fetched"))
+    )
     attempt = (
-        plan.join(heads.select(key, F.col("content_length").alias("_length")), key, "left")
-        .join(outcomes.select(key, F.col("fetched").alias("_fetched")), key, "left")
+        join_to_one(plan, logged, [key])
         .withColumn(
             "_attempt",
             F.when(exceeds_size(F.col("_length"), max_size_mb), F.lit(SKIPPED_SIZE))

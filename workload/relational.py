@@ -218,14 +218,14 @@ _MATCH_QUERIES = all_queries() + [
 ]
 
 
-def _match_sql() -> str:
+def _match_sql(queries: list[str]) -> str:
     rows = ", ".join(
         "({}, '{}', [{}])".format(
             i,
             q.replace("'", "''"),
             ", ".join("'" + t.lower().replace("'", "''") + "'" for t in query_terms(q)),
         )
-        for i, q in enumerate(_MATCH_QUERIES)
+        for i, q in enumerate(queries)
     )
     return (
         f"with q_ as (select * from (values {rows}) as v(query_idx, query, terms)), d_ as materialized "
@@ -235,7 +235,7 @@ def _match_sql() -> str:
     )
 
 
-@query("g10_query_term_match", _match_sql())
+@query("g10_query_term_match", _match_sql(_MATCH_QUERIES))
 def term_match(spark, sf_dir):
     """All fixed search queries and a few that occur in the texts, against whole texts."""
     docs = view(spark, sf_dir, "documents", "doc_id", "source", "text")
@@ -244,6 +244,29 @@ def term_match(spark, sf_dir):
     )
 
 
+# Every document gets the terms of one of the fixed queries, so that each of them has hits.
+_PLANTED = [" ".join(query_terms(q)).replace("'", "''") for q in all_queries()]
+
+
+def _planted_sql(array: str) -> str:
+    terms = ", ".join(f"'{t}'" for t in _PLANTED)
+    return f"text || ' ' || {array.format(terms)}[cast(doc_id % {len(_PLANTED)} as int) + {{}}]"
+
+
+@query(
+    "g10_planted_terms",
+    _match_sql(all_queries()).replace(
+        "from documents", f"from (select doc_id, source, {_planted_sql('([{}])').format(1)} as text from documents)"
+    ),
+)
+def planted_match(spark, sf_dir):
+    """The 67 fixed queries against whole texts that carry the terms of one of them."""
+    docs = view(spark, sf_dir, "documents", "doc_id", "source", "text").withColumn(
+        "text", F.expr(_planted_sql("array({})").format(0))
+    )
+    return match_queries(docs, all_queries(), "source", "text").select("doc_id", "query_idx", "query")
+
+
 @query(
     "g9_files_not_present",
     cte("projects", "files")
