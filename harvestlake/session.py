@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -37,8 +39,8 @@ def build_session(app_name: str = "harvestlake", master: str | None = None, **co
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder of its own: on a
-    cluster other machines could not read it.
+    Only a local session may fall back to a temporary folder of its own, deleted at
+    exit: on a cluster other machines could not read it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -48,6 +50,7 @@ def scratch_root(spark: SparkSession) -> str:
     global _local_root
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="harvestlake-")
+        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
     return _local_root
 
 

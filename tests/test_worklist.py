@@ -85,6 +85,15 @@ def test_decisions(spark):
     }
 
 
+def test_a_retried_file_has_one_decision(spark):
+    plan = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "id INT, project_id INT, path STRING")
+    nothing = spark.createDataFrame([], "path STRING")
+    heads = spark.createDataFrame([(1, 5), (1, None), (1, 7)], "id INT, content_length BIGINT")
+    outcomes = spark.createDataFrame([(1, False), (1, True), (2, False), (2, False)], "id INT, fetched BOOLEAN")
+    got = sorted((r["id"], r["new_status"]) for r in wl.classify(plan, nothing, heads, outcomes).collect())
+    assert got == [(1, "success"), (2, "failed")]
+
+
 def test_copies_of_a_record_share_a_path(spark):
     plan = spark.createDataFrame(
         [(5, 1, "p"), (6, 2, "p"), (7, 3, "p"), (8, 4, "q")], "id INT, project_id INT, path STRING"
@@ -162,6 +171,9 @@ def test_upsert_scores(spark):
     )
     got = sorted(tuple(r) for r in ledger.upsert_scores(current, new, "arrived").collect())
     assert got == [(2, 20, 4, "b"), (3, 30, 1, None), (4, 10, 8, "y")]
+    # without an order the highest score of a project is stored, once
+    got = sorted(tuple(r) for r in ledger.upsert_scores(current, new).collect())
+    assert got == [(2, 20, 4, "b"), (3, 10, 8, "y"), (4, 30, 1, None)]
 
 
 def test_update_scores(spark):
@@ -169,6 +181,18 @@ def test_update_scores(spark):
     new = spark.createDataFrame([(10, 9), (99, 1)], "project_id BIGINT, relevance_score INT")
     got = sorted(tuple(r) for r in ledger.update_scores(current, new).collect())
     assert got == [(1, 10, 9, "a"), (2, 20, 4, None)]
+    twice = spark.createDataFrame([(10, 5, 2), (10, 6, 1)], "project_id BIGINT, relevance_score INT, at INT")
+    assert [r["relevance_score"] for r in ledger.update_scores(current, twice).orderBy("id").collect()] == [6, 4]
+    assert [r["relevance_score"] for r in ledger.update_scores(current, twice, "at").orderBy("id").collect()] == [5, 4]
+
+
+def test_ties_of_status_updates_have_one_result(spark):
+    updates = spark.createDataFrame(
+        [(1, "failed", 3), (1, "success", 3), (1, "pending", 2), (2, "failed", None), (2, "pending", 1)],
+        "id INT, status STRING, updated_at INT",
+    )
+    got = sorted(tuple(r) for r in ledger.latest_status(updates.repartition(3)).collect())
+    assert got == [(1, "success"), (2, "pending")]
 
 
 def test_children_of_one_project(spark, catalog):
