@@ -13,7 +13,7 @@ import json
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from harvestlake.operators.shred import with_defaults
@@ -126,20 +126,18 @@ class Catalog:
 
     # ---- writing --------------------------------------------------------------
 
-    def _write(self, df: DataFrame, table: str, name: str) -> str:
+    def _write(self, df: DataFrame, table: str, name: str) -> tuple[str, int]:
+        """Write a new folder; its name and the highest id that went into it."""
         name = f"{name}-{uuid.uuid4().hex}"
-        writer = with_defaults(df, table)
+        seen = Observation()
+        writer = with_defaults(df, table).observe(seen, F.max("id").alias("top"))
         if table == "projects":
             writer = writer.hint("rebalance", "repository_id")
             writer = writer.write.partitionBy("repository_id")
         else:
             writer = writer.write
         writer.parquet(f"{self.base}/{table}/{name}")
-        return name
-
-    def _top(self, table: str, name: str) -> int:
-        rows = self.spark.read.schema(TABLES[table]).parquet(f"{self.base}/{table}/{name}")
-        return rows.agg(F.max("id")).first()[0] or 0
+        return name, seen.get["top"] or 0
 
     def append(
         self, tables: dict[str, DataFrame], batch: str | None = None, based_on: Version | None = None
@@ -153,8 +151,9 @@ class Catalog:
         batch = batch or uuid.uuid4().hex
         if batch in self.version().batches:
             return
-        own = {name: self._write(df, name, f"batch-{batch}") for name, df in tables.items()}
-        tops = {name: self._top(name, folder) for name, folder in own.items()}
+        written = {name: self._write(df, name, f"batch-{batch}") for name, df in tables.items()}
+        own = {name: folder for name, (folder, _) in written.items()}
+        tops = {name: top for name, (_, top) in written.items()}
         for _ in range(_TRIES):
             now = self.version()
             if batch in now.batches:
@@ -173,8 +172,7 @@ class Catalog:
         Nothing is published when the replaced rows are no longer the table's.
         """
         base = based_on or self.version()
-        name = self._write(df, table, "state")
-        top = self._top(table, name)
+        name, top = self._write(df, table, "state")
         gone = set(base.folders[table])
         for _ in range(_TRIES):
             now = self.version()
