@@ -126,13 +126,20 @@ class Catalog:
 
     # ---- writing --------------------------------------------------------------
 
-    def _write(self, df: DataFrame, table: str, name: str) -> tuple[str, int]:
+    def _write(
+        self, df: DataFrame, table: str, name: str, clustered: bool = False
+    ) -> tuple[str, int]:
         """Write a new folder; its name and the highest id that went into it."""
         name = f"{name}-{uuid.uuid4().hex}"
         seen = Observation()
         writer = with_defaults(df, table).observe(seen, F.max("id").alias("top"))
-        if table == "projects":
+        if clustered:
+            # The id is part of the range, so that a project with very many rows is split.
+            keys = ["repository_id" if table == "projects" else "project_id", "id"]
+            writer = writer.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        elif table == "projects":
             writer = writer.hint("rebalance", "repository_id")
+        if table == "projects":
             writer = writer.write.partitionBy("repository_id")
         else:
             writer = writer.write
@@ -166,13 +173,19 @@ class Catalog:
                 return
         raise CatalogChanged("too many writers at once")
 
-    def replace(self, table: str, df: DataFrame, based_on: Version | None = None) -> None:
+    def replace(
+        self,
+        table: str,
+        df: DataFrame,
+        based_on: Version | None = None,
+        clustered: bool = False,
+    ) -> None:
         """Publish ``df`` in place of the rows of a version; later batches stay.
 
         Nothing is published when the replaced rows are no longer the table's.
         """
         base = based_on or self.version()
-        name, top = self._write(df, table, "state")
+        name, top = self._write(df, table, "state", clustered)
         gone = set(base.folders[table])
         for _ in range(_TRIES):
             now = self.version()
@@ -186,9 +199,13 @@ class Catalog:
         raise CatalogChanged("too many writers at once")
 
     def compact(self, table: str) -> None:
-        """Publish the table's batches as one folder; useful after many small batches."""
+        """Publish the table's batches as one folder; useful after many small batches.
+
+        Children come out in ranges of their project, projects in ranges of their id within
+        a repository, so that lookups by key skip the files and row groups of other ranges.
+        """
         version = self.version()
-        self.replace(table, self.read(table, version=version), version)
+        self.replace(table, self.read(table, version=version), version, clustered=True)
 
     def reset(self) -> None:
         """Empty all six tables at once; ids restart, and batches may be loaded again."""
