@@ -54,6 +54,7 @@ TEMPLATES = {
     ],
     "lgpl": [
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
+        "Licensed under the GNU Lesser General Public License, version 3 or later.",
         "You can redistribute this library under the terms of the GNU Lesser General Public License",
         "SPDX-License-Identifier: LGPL-2.1-or-later",
     ],
@@ -86,7 +87,8 @@ TEMPLATES = {
     ],
     "proprietary": [
         "All rights reserved. No part of this publication may be reproduced without prior written permission.",
-        "Copyright 2020. All rights reserved.",
+        "All rights reserved.",
+        "Copyright. All rights reserved.",
         "This software is proprietary and confidential.",
     ],
 }
@@ -122,6 +124,12 @@ def grams_column(paragraph: Column) -> Column:
     return F.array_distinct(F.concat(words, pairs))
 
 
+def template_grams(template: str) -> list[str]:
+    """n-grams that confirm a template; of three words only the pairs, for two of the words say nothing."""
+    grams = grams_of(template)
+    return [g for g in grams if " " in g] if len(grams) == 5 else grams
+
+
 @dataclass
 class LicenceModel:
     families: list[str]  # the last is the unknown class
@@ -207,7 +215,7 @@ def fit_licences(docs: DataFrame | None = None, text: str = "text", penalty: flo
         paragraph = F.element_at(F.filter(F.split("text", "\n"), lambda p: F.trim(p) != ""), 1)
         hits = F.array_intersect(grams_column(F.coalesce(paragraph, F.lit(""))), F.array(*map(F.lit, known)))
         # Paragraphs that are licences themselves don't teach what is none.
-        own = [set(grams_of(t)) for texts in TEMPLATES.values() for t in texts]
+        own = [set(template_grams(t)) for texts in TEMPLATES.values() for t in texts]
         rows = [list(r["g"]) for r in sample.select(hits.alias("g")).collect()]
         background = [g for g in rows if max(len(t.intersection(g)) / len(t) for t in own) < SIMILAR]
         seen: dict[str, int] = {}
@@ -275,7 +283,7 @@ def scan(
         for name, own in TEMPLATES.items():
             shares = []
             for t in own:
-                listed = grams_of(t)
+                listed = template_grams(t)
                 shares.append(F.size(F.array_intersect(grams, F.array(*map(F.lit, listed)))) / F.lit(float(len(listed))))
             best = F.greatest(*shares) if len(shares) > 1 else shares[0]
             out = F.when(family == name, best).otherwise(out)

@@ -443,6 +443,37 @@ def test_licence_paragraphs(spark, odd, empty):
     assert licences.scan(empty, model).collect() == []
 
 
+def confirmed(spark, texts):
+    """Families that the scan confirms in each text."""
+    rng = random.Random(7)
+    docs = [(100 + i, words(rng, 40), "s") for i in range(50)]
+    df = frame(spark, docs + [(i, t, "s") for i, t in enumerate(texts)])
+    rows = licences.scan(df, licences.fit_licences(df)).where("doc_id < 100").collect()
+    found = {r["doc_id"]: sorted(p["family"] for p in r["licences"] if p["confirmed"]) for r in rows}
+    return [found[i] for i in range(len(texts))]
+
+
+def test_licences_in_other_words(spark):
+    lines = {
+        "All rights reserved.": "proprietary",
+        "© 2021 Acme. All rights reserved.": "proprietary",
+        "Copyright (c) 1998-2003 Jo Doe, all rights reserved": "proprietary",
+        "This file is licensed under the Apache License, Version 2.0.": "apache",
+        "The whole project is released under the MIT license": "mit",
+        "The tool is licensed under the GNU General Public License, version 3 or later.": "gpl",
+        "It is licensed under the GNU Lesser General Public License, version 3.": "lgpl",
+        "All of it is released under the BSD 2-Clause License.": "bsd",
+        "The module is licensed under the Mozilla Public License, version 2.0": "mpl",
+        "This article is licensed under a Creative Commons Attribution 4.0 International License": "cc-by",
+        "Pictures are licensed under CC BY-NC 4.0": "cc-by-nc",
+        "Text licensed under CC BY-SA 4.0, pictures too": "cc-by-sa",
+        "The editor has waived all copyright and related rights to this work.": "public-domain",
+        "Some rights reserved.": None,
+        "All rights to the song were sold.": None,
+    }
+    assert confirmed(spark, list(lines)) == [[f] if f else [] for f in lines.values()]
+
+
 def test_licence_scan_is_native(odd):
     out = licences.scan(odd[1], licences.fit_licences())
     plan = out._jdf.queryExecution().executedPlan().toString()
