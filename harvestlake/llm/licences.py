@@ -5,7 +5,13 @@ over the n-grams of licence templates gives each paragraph a family, or "unknown
 fitted on templates with words dropped and added, and on a bounded sample of paragraphs of
 the corpus, which teach it the unknown class. A temperature fitted on held-back examples
 calibrates the probabilities, and a family below the threshold is unknown too. A prediction
-is confirmed when the paragraph contains enough of a template of that family.
+is confirmed when the paragraph contains enough of a template of that family. What the
+templates of a family explain is then taken out of the paragraph, and what is left is asked
+again, so that a paragraph may carry several licences.
+
+Paragraphs are the lines of a text, and besides windows over its words that don't stop at
+line ends, for notices wrapped over lines. Two windows share as many words as the longest
+template has, so each notice lies whole in one.
 
 The fitting is numpy on the driver. The scan is DataFrame functions only: it needs no
 shuffle, for a document is scanned inside its own row.
@@ -31,6 +37,8 @@ COMMON = 0.002
 #: A paragraph that contains so much of a template confirms its family.
 SIMILAR = 0.6
 UNKNOWN = "unknown"
+#: Words that say little; a text without any other word of the templates confirms none.
+PLAIN = set("a all an and any are as be been by can following for has in is it may met no not of or part that the this to under use with without you".split())
 
 # What licence notices say, by family.
 TEMPLATES = {
@@ -56,6 +64,7 @@ TEMPLATES = {
         "This library is licensed under the GNU Lesser General Public License, version 2.1.",
         "Licensed under the GNU Lesser General Public License, version 3 or later.",
         "You can redistribute this library under the terms of the GNU Lesser General Public License",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
         "SPDX-License-Identifier: LGPL-2.1-or-later",
     ],
     "bsd": [
@@ -114,8 +123,15 @@ def grams_of(text: str) -> list[str]:
     return list(dict.fromkeys(words + [f"{a} {b}" for a, b in zip(words, words[1:], strict=False)]))
 
 
+def words_of(paragraph: Column) -> Column:
+    return F.regexp_extract_all(F.lower(paragraph), F.lit(_TOKEN), F.lit(0))
+
+
 def grams_column(paragraph: Column) -> Column:
-    words = F.regexp_extract_all(F.lower(paragraph), F.lit(_TOKEN), F.lit(0))
+    return grams_of_words(words_of(paragraph))
+
+
+def grams_of_words(words: Column) -> Column:
     n = F.greatest(F.size(words) - 1, F.lit(0))
     pairs = F.transform(
         F.arrays_zip(F.slice(words, 1, n).alias("a"), F.slice(words, 2, n).alias("b")),
@@ -241,6 +257,40 @@ def fit_licences(docs: DataFrame | None = None, text: str = "text", penalty: flo
     return model
 
 
+def template_words() -> int:
+    """Words of the longest template."""
+    return max(len(_PY_TOKEN.findall(t)) for own in TEMPLATES.values() for t in own)
+
+
+def telling_words(similarity: float) -> list[str]:
+    """Words of which a text must have one, or no template can be confirmed in it."""
+    telling: set[str] = set()
+    for template in (t for own in TEMPLATES.values() for t in own):
+        grams = template_grams(template)
+        words = sorted(set(_PY_TOKEN.findall(template.lower())), key=lambda w: (w in PLAIN, -len(w), w))
+        for w in words:
+            if sum(not telling.intersection(g.split()) for g in grams) < similarity * len(grams):
+                break
+            telling.add(w)
+    return sorted(telling)
+
+
+def _any_word(words: list[str]) -> str:
+    # Whole words, so that the regular expression passes over other text quickly.
+    return r"(?iu)(?<![\p{L}\p{N}])(?:" + "|".join(re.escape(w).replace(r"\-", "-") for w in words) + r")(?![\p{L}\p{N}])"
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)``, with the value computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _strings(values) -> Column:
+    """A constant array as one literal, which keeps the plan small; no value holds a line end."""
+    values = list(values)
+    return F.split(F.lit("\n".join(values)), "\n") if values else F.array().cast("array<string>")
+
+
 def scan(
     docs: DataFrame,
     model: LicenceModel,
@@ -254,21 +304,21 @@ def scan(
     Each is a struct: paragraph (number of the line, from 0), family, probability, similarity
     (largest share of a template of the family that the paragraph contains) and confirmed
     (similarity is enough). Paragraphs that are unknown, or whose probability is below
-    ``threshold``, aren't listed. Null and empty texts have none. Other columns stay.
+    ``threshold``, aren't listed. A line is listed once for each family that is confirmed in it;
+    for a family after the first, and where families share the probability, it is enough that
+    some licence is as probable as ``threshold``. A notice that runs over several lines is
+    listed if it is confirmed and none of these lines confirms the family alone, with the line
+    in which its window begins. Null and empty texts have none. Other columns stay.
     """
     anchors = model.anchors()
-    words = sorted({a.split()[0] for a in anchors})
-    # Whole words, so that the regular expression passes over other text quickly.
-    quick = r"(?iu)(?<![\p{L}\p{N}])(?:" + "|".join(re.escape(w).replace(r"\-", "-") for w in words) + r")(?![\p{L}\p{N}])"
-    paragraphs = F.transform(F.split(text_of(text), "\n"), lambda p, i: F.struct(i.alias("at"), p.alias("line")))
-    possible = F.filter(paragraphs, lambda p: p["line"].rlike(quick))
-    vocabulary = F.array(*map(F.lit, model.features)) if model.features else F.array().cast("array<string>")
-    tables = [
-        F.create_map(*[F.lit(v) for f, v in zip(model.features, model.weights[:, k], strict=True) if abs(v) > 1e-9 for v in (f, float(v))])
-        if np.abs(model.weights[:, k]).max(initial=0.0) > 1e-9
-        else None
-        for k in range(len(model.families))
-    ]
+    quick = _any_word(sorted({a.split()[0] for a in anchors}))
+    telling = telling_words(similarity)
+    vocabulary = _strings(model.features)
+    tables: list[Column | None] = []
+    for k in range(len(model.families)):
+        used = [(f, repr(float(v))) for f, v in zip(model.features, model.weights[:, k], strict=True) if abs(v) > 1e-9]
+        values = _strings(v for _, v in used).cast("array<double>")
+        tables.append(F.map_from_arrays(_strings(f for f, _ in used), values) if used else None)
 
     def logit(hits: Column, k: int) -> Column:
         if tables[k] is None:
@@ -284,66 +334,129 @@ def scan(
             shares = []
             for t in own:
                 listed = template_grams(t)
-                shares.append(F.size(F.array_intersect(grams, F.array(*map(F.lit, listed)))) / F.lit(float(len(listed))))
+                shares.append(F.size(F.array_intersect(grams, _strings(listed))) / F.lit(float(len(listed))))
             best = F.greatest(*shares) if len(shares) > 1 else shares[0]
             out = F.when(family == name, best).otherwise(out)
         return out
 
-    # Each step is an array of its own, so that nothing is computed twice.
-    with_grams = F.transform(possible, lambda p: F.struct(p["at"].alias("at"), grams_column(p["line"]).alias("grams")))
-    names = free_name([*docs.columns, found], "grams"), free_name([*docs.columns, found], "logits"), free_name([*docs.columns, found], "best")
-    rows = docs.withColumn(names[0], with_grams)
-    rows = rows.withColumn(
-        names[1],
-        F.transform(
-            F.transform(
-                names[0],
-                lambda p: F.struct(p["at"].alias("at"), p["grams"].alias("grams"), F.array_intersect(p["grams"], vocabulary).alias("hits")),
-            ),
-            lambda p: F.struct(
-                p["at"].alias("at"),
-                p["grams"].alias("grams"),
-                F.array(
-                    *[F.struct(logit(p["hits"], k).alias("logit"), F.lit(f).alias("family")) for k, f in enumerate(model.families)]
-                ).alias("all"),
-            ),
-        ),
-    )
-    best = F.transform(
-        names[1],
-        lambda p: F.struct(
-            p["at"].alias("at"), p["grams"].alias("grams"), p["all"].alias("all"), F.array_max(p["all"]).alias("top")
-        ),
-    )
-    rows = rows.withColumn(
-        names[2],
-        F.filter(
-            F.transform(
-                best,
-                lambda p: F.struct(
-                    p["at"].alias("at"),
-                    p["grams"].alias("grams"),
-                    p["top"]["family"].alias("family"),
-                    (1.0 / F.aggregate(p["all"], F.lit(0.0), lambda acc, c: acc + F.exp(c["logit"] - p["top"]["logit"]))).alias("probability"),
+    def explained(family: Column) -> Column:
+        """n-grams of all templates of the family."""
+        out = _strings([])
+        for name, own in TEMPLATES.items():
+            out = F.when(family == name, _strings(dict.fromkeys(g for t in own for g in grams_of(t)))).otherwise(out)
+        return out
+
+    def best(hits: Column, tried: Column) -> Column:
+        """The best family not tried yet: its probability, and that of any licence."""
+        scores = F.array(*[F.struct(logit(hits, k).alias("logit"), F.lit(f).alias("family")) for k, f in enumerate(model.families)])
+        left = F.filter(scores, lambda c: ~F.array_contains(tried, c["family"]))
+
+        def shares(scored: Column, top: Column) -> Column:
+            parts = F.transform(scored, lambda c: F.struct(F.exp(c["logit"] - top["logit"]).alias("e"), c["family"].alias("family")))
+            return _let(parts, lambda es: _let(
+                F.aggregate(es, F.lit(0.0), lambda acc, c: acc + c["e"]),
+                lambda total: F.struct(
+                    top["family"].alias("family"),
+                    (1.0 / total).alias("probability"),
+                    (F.aggregate(es, F.lit(0.0), lambda acc, c: acc + F.when(c["family"] == UNKNOWN, 0.0).otherwise(c["e"])) / total).alias("any"),
                 ),
-            ),
-            lambda p: (p["family"] != UNKNOWN) & (p["probability"] >= threshold),
-        ),
+            ))
+
+        return _let(left, lambda scored: _let(F.array_max(scored), lambda top: shares(scored, top)))
+
+    entry = "array<struct<family:string,probability:double,similarity:double>>"
+
+    def families(grams: Column) -> Column:
+        """The families of one paragraph; an unconfirmed one only as the first. Without hits it is unknown."""
+
+        def step(state: Column, round_: Column, top: Column) -> Column:
+            def after(share: Column) -> Column:
+                confirmed = share >= similarity
+                sure = (top["probability"] >= threshold) & ((round_ == 1) | confirmed) | (top["any"] >= threshold) & confirmed
+                own = F.array(F.struct(top["family"].alias("family"), top["probability"].alias("probability"), share.alias("similarity")))
+                return F.struct(
+                    F.array_except(state["hits"], explained(top["family"])).alias("hits"),
+                    F.concat(state["tried"], F.array(top["family"])).alias("tried"),
+                    F.when(sure, F.concat(state["found"], own)).otherwise(state["found"]).alias("found"),
+                    F.lit(True).alias("more"),
+                )
+
+            none = F.struct(state["hits"].alias("hits"), state["tried"].alias("tried"), state["found"].alias("found"), F.lit(False).alias("more"))
+            over = (top["family"] == UNKNOWN) | (top["any"] < threshold)
+            return F.when(over, none).otherwise(_let(contained(grams, top["family"]), after))
+
+        start = F.struct(
+            F.array_intersect(grams, vocabulary).alias("hits"), _strings([]).alias("tried"),
+            F.array().cast(entry).alias("found"), F.lit(True).alias("more"),
+        )
+        return F.aggregate(
+            F.array(*[F.lit(i + 1) for i in range(len(TEMPLATES))]), start,
+            lambda state, round_: F.when(
+                state["more"] & (F.size(state["hits"]) > 0), _let(best(state["hits"], state["tried"]), lambda top: step(state, round_, top))
+            ).otherwise(state),
+            lambda state: state["found"],
+        )
+
+    def spread(units: Column, *places: str) -> Column:
+        """One struct for each family of each unit."""
+        return F.flatten(F.transform(units, lambda u: F.transform(u["found"], lambda f: F.struct(
+            *[u[c].alias(c) for c in places], f["family"].alias("family"), f["probability"].alias("probability"), f["similarity"].alias("similarity")
+        ))))
+
+    body = text_of(text)
+    lines = F.transform(F.split(body, "\n"), lambda p, i: F.struct(i.alias("at"), p.alias("line")))
+    possible = F.filter(lines, lambda p: p["line"].rlike(quick))
+    of_lines = spread(
+        F.transform(possible, lambda p: F.struct(p["at"].alias("at"), _let(grams_column(p["line"]), families).alias("found"))), "at"
     )
-    rows = rows.withColumn(
-        found,
-        F.transform(
-            F.transform(
-                names[2],
-                lambda p: F.struct(
-                    p["at"].alias("paragraph"), p["family"].alias("family"), p["probability"].alias("probability"),
-                    contained(p["grams"], p["family"]).alias("similarity"),
-                ),
-            ),
-            lambda p: F.struct(
-                p["paragraph"].alias("paragraph"), p["family"].alias("family"), p["probability"].alias("probability"),
-                p["similarity"].alias("similarity"), (p["similarity"] >= similarity).alias("confirmed"),
+
+    # Windows over the words of all lines, each with its first and last line.
+    span = template_words()
+
+    def line_of(sizes: Column, place: Column) -> Column:
+        """The line that holds the word at ``place``, from 0."""
+        end = F.aggregate(
+            sizes, F.struct(F.lit(0).alias("words"), F.lit(0).alias("line")),
+            lambda acc, n: F.struct(
+                (acc["words"] + n).alias("words"), (acc["line"] + F.when(acc["words"] + n <= place, 1).otherwise(0)).alias("line")
             ),
-        ),
-    )
-    return rows.drop(*names)
+        )
+        return end["line"]
+
+    def windows(by_line: Column) -> Column:
+        def listed(words: Column) -> Column:
+            starts = F.sequence(F.lit(0), F.greatest(F.size(words) - span - 1, F.lit(0)), F.lit(span))
+            own = F.transform(starts, lambda s: F.struct(s.alias("start"), F.slice(words, s + 1, 2 * span).alias("words")))
+            own = F.filter(own, lambda w: F.arrays_overlap(w["words"], _strings(telling)))
+            out = spread(F.transform(own, lambda w: F.struct(w["start"].alias("start"), _let(grams_of_words(w["words"]), families).alias("found"))), "start")
+            out = F.filter(out, lambda w: w["similarity"] >= similarity)
+            sizes = F.transform(by_line, F.size)
+            return _let(sizes, lambda n: _let(F.size(words), lambda all_: F.transform(out, lambda w: F.struct(
+                line_of(n, w["start"]).alias("at"),
+                line_of(n, F.least(w["start"] + 2 * span, all_) - 1).alias("until"),
+                *[w[c].alias(c) for c in ("start", "family", "probability", "similarity")],
+            ))))
+
+        return _let(F.flatten(by_line), listed)
+
+    none = "array<struct<at:int,until:int,start:int,family:string,probability:double,similarity:double>>"
+    of_windows = F.when(
+        body.rlike(_any_word(telling)), _let(F.transform(F.split(body, "\n"), words_of), windows)
+    ).otherwise(F.array().cast(none))
+
+    # Each step is an array of its own, so that nothing is computed twice.
+    names = free_name([*docs.columns, found], "of_lines"), free_name([*docs.columns, found], "of_windows")
+    rows = docs.withColumn(names[0], of_lines).withColumn(names[1], of_windows)
+    own, wide = F.col(names[0]), F.col(names[1])
+    # The window before has the family already, or a line of this one confirms it.
+    new = F.filter(wide, lambda w: ~F.exists(wide, lambda v: (v["start"] == w["start"] - span) & (v["family"] == w["family"])) & ~F.exists(
+        own, lambda p: (p["family"] == w["family"]) & (p["similarity"] >= similarity) & p["at"].between(w["at"], w["until"])
+    ))
+    both = F.concat(*[
+        F.transform(part, lambda p: F.struct(
+            p["at"].alias("paragraph"), p["family"].alias("family"), p["probability"].alias("probability"),
+            p["similarity"].alias("similarity"), (p["similarity"] >= similarity).alias("confirmed"),
+        ))
+        for part in (own, new)
+    ])
+    return rows.withColumn(found, both).drop(*names)

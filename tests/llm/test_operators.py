@@ -474,6 +474,34 @@ def test_licences_in_other_words(spark):
     assert confirmed(spark, list(lines)) == [[f] if f else [] for f in lines.values()]
 
 
+def test_licences_over_lines_and_several_in_one(spark):
+    gpl = """
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version."""
+    lgpl = """
+# This library is free software; you can redistribute it and/or
+# modify it under the terms of the GNU Lesser General Public
+# License as published by the Free Software Foundation; either
+# version 2.1 of the License, or (at your option) any later version."""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:"""
+    rng = random.Random(8)
+    texts = {
+        gpl: ["gpl"],
+        lgpl: ["lgpl"],
+        bsd: ["bsd"],
+        words(rng, 200) + "\n" + bsd + "\n" + words(rng, 70) + gpl + "\n" + words(rng, 90): ["bsd", "gpl"],
+        bsd.replace(" ", "\n"): ["bsd"],
+        "Released under the MIT License. Pictures are licensed under CC BY 4.0.": ["cc-by", "mit"],
+        "Licensed under either the Apache License, Version 2.0 or the MIT license.": ["apache", "mit"],
+        "Licensed under the Apache License,\nVersion 2.0.\n" + words(rng, 40) + "\nAll rights reserved.": ["apache", "proprietary"],
+    }
+    assert confirmed(spark, list(texts)) == list(texts.values())
+
+
 def test_licence_scan_is_native(odd):
     out = licences.scan(odd[1], licences.fit_licences())
     plan = out._jdf.queryExecution().executedPlan().toString()
