@@ -39,7 +39,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of each document of the mixture, with the round trip and parity checks."""
-    coded = encode_documents(docs, tokenizer_path("piece_bpe_32k.model"), verify_every=20)
+    coded = encode_documents(docs, tokenizer_path("piece_bpe_32k.model"))
     return coded.select("doc_id", "source", "piece_ids", "piece_facts.*")
 
 

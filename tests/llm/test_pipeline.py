@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
-from harvestlake.llm.queries import tokenizer_path
+from harvestlake.llm.queries import QUERIES, tokenizer_path
 from tests.llm.test_operators import brute_components, words
 
 SCHEMA = "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG"
@@ -81,3 +81,10 @@ def test_stages_keep_columns_and_take_empty_tables(spark, corpus):
         assert out.count() == 0
         if name != corpus_pipeline.STAGES[-1][0]:
             assert out.columns == docs.columns
+
+
+def test_parity_is_asked_for_every_text(spark, corpus):
+    folder = corpus[0]
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for out in (QUERIES["op6_sentencepiece"](spark, folder), corpus_pipeline.encoding(spark, docs, folder)):
+        assert [r["parity"] for r in out.select("parity").collect()] == [True] * docs.count()
