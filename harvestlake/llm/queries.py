@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from harvestlake.llm import (
     exact_dedup,
+    hard_negatives,
+    language,
     licences,
     mixing,
     near_dedup,
     quality,
     sentencepiece,
     simhash,
+    spelling,
     token_counts,
     toxicity,
     warc,
@@ -191,3 +194,87 @@ def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+HARD_NEGATIVES_SQL = """
+with v as (
+  select vec_id, cast(coalesce(case when vec_id % 7 = 0 then (label + 1) % 10 end, label) as bigint) as label,
+    list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e
+  from embeddings where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as anchor_id, a.label as anchor_label, b.vec_id as id, b.label,
+    cast(list_inner_product(a.e, b.e) as bigint) as score
+  from v a, v b where a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+p as (
+  select anchor_id, id as positive_id, score as positive_score from s where label = anchor_label
+  qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select p.anchor_id, positive_id, cast(row_number() over w as int) as rank, s.id as negative_id,
+  positive_score, s.score as negative_score
+from p join s on s.anchor_id = p.anchor_id and s.label <> s.anchor_label
+  and 30 * positive_score <= 100 * s.score and 100 * s.score <= 90 * positive_score
+window w as (partition by p.anchor_id, positive_id order by s.score desc, s.id)
+qualify row_number() over w <= 10
+"""
+
+
+@query("op11_hard_negatives", HARD_NEGATIVES_SQL)
+def hard_negatives_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+    rows = hard_negatives.prepared(table(spark, sf_dir, "embeddings"), moved)
+    return hard_negatives.mine(rows, rows.where(F.col("vec_id") % 100 == 0))
+
+
+SPELLING_SQL = """
+with recursive bits(b, k, x) as (
+  select b, 0, cast(b as ubigint) from range(256) t(b)
+  union all select b, k + 1, case when x % 2 = 1 then xor(x >> 1, 3988292384::ubigint) else x >> 1 end from bits where k < 8),
+crc as (select list(x order by b) as x from bits where k = 8),
+runs as (
+  select doc_id, run, count(*) as n from (
+    select doc_id, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) as run
+    from documents) where length(run) >= 7 group by doc_id, run),
+h as (
+  select run, n, cast(xor(list_reduce(list_prepend(4294967295::ubigint, list_transform(range(0, strlen(key) ),
+      lambda i: cast(('0x' || substr(hex(encode(key)), cast(2 * i + 1 as int), 2))::int as ubigint))),
+    lambda a, b: xor(a >> 8, list_extract(crc.x, cast(xor(a, b) & 255 as bigint) + 1))), 4294967295::ubigint) as bigint) as h
+  from (select *, coalesce(cast(doc_id as varchar), '') || ':' || run as key from runs), crc),
+w as (
+  select word, cast(sum(n) as bigint) as n from (
+    select case when h % 31 = 0 then left(run, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, n from h)
+  where length(word) >= 7 group by word having sum(n) >= 2),
+d as (
+  select word, n, i, left(word, i - 1) || substr(word, i + 1) as less, left(word, i - 1) || '_' || substr(word, i + 1) as hole
+  from (select word, n, unnest(range(1, length(word) + 1)) as i from w)),
+l as (
+  select a.word as u, b.word as v, b.n from d a join d b on a.hole = b.hole and a.word <> b.word
+  union select a.word, b.word, b.n from d a join w b on a.less = b.word
+  union select b.word, a.word, a.n from d a join w b on a.less = b.word),
+best as (select u, count(*) as n_near, max(n) as top, arg_min(v, (-n, v)) as v from l group by u),
+f as (
+  select w.word, case when top >= 10 * w.n then v end as form, w.n, coalesce(n_near, 0) as n_near,
+    case when top >= 10 * w.n then top end as form_n
+  from w left join best on best.u = w.word),
+r(word, root) as (
+  select word, word from f union all select r.word, f.form from r join f on f.word = r.root where f.form is not null)
+select f.word, form, coalesce(last_.root, f.word) as root, f.n, n_near, form_n
+from f left join (select r.word, r.root from r join f on f.word = r.root where f.form is null) last_ on last_.word = f.word
+"""
+
+
+@query("op12_spelling", SPELLING_SQL)
+def spelling_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op13_language")
+def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold("doc_id", 3) == 1
+    model = language.fit_languages(docs, held_out)
+    return language.label_documents(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+        F.size("language.spans").alias("n_spans"),
+    )
