@@ -49,7 +49,7 @@ def prepared(rows: DataFrame, relabel: Column | None = None) -> DataFrame:
     return rows.where(F.col("label").isNotNull() & F.col("embedding").isNotNull() & ~bad).select(
         F.col("vec_id").cast("bigint").alias("vec_id"),
         F.coalesce(relabel if relabel is not None else F.col("label"), F.col("label")).cast("bigint").alias("label"),
-        F.col("embedding").cast("array<double>").alias("vector"),
+        F.col("embedding").alias("vector"),
     )
 
 
