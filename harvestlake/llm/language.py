@@ -16,6 +16,7 @@ exit language, then, with entries known, once for the path itself.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -73,6 +74,7 @@ _WORDS = re.compile(
     )
     + f"|{_LETTER}"
 )
+_ONE_LETTER = re.compile(_LETTER)
 _RANGES = [(name, re.compile(f"[{ranges}]")) for name, ranges, _ in SCRIPTS]
 
 
@@ -100,6 +102,8 @@ class LanguageModel:
     #: language that is most frequent among the rows learned from
     usual: int = 0
     switch: float = SWITCH
+    #: tells models apart in worker processes
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
     def score_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(words, languages): 0 for a word's best language, down to ``-MOST``; and which words are known.
@@ -272,6 +276,9 @@ class Labeller:
     def _spans(self, text: str, path: np.ndarray) -> list[tuple[int, int, str]]:
         """(begin, end, language) in code points: from a span's first word to the end of its last."""
         turns = np.flatnonzero(np.diff(path, prepend=-1))
+        if len(turns) == 1:  # nearly all texts: no need to find every word again
+            end = next(i for i in range(len(text), 0, -1) if _ONE_LETTER.match(text, i - 1))
+            return [(_ONE_LETTER.search(text).start(), end, self.model.languages[path[0]])]
         ends = np.append(turns[1:], len(path)) - 1
         wanted = set(turns.tolist()) | set(ends.tolist())
         places = {i: m.span() for i, m in enumerate(_WORDS.finditer(text)) if i in wanted}
@@ -280,6 +287,17 @@ class Labeller:
         ]
 
 
+#: The labeller of this worker process, which its tasks share: words are scored once, not per task.
+_labeller: Labeller | None = None
+
+
+def labeller_of(model: LanguageModel, spans: bool) -> Labeller:
+    global _labeller
+    if _labeller is None or (_labeller.model.key, _labeller.spans) != (model.key, spans):
+        _labeller = Labeller(model, spans)
+    return _labeller
+
+
 def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """N-gram counts and letters per script (key ``\\tscript``) of each language in this task."""
     counts: dict[str, Counter] = {}
@@ -382,7 +400,7 @@ def _column(spark: SparkSession, model: LanguageModel, text: Column, spans: bool
 
     @F.pandas_udf("lang string, score double, spans array<struct<begin:int,end:int,lang:string>>")
     def label(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        labeller = Labeller(shared.value, spans)
+        labeller = labeller_of(shared.value, spans)
         for texts in batches:
             told = labeller.label(texts.tolist())
             yield pd.DataFrame(
