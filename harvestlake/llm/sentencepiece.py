@@ -107,6 +107,12 @@ class PieceModel:
             raise ValueError("only unigram and BPE models can be rebuilt")
         return model
 
+    def bytes_of(self, piece: str, kind: int) -> bytes:
+        """What a piece stands for in a decoded text."""
+        if kind == BYTE and self.byte_fallback:
+            return bytes([int(piece[3:5], 16)])  # written <0x..>
+        return (piece.replace(SPACE, " ") if self.escape else piece).encode("utf-8")
+
     def merges(self) -> list[tuple[str, str]]:
         """BPE merges: each piece's splits into two pieces, best piece first.
 
@@ -174,7 +180,11 @@ class Codec:
         os.environ["RAYON_NUM_THREADS"] = str(threads)
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         self.data, self.threads = model, threads
-        self.tokenizer = PieceModel.parse(model).build()
+        parsed = PieceModel.parse(model)
+        self.tokenizer = parsed.build()
+        self.dummy_prefix = parsed.dummy_prefix
+        #: the bytes that each id stands for
+        self.bytes = [parsed.bytes_of(p, kind) for p, _, kind in parsed.pieces]
         self._own = None
 
     def _packs(self, texts: list[str]) -> Iterator[list[str]]:
@@ -196,6 +206,14 @@ class Codec:
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
+    def round_trip(self, text: str, ids: list[int]) -> bool:
+        """Whether the ids stand for the text's bytes: what ``decode`` asks, without making texts."""
+        table = self.bytes
+        back = b"".join([table[i] for i in ids])
+        if self.dummy_prefix:
+            back = back.removeprefix(b" ")
+        return back == text.encode("utf-8")
+
     def same_as_library(self, text: str, ids: list[int]) -> bool:
         """Whether the SentencePiece library gives the same ids."""
         if self._own is None:
@@ -205,6 +223,17 @@ class Codec:
         return self._own.encode(text) == ids
 
 
+#: The codec of this worker process, which its tasks share; building the merges takes a while.
+_codec: Codec | None = None
+
+
+def codec_of(model: bytes, threads: int = THREADS) -> Codec:
+    global _codec
+    if _codec is None or (_codec.data, _codec.threads) != (model, threads):
+        _codec = Codec(model, threads)
+    return _codec
+
+
 def encode_documents(
     docs: DataFrame,
     model_path: str,
@@ -217,7 +246,7 @@ def encode_documents(
     """``docs`` with ``piece_ids`` and ``piece_facts`` (n_pieces, round_trip, parity).
 
     Whole texts are encoded, without begin or end pieces; null and empty texts have no pieces.
-    ``round_trip``: decoding the ids gives the text back. ``parity``: the SentencePiece
+    ``round_trip``: the ids stand for the text's bytes. ``parity``: the SentencePiece
     library gives the same ids; null where it was not asked. It is asked for every text whose
     hash is divisible by ``verify_every``. The model is read once on the driver and sent
     along; its size is that of its file. Other columns stay as they are.
@@ -237,22 +266,16 @@ def encode_documents(
 
     @F.pandas_udf(kind)
     def encoded(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        codec = Codec(shared.value, threads)
+        codec = codec_of(shared.value, threads)
         for texts, asked in batches:
-            texts = list(texts)
-            ids = list(codec.encode(texts))
-            back = codec.decode(ids)
-            yield pd.DataFrame(
-                {
-                    "ids": ids,
-                    "n_pieces": [len(i) for i in ids],
-                    "round_trip": [a == b for a, b in zip(texts, back, strict=True)],
-                    "parity": [
-                        codec.same_as_library(t, i) if ask else None
-                        for t, i, ask in zip(texts, ids, asked, strict=True)
-                    ],
-                }
-            )
+            # Equal texts of a batch are encoded and checked once.
+            first = {text: None for text in texts}
+            ask = dict(zip(texts, asked, strict=True))
+            for text, ids in zip(first, codec.encode(list(first)), strict=True):
+                parity = codec.same_as_library(text, ids) if ask[text] else None
+                first[text] = (ids, len(ids), codec.round_trip(text, ids), parity)
+            rows = [first[text] for text in texts]
+            yield pd.DataFrame(dict(zip(("ids", "n_pieces", "round_trip", "parity"), map(list, zip(*rows, strict=True)), strict=True)))
 
     done = free_name([*docs.columns, pieces, facts], "encoded")
     asked = F.pmod(F.xxhash64(text_of(text)), F.lit(verify_every)) == 0
@@ -272,7 +295,7 @@ def decode_documents(docs: DataFrame, model_path: str, pieces: str = "piece_ids"
 
     @F.pandas_udf("string")
     def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        codec = Codec(shared.value)
+        codec = codec_of(shared.value)
         for ids in batches:
             known = [None if i is None else list(i) for i in ids]
             texts = iter(codec.decode([i for i in known if i is not None]))
