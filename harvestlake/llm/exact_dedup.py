@@ -8,6 +8,10 @@ next level, which deals them anew with another hash; texts it holds are still me
 A text is therefore either wholly in one table or wholly in the spill, and the recursion
 ends when a level spills nothing. Each table takes at least one text, so it does end.
 
+The fan-out of every level follows from the bytes it deals: so many buckets that tables are
+half full on average. The first level takes all texts that fit such tables, a second what
+chance or a wrong guess about copies left over; more texts mean more buckets, not more levels.
+
 Before the first shuffle every task merges the copies inside each of its chunks, so a
 text that a third of all rows repeat reaches its bucket once per chunk, not per row.
 """
@@ -169,7 +173,8 @@ def distinct_texts(
     the greatest hash over the carried columns). Null text counts as empty and equals it.
     ``carry`` may contain ``text``. Rows that are equal in everything count as copies. An
     empty frame gives an empty frame. Texts that differ in one byte differ. The result is
-    read from tables in the shared folder.
+    read from tables in the shared folder, one per level, which stay there with the texts that
+    spilled until whoever owns the folder removes them.
     """
     stop_if_missing(docs, text, rank, *carry)
     spark = docs.sparkSession
@@ -195,16 +200,18 @@ def distinct_texts(
     out_schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in fields])
 
     done, level, pending = [], 0, merged
+    size = docs.agg(F.sum(F.octet_length(text_of(text)))).first()[0] or 0
     while True:
         # Each level deals by a hash of its own: the bits of the levels above are alike in a bucket.
         bucket = F.xxhash64(F.col("hash"), F.lit(level))
         resolve = _resolve(_arrow(out_schema), table_bytes, text in carry)
         path = scratch_path(spark, f"exact-dedup-{level}")
-        pending.repartition(bucket).mapInArrow(resolve, out_schema).write.parquet(path)
+        _dealt(pending, bucket, size, table_bytes).mapInArrow(resolve, out_schema).write.parquet(path)
         written = spark.read.schema(out_schema).parquet(path)
         done.append(written.where(~F.col("spilled")))
         spilled = written.where("spilled")
-        if spilled.isEmpty():
+        size = spilled.agg(F.sum(F.octet_length("text") + 64)).first()[0]
+        if size is None:
             break
         pending, level = spilled.drop("spilled"), level + 1
 
@@ -220,6 +227,14 @@ def distinct_texts(
     )
 
 
+def _dealt(rows: DataFrame, bucket, size: int, table_bytes: int) -> DataFrame:
+    """``rows`` dealt to buckets whose tables are half full on average."""
+    buckets = -(-2 * size // table_bytes)
+    if buckets <= int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return rows.repartition(bucket)  # as many as there are anyway; small ones are merged
+    return rows.repartition(buckets, bucket)
+
+
 def _arrow(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 
