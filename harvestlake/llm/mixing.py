@@ -123,6 +123,20 @@ def source_weights(
     return weighted.select("source", "tokens", "weight", F.round(owed).cast("bigint").alias("owed"))
 
 
+def _numbered(facts: DataFrame, repeats: DataFrame) -> DataFrame:
+    """``facts`` with a key of its own for each of several equal rows.
+
+    The numbers are those of the rows of a written table, so they are the same in every scan;
+    equal rows may take each other's. With keys of their own they are dealt to all blocks.
+    """
+    marked = join_to_one(facts, repeats, ["p_key"])
+    single = marked.where(F.col("p_copies").isNull()).select(*facts.columns)
+    several = marked.where(F.col("p_copies").isNotNull()).withColumn("p_copy", F.monotonically_increasing_id())
+    several = stage(several.select(*facts.columns, "p_copy"), "mix-repeated")
+    own = F.xxhash64("p_key", "p_copy")
+    return single.unionByName(several.withColumn("p_key", own).drop("p_copy"))
+
+
 def mix(
     docs: DataFrame,
     source: str = "source",
@@ -143,8 +157,9 @@ def mix(
     its budget is spent, so it pays at least what it owes and less than one document more.
     Documents without tokens (null and empty texts) cost nothing and are in every whole epoch
     and in each full block; a source without any token is given once. Repeated rows count as
-    documents of their own; rows that tie in everything share their place. An empty frame
-    gives an empty frame. The order depends on the rows and the seed only.
+    documents of their own, each with a place of its own; which of them comes where isn't fixed.
+    An empty frame gives an empty frame. The order depends on the rows and the seed only. By
+    default a token is a run between white space; pass ``tokens`` for texts without spaces.
     """
     count = word_count(text_of(text)) if tokens is None else tokens.cast("bigint")
     src, key = F.col("p_source"), F.col("p_key")
@@ -157,6 +172,10 @@ def mix(
         count.alias("p_tokens"),
     )
     narrow = stage(facts.select("p_source", "p_key", "p_tokens"), "mix-facts")
+    repeats = stage(narrow.groupBy("p_key").agg(F.count("*").alias("p_copies")).where("p_copies > 1"), "mix-repeats")
+    if not repeats.isEmpty():
+        facts = _numbered(facts, repeats)
+        narrow = stage(facts.select("p_source", "p_key", "p_tokens"), "mix-facts")
     sizes = stage(
         narrow.groupBy(src.alias("source")).agg(F.sum("p_tokens").alias("tokens"), F.count("*").alias("n")), "mix-sizes"
     )
@@ -184,6 +203,7 @@ def mix(
     # The last epoch: blocks in its order, as far as the rest of the budget goes.
     by_block = dealt.groupBy("p_name", "block", "epochs", "rest").agg(F.sum("p_tokens").alias("tokens"))
     order = Window.partitionBy("p_name").orderBy(F.xxhash64("p_name", "block", "epochs"), "block")
+    order = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = by_block.withColumn("before", F.sum("tokens").over(order) - F.col("tokens"))
     last = stage(
         before.where("before < rest").select(
@@ -195,6 +215,7 @@ def mix(
     # In the block where the budget ends, the documents up to this place are due.
     place_in = F.struct(inside(F.col("epochs")).alias("h"), F.col("p_key").alias("k"))
     run = Window.partitionBy("p_name", "block").orderBy(inside(F.col("epochs")), "p_key")
+    run = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cut = (
         join_to_one(dealt, last.where("left < tokens").drop("tokens"), ["p_name", "block"], "inner")
         .withColumn("spent", F.sum("p_tokens").over(run) - F.col("p_tokens"))
