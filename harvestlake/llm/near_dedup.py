@@ -21,10 +21,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harvestlake.llm.common import free_name, small_batches, stage, text_of
+from harvestlake.llm.common import free_name, row_tie, small_batches, stage, text_of
 from harvestlake.llm.components import components
 from harvestlake.operators.joins import join_to_one
 
@@ -34,6 +34,8 @@ ROWS = 6
 SMALL = 16
 #: Rows of a block.
 BLOCK = 128
+# Stands for a missing id, before all others.
+_NO_ID = -(1 << 63)
 
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 
@@ -349,11 +351,11 @@ def near_groups(
     id take part as if they had the smallest ids of all, and are reported with a null id.
     """
     rows = docs.select(
-        F.coalesce(F.col(f"`{id_column}`").cast("bigint"), F.lit(-(1 << 63))).alias("node"),
+        F.coalesce(F.col(f"`{id_column}`").cast("bigint"), F.lit(_NO_ID)).alias("node"),
         text_of(text).alias("text"),
     )
     out = similar_rows(rows, words, percent, **options)
-    named = lambda c: F.when(F.col(c) != -(1 << 63), F.col(c))
+    named = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
     return out.select(
         named("node").alias("doc_id"),
         "n_shingles",
@@ -363,10 +365,15 @@ def near_groups(
 
 
 def similar_rows(rows: DataFrame, words: int, percent: int, **options) -> DataFrame:
-    """``similar_classes`` for rows that may repeat a node: one node per distinct text and id."""
+    """``similar_classes`` for rows that may repeat a node: one node per distinct text and id.
+
+    ``head`` marks the node that stands for its class, ``hash`` tells apart the texts of a
+    repeated id (null where no id repeats).
+    """
     repeats = rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1")
     if repeats.isEmpty():
-        return similar_classes(rows, words, percent, **options)
+        found = similar_classes(rows, words, percent, **options)
+        return found.select("*", (F.col("node") == F.col("component")).alias("head"), F.lit(None).cast("bigint").alias("hash"))
     # Repeated ids: number the rows by id and text, keep the order of the ids, and go back.
     keyed = rows.withColumn("hash", F.xxhash64("text"))
     names = stage(
@@ -379,8 +386,11 @@ def similar_rows(rows: DataFrame, words: int, percent: int, **options) -> DataFr
     named = join_to_one(found, ids, ["node"], "inner").join(
         ids.select(F.col("node").alias("component"), F.col("id").alias("component_id")), "component"
     )
-    by_text = named.select(F.col("id").alias("node"), "hash", "n_shingles", F.col("component_id").alias("component"))
-    return keyed.select("node", "hash").join(by_text, ["node", "hash"]).drop("hash")
+    by_text = named.select(
+        F.col("id").alias("node"), "hash", "n_shingles", F.col("component_id").alias("component"),
+        (F.col("node") == F.col("component")).alias("head"),
+    )
+    return keyed.select("node", "hash").join(by_text, ["node", "hash"]).select("node", "n_shingles", "component", "head", "hash")
 
 
 def drop_near_copies(
@@ -388,12 +398,21 @@ def drop_near_copies(
 ) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: that with the smallest id.
 
-    The columns stay as they are. Of rows that share that id, the one with the smallest hash
-    over all columns stays. Texts without words are linked with nothing and all stay.
+    The columns stay as they are. Where an id repeats with several texts, the row with the text
+    that stands for the group stays; of rows alike in id and text, the one with the smallest
+    hash over all columns. Texts without words are linked with nothing and all stay.
     """
-    groups = near_groups(docs, id_column, text, words, percent, **options)
-    kept = groups.where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
     own = free_name(docs.columns, "kept_id")
-    kept = kept.withColumnRenamed("_kept_id", own)
-    return docs.join(kept, docs[id_column].eqNullSafe(kept[own]), "left_semi")
-
+    mark = free_name([*docs.columns, own], "kept_hash")
+    node = F.coalesce(F.col(f"`{id_column}`").cast("bigint"), F.lit(_NO_ID))
+    rows = docs.select(node.alias("node"), text_of(text).alias("text"))
+    found = stage(similar_rows(rows, words, percent, **options).where("head").distinct(), "heads")
+    ids = docs.withColumn(own, node)
+    if found.where(F.col("hash").isNotNull()).isEmpty():
+        return ids.join(found.select(F.col("node").alias(own)), own, "left_semi").select(*docs.columns)
+    number = free_name([*docs.columns, own, mark], "number")
+    kept = found.select(F.col("node").alias(own), F.col("hash").alias(mark), (F.col("n_shingles") > 0).alias(number))
+    staying = ids.withColumn(mark, F.xxhash64(text_of(text))).join(kept, [own, mark])
+    alike = Window.partitionBy(own, mark).orderBy(row_tie(docs))
+    first = F.when(F.col(number), F.row_number().over(alike)).otherwise(1)
+    return staying.withColumn(number, first).where(F.col(number) == 1).select(*docs.columns)
