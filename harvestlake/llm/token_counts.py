@@ -14,6 +14,7 @@ vocabulary changes what is moved, never the result.
 from __future__ import annotations
 
 import json
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,6 +35,27 @@ LONGEST = 48
 OUT_ROWS = 20_000
 
 
+def odd_characters(pattern: str) -> str:
+    """Ranges of code points that a class in ``pattern`` takes in one library's Unicode version only.
+
+    Both versions agree on ASCII, which the texts' fast way relies on.
+    """
+    from tokenizers import Regex, pre_tokenizers
+
+    every = "".join(map(chr, (c for c in range(0x110000) if not 0xD800 <= c < 0xE000)))
+    odd: set[str] = set()
+    for name in sorted(set(regex.findall(r"\\[pP]\{\^?\w+\}|\\[swdSWD]", pattern))):
+        theirs = pre_tokenizers.Split(Regex(name), "removed", invert=True).pre_tokenize_str(every)
+        odd ^= {c for piece, _ in theirs for c in piece} ^ set(regex.findall(name, every))
+    codes = sorted(map(ord, odd))
+    if codes and codes[0] < 128:
+        raise ValueError("the pattern takes ASCII otherwise than the tokenizer")
+    known = set(codes)
+    first = [c for c in codes if c - 1 not in known]
+    last = [c for c in codes if c + 1 not in known]
+    return "".join(f"\\U{a:08x}-\\U{z:08x}" for a, z in zip(first, last, strict=True))
+
+
 class PreTokens:
     """Normalising and splitting of one tokenizer, and the piece counts of its pre-tokens.
 
@@ -41,14 +63,20 @@ class PreTokens:
     byte-level ones; others are refused when the file is read.
     """
 
-    def __init__(self, definition: str):
-        from tokenizers import Tokenizer
+    def __init__(self, definition: str, odd: str | None = None):
+        from tokenizers import Regex, Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         told = json.loads(definition)
-        self.split = regex.compile(self._pattern(told["pre_tokenizer"]))
+        pattern = self._pattern(told["pre_tokenizer"])
+        self.split = regex.compile(pattern)
+        #: The tokenizer's own splitter, slower, for texts with characters that only one of the
+        #: two Unicode versions knows.
+        self.own_split = pre_tokenizers.Split(Regex(pattern), "removed", invert=True)
+        self.odd = odd_characters(pattern) if odd is None else odd
+        self.has_odd = re.compile(f"[{self.odd}]").search if self.odd else lambda text: None
         self.normalizer = self.tokenizer.normalizer
         #: Special strings count as one token wherever they stand in a text.
         self.special = [t["content"] for t in told.get("added_tokens", [])]
@@ -91,18 +119,23 @@ class PreTokens:
         found: Counter = Counter()
         for part in parts:
             if part:
-                found.update(self.split.findall(self.normalizer.normalize_str(part) if self.normalizer else part))
+                found.update(self.pre_tokens(self.normalizer.normalize_str(part) if self.normalizer else part))
         return special, found
 
+    def pre_tokens(self, text: str) -> list[str]:
+        if not text.isascii() and self.has_odd(text):
+            return [piece for piece, _ in self.own_split.pre_tokenize_str(text)]
+        return self.split.findall(text)
+
     def pieces(self, pre_tokens: list[str]) -> list[int]:
         return [len(e.ids) for e in self.piecer.encode_batch_fast(pre_tokens, add_special_tokens=False)]
 
 
-def _frequent(texts: DataFrame, definition: str) -> dict[str, int]:
+def _frequent(texts: DataFrame, definition: str, odd: str) -> dict[str, int]:
     """The most frequent pre-tokens of a bounded sample, with their piece counts."""
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, all_ = PreTokens(definition), Counter()
+        own, all_ = PreTokens(definition, odd), Counter()
         for frame in frames:
             for text in frame["text"]:
                 all_.update(w for w in own.count(text)[1] if len(w) <= LONGEST)
@@ -112,7 +145,7 @@ def _frequent(texts: DataFrame, definition: str) -> dict[str, int]:
     sample = sample_of_texts(texts, "text", SAMPLE_TEXTS).mapInPandas(counted, "pre string, n long")
     top = sample.groupBy("pre").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "pre").limit(VOCABULARY)
     words = [r["pre"] for r in top.select("pre").collect()]
-    return dict(zip(words, PreTokens(definition).pieces(words), strict=True))
+    return dict(zip(words, PreTokens(definition, odd).pieces(words), strict=True))
 
 
 def token_counts(
@@ -133,11 +166,12 @@ def token_counts(
     rows = rows.select(
         "doc_id", "text", F.octet_length("text").cast("bigint").alias("n_bytes"), F.xxhash64("text").alias("text_hash")
     )
-    shared = spark.sparkContext.broadcast((definition, _frequent(rows, definition)))
+    odd = PreTokens(definition).odd
+    shared = spark.sparkContext.broadcast((definition, _frequent(rows, definition, odd)))
 
     def split(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         definition, known = shared.value
-        own = PreTokens(definition)
+        own = PreTokens(definition, odd)
         columns: tuple[list, ...] = ([], [], [], [], [], [])
 
         def batch() -> pd.DataFrame:
@@ -179,7 +213,7 @@ def token_counts(
     rare = parts.where(F.col("pre").isNotNull())
 
     def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = PreTokens(definition)
+        own = PreTokens(definition, odd)
         for frame in frames:
             yield frame.assign(pieces=own.pieces(list(frame["pre"])))
 
