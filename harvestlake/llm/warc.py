@@ -270,6 +270,10 @@ class _Shard:
             block += 1
 
 
+#: Bytes of archive that one task reads records from.
+READ_BYTES = 16 << 20
+
+
 def lookup(keys: DataFrame, shards: DataFrame) -> DataFrame:
     """Captures of the ``key`` column of ``keys``: key, page_id, file, offset, length.
 
@@ -311,7 +315,8 @@ def lookup(keys: DataFrame, shards: DataFrame) -> DataFrame:
     asked = keys.select("key").where(F.col("key").isNotNull()).distinct()
     asked = asked.mapInPandas(located, "key string, shard int")
     # Neighbouring keys share shards and blocks; a shard with many keys is cut between them.
-    asked = asked.repartitionByRange("shard", "key").sortWithinPartitions("shard", "key")
+    # The count is given, as the few bytes of a key say nothing of the blocks that are read for it.
+    asked = asked.repartitionByRange(max(1, len(rows)), "shard", "key").sortWithinPartitions("shard", "key")
     return asked.mapInPandas(found, "key string, page_id long, file string, offset long, length long")
 
 
@@ -346,7 +351,10 @@ def read_records(captures: DataFrame) -> DataFrame:
                 {"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "Int64"}
             )
 
-    ordered = captures.select("file", "offset", "length").repartitionByRange("file", "offset")
+    wanted = stage(captures.select("file", "offset", "length"), "captures")
+    # As many tasks as the bytes of archive ask for, not as these narrow rows would give.
+    size = wanted.agg(F.sum("length")).first()[0] or 0
+    ordered = wanted.repartitionByRange(max(1, -(-size // READ_BYTES)), "file", "offset")
     return ordered.sortWithinPartitions("file", "offset").mapInPandas(
         read,
         "page_id long, record_type string, payload_digest string, refers_to long, payload binary, payload_bytes long",
