@@ -29,6 +29,8 @@ if TYPE_CHECKING:
 SPACE = "▁"
 #: Characters of text given to the library at once; bounds what its encodings take.
 BATCH_CHARS = 400_000
+#: Characters of texts whose pieces a task remembers, for copies that follow.
+REMEMBERED = 4_000_000
 #: Threads of one task.
 THREADS = 2
 
@@ -220,7 +222,7 @@ class Codec:
             import sentencepiece
 
             self._own = sentencepiece.SentencePieceProcessor(model_proto=self.data)
-        return self._own.encode(text) == ids
+        return self._own.encode_as_ids(text) == ids
 
 
 #: The codec of this worker process, which its tasks share; building the merges takes a while.
@@ -267,15 +269,18 @@ def encode_documents(
     @F.pandas_udf(kind)
     def encoded(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         codec = codec_of(shared.value, threads)
+        known, chars = {}, 0
         for texts, asked in batches:
-            # Equal texts of a batch are encoded and checked once.
-            first = {text: None for text in texts}
-            ask = dict(zip(texts, asked, strict=True))
-            for text, ids in zip(first, codec.encode(list(first)), strict=True):
+            # Equal texts, also of earlier batches, are encoded and checked once.
+            ask = {t: a for t, a in zip(texts, asked, strict=True) if t not in known}
+            for text, ids in zip(ask, codec.encode(list(ask)), strict=True):
                 parity = codec.same_as_library(text, ids) if ask[text] else None
-                first[text] = (ids, len(ids), codec.round_trip(text, ids), parity)
-            rows = [first[text] for text in texts]
-            yield pd.DataFrame(dict(zip(("ids", "n_pieces", "round_trip", "parity"), map(list, zip(*rows, strict=True)), strict=True)))
+                known[text] = (ids, len(ids), codec.round_trip(text, ids), parity)
+                chars += len(text)
+            rows = zip(*[known[text] for text in texts], strict=True)
+            yield pd.DataFrame(dict(zip(("ids", "n_pieces", "round_trip", "parity"), map(list, rows), strict=True)))
+            if chars > REMEMBERED:
+                known, chars = {}, 0
 
     done = free_name([*docs.columns, pieces, facts], "encoded")
     asked = F.pmod(F.xxhash64(text_of(text)), F.lit(verify_every)) == 0
