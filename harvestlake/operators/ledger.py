@@ -34,18 +34,19 @@ def apply_status(
 
 
 def upsert_scores(
-    current: DataFrame, new: DataFrame, order: str | None = None, number: bool = True
+    current: DataFrame, new: DataFrame, order: str | None = None, number: bool = True, start: Column | None = None
 ) -> DataFrame:
     """Scores with ``new`` inserted or put in place of existing rows.
 
     If a project occurs more than once in ``new``, the highest ``order`` wins, then the
     highest score, then the greatest description. A replaced row gets a new id, after
-    the highest one in use and in ``order`` (a unique BIGINT).
+    the highest one in use (or ``start``) and in ``order`` (a unique BIGINT).
     """
     incoming = first_per_key(new, ["project_id"], _latest_score(new, order))
     kept = current.join(incoming.select("project_id"), "project_id", "left_anti")
     if number:
-        start = F.coalesce(current.agg(F.max("id")).scalar(), F.lit(0))
+        if start is None:
+            start = F.coalesce(current.agg(F.max("id")).scalar(), F.lit(0))
         incoming = with_dense_id(incoming, order or "project_id", start=start)
     return kept.select(*current.columns).unionByName(incoming.select(*current.columns))
 

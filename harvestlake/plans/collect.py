@@ -67,13 +67,12 @@ def load_catalog(
     that the catalog already holds is not loaded again.
     """
     kept = dedup_records(records, dedup)
-    version = catalog.version()
-    if batch in version.batches:
+    if batch and catalog.has(batch):
         return
-    start = catalog.highest_ids(version)
+    start = catalog.highest_ids()
     if not staged:
-        catalog.append(shred(catalog_parents(kept, start)), batch, version)
+        catalog.append(shred(catalog_parents(kept, start)), batch)
         return
     with staging(catalog.spark) as put:
         numbered = catalog_parents(put(kept, "records"), start)
-        catalog.append(shred(put(numbered, "parents")), batch, version)
+        catalog.append(shred(put(numbered, "parents")), batch)

@@ -74,6 +74,33 @@ def stage(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFr
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all below it; a missing one is fine."""
+    folder, files = _folder(spark, path)
+    files.delete(folder, True)
+
+
+def folder_names(spark: SparkSession, path: str, prefix: str = "", finished: bool = False) -> list[str]:
+    """Names of the entries in a folder that begin with ``prefix``, without it.
+
+    ``finished`` asks for those that a Spark write has completed. A missing folder has none.
+    """
+    folder, files = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    names = [entry.getPath().getName() for entry in files.listStatus(folder)]
+    names = [n for n in names if n.startswith(prefix)]
+    if finished:
+        done = lambda n: files.exists(_folder(spark, f"{path}/{n}/_SUCCESS")[0])
+        names = [n for n in names if done(n)]
+    return [n.removeprefix(prefix) for n in names]
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """``stage`` for the length of a block; what it wrote is deleted afterwards.
@@ -84,5 +111,4 @@ def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
     try:
         yield lambda df, name: stage(df, name, f"{root}/{name}")
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(root)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete_folder(spark, root)

@@ -1,45 +1,28 @@
-"""The six catalog tables as Parquet folders under one manifest.
+"""The six catalog tables as Parquet partitioned by the batch that stored a row.
 
-Layout: ``<base>/<table>/<name>/...`` for data and ``<base>/_manifest/<n>.json`` for the
-versions of the catalog. A version lists the folders of every table, the batches it holds
-and the highest id of each table. It is written last, in one small file that must not exist
-yet, so all six tables change together and a reader sees one version of all. Nothing is
-overwritten; folders of writes that never reached a version are not read.
+Layout: ``<base>/<table>/batch=<name>/`` for rows and ``<base>/batches/batch=<name>/`` for
+one row per finished batch, with the highest id of each table. That row is written last, and
+readers take the rows of finished batches only: a write that dies half-way is not seen, and
+its repetition overwrites what it left. Changes rewrite the partitions they touch, by
+Spark's dynamic partition overwrite, and leave the files of all others as they are.
+
+One writer at a time: ids continue after the highest that finished batches have used.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
-from dataclasses import dataclass, field
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from harvestlake.operators.shred import with_defaults
+from harvestlake.operators import ledger
+from harvestlake.operators.shred import table_columns, with_defaults
 from harvestlake.schemas import TABLES
+from harvestlake.session import delete_folder, folder_names, staging
 
-# Tries to publish against other writers before giving up.
-_TRIES = 20
-
-
-class CatalogChanged(RuntimeError):
-    """Another writer has changed what this write was based on; read again and repeat."""
-
-
-@dataclass(frozen=True)
-class Version:
-    """One published state of the catalog."""
-
-    number: int = 0
-    #: folder names per table
-    folders: dict[str, list[str]] = field(default_factory=lambda: {t: [] for t in TABLES})
-    #: the folder names of each batch's own rows, as they were appended
-    batches: dict[str, dict[str, str]] = field(default_factory=dict)
-    highest: dict[str, int] = field(default_factory=lambda: dict.fromkeys(TABLES, 0))
-
-    def to_json(self) -> str:
-        return json.dumps({"folders": self.folders, "batches": self.batches, "highest": self.highest})
+_HIGHEST = ", ".join(f"{t} BIGINT" for t in TABLES)
 
 
 class Catalog:
@@ -49,170 +32,142 @@ class Catalog:
         self.spark = spark
         self.base = base.rstrip("/")
 
-    # ---- versions -------------------------------------------------------------
-
-    def _file(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.base}/_manifest/{name}")
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _load(self, name: str) -> dict | None:
-        path, fs = self._file(name)
-        stream = fs.open(path)
-        try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        try:
-            return json.loads(text)
-        except ValueError:  # still being written
-            return None
-
-    def version(self) -> Version:
-        """The newest published version."""
-        folder, fs = self._file("")
-        if not fs.exists(folder):
-            return Version()
-        names = sorted((s.getPath().getName() for s in fs.listStatus(folder)), reverse=True)
-        for name in (n for n in names if n.endswith(".json")):
-            told = self._load(name)
-            if told is not None:
-                return Version(int(name.removesuffix(".json")), **told)
-        return Version()
-
-    def _publish(self, version: Version) -> bool:
-        """Write the version's file; False when that version exists already."""
-        path, fs = self._file(f"{version.number:012d}.json")
-        try:
-            stream = fs.create(path, False)
-        except Exception:
-            if fs.exists(path):
-                return False
-            raise
-        try:
-            stream.write(bytearray(version.to_json(), "utf-8"))
-        finally:
-            stream.close()
-        return True
+    def _stored(self, name: str, schema: str) -> DataFrame:
+        """All rows below a folder with their batch; none if the folder is missing."""
+        path, schema = f"{self.base}/{name}", f"{schema}, batch STRING"
+        if not folder_names(self.spark, path):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(path)
 
     # ---- reading --------------------------------------------------------------
 
-    def read(self, table: str, besides: str | None = None, version: Version | None = None) -> DataFrame:
-        """The table's current rows; ``besides`` leaves out those that a batch has appended."""
-        version = version or self.version()
-        own = version.batches.get(besides, {}).get(table) if besides else None
-        paths = [f"{self.base}/{table}/{f}" for f in version.folders[table] if f != own]
-        schema = TABLES[table]
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        names = [part.split()[0] for part in schema.split(", ")]
-        frames = self.spark.read.schema(schema)
-        if table != "projects":
-            return frames.parquet(*paths).select(*names)
-        # Each folder has sub-folders by repository, so each is a root of its own.
-        whole = frames.option("basePath", paths[0]).parquet(paths[0])
-        for path in paths[1:]:
-            whole = whole.unionByName(frames.option("basePath", path).parquet(path))
-        return whole.select(*names)
+    def batches(self) -> DataFrame:
+        """``batch`` and the highest id per table of every finished batch."""
+        return self._stored("batches", _HIGHEST)
+
+    def has(self, batch: str) -> bool:
+        return batch in folder_names(self.spark, f"{self.base}/batches", "batch=")
+
+    def rows(self, table: str) -> DataFrame:
+        """The table's current rows and the batch that holds each."""
+        stored = self._stored(table, TABLES[table])
+        # A row per batch: small, so Spark broadcasts it and prunes unfinished partitions.
+        return stored.join(self.batches().select("batch"), "batch", "left_semi").select(
+            *table_columns(table), "batch"
+        )
+
+    def read(self, table: str) -> DataFrame:
+        return self.rows(table).drop("batch")
 
     def tables(self) -> dict[str, DataFrame]:
-        """All six tables in one version."""
-        version = self.version()
-        return {name: self.read(name, version=version) for name in TABLES}
+        return {name: self.read(name) for name in TABLES}
 
-    def highest_ids(self, version: Version | None = None) -> dict[str, Column]:
-        """Highest id in use per table, from the manifest; no table is read."""
-        highest = (version or self.version()).highest
-        return {name: F.lit(highest[name]).cast("bigint") for name in TABLES}
+    def highest_ids(self) -> dict[str, Column]:
+        """Highest id used per table: an aggregate of one row per batch; no table is read."""
+        row = self.batches().agg(*[F.max(t).alias(t) for t in TABLES]).first()
+        return {t: F.lit(row[t] or 0).cast("bigint") for t in TABLES}
 
     # ---- writing --------------------------------------------------------------
 
-    def _write(
-        self, df: DataFrame, table: str, name: str, clustered: bool = False
-    ) -> tuple[str, int]:
-        """Write a new folder; its name and the highest id that went into it."""
-        name = f"{name}-{uuid.uuid4().hex}"
+    def _write(self, df: DataFrame, table: str, batch: str) -> int:
+        """Put a batch's rows in place of what its partition holds; their highest id."""
         seen = Observation()
-        writer = with_defaults(df, table).observe(seen, F.max("id").alias("top"))
-        if clustered:
-            # The id is part of the range, so that a project with very many rows is split.
-            keys = ["repository_id" if table == "projects" else "project_id", "id"]
-            writer = writer.repartitionByRange(*keys).sortWithinPartitions(*keys)
-        elif table == "projects":
-            writer = writer.hint("rebalance", "repository_id")
-        if table == "projects":
-            writer = writer.write.partitionBy("repository_id")
-        else:
-            writer = writer.write
-        writer.parquet(f"{self.base}/{table}/{name}")
-        return name, seen.get["top"] or 0
-
-    def append(
-        self, tables: dict[str, DataFrame], batch: str | None = None, based_on: Version | None = None
-    ) -> None:
-        """Add one batch to the tables, all at once.
-
-        A batch that a version already holds is not added again, also after compaction.
-        ``based_on`` is the version whose highest ids the rows were numbered from; if
-        another batch has used ids since, nothing is published.
+        rows = with_defaults(df, table).observe(seen, F.max("id").alias("top"))
+        rows.write.mode("overwrite").parquet(f"{self.base}/{table}/batch={batch}")
+        return seen.get["top"] or 0
+
+    def _finish(self, batch: str, highest: dict[str, int]) -> None:
+        row = self.spark.range(1).select(*[F.lit(highest.get(t, 0)).cast("bigint").alias(t) for t in TABLES])
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.base}/batches/batch={batch}")
+
+    def append(self, tables: dict[str, DataFrame], batch: str | None = None, highest: dict[str, int] | None = None) -> None:
+        """Add one batch; it counts when all its tables are written.
+
+        A finished batch is not added again; an unfinished one is written over. ``highest``
+        are ids that are taken besides those of the rows.
         """
         batch = batch or uuid.uuid4().hex
-        if batch in self.version().batches:
+        if self.has(batch):
             return
-        written = {name: self._write(df, name, f"batch-{batch}") for name, df in tables.items()}
-        own = {name: folder for name, (folder, _) in written.items()}
-        tops = {name: top for name, (_, top) in written.items()}
-        for _ in range(_TRIES):
-            now = self.version()
-            if batch in now.batches:
-                return
-            if based_on is not None and now.highest != based_on.highest:
-                raise CatalogChanged("ids were taken by another batch")
-            folders = {t: [*now.folders[t], *([own[t]] if t in own else [])] for t in TABLES}
-            highest = {t: max(now.highest[t], tops.get(t, 0)) for t in TABLES}
-            if self._publish(Version(now.number + 1, folders, {**now.batches, batch: own}, highest)):
-                return
-        raise CatalogChanged("too many writers at once")
-
-    def replace(
-        self,
-        table: str,
-        df: DataFrame,
-        based_on: Version | None = None,
-        clustered: bool = False,
-    ) -> None:
-        """Publish ``df`` in place of the rows of a version; later batches stay.
-
-        Nothing is published when the replaced rows are no longer the table's.
+        tops = {name: self._write(df, name, batch) for name, df in tables.items()}
+        self._finish(batch, {t: max(tops.get(t, 0), (highest or {}).get(t, 0)) for t in TABLES})
+
+    def rewrite(self, table: str, change: Callable[[DataFrame], DataFrame], batches: list[str] | None = None) -> None:
+        """Put ``change(rows)`` in place of the rows of some batches (default: of all).
+
+        ``change`` gets the table's columns and ``batch`` and must keep ``batch``. Partitions
+        of other batches keep their files. Each partition is replaced as a whole; repeating
+        a rewrite that died completes it, if the change of changed rows is no other.
         """
-        base = based_on or self.version()
-        name, top = self._write(df, table, "state", clustered)
-        gone = set(base.folders[table])
-        for _ in range(_TRIES):
-            now = self.version()
-            if not gone <= set(now.folders[table]):
-                raise CatalogChanged(f"{table} was replaced by another writer")
-            later = [f for f in now.folders[table] if f not in gone]
-            folders = {**now.folders, table: [name, *later]}
-            highest = {**now.highest, table: max(now.highest[table], top)}
-            if self._publish(Version(now.number + 1, folders, now.batches, highest)):
-                return
-        raise CatalogChanged("too many writers at once")
-
-    def compact(self, table: str) -> None:
-        """Publish the table's batches as one folder; useful after many small batches.
-
-        Children come out in ranges of their project, projects in ranges of their id within
-        a repository, so that lookups by key skip the files and row groups of other ranges.
+        if batches is not None and not batches:
+            return
+        rows = self.rows(table)
+        if batches is not None:
+            rows = rows.where(F.col("batch").isin(batches))
+        with staging(self.spark) as put:
+            new = put(change(rows).select(*table_columns(table), "batch"), table)
+            self._overwrite(table, new)
+            left = {r["batch"] for r in new.select("batch").distinct().collect()}
+            old = batches if batches is not None else [r["batch"] for r in self.batches().select("batch").collect()]
+            # A dynamic overwrite doesn't touch partitions that have no rows any more.
+            for batch in set(old) - left:
+                delete_folder(self.spark, f"{self.base}/{table}/batch={batch}")
+
+    def _overwrite(self, table: str, rows: DataFrame) -> None:
+        keys = ["batch", "repository_id" if table == "projects" else "project_id", "id"]
+        # Ranges, so that a batch or project with very many rows is split.
+        ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        (
+            ranged.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch")
+            .parquet(f"{self.base}/{table}")
+        )
+
+    def compact(self, table: str, batches: list[str] | None = None) -> None:
+        """Rewrite partitions in ranges of (project, id), or of (repository, id) for projects.
+
+        Many small files of a batch become few, and lookups by key skip files and row groups.
         """
-        version = self.version()
-        self.replace(table, self.read(table, version=version), version, clustered=True)
+        self.rewrite(table, lambda rows: rows, batches)
+
+    def _holding(self, table: str, key: str, keys: DataFrame) -> list[str]:
+        """The batches that hold rows with one of the keys; only names come back."""
+        held = self.rows(table).select(key, "batch").join(keys.select(key).distinct(), key, "left_semi")
+        return sorted(r["batch"] for r in held.select("batch").distinct().collect())
+
+    def apply_status(self, updates: DataFrame, order: str = "updated_at") -> None:
+        """Store the last status per file; only partitions that hold changed files are rewritten."""
+        touched = self._holding("files", "id", updates)
+        self.rewrite("files", lambda rows: ledger.apply_status(rows, updates, order=order), touched)
+
+    def upsert_scores(self, new: DataFrame, batch: str, order: str | None = None) -> None:
+        """Insert scores or put them in place of the project's; ids as ``ledger.upsert_scores``.
+
+        The new rows are a batch of their own; partitions that hold a replaced row are
+        rewritten without it. A finished batch is not stored again; repeating an unfinished
+        one gives the same rows.
+        """
+        if self.has(batch):
+            return
+        none = self.spark.createDataFrame([], TABLES["relevance_scores"])
+        start = self.highest_ids()["relevance_scores"]
+        incoming = ledger.upsert_scores(none, new, order, start=start)
+        top = self._write(incoming, "relevance_scores", batch)
+        self.rewrite(
+            "relevance_scores",
+            lambda rows: rows.join(new.select("project_id").distinct(), "project_id", "left_anti"),
+            self._holding("relevance_scores", "project_id", new),
+        )
+        self._finish(batch, {"relevance_scores": top})
 
     def reset(self) -> None:
-        """Empty all six tables at once; ids restart, and batches may be loaded again."""
-        for _ in range(_TRIES):
-            if self._publish(Version(self.version().number + 1)):
-                return
-        raise CatalogChanged("too many writers at once")
+        """Empty all six tables; ids restart, and batches may be loaded again.
+
+        The list of finished batches goes first, so no table is seen half empty.
+        """
+        for name in ("batches", *TABLES):
+            delete_folder(self.spark, f"{self.base}/{name}")
 
     # ---- SQL ------------------------------------------------------------------
 

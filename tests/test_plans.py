@@ -18,7 +18,7 @@ load_all()
 
 # Queries that run jobs of their own while they are being built.
 EAGER = (
-    "a1_", "a2_stored", "a4_", "a5_", "a6_", "a9_", "b9_", "collection_run", "m1_", "o1_", "o2_", "o3_",
+    "a1_", "a2_stored", "a4_", "a5_", "a6_", "a9_", "b9_", "collection_run", "m1_", "m2_stored", "m3_stored", "o1_", "o2_", "o3_",
 )
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from harvestlake.operators.integrity import check_catalog, violation_counts
-from harvestlake.session import scratch_path
+from harvestlake.operators.shred import table_columns
+from harvestlake.session import scratch_path, stage
 from harvestlake.sources.catalog import Catalog, catalog_sql
 from harvestlake.sources.export import export_files, export_projects, read_export
+from workload.history import _NEW, _last
 from workload.projections import VIEWS, catalog, cte, view
 from workload.registry import query
 
@@ -33,6 +36,78 @@ def stored_table(spark, sf_dir):
     return store.read("relevance_scores")
 
 
+def _stored_in_two(spark, sf_dir, table):
+    """The table's rows appended in two batches."""
+    store = Catalog(spark, scratch_path(spark, "catalog"))
+    rows = view(spark, sf_dir, table)
+    key = "id" if table == "projects" else "project_id"
+    for batch, half in (("even", 0), ("odd", 1)):
+        store.append({table: rows.where(F.col(key) % 2 == half)}, batch)
+    return store
+
+
+_STORED_PROJECTS = [c for c in table_columns("projects") if c in dict(VIEWS["projects"][2]) and c != "download_date"]
+
+
+@query(
+    "a2_stored_projects",
+    cte("projects") + f"select {', '.join(_STORED_PROJECTS)} from projects_",
+)
+def stored_projects(spark, sf_dir):
+    """Projects of two batches, read in full through the catalog."""
+    return _stored_in_two(spark, sf_dir, "projects").read("projects").select(*_STORED_PROJECTS)
+
+
+@query(
+    "m2_stored_status",
+    cte("files", "updates")
+    + _last("updates")
+    + "select f.id, f.project_id, coalesce(l.new_status, f.status) as status from "
+    "(select row_number() over (order by id) as id, id as name, project_id, status from files_) f "
+    "left join last_ l on f.name = l.id",
+)
+def stored_status(spark, sf_dir):
+    """Status changes stored in the partitions that hold the changed files."""
+    store = Catalog(spark, scratch_path(spark, "catalog"))
+    files = view(spark, sf_dir, "files").withColumnRenamed("id", "name")
+    # Stored ids are numbers: places in the order of the names.
+    names = files.select("name").repartitionByRange("name").sortWithinPartitions("name")
+    numbers = _numbered(stage(names.withColumn("part", F.spark_partition_id()), "names"))
+    files = stage(files.join(numbers, "name"), "files")
+    updates = view(spark, sf_dir, "updates").withColumnRenamed("id", "name").join(numbers, "name")
+    for batch in range(4):
+        store.append({"files": files.where(F.col("project_id") % 4 == batch)}, str(batch))
+    store.apply_status(stage(updates.select("id", "status", "updated_at"), "updates"))
+    return store.read("files").select("id", "project_id", "status")
+
+
+def _numbered(names):
+    """``name``, ``id``: dense numbers of names that are sorted in ranges (``part``)."""
+    inside = Window.partitionBy("part").orderBy("name")
+    sizes = names.groupBy("part").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("part")) - F.col("n")  # a row per part
+    ranked = names.withColumn("k", F.row_number().over(inside))
+    return ranked.join(sizes.withColumn("before", before), "part").select(
+        "name", (F.col("k") + F.col("before")).alias("id")
+    )
+
+
+@query(
+    "m3_stored_upsert",
+    cte("relevance_scores", "new_scores")
+    + _NEW
+    + "select id, project_id, relevance_score, description from relevance_scores_ where project_id "
+    "not in (select project_id from new_scores_) union all select (select max(id) from "
+    "relevance_scores_) + row_number() over (order by arrived) as id, project_id, relevance_score, "
+    "description from newest_",
+)
+def stored_upsert(spark, sf_dir):
+    """Scores of two stored batches replaced by a third, which rewrites what it touches."""
+    store = _stored_in_two(spark, sf_dir, "relevance_scores")
+    store.upsert_scores(view(spark, sf_dir, "new_scores"), "new", "arrived")
+    return store.read("relevance_scores")
+
+
 @query(
     "a3_catalog_sql",
     cte("projects", "files")
