@@ -1,12 +1,18 @@
 """Streams give what one batch over the same pages gives."""
 
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
+from harvestlake.operators.dedup import dedup_records
 from harvestlake.plans.collect import load_catalog, relevant_records
+from harvestlake.session import stage
 from harvestlake.sources.catalog import Catalog
 from harvestlake.sources.landing import read_landing, write_landing
-from harvestlake.streaming.ingest import ingest, landing_stream, unique_record_stream
-from harvestlake.streaming.status import UPDATES, current_files, read_ledger, record_outcomes
+from harvestlake.streaming.first_hits import first_records, keep_first_hits, read_first_hits
+from harvestlake.streaming.ingest import PageLedger, ingest, landing_stream, relevant_stream, unique_record_stream
+from harvestlake.streaming.status import UPDATES, current_files, read_ledger, record_outcomes, status_log
 from workload.payloads import landing_pages, side_documents
 
 
@@ -35,7 +41,7 @@ def test_ingest_in_two_halves_equals_one_batch(spark, sf_dir, tmp_path):
     ingest(spark, landing, stream.base, str(tmp_path / "cp"), side).awaitTermination()
     assert stream.read("projects").count() == before > 0
 
-    load_catalog(batch, relevant_records(read_landing(spark, landing), side, cut_off=False))
+    load_catalog(batch, relevant_records(read_landing(spark, landing), side))
     assert natural(stream) == natural(batch)
     assert stream.read("files").select("id").distinct().count() == stream.read("files").count()
 
@@ -71,3 +77,158 @@ def test_status_ledger(spark, tmp_path):
         record_outcomes(stream, book, cp).awaitTermination()
     now = current_files(files, read_ledger(spark, book))
     assert sorted(tuple(r) for r in now.collect()) == [("a", "success"), ("b", "pending")]
+
+
+def planted(pages, rng):
+    """Copies of pages in landing order: ends by total, failures, refetches, stale and equal copies."""
+    day = F.expr("interval 1 day")
+    few = pages.withColumn("page_size", F.lit(11))  # twice the real size: the total is reached half-way
+    failed = few.withColumns({"failed": F.lit(True), "payload": F.lit(None).cast("string")})
+    steps = [
+        few.where("query_idx % 4 <> 1 or page <> 2"),
+        failed.where("query_idx % 4 = 1 and page = 2"),
+        few.where("query_idx % 8 = 1 and page = 2").withColumn("fetched_at", F.col("fetched_at") + day),
+        failed.where("query_idx % 4 = 2 and page = 3").withColumn("fetched_at", F.col("fetched_at") + day),
+        few.where("query_idx % 4 = 3 and page = 1").withColumns(
+            {"payload": F.lit("{}"), "fetched_at": F.col("fetched_at") + day}),
+        few.where("page = 4"),
+    ]
+    landed = []
+    for step in steps:
+        numbers = [r[0] for r in step.select("page").distinct().orderBy("page").collect()]
+        rng.shuffle(numbers)
+        landed += [step.where(F.col("page").isin(numbers[i::2])) for i in range(2)]
+    return landed
+
+
+def test_pages_in_any_order_give_the_batch_result(spark, sf_dir, tmp_path):
+    """After micro-batches the catalog is what one run over the pages landed so far stores."""
+    rng = random.Random(1)
+    side = stage(side_documents(spark, sf_dir))
+    small = planted(stage(landing_pages(spark, sf_dir).where("query_idx < 12")), rng)
+    rng.shuffle(small)
+    steps = [a.unionByName(b) for a, b in zip(small[::2], small[1::2], strict=True)]
+    base = str(tmp_path / "catalog")
+    landed, ids = None, {}
+    for number, step in enumerate(steps):
+        step = stage(step)
+        PageLedger(spark, base, side, 1, fold_every=3).land(step, number)
+        landed = step if landed is None else landed.unionByName(step)
+        if number not in (2, len(steps) - 1):
+            continue
+        want = Catalog(spark, str(tmp_path / f"batch-{number}"))
+        load_catalog(want, relevant_records(landed, side))
+        got = Catalog(spark, base)
+        assert natural(got) == natural(want), number
+        for table, df in got.tables().items():
+            n, distinct = df.agg(F.count("*"), F.count_distinct("id")).first()
+            assert n == distinct == want.read(table).count(), table
+    # A micro-batch that is delivered again changes nothing.
+    before = natural(Catalog(spark, base))
+    PageLedger(spark, base, side, 1, fold_every=3).land(steps[-1], len(steps) - 1)
+    assert natural(Catalog(spark, base)) == before
+
+
+def test_a_page_let_in_again_keeps_its_ids_and_others_their_files(spark, sf_dir, tmp_path):
+    side = stage(side_documents(spark, sf_dir))
+    pages = stage(landing_pages(spark, sf_dir, "zenodo"))
+    ledger = PageLedger(spark, str(tmp_path / "catalog"), side, 1, fold_every=100)
+    store = ledger.store
+    ledger.land(pages.where("page > 3"), 0)
+    ledger.land(pages.where("page < 3"), 1)
+    first = {r["id"]: r["download_project_folder"] for r in store.read("projects").collect()}
+    failed = pages.where("page = 3").withColumns({"failed": F.lit(True), "payload": F.lit(None).cast("string")})
+    ledger.land(failed, 2)
+    cut = store.read("projects")
+    assert 0 < cut.count() < len(first) and {r["batch"] for r in store.rows("projects").collect()} == {"000000001"}
+    untouched = {p.name for p in (tmp_path / "catalog" / "projects" / "batch=000000001").glob("part-*")}
+    ledger.land(pages.where("page = 3").withColumn("fetched_at", F.col("fetched_at") + F.expr("interval 1 hour")), 3)
+    again = {r["id"]: r["download_project_folder"] for r in store.read("projects").collect()}
+    assert first.items() <= again.items(), "rows that come back have the ids they had"
+    assert len(again) > len(first)
+    assert {p.name for p in (tmp_path / "catalog" / "projects" / "batch=000000001").glob("part-*")} == untouched
+
+
+def test_a_micro_batch_that_dies_is_repeated(spark, sf_dir, tmp_path, monkeypatch):
+    side = stage(side_documents(spark, sf_dir))
+    pages = stage(landing_pages(spark, sf_dir))
+    failed = pages.where("page = 2").withColumns({"failed": F.lit(True), "payload": F.lit(None).cast("string")})
+    later = pages.where("page = 2").withColumn("fetched_at", F.col("fetched_at") + F.expr("interval 1 hour"))
+    ledger = PageLedger(spark, str(tmp_path / "catalog"), side, 1, fold_every=100)
+    ledger.land(pages.where("page <> 2").unionByName(failed), 0)
+
+    def dies(*_):
+        raise OSError("the driver is gone")
+
+    for method in ("_finish", "_apply"):
+        monkeypatch.setattr(PageLedger, method, dies)
+        with pytest.raises(OSError):
+            ledger.land(later, 1)
+        monkeypatch.undo()
+    ledger.land(later, 1)
+    want = Catalog(spark, str(tmp_path / "batch"))
+    load_catalog(want, relevant_records(pages, side))
+    assert natural(ledger.store) == natural(want)
+
+
+def test_first_hits_after_shuffled_arrival(spark, sf_dir, tmp_path):
+    """The place that counts and the rows at these places, over several runs of the stream."""
+    pages = stage(landing_pages(spark, sf_dir).where("query_idx < 6"))
+    copies = pages.withColumn("query_idx", F.col("query_idx") + 100)
+    copies = copies.unionByName(pages.withColumn("query_idx", F.col("query_idx") + 50))
+    side = stage(side_documents(spark, sf_dir))
+    rng = random.Random(4)
+    steps = [copies.where("page % 2 = 0"), pages.where("page % 3 = 0").unionByName(copies.where("page % 2 = 1")), pages.where("page % 3 <> 0")]
+    rng.shuffle(steps)
+    for watermark in (None, "1000 days"):
+        base = tmp_path / str(watermark)
+        landed = []
+        for step in steps:
+            write_landing(step, str(base / "landing"))
+            landed.append(step)
+            stream = relevant_stream(landing_stream(spark, str(base / "landing")), side)
+            keep_first_hits(stream, str(base / "hits"), str(base / "cp"), watermark, fold_every=2).awaitTermination()
+            if len(landed) == 1:
+                continue
+            everything = landed[0].unionByName(landed[1])
+            everything = everything.unionByName(landed[2]) if len(landed) == 3 else everything
+            records = stage(relevant_records(everything, side, cut_off=False))
+            want = stage(dedup_records(records))
+            place = ["source", "record_id", "query_idx", "repo_idx", "page", "pos"]
+            hits = read_first_hits(spark, str(base / "hits"))
+            assert sorted(hits.select(*place).collect()) == sorted(want.select(*place).collect())
+        wide = [*place, "title", "query"]
+        assert sorted(first_records(records, hits).select(*wide).collect()) == sorted(want.select(*wide).collect())
+
+
+def test_a_folded_ledger_reads_the_same_files_however_many_batches(spark, tmp_path):
+    """A thousand batches would leave as many folders as eighteen: those since the last snapshots."""
+    rng = random.Random(7)
+    log, last = status_log(spark, str(tmp_path / "ledger")), {}
+    folders = []
+    for batch in range(18):
+        rows = [(f"f{rng.randrange(9)}", rng.choice(["failed", "success"]), batch * 3 + rng.randrange(6)) for _ in range(5)]
+        for key, status, at in rows:
+            last[key] = max(last.get(key, (-1, "")), (at, status))
+        log.append(batch, spark.createDataFrame(rows, UPDATES))
+        if batch and batch % 4 == 0:
+            log.fold(batch - 1)
+        if batch in (7, 17):
+            assert {r["id"]: (r["updated_at"], r["status"]) for r in log.read().collect()} == last
+        folders.append(len(list((tmp_path / "ledger").glob("*/*="))) + len(list((tmp_path / "ledger").glob("*/*=*"))))
+    assert max(folders) <= 12 and folders[-1] <= max(folders[:10])
+    assert {r["id"]: (r["updated_at"], r["status"]) for r in log.read(16).collect()}.keys() == last.keys()
+    log.append(17, spark.createDataFrame(rows, UPDATES))
+    assert {r["id"]: (r["updated_at"], r["status"]) for r in log.read().collect()} == last
+
+
+def test_a_snapshot_that_dies_is_not_read(spark, tmp_path):
+    log = status_log(spark, str(tmp_path / "ledger"))
+    log.append(0, spark.createDataFrame([("a", "failed", 1)], UPDATES))
+    half = tmp_path / "ledger" / "snapshot" / "upto=0"
+    half.mkdir(parents=True)
+    (half / "part-0.parquet").write_bytes(b"")
+    assert [tuple(r) for r in log.read().collect()] == [("a", "failed", 1)]
+    log.append(1, spark.createDataFrame([("a", "success", 2)], UPDATES))
+    log.fold(1)
+    assert [tuple(r) for r in log.read().collect()] == [("a", "success", 2)]
