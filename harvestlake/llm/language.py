@@ -33,7 +33,7 @@ MAX_TEXTS = 1500
 #: Most frequent n-grams kept per language.
 MAX_NGRAMS = 20_000
 #: Characters of an n-gram, the marks at a word's ends included.
-SIZES = (2, 3, 4)
+SIZES = (3,)
 #: What a change of language costs, and the most that one word counts against a language.
 SWITCH = 12.0
 MOST = 8.0
