@@ -25,16 +25,15 @@ def duplicate_scores(scores: DataFrame) -> DataFrame:
     return _violations(doubled, "relevance_scores", "unique: project_id", "project_id")
 
 
-def row_violations(
-    df: DataFrame, table: str, projects: DataFrame | None = None, key: str = "id"
-) -> DataFrame:
-    """All rules that a row alone, or with its project, can break, in one scan of the table.
+def with_broken_rules(df: DataFrame, table: str, projects: DataFrame | None = None, name: str = "broken") -> DataFrame:
+    """``df`` with the rules that a row alone, or with its project, breaks, as an array.
 
     Children are joined with one narrow row per project, the children on the side that may
     hold very many rows per project.
     """
     columns = [c for c in NOT_NULL[table] if c in df.columns]
     rules = {f"not null: {c}": F.col(c).isNull() for c in columns}
+    kept = df.columns
     if table == "projects":
         rules["check: download_method"] = ~F.col("download_method").isin(METHODS)
     elif projects is not None and table in CHILD_TABLES:
@@ -42,14 +41,36 @@ def row_violations(
         df = join_to_one(df, parents, ["project_id"])
         rules["foreign key: project_id"] = F.col("_known").isNull()
     broken = F.array_compact(F.array(*[F.when(test, F.lit(rule)) for rule, test in rules.items()]))
+    return df.select(*kept, broken.alias(name))
+
+
+def row_violations(
+    df: DataFrame, table: str, projects: DataFrame | None = None, key: str = "id"
+) -> DataFrame:
+    """All rules that a row alone, or with its project, can break, in one scan of the table."""
     # Outer, as Spark would evaluate all rules again to test the size of an inner one.
-    return df.select(
+    return with_broken_rules(df, table, projects).select(
         F.lit(table).alias("table_name"),
-        F.explode_outer(broken).alias("rule"),
+        F.explode_outer("broken").alias("rule"),
         F.col(key).cast("string").alias("key"),
     ).where(F.col("rule").isNotNull())
 
 
+def with_repeated_scores(scores: DataFrame, stored: DataFrame, name: str = "broken") -> DataFrame:
+    """``scores`` with the uniqueness rule added to ``name`` where a project has one already.
+
+    Of several new scores of a project the one with the smallest id stands; a score that is
+    ``stored`` stands before all new ones. Minima combine before the exchange, so a project with
+    very many scores is no hot group.
+    """
+    first = scores.groupBy("project_id").agg(F.min("id").alias("_first"))
+    held = stored.select("project_id").distinct().withColumn("_held", F.lit(True))
+    marked = join_to_one(scores, first.join(held, "project_id", "left"), ["project_id"])
+    repeated = F.col("project_id").isNotNull() & (F.col("_held").isNotNull() | (F.col("id") > F.col("_first")))
+    rule = F.when(repeated, F.array(F.lit("unique: project_id"))).otherwise(F.array().cast("array<string>"))
+    return marked.select(*[c for c in scores.columns if c != name], F.concat(name, rule).alias(name))
+
+
 def check_catalog(tables: dict[str, DataFrame], keys: dict[str, str] | None = None) -> DataFrame:
     """All violations in the given tables: (table_name, rule, key)."""
     keys = keys or {}

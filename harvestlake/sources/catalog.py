@@ -18,10 +18,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from harvestlake.operators import ledger
+from harvestlake.operators.integrity import with_broken_rules, with_repeated_scores
 from harvestlake.operators.shred import table_columns, with_defaults
-from harvestlake.schemas import TABLES
+from harvestlake.schemas import NOT_NULL, TABLES
 from harvestlake.session import delete_folder, folder_names, staging
 
+#: Ends the name of the partition with the rows that a batch's checks have turned down.
+_REJECTED = ".rejected"
 _HIGHEST = ", ".join(f"{t} BIGINT" for t in TABLES)
 
 
@@ -92,6 +95,66 @@ class Catalog:
         tops = {name: self._write(df, name, batch) for name, df in tables.items()}
         self._finish(batch, {t: max(tops.get(t, 0), (highest or {}).get(t, 0)) for t in TABLES})
 
+    def append_checked(self, tables: dict[str, DataFrame], batch: str) -> dict[str, dict[str, int]]:
+        """Add a batch whose rows keep the declared rules; the others are set apart.
+
+        A row that breaks a rule goes to a partition of its own in the pass that writes the
+        table; it isn't read with the table, but by ``rejected``. Projects are checked first: a
+        child of a project that was turned down or never stored breaks its foreign key.
+        Returns per table how many rows were stored and how many broke each rule, counted
+        in the same pass. A finished batch is not added again and gives no counts.
+        """
+        counts: dict[str, dict[str, int]] = {}
+        if self.has(batch):
+            return counts
+        tops = {}
+        for table in sorted(tables, key=lambda t: t != "projects"):
+            rows = with_defaults(tables[table], table)
+            known = None
+            if table != "projects":
+                known = self.read("projects").select("id")
+                if "projects" in tables:
+                    path = f"{self.base}/projects/batch={batch}"
+                    if folder_names(self.spark, path):
+                        known = known.unionByName(self.spark.read.schema(TABLES["projects"]).parquet(path).select("id"))
+            checked = with_broken_rules(rows, table, known)
+            if table == "relevance_scores":
+                checked = with_repeated_scores(checked, self.read(table))
+            tops[table], counts[table] = self._write_checked(checked, table, batch)
+        self._finish(batch, tops)
+        return counts
+
+    def _write_checked(self, checked: DataFrame, table: str, batch: str) -> tuple[int, dict[str, int]]:
+        for name in (batch, batch + _REJECTED):  # what an unfinished write of the batch has left
+            delete_folder(self.spark, f"{self.base}/{table}/batch={name}")
+        passes = F.size("broken") == 0
+        rules = [f"not null: {c}" for c in NOT_NULL[table]]
+        rules += ["check: download_method"] if table == "projects" else ["foreign key: project_id", "unique: project_id"]
+        seen = Observation()
+        told = checked.observe(
+            seen, F.max(F.when(passes, F.col("id"))).alias("top"), F.count_if(passes).alias("stored"),
+            *[F.count_if(F.array_contains("broken", rule)).alias(f"r{i}") for i, rule in enumerate(rules)],
+        )
+        to = F.when(passes, F.lit(batch)).otherwise(F.lit(batch + _REJECTED))
+        (
+            told.withColumn("batch", to)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch")
+            .parquet(f"{self.base}/{table}")
+        )
+        found = seen.get
+        broken = {rule: found[f"r{i}"] for i, rule in enumerate(rules) if found[f"r{i}"]}
+        return found["top"] or 0, {"stored": found["stored"], **broken}
+
+    def rejected(self, table: str) -> DataFrame:
+        """Rows that the checks of finished batches have turned down, with the rules they broke."""
+        stored = self._stored(table, f"{TABLES[table]}, broken ARRAY<STRING>")
+        mine = stored.where(F.col("batch").endswith(_REJECTED)).withColumn(
+            "batch", F.expr(f"left(batch, length(batch) - {len(_REJECTED)})")
+        )
+        return mine.join(self.batches().select("batch"), "batch", "left_semi").select(*table_columns(table), "broken", "batch")
+
     def rewrite(self, table: str, change: Callable[[DataFrame], DataFrame], batches: list[str] | None = None) -> None:
         """Put ``change(rows)`` in place of the rows of some batches (default: of all).
 

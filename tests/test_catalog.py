@@ -186,6 +186,29 @@ def test_a_write_that_dies_half_way(spark, staged, tmp_path, monkeypatch):
     assert integrity.check_catalog(store.tables()).count() == 0
 
 
+def test_rows_that_break_a_rule_are_set_apart(spark, staged, tmp_path):
+    store = Catalog(spark, str(tmp_path / "catalog"))
+    load_catalog(store, staged.where("query_idx = 1"), "0")
+    held = {r["id"] for r in store.read("projects").collect()}
+    tables = shred(stage(catalog_parents(staged, store.highest_ids())))
+    bad = tables["projects"].agg(F.min("id")).first()[0]
+    tables["projects"] = tables["projects"].withColumn("title", F.when(F.col("id") != bad, F.col("title")))
+    old = tables["relevance_scores"].limit(1).select(
+        F.lit(900).cast("bigint").alias("id"), F.lit(min(held)).cast("bigint").alias("project_id"), "relevance_score", "description")
+    twice = tables["relevance_scores"].withColumn("id", F.col("id") + 500)
+    tables["relevance_scores"] = tables["relevance_scores"].unionByName(old).unionByName(twice)
+    counts = store.append_checked(tables, "1")
+    assert counts["projects"] == {"stored": 3, "not null: title": 1}
+    assert counts["files"]["foreign key: project_id"] == 2 and counts["files"]["stored"] == 1
+    assert counts["relevance_scores"] == {"stored": 3, "foreign key: project_id": 2, "unique: project_id": 5}
+    assert store.append_checked(tables, "1") == {}
+    assert integrity.check_catalog(store.tables()).count() == 0
+    assert [tuple(r) for r in store.rejected("projects").select("id", "broken").collect()] == [(bad, ["not null: title"])]
+    assert sorted(len(r["broken"]) for r in store.rejected("relevance_scores").collect()) == [1] * 5 + [2]
+    assert store.rejected("keywords").count() == 1 and store.read("projects").count() == 5
+    assert store.highest_ids().keys() == set(schemas.TABLES)
+
+
 def files_of(path):
     return {str(p): p.stat().st_mtime_ns for p in path.rglob("part-*")}
 

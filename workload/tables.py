@@ -201,3 +201,66 @@ def integrity(spark, sf_dir):
     scores = tables["relevance_scores"]
     tables["relevance_scores"] = scores.unionByName(scores.where("project_id % 101 = 0"))
     return violation_counts(check_catalog(tables))
+
+
+_GATED = (
+    cte("projects", "files", "relevance_scores")
+    + ", p_ as (select id, title is null or id % 97 = 0 as t, description is null as d, "
+    "id % 89 = 0 as m from projects_), good_ as (select id from p_ where not t and not d and not m), "
+    "f_ as (select case when suppkey % 50 = 7 then project_id + 1000000000 else project_id end as project_id, "
+    "partkey % 31 = 0 as n from files_), fk_ as (select n, project_id not in (select id from good_) as k from f_), "
+    "s_ as (select project_id, false as u from relevance_scores_ union all "
+    "select project_id, true from relevance_scores_ where project_id % 101 = 0), "
+    "sk_ as (select u, project_id not in (select id from good_) as k from s_) "
+)
+
+
+def _gated_counts() -> str:
+    tests = [
+        ("projects", "stored", "p_ where not t and not d and not m"),
+        ("projects", "not null: title", "p_ where t"),
+        ("projects", "not null: description", "p_ where d"),
+        ("projects", "check: download_method", "p_ where m"),
+        ("files", "stored", "fk_ where not n and not k"),
+        ("files", "not null: file_name", "fk_ where n"),
+        ("files", "foreign key: project_id", "fk_ where k"),
+        ("relevance_scores", "stored", "sk_ where not u and not k"),
+        ("relevance_scores", "foreign key: project_id", "sk_ where k"),
+        ("relevance_scores", "unique: project_id", "sk_ where u"),
+    ]
+    parts = [f"select '{t}' as table_name, '{r}' as rule, count(*) as n from {rows}" for t, r, rows in tests]
+    return _GATED + " union all ".join(parts)
+
+
+@query("a8_gated_batch", _gated_counts())
+def gated_batch(spark, sf_dir):
+    """A batch with broken rows: the rest is stored, the others are listed with their rules."""
+    tables = catalog(spark, sf_dir)
+    tables["projects"] = tables["projects"].withColumns(
+        {
+            "title": F.expr("case when id % 97 = 0 then null else title end"),
+            "download_method": F.expr("case when id % 89 = 0 then 'FTP' else download_method end"),
+            "repository_url": F.lit("https://repo.invalid"),
+        }
+    )
+    tables["files"] = tables["files"].withColumns(
+        {
+            "id": F.xxhash64("id"),
+            "project_id": F.expr("case when suppkey % 50 = 7 then project_id + 1000000000 else project_id end"),
+            "file_name": F.expr("case when partkey % 31 = 0 then null else file_name end"),
+        }
+    )
+    scores = tables["relevance_scores"]
+    again = scores.where("project_id % 101 = 0").withColumn("id", F.col("id") + 1_000_000_000)
+    tables["relevance_scores"] = scores.unionByName(again)
+    store = Catalog(spark, scratch_path(spark, "catalog"))
+    store.append_checked({t: tables[t] for t in ("files", "relevance_scores", "projects")}, "0")
+    found = None
+    for table in ("projects", "files", "relevance_scores"):
+        stored = store.read(table).agg(F.count("*").alias("n")).select(
+            F.lit(table).alias("table_name"), F.lit("stored").alias("rule"), "n"
+        )
+        broken = store.rejected(table).select(F.lit(table).alias("table_name"), F.explode("broken").alias("rule"))
+        part = stored.unionByName(broken.groupBy("table_name", "rule").agg(F.count("*").alias("n")))
+        found = part if found is None else found.unionByName(part)
+    return found
