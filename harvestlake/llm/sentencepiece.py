@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import TYPE_CHECKING
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -275,7 +276,7 @@ def encode_documents(
             ask = {t: a for t, a in zip(texts, asked, strict=True) if t not in known}
             for text, ids in zip(ask, codec.encode(list(ask)), strict=True):
                 parity = codec.same_as_library(text, ids) if ask[text] else None
-                known[text] = (ids, len(ids), codec.round_trip(text, ids), parity)
+                known[text] = (np.array(ids, dtype=np.int32), len(ids), codec.round_trip(text, ids), parity)
                 chars += len(text)
             rows = zip(*[known[text] for text in texts], strict=True)
             yield pd.DataFrame(dict(zip(("ids", "n_pieces", "round_trip", "parity"), map(list, rows), strict=True)))
