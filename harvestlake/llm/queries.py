@@ -126,7 +126,7 @@ def sentencepiece_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         F.octet_length("text").cast("bigint").alias("n_bytes"),
         "piece_facts.*",
-        F.sha2(F.array_join("piece_ids", " "), 256).alias("ids_sha256"),
+        F.xxhash64("piece_ids").alias("ids_hash"),
     )
 
 
