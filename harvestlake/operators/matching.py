@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from harvestlake.operators.joins import join_to_one
 from harvestlake.refdata import query_terms
+from harvestlake.session import stage
+
+#: Characters of the n-grams that queries are filed under.
+GRAM = 3
 
 
 def match_queries(records: DataFrame, queries: list[str], *text_columns: str) -> DataFrame:
@@ -33,3 +38,80 @@ def match_queries(records: DataFrame, queries: list[str], *text_columns: str) ->
         .where(F.col("_hit").isNotNull())
         .select(*records.columns, "_hit.query_idx", "_hit.query")
     )
+
+
+def terms_of(query: Column) -> Column:
+    """``refdata.query_terms`` of a column, in lower case and each once."""
+    parts = F.transform(
+        F.split(query, '"'),
+        lambda part, i: F.when(i % 2 == 1, F.array(part)).otherwise(F.split(part, r"(?U)\s+")),
+    )
+    return F.array_distinct(F.transform(F.filter(F.flatten(parts), lambda t: t != ""), F.lower))
+
+
+def grams_of(text: Column, *, n: int) -> Column:
+    """Distinct n-grams of characters."""
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{n}}}))"), F.lit(1)))
+
+
+def _grams(n: int):
+    return lambda text: grams_of(text, n=n)
+
+
+def query_index(records: DataFrame, queries: DataFrame, text: Column) -> DataFrame:
+    """Each query with its terms and the one n-gram it is filed under.
+
+    That is the n-gram of its terms that occurs in the fewest texts, as a text without it can't
+    match. Terms of fewer than ``GRAM`` characters have shorter n-grams, asked only for queries
+    without a longer term. Which n-gram it is changes what moves, not the matches.
+    """
+    terms = queries.select(*queries.columns, terms_of(F.col("query")).alias("terms")).where(F.size("terms") > 0)
+    longest = F.array_max(F.transform("terms", F.length))
+    sized = terms.withColumn("size", F.least(longest, F.lit(GRAM)))
+    grams = F.lit(None).cast("array<string>")
+    for n in range(1, GRAM + 1):
+        own = F.array_distinct(F.flatten(F.transform("terms", _grams(n))))
+        grams = F.when(F.col("size") == n, own).otherwise(grams)
+    filed = stage(sized.withColumn("gram", F.explode(grams)).drop("size"), "query_grams")
+    wanted = filed.select("gram").distinct()
+    # One row per n-gram and task leaves for the exchange, however many texts hold it.
+    counts = (
+        text_grams(records, text, gram_sizes(filed))
+        .join(wanted, "gram", "left_semi")
+        .groupBy("gram")
+        .agg(F.count("*").alias("n_texts"))
+    )
+    rarest = F.min(F.struct(F.coalesce("n_texts", F.lit(0)).alias("n_texts"), F.col("gram").alias("gram")))
+    chosen = filed.join(counts, "gram", "left").groupBy("query_idx").agg(rarest.alias("best"))
+    return terms.join(chosen, "query_idx").select(*queries.columns, "terms", "best.gram").where("best.n_texts > 0")
+
+
+def gram_sizes(filed: DataFrame) -> list[int]:
+    return sorted(r["n"] for r in filed.select(F.length("gram").alias("n")).distinct().collect())
+
+
+def text_grams(records: DataFrame, text: Column, sizes: list[int], *columns: str) -> DataFrame:
+    """One row per text and distinct n-gram of the given sizes."""
+    grams = F.concat(*[grams_of(text, n=n) for n in sizes]) if sizes else F.array().cast("array<string>")
+    return records.select(*columns, F.explode(grams).alias("gram"))
+
+
+def match_query_table(records: DataFrame, queries: DataFrame, key: str, *text_columns: str) -> DataFrame:
+    """``match_queries`` for any number of queries: a table (query_idx, query).
+
+    ``key`` is unique among the records, ``query_idx`` among the queries. Texts meet the queries
+    filed under one of their n-grams; only those pairs meet the text again, to be verified.
+    Neither n-grams nor pairs carry the text. A small index is broadcast by Spark's own limit,
+    and then n-grams don't move at all; a text or n-gram with very many pairs can be split. Null texts
+    count as empty, null or empty queries match nothing; records without a match drop out.
+    """
+    text = F.lower(F.concat_ws("\n", *text_columns))
+    index = stage(query_index(records, queries, text), "query_index")
+    found = text_grams(records, text, gram_sizes(index), key)
+    pairs = join_to_one(found, index, ["gram"], "inner").drop("gram")
+    texts = records.withColumn("_text", text)
+    return (
+        join_to_one(pairs, texts, [key], "inner")
+        .where(F.forall("terms", lambda term: F.contains(F.col("_text"), term)))
+        .select(*records.columns, "query_idx", "query")
+    )

@@ -71,19 +71,22 @@ def plan_projects(
     keys: DataFrame | None = None,
     extensions: list[str] | tuple[str, ...] = tuple(DEFAULT_EXTENSIONS),
     output_dir: str = "downloads",
+    colocated: bool = False,
 ) -> DataFrame:
     """Files to fetch for the given projects: wanted extension and a URL, any status.
 
     Projects that do not exist drop out with the join that supplies the folders. The
     keys restrict the projects, not the files: the files meet one join only, with
     one row per project on the other side, so adaptive execution may split a project
-    that holds very many of them.
+    that holds very many of them. ``colocated`` says that both tables are bucketed by project
+    (``sources.bucketed``); they are then joined in place, without an exchange to split.
     """
     targets = with_url(with_extension(files, list(extensions)))
     wanted = _folders(projects)
     if keys is not None:
         wanted = wanted.join(keys.select("project_id").distinct(), "project_id", "left_semi")
-    return join_to_one(targets, wanted, ["project_id"], "inner").select(
+    joined = targets.join(wanted, "project_id") if colocated else join_to_one(targets, wanted, ["project_id"], "inner")
+    return joined.select(
         *targets.columns,
         storage_path(
             output_dir,
@@ -115,6 +118,7 @@ def plan_all(
     choice: Selection = Selection(),
     strict: bool = False,
     output_dir: str = "downloads",
+    colocated: bool = False,
 ) -> DataFrame:
     """Files to fetch in a run over the whole catalog.
 
@@ -124,10 +128,10 @@ def plan_all(
     """
     if strict:
         return plan_projects(
-            files.where(_status_matches(choice)), projects, None, choice.extensions, output_dir
+            files.where(_status_matches(choice)), projects, None, choice.extensions, output_dir, colocated
         )
     return plan_projects(
-        files, projects, selected_projects(files, choice), choice.extensions, output_dir
+        files, projects, selected_projects(files, choice), choice.extensions, output_dir, colocated
     )
 
 

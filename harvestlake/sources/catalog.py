@@ -25,6 +25,8 @@ from harvestlake.session import delete_folder, folder_names, staging
 
 #: Ends the name of the partition with the rows that a batch's checks have turned down.
 _REJECTED = ".rejected"
+#: Folder of the report's partial counts, see ``sources.rollup``.
+REPORT = "report"
 _HIGHEST = ", ".join(f"{t} BIGINT" for t in TABLES)
 
 
@@ -169,9 +171,11 @@ class Catalog:
             rows = rows.where(F.col("batch").isin(batches))
         with staging(self.spark) as put:
             new = put(change(rows).select(*table_columns(table), "batch"), table)
-            self._overwrite(table, new)
             left = {r["batch"] for r in new.select("batch").distinct().collect()}
             old = batches if batches is not None else [r["batch"] for r in self.batches().select("batch").collect()]
+            for batch in old:  # they count what is about to change
+                delete_folder(self.spark, f"{self.base}/{REPORT}/table_name={table}/batch={batch}")
+            self._overwrite(table, new)
             # A dynamic overwrite doesn't touch partitions that have no rows any more.
             for batch in set(old) - left:
                 delete_folder(self.spark, f"{self.base}/{table}/batch={batch}")
@@ -229,7 +233,7 @@ class Catalog:
 
         The list of finished batches goes first, so no table is seen half empty.
         """
-        for name in ("batches", *TABLES):
+        for name in ("batches", REPORT, *TABLES):
             delete_folder(self.spark, f"{self.base}/{name}")
 
     # ---- SQL ------------------------------------------------------------------

@@ -5,5 +5,5 @@ import importlib
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    for name in ("tables", "records", "scalars", "relational", "history", "planning", "streams"):
+    for name in ("tables", "records", "scalars", "relational", "history", "planning", "streams", "stored"):
         importlib.import_module(f"workload.{name}")

@@ -69,16 +69,22 @@ def stored_projects(spark, sf_dir):
 def stored_status(spark, sf_dir):
     """Status changes stored in the partitions that hold the changed files."""
     store = Catalog(spark, scratch_path(spark, "catalog"))
+    files, updates = stored_files(spark, sf_dir)
+    for batch in range(4):
+        store.append({"files": files.where(F.col("project_id") % 4 == batch)}, str(batch))
+    store.apply_status(stage(updates, "updates"))
+    return store.read("files").select("id", "project_id", "status")
+
+
+def stored_files(spark, sf_dir):
+    """Files and status changes with ids as they are stored."""
     files = view(spark, sf_dir, "files").withColumnRenamed("id", "name")
     # Stored ids are numbers: places in the order of the names.
     names = files.select("name").repartitionByRange("name").sortWithinPartitions("name")
     numbers = _numbered(stage(names.withColumn("part", F.spark_partition_id()), "names"))
     files = stage(files.join(numbers, "name"), "files")
     updates = view(spark, sf_dir, "updates").withColumnRenamed("id", "name").join(numbers, "name")
-    for batch in range(4):
-        store.append({"files": files.where(F.col("project_id") % 4 == batch)}, str(batch))
-    store.apply_status(stage(updates.select("id", "status", "updated_at"), "updates"))
-    return store.read("files").select("id", "project_id", "status")
+    return files, updates.select("id", "status", "updated_at")
 
 
 def _numbered(names):
