@@ -11,8 +11,10 @@ from harvestlake.operators.joins import join_to_one
 from harvestlake.refdata import query_terms
 from harvestlake.session import stage
 
-#: Characters of the n-grams that queries are filed under.
-GRAM = 3
+#: Characters of the n-grams that queries are filed under: the most that the longest term has.
+GRAMS = (1, 2, 3, 8)
+#: n-grams (numbers of eight bytes) of queries that are broadcast.
+MAX_SENT = 1_000_000
 
 
 def match_queries(records: DataFrame, queries: list[str], *text_columns: str) -> DataFrame:
@@ -49,50 +51,59 @@ def terms_of(query: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(F.flatten(parts), lambda t: t != ""), F.lower))
 
 
-def grams_of(text: Column, *, n: int) -> Column:
-    """Distinct n-grams of characters."""
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{n}}}))"), F.lit(1)))
+def grams_of(text: Column, n: int) -> Column:
+    """Hashes of the distinct n-grams of characters; equal hashes only cost a verification."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{n}}}))"), F.lit(1)), _hash))
+
+
+def _hash(value: Column) -> Column:
+    return F.xxhash64(value)
 
 
 def _grams(n: int):
-    return lambda text: grams_of(text, n=n)
+    return lambda text: grams_of(text, n)
+
+
+def _only(grams: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``grams`` whose n-gram is wanted; at most ``MAX_SENT`` wanted ones are sent to where the texts are."""
+    return grams.join(F.broadcast(wanted) if wanted.count() <= MAX_SENT else wanted, "gram", "left_semi")
 
 
 def query_index(records: DataFrame, queries: DataFrame, text: Column) -> DataFrame:
     """Each query with its terms and the one n-gram it is filed under.
 
     That is the n-gram of its terms that occurs in the fewest texts, as a text without it can't
-    match. Terms of fewer than ``GRAM`` characters have shorter n-grams, asked only for queries
-    without a longer term. Which n-gram it is changes what moves, not the matches.
+    match. N-grams are as long as the longest term allows: one of ``GRAMS``. Which n-gram it is
+    changes what moves, not the matches.
     """
     terms = queries.select(*queries.columns, terms_of(F.col("query")).alias("terms")).where(F.size("terms") > 0)
     longest = F.array_max(F.transform("terms", F.length))
-    sized = terms.withColumn("size", F.least(longest, F.lit(GRAM)))
-    grams = F.lit(None).cast("array<string>")
-    for n in range(1, GRAM + 1):
+    size, grams = F.lit(None).cast("int"), F.lit(None).cast("array<bigint>")
+    for n in GRAMS:
+        fits = longest >= n
+        size = F.when(fits, F.lit(n)).otherwise(size)
         own = F.array_distinct(F.flatten(F.transform("terms", _grams(n))))
-        grams = F.when(F.col("size") == n, own).otherwise(grams)
-    filed = stage(sized.withColumn("gram", F.explode(grams)).drop("size"), "query_grams")
-    wanted = filed.select("gram").distinct()
+        grams = F.when(fits, own).otherwise(grams)
+    filed = stage(terms.select("query_idx", size.alias("size"), F.explode(grams).alias("gram")), "query_grams")
+    wanted = stage(filed.select("gram").distinct(), "wanted_grams")
     # One row per n-gram and task leaves for the exchange, however many texts hold it.
     counts = (
-        text_grams(records, text, gram_sizes(filed))
-        .join(wanted, "gram", "left_semi")
-        .groupBy("gram")
-        .agg(F.count("*").alias("n_texts"))
+        _only(text_grams(records, text, gram_sizes(filed)), wanted).groupBy("gram").agg(F.count("*").alias("n_texts"))
     )
-    rarest = F.min(F.struct(F.coalesce("n_texts", F.lit(0)).alias("n_texts"), F.col("gram").alias("gram")))
-    chosen = filed.join(counts, "gram", "left").groupBy("query_idx").agg(rarest.alias("best"))
-    return terms.join(chosen, "query_idx").select(*queries.columns, "terms", "best.gram").where("best.n_texts > 0")
+    best = F.min(F.struct("n_texts", "gram", "size"))
+    missing = F.max(F.col("n_texts").isNull()).alias("missing")
+    chosen = filed.join(counts, "gram", "left").groupBy("query_idx").agg(best.alias("best"), missing)
+    # A query with an n-gram that no text has matches nothing.
+    return terms.join(chosen.where("not missing"), "query_idx").select(*queries.columns, "terms", "best.gram", "best.size")
 
 
 def gram_sizes(filed: DataFrame) -> list[int]:
-    return sorted(r["n"] for r in filed.select(F.length("gram").alias("n")).distinct().collect())
+    return sorted(r["size"] for r in filed.select("size").distinct().collect())
 
 
 def text_grams(records: DataFrame, text: Column, sizes: list[int], *columns: str) -> DataFrame:
     """One row per text and distinct n-gram of the given sizes."""
-    grams = F.concat(*[grams_of(text, n=n) for n in sizes]) if sizes else F.array().cast("array<string>")
+    grams = F.array_distinct(F.concat(*[grams_of(text, n) for n in sizes])) if sizes else F.array().cast("array<bigint>")
     return records.select(*columns, F.explode(grams).alias("gram"))
 
 
@@ -101,17 +112,20 @@ def match_query_table(records: DataFrame, queries: DataFrame, key: str, *text_co
 
     ``key`` is unique among the records, ``query_idx`` among the queries. Texts meet the queries
     filed under one of their n-grams; only those pairs meet the text again, to be verified.
-    Neither n-grams nor pairs carry the text. A small index is broadcast by Spark's own limit,
-    and then n-grams don't move at all; a text or n-gram with very many pairs can be split. Null texts
-    count as empty, null or empty queries match nothing; records without a match drop out.
+    Only pairs carry the query, and nothing the text. Up to ``MAX_SENT`` n-grams of the index go
+    to the texts, so that all others are dropped where they arise; beyond it n-grams are exchanged. A
+    text or n-gram with very many pairs can be split. Null texts count as empty, null or empty
+    queries match nothing; records without a match drop out.
     """
     text = F.lower(F.concat_ws("\n", *text_columns))
     index = stage(query_index(records, queries, text), "query_index")
-    found = text_grams(records, text, gram_sizes(index), key)
-    pairs = join_to_one(found, index, ["gram"], "inner").drop("gram")
+    wanted = stage(index.select("gram").distinct(), "filed_grams")
+    found = _only(text_grams(records, text, gram_sizes(index), key), wanted)
+    pairs = join_to_one(found, index.select("gram", "query_idx"), ["gram"], "inner").drop("gram")
+    asked = join_to_one(pairs, index.drop("gram", "size"), ["query_idx"], "inner")
     texts = records.withColumn("_text", text)
     return (
-        join_to_one(pairs, texts, [key], "inner")
+        join_to_one(asked, texts, [key], "inner")
         .where(F.forall("terms", lambda term: F.contains(F.col("_text"), term)))
         .select(*records.columns, "query_idx", "query")
     )
