@@ -3,9 +3,10 @@
 A paragraph is the set of its words and word pairs. A sparse multinomial logistic regression
 over the n-grams of licence templates gives each paragraph a family, or "unknown"; it is
 fitted on templates with words dropped and added, and on a bounded sample of paragraphs of
-the corpus, which teach it the unknown class. A temperature fitted on held-back examples
-calibrates the probabilities, and a family below the threshold is unknown too. A prediction
-is confirmed when the paragraph contains enough of a template of that family. What the
+the corpus and notices of licences that are not listed, which teach it the unknown class. A
+temperature fitted on held-back examples calibrates the probabilities, and a family below the
+threshold is unknown too. A prediction is confirmed when the paragraph contains enough of a
+template of that family, names the family and doesn't deny the licence. What the
 templates of a family explain is then taken out of the paragraph, and what is left is asked
 again, so that a paragraph may carry several licences.
 
@@ -30,8 +31,6 @@ from harvestlake.llm.common import free_name, sample_of_texts, text_of
 
 #: Paragraphs of the corpus that teach the unknown class.
 MAX_BACKGROUND = 4000
-#: n-grams that the classifier may use.
-MAX_FEATURES = 400
 #: An n-gram in a larger share of the background paragraphs is no sign of a licence.
 COMMON = 0.002
 #: A paragraph that contains so much of a template confirms its family.
@@ -90,6 +89,50 @@ TEMPLATES = {
         "Licensed under CC BY-SA 4.0.",
         "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     ],
+    "cc-by-nd": [
+        "Licensed under CC BY-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    ],
+    "cc-by-nc-sa": [
+        "Licensed under CC BY-NC-SA 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    ],
+    "cc-by-nc-nd": [
+        "Licensed under CC BY-NC-ND 4.0.",
+        "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    ],
+    "agpl": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+        "SPDX-License-Identifier: AGPL-3.0-or-later",
+    ],
+    "isc": [
+        "Released under the ISC License.",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "SPDX-License-Identifier: ISC",
+    ],
+    "epl": [
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+        "SPDX-License-Identifier: EPL-2.0",
+    ],
+    "boost": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        "SPDX-License-Identifier: BSL-1.0",
+    ],
+    "unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "SPDX-License-Identifier: Unlicense",
+    ],
+    "zlib": [
+        "Released under the zlib License.",
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+        "SPDX-License-Identifier: Zlib",
+    ],
+    "artistic": [
+        "Licensed under the Artistic License 2.0.",
+        "SPDX-License-Identifier: Artistic-2.0",
+    ],
     "public-domain": [
         "This work has been dedicated to the public domain under CC0 1.0 Universal.",
         "To the extent possible under law, the author has waived all copyright and related rights to this work.",
@@ -101,6 +144,43 @@ TEMPLATES = {
         "This software is proprietary and confidential.",
     ],
 }
+# N-grams that name a family; a paragraph with none of them doesn't confirm it.
+NAMING = {
+    "apache": ["apache license", "apache 2.0", "apache-2.0"],
+    "mit": ["mit license", "granted free", "spdx-license-identifier mit"],
+    "gpl": ["gnu general", "gpl", "gpl-2.0", "gpl-2.0-only", "gpl-2.0-or-later", "gpl-3.0", "gpl-3.0-only", "gpl-3.0-or-later"],
+    "lgpl": ["lesser general", "lgpl", "lgpl-2.1", "lgpl-2.1-only", "lgpl-2.1-or-later", "lgpl-3.0", "lgpl-3.0-only", "lgpl-3.0-or-later"],
+    "bsd": ["binary forms", "bsd", "bsd-style", "bsd-2-clause", "bsd-3-clause"],
+    "mpl": ["mozilla public", "mpl", "mpl-2.0"],
+    "cc-by": ["cc by", "commons attribution", "cc-by-4.0"],
+    "cc-by-nc": ["cc by-nc", "commons attribution-noncommercial", "cc-by-nc-4.0"],
+    "cc-by-sa": ["cc by-sa", "commons attribution-sharealike", "cc-by-sa-4.0"],
+    "cc-by-nd": ["cc by-nd", "commons attribution-noderivatives", "cc-by-nd-4.0"],
+    "cc-by-nc-sa": ["cc by-nc-sa", "commons attribution-noncommercial-sharealike", "cc-by-nc-sa-4.0"],
+    "cc-by-nc-nd": ["cc by-nc-nd", "commons attribution-noncommercial-noderivatives", "cc-by-nc-nd-4.0"],
+    "agpl": ["affero general", "agpl", "agpl-3.0", "agpl-3.0-only", "agpl-3.0-or-later"],
+    "isc": ["isc license", "without fee", "spdx-license-identifier isc"],
+    "epl": ["eclipse public", "epl", "epl-2.0"],
+    "boost": ["boost software", "bsl-1.0"],
+    "unlicense": ["unencumbered software", "unlicense"],
+    "zlib": ["zlib", "provided as-is"],
+    "artistic": ["artistic license", "artistic-2.0"],
+    "public-domain": ["public domain", "cc0", "waived all"],
+    "proprietary": ["rights reserved", "is proprietary"],
+}
+# Word pairs by which a paragraph denies the licence that it names.
+DENYING = ["not licensed", "not released", "not distributed", "not covered", "not available", "not published", "no longer", "never licensed", "never released"]
+# Notices of licences that are no family here.
+UNLISTED = [
+    "Licensed under the European Union Public Licence, version 1.2.",
+    "This file is subject to the terms of the Common Development and Distribution License, version 1.0.",
+    "This software is licensed under the Microsoft Public License.",
+    "Distributed under the Open Software License version 3.0.",
+    "Released under the PostgreSQL License.",
+    "Licensed under the Python Software Foundation License Version 2.",
+    "This program is made available under the terms of the Common Public License 1.0.",
+    "SPDX-License-Identifier: WTFPL",
+]
 # Sentences about licences that name none.
 NOT_LICENCES = [
     "You need a driving license to rent a car.",
@@ -169,7 +249,7 @@ def _examples(seed: int) -> tuple[list[list[str]], list[str]]:
     rng = np.random.default_rng(seed)
     filler = [w for s in NOT_LICENCES for w in s.split()]
     texts, families = [], []
-    cases = [(t, f) for f, own in TEMPLATES.items() for t in own] + [(t, UNKNOWN) for t in NOT_LICENCES]
+    cases = [(t, f) for f, own in TEMPLATES.items() for t in own] + [(t, UNKNOWN) for t in [*NOT_LICENCES, *UNLISTED]]
     for text, family in cases:
         words = text.split()
         for k in range(24):
@@ -177,6 +257,9 @@ def _examples(seed: int) -> tuple[list[list[str]], list[str]]:
             around = list(rng.choice(filler, rng.integers(0, 6))) if k % 3 else []
             texts.append(grams_of(" ".join([*around, *kept])))
             families.append(family)
+    # Paragraphs that say nothing are most of a corpus.
+    texts += [[]] * len(texts)
+    families += [UNKNOWN] * (len(texts) - len(families))
     return texts, families
 
 
@@ -212,8 +295,8 @@ def _temperature(logits: np.ndarray, y: np.ndarray) -> float:
 def fit_licences(docs: DataFrame | None = None, text: str = "text", penalty: float = 2e-4, seed: int = 3) -> LicenceModel:
     """Train on the templates and a bounded sample of the paragraphs of ``docs``.
 
-    The sample is the first paragraph of about ``MAX_BACKGROUND`` distinct texts with small
-    hashes; only the n-grams that templates know of it reach the driver. Every
+    The sample is one paragraph, chosen by a hash, of about ``MAX_BACKGROUND`` distinct texts with
+    small hashes; only the n-grams that templates know of it reach the driver. Every
     fourth example is held back to fit the temperature.
     """
     examples, names = _examples(seed)
@@ -228,7 +311,10 @@ def fit_licences(docs: DataFrame | None = None, text: str = "text", penalty: flo
     background: list[list[str]] = []
     if docs is not None:
         sample = sample_of_texts(docs, text, MAX_BACKGROUND).where("text <> ''")
-        paragraph = F.element_at(F.filter(F.split("text", "\n"), lambda p: F.trim(p) != ""), 1)
+        paragraph = _let(
+            F.filter(F.split("text", "\n"), lambda p: F.trim(p) != ""),
+            lambda all_: F.try_element_at(all_, (F.pmod(F.xxhash64("text"), F.greatest(F.size(all_), F.lit(1))) + 1).cast("int")),
+        )
         hits = F.array_intersect(grams_column(F.coalesce(paragraph, F.lit(""))), F.array(*map(F.lit, known)))
         # Paragraphs that are licences themselves don't teach what is none.
         own = [set(template_grams(t)) for texts in TEMPLATES.values() for t in texts]
@@ -239,7 +325,7 @@ def fit_licences(docs: DataFrame | None = None, text: str = "text", penalty: flo
             for g in grams:
                 seen[g] = seen.get(g, 0) + 1
         known = [g for g in known if seen.get(g, 0) <= max(2.0, COMMON * len(background))]
-    features = known[:MAX_FEATURES]
+    features = known
     at = {f: i for i, f in enumerate(features)}
     examples += background
     names += [UNKNOWN] * len(background)
@@ -249,8 +335,6 @@ def fit_licences(docs: DataFrame | None = None, text: str = "text", penalty: flo
     y = np.array([families.index(n) for n in names])
     held = np.arange(len(y)) % 4 == 3
     w, b = _fit(x[~held], y[~held], len(families), penalty)
-    # A paragraph that says nothing is unknown, whatever the shares of the examples.
-    b[-1] = max(b[-1], b[:-1].max() + 2.0)
     used = np.abs(w).max(axis=1) > 1e-6
     model = LicenceModel(families, [f for f, u in zip(features, used, strict=True) if u], w[used], b)
     model.temperature = _temperature(x[held][:, used] @ model.weights + b, y[held])
@@ -302,8 +386,8 @@ def scan(
     """``docs`` with an array of the licence paragraphs of each whole text.
 
     Each is a struct: paragraph (number of the line, from 0), family, probability, similarity
-    (largest share of a template of the family that the paragraph contains) and confirmed
-    (similarity is enough). Paragraphs that are unknown, or whose probability is below
+    (largest share of a template of the family that the paragraph contains; 0 if it doesn't name
+    the family, or denies a licence by one of ``DENYING``) and confirmed (similarity is enough). Paragraphs that are unknown, or whose probability is below
     ``threshold``, aren't listed. A line is listed once for each family that is confirmed in it;
     for a family after the first, and where families share the probability, it is enough that
     some licence is as probable as ``threshold``. A notice that runs over several lines is
@@ -336,8 +420,9 @@ def scan(
                 listed = template_grams(t)
                 shares.append(F.size(F.array_intersect(grams, _strings(listed))) / F.lit(float(len(listed))))
             best = F.greatest(*shares) if len(shares) > 1 else shares[0]
-            out = F.when(family == name, best).otherwise(out)
-        return out
+            named = F.arrays_overlap(grams, _strings(NAMING[name]))
+            out = F.when(family == name, F.when(named, best).otherwise(0.0)).otherwise(out)
+        return F.when(F.arrays_overlap(grams, _strings(DENYING)), 0.0).otherwise(out)
 
     def explained(family: Column) -> Column:
         """n-grams of all templates of the family."""
