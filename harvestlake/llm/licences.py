@@ -359,9 +359,15 @@ def telling_words(similarity: float) -> list[str]:
     return sorted(telling)
 
 
-def _any_word(words: list[str]) -> str:
-    # Whole words, so that the regular expression passes over other text quickly.
-    return r"(?iu)(?<![\p{L}\p{N}])(?:" + "|".join(re.escape(w).replace(r"\-", "-") for w in words) + r")(?![\p{L}\p{N}])"
+def _any_gram(grams: list[str]) -> str:
+    """Matches where one of the words or word pairs stands; a pair's words may have anything but words between them."""
+    by_first: dict[str, list[str]] = {}
+    for g in grams:
+        escaped = r"[^\p{L}\p{N}]+".join(re.escape(w).replace(r"\-", "-") for w in g.split())
+        by_first.setdefault(g[0], []).append(escaped[1:])
+    # Whole words, by their first character, so that the regular expression passes over other text quickly.
+    tried = "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in by_first.items())
+    return rf"(?iu)(?<![\p{{L}}\p{{N}}])(?:{tried})(?![\p{{L}}\p{{N}}])"
 
 
 def _let(value: Column, body) -> Column:
@@ -395,7 +401,7 @@ def scan(
     in which its window begins. Null and empty texts have none. Other columns stay.
     """
     anchors = model.anchors()
-    quick = _any_word(sorted({a.split()[0] for a in anchors}))
+    quick = _any_gram(anchors)
     telling = telling_words(similarity)
     vocabulary = _strings(model.features)
     tables: list[Column | None] = []
@@ -526,7 +532,7 @@ def scan(
 
     none = "array<struct<at:int,until:int,start:int,family:string,probability:double,similarity:double>>"
     of_windows = F.when(
-        body.rlike(_any_word(telling)), _let(F.transform(F.split(body, "\n"), words_of), windows)
+        body.rlike(_any_gram(telling)), _let(F.transform(F.split(body, "\n"), words_of), windows)
     ).otherwise(F.array().cast(none))
 
     # Each step is an array of its own, so that nothing is computed twice.
