@@ -11,8 +11,10 @@ from harvestlake.operators.joins import join_to_one
 from harvestlake.refdata import query_terms
 from harvestlake.session import stage
 
-#: Characters of the n-grams that queries are filed under: the most that the longest term has.
-GRAMS = (1, 2, 3, 8)
+#: Kinds of n-grams that queries are filed under, the last that one of the terms has: at any place of
+#: the text, or only behind white space, of which a text has far fewer. As many characters each.
+ANYWHERE, BEHIND_SPACE = (1, 2, 3, 8), (6, 9, 12)
+KINDS = [("", n) for n in ANYWHERE] + [(r"\s", n) for n in BEHIND_SPACE]
 #: n-grams (numbers of eight bytes) of queries that are broadcast.
 MAX_SENT = 1_000_000
 
@@ -51,17 +53,19 @@ def terms_of(query: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(F.flatten(parts), lambda t: t != ""), F.lower))
 
 
-def grams_of(text: Column, n: int) -> Column:
-    """Hashes of the distinct n-grams of characters; equal hashes only cost a verification."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{{n}}}))"), F.lit(1)), _hash))
+def grams_of(text: Column, kind: int) -> Column:
+    """Hashes of the n-grams of a kind; equal hashes only cost a verification."""
+    before, n = KINDS[kind]
+    pattern = rf"(?s){before}(?=(.{{{n}}}))"
+    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), _hash)
 
 
 def _hash(value: Column) -> Column:
     return F.xxhash64(value)
 
 
-def _grams(n: int):
-    return lambda text: grams_of(text, n)
+def _grams(kind: int):
+    return lambda text: grams_of(text, kind)
 
 
 def _only(grams: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -73,37 +77,35 @@ def query_index(records: DataFrame, queries: DataFrame, text: Column) -> DataFra
     """Each query with its terms and the one n-gram it is filed under.
 
     That is the n-gram of its terms that occurs in the fewest texts, as a text without it can't
-    match. N-grams are as long as the longest term allows: one of ``GRAMS``. Which n-gram it is
-    changes what moves, not the matches.
+    match. A text that contains a term also has the term's n-grams of every kind, as those behind
+    white space are behind white space inside the term. Which n-gram it is changes what moves, not
+    the matches.
     """
     terms = queries.select(*queries.columns, terms_of(F.col("query")).alias("terms")).where(F.size("terms") > 0)
-    longest = F.array_max(F.transform("terms", F.length))
-    size, grams = F.lit(None).cast("int"), F.lit(None).cast("array<bigint>")
-    for n in GRAMS:
-        fits = longest >= n
-        size = F.when(fits, F.lit(n)).otherwise(size)
-        own = F.array_distinct(F.flatten(F.transform("terms", _grams(n))))
-        grams = F.when(fits, own).otherwise(grams)
-    filed = stage(terms.select("query_idx", size.alias("size"), F.explode(grams).alias("gram")), "query_grams")
+    own = F.array(*[F.array_distinct(F.flatten(F.transform("terms", _grams(k)))) for k in range(len(KINDS))])
+    kinds = terms.withColumn("own", own).withColumn(
+        "kind", F.array_max(F.transform("own", lambda grams, k: F.when(F.size(grams) > 0, k)))
+    )
+    filed = stage(kinds.select("query_idx", "kind", F.explode(F.get("own", "kind")).alias("gram")), "query_grams")
     wanted = stage(filed.select("gram").distinct(), "wanted_grams")
     # One row per n-gram and task leaves for the exchange, however many texts hold it.
     counts = (
-        _only(text_grams(records, text, gram_sizes(filed)), wanted).groupBy("gram").agg(F.count("*").alias("n_texts"))
+        _only(text_grams(records, text, gram_kinds(filed)), wanted).groupBy("gram").agg(F.count("*").alias("n_texts"))
     )
-    best = F.min(F.struct("n_texts", "gram", "size"))
+    best = F.min(F.struct("n_texts", "gram", "kind"))
     missing = F.max(F.col("n_texts").isNull()).alias("missing")
     chosen = filed.join(counts, "gram", "left").groupBy("query_idx").agg(best.alias("best"), missing)
     # A query with an n-gram that no text has matches nothing.
-    return terms.join(chosen.where("not missing"), "query_idx").select(*queries.columns, "terms", "best.gram", "best.size")
+    return terms.join(chosen.where("not missing"), "query_idx").select(*queries.columns, "terms", "best.gram", "best.kind")
 
 
-def gram_sizes(filed: DataFrame) -> list[int]:
-    return sorted(r["size"] for r in filed.select("size").distinct().collect())
+def gram_kinds(filed: DataFrame) -> list[int]:
+    return sorted(r["kind"] for r in filed.select("kind").distinct().collect())
 
 
-def text_grams(records: DataFrame, text: Column, sizes: list[int], *columns: str) -> DataFrame:
-    """One row per text and distinct n-gram of the given sizes."""
-    grams = F.array_distinct(F.concat(*[grams_of(text, n) for n in sizes])) if sizes else F.array().cast("array<bigint>")
+def text_grams(records: DataFrame, text: Column, kinds: list[int], *columns: str) -> DataFrame:
+    """One row per text and distinct n-gram of the given kinds."""
+    grams = F.array_distinct(F.concat(*[grams_of(text, k) for k in kinds])) if kinds else F.array().cast("array<bigint>")
     return records.select(*columns, F.explode(grams).alias("gram"))
 
 
@@ -120,9 +122,9 @@ def match_query_table(records: DataFrame, queries: DataFrame, key: str, *text_co
     text = F.lower(F.concat_ws("\n", *text_columns))
     index = stage(query_index(records, queries, text), "query_index")
     wanted = stage(index.select("gram").distinct(), "filed_grams")
-    found = _only(text_grams(records, text, gram_sizes(index), key), wanted)
+    found = _only(text_grams(records, text, gram_kinds(index), key), wanted)
     pairs = join_to_one(found, index.select("gram", "query_idx"), ["gram"], "inner").drop("gram")
-    asked = join_to_one(pairs, index.drop("gram", "size"), ["query_idx"], "inner")
+    asked = join_to_one(pairs, index.drop("gram", "kind"), ["query_idx"], "inner")
     texts = records.withColumn("_text", text)
     return (
         join_to_one(asked, texts, [key], "inner")
