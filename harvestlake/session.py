@@ -85,6 +85,12 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def qualified(spark: SparkSession, path: str) -> str | None:
+    """The path with its scheme, as file sources report it; None if nothing is there."""
+    folder, files = _folder(spark, path)
+    return files.makeQualified(folder).toString().rstrip("/") if files.exists(folder) else None
+
+
 def folder_names(spark: SparkSession, path: str, prefix: str = "", finished: bool = False) -> list[str]:
     """Names of the entries in a folder that begin with ``prefix``, without it.
 

@@ -19,7 +19,7 @@ load_all()
 # Queries that run jobs of their own while they are being built.
 EAGER = (
     "a1_", "a2_stored", "a4_", "a5_", "a6_", "a8_gated", "a9_", "b9_", "collection_run", "m1_", "m2_stored", "m3_stored", "o1_", "o2_", "o3_",
-    "g2_bucketed", "d8_bucketed", "n2_bucketed", "g10_query_table", "h4_incremental",
+    "g2_bucketed", "d8_bucketed", "n2_bucketed", "g10_query_table", "h4_incremental", "n4_listed",
 )
 
 

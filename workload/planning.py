@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from harvestlake.operators import worklist as wl
+from harvestlake.operators.joins import join_to_one
 from harvestlake.plans.download import download_round, round_tally
 from harvestlake.refdata import DEFAULT_EXTENSIONS
+from harvestlake.session import scratch_path
+from harvestlake.sources.inventory import read_inventory
 from workload.projections import cte, view
 from workload.registry import query, sql_list
 
@@ -139,6 +142,57 @@ def whole_round(spark, sf_dir):
     return after.groupBy("new_status").agg(F.count("*").alias("n"))
 
 
+# ---- decisions by the files that a folder holds -----------------------------------
+
+# Folders are made coarse too, so that the number of files written doesn't grow with the tables.
+_FEW_FOLDERS = {
+    "download_project_folder": "cast(cast(download_project_folder as bigint) % 10 as string)",
+    "download_version_folder": "''",
+}
+_STORED = "path like '%/f1.%' and path not like 'downloads/zenodo/%'"
+
+
+def write_files(paths, root: str) -> None:
+    """A file at each of the distinct paths below ``root``, holding its own path; a repeated task writes it again."""
+
+    def write(rows):
+        from pyarrow import fs
+
+        uri = root if "://" in root else "file://" + root.removeprefix("file:")
+        store, base = fs.FileSystem.from_uri(uri)
+        for row in rows:
+            store.create_dir(f"{base}/{row.path}".rpartition("/")[0])
+            with store.open_output_stream(f"{base}/{row.path}") as out:
+                out.write(row.path.encode())
+
+    paths.foreachPartition(write)
+
+
+@query(
+    "n4_listed_files",
+    _decided_sql()
+    .replace(_INVENTORY, _STORED)
+    .replace("join projects_ p", "join few_ p")
+    .replace(
+        ", coarse_ as",
+        ", few_ as (select * replace (" + ", ".join(f"{e} as {c}" for c, e in _FEW_FOLDERS.items())
+        + ") from projects_), coarse_ as",
+    )
+    + f" select id, path, new_status, case when {_STORED} then length(path) end as length from decided_",
+)
+def listed_files(spark, sf_dir):
+    """Decisions by a listing of files that were written before, with the length of what is there."""
+    files = view(spark, sf_dir, "files").withColumn("file_name", F.expr(_COARSE))
+    projects = _projects(spark, sf_dir).withColumns({c: F.expr(e) for c, e in _FEW_FOLDERS.items()})
+    plan = wl.plan_projects(files, projects).select("id", "project_id", "path")
+    root = scratch_path(spark, "files")
+    write_files(plan.where(_STORED).select("path").distinct(), root)
+    inventory = read_inventory(spark, f"{root}/downloads")
+    heads = view(spark, sf_dir, "files", "id", "content_length")
+    decided = wl.classify(plan, inventory, heads, view(spark, sf_dir, "outcomes"))
+    return join_to_one(decided, inventory.select("path", "length"), ["path"]).select("id", "path", "new_status", "length")
+
+
 # ---- tallies ------------------------------------------------------------------
 
 
