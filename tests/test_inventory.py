@@ -43,7 +43,7 @@ def test_nothing_there(spark, tmp_path):
 def test_contents_are_not_read(spark, tmp_path):
     store(tmp_path)
     plan = read_inventory(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan
+    assert "content#" not in plan and "length#" in plan
 
 
 def test_files_that_are_there_are_not_fetched(spark, tmp_path):
