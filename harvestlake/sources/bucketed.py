@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from harvestlake.session import delete_folder
 
-#: Bytes of the largest table that a bucket should hold.
-BUCKET_BYTES = 256 * 1024 * 1024
+#: Bytes of the largest table, as its compressed files, that a bucket should hold. The task that joins
+#: a bucket sorts its rows unpacked, which takes some twenty times as much memory.
+BUCKET_BYTES = 16 * 1024 * 1024
 
 
 def project_key(table: str) -> str:
@@ -43,8 +44,9 @@ class BucketedTables:
         """Write a table in place of what is stored; rows without a project are kept in a bucket of their own hash."""
         key = project_key(table)
         self.drop(table)
-        # Adaptive execution splits a partition of one hot project and merges small ones.
-        dealt = rows.hint("rebalance", F.col(key))
+        # Dealt by bucket, so a task writes few files. Adaptive execution splits a partition of one
+        # hot project and merges small ones.
+        dealt = rows.hint("rebalance", self.buckets, F.col(key))
         (
             dealt.write.format("parquet")
             .bucketBy(self.buckets, key)

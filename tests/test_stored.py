@@ -73,6 +73,12 @@ def test_bucket_count():
         BucketedTables(None, "x", "y", 0)
 
 
+def test_buckets_grow_with_the_table():
+    # Rows of a bucket are sorted unpacked by one task: 2.8 GB of files, some 216 million rows, need over a hundred.
+    assert buckets_for(2_800_000_000) >= 128
+    assert 2_800_000_000 / buckets_for(2_800_000_000) <= 32 * 1024 * 1024
+
+
 # ---- partial counts ---------------------------------------------------------------
 
 
