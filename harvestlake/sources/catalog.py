@@ -14,7 +14,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from harvestlake.operators import ledger
@@ -157,35 +157,47 @@ class Catalog:
         )
         return mine.join(self.batches().select("batch"), "batch", "left_semi").select(*table_columns(table), "broken", "batch")
 
-    def rewrite(self, table: str, change: Callable[[DataFrame], DataFrame], batches: list[str] | None = None) -> None:
+    def rewrite(
+        self,
+        table: str,
+        change: Callable[[DataFrame], DataFrame],
+        batches: list[str] | None = None,
+        settle: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> None:
         """Put ``change(rows)`` in place of the rows of some batches (default: of all).
 
-        ``change`` gets the table's columns and ``batch`` and must keep ``batch``. Partitions
-        of other batches keep their files. Each partition is replaced as a whole; repeating
-        a rewrite that died completes it, if the change of changed rows is no other.
+        ``change`` gets the table's columns and ``batch`` and must keep ``batch``. What it gives is
+        dealt in ranges of (batch, project, id) once, written and only then put in place of what it was
+        read from. ``settle`` is for changes that need the rows of one id side by side: it gets the dealt
+        rows, sorted by these keys, with all columns of ``change``. Partitions of other batches keep their files.
+        Each partition is replaced as a whole; repeating a rewrite that died completes it, if the change of
+        changed rows is no other.
         """
         if batches is not None and not batches:
             return
         rows = self.rows(table)
         if batches is not None:
             rows = rows.where(F.col("batch").isin(batches))
-        with staging(self.spark) as put:
-            new = put(change(rows).select(*table_columns(table), "batch"), table)
-            left = {r["batch"] for r in new.select("batch").distinct().collect()}
-            old = batches if batches is not None else [r["batch"] for r in self.batches().select("batch").collect()]
-            for batch in old:  # they count what is about to change
-                delete_folder(self.spark, f"{self.base}/{REPORT}/table_name={table}/batch={batch}")
-            self._overwrite(table, new)
-            # A dynamic overwrite doesn't touch partitions that have no rows any more.
-            for batch in set(old) - left:
-                delete_folder(self.spark, f"{self.base}/{table}/batch={batch}")
-
-    def _overwrite(self, table: str, rows: DataFrame) -> None:
+        old = batches if batches is not None else [r["batch"] for r in self.batches().select("batch").collect()]
+        paths = {batch: f"{self.base}/{table}/batch={batch}" for batch in old}
+        files = {batch: set(folder_names(self.spark, path, "part-")) for batch, path in paths.items()}
+        new = change(rows)
+        for batch in old:  # they count what is about to change
+            delete_folder(self.spark, f"{self.base}/{REPORT}/table_name={table}/batch={batch}")
+        self._overwrite(table, new, settle)
+        # A dynamic overwrite doesn't touch partitions that have no rows any more.
+        for batch, path in paths.items():
+            if files[batch] & set(folder_names(self.spark, path, "part-")):
+                delete_folder(self.spark, path)
+
+    def _overwrite(self, table: str, rows: DataFrame, settle: Callable[[DataFrame], DataFrame] | None = None) -> None:
         keys = ["batch", "repository_id" if table == "projects" else "project_id", "id"]
         # Ranges, so that a batch or project with very many rows is split.
         ranged = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
         (
-            ranged.write.mode("overwrite")
+            (settle(ranged) if settle else ranged)
+            .select(*table_columns(table), "batch")
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch")
             .parquet(f"{self.base}/{table}")
@@ -204,9 +216,26 @@ class Catalog:
         return sorted(r["batch"] for r in held.select("batch").distinct().collect())
 
     def apply_status(self, updates: DataFrame, order: str = "updated_at") -> None:
-        """Store the last status per file; only partitions that hold changed files are rewritten."""
-        touched = self._holding("files", "id", updates)
-        self.rewrite("files", lambda rows: ledger.apply_status(rows, updates, order=order), touched)
+        """Store the last status per file; only partitions that hold changed files are rewritten.
+
+        Only ids meet the changes in a join; a change then travels with the rows of its batch and
+        project, so that whole rows are dealt once, for the files written.
+        """
+        keys = ["batch", "project_id", "id"]
+        last = ledger.latest_status(updates, order=order)
+        with staging(self.spark) as put:
+            changes = put(self.rows("files").select(*keys).join(last, "id").select(*keys, "new_status"), "changes")
+            touched = sorted(r["batch"] for r in changes.select("batch").distinct().collect())
+
+            def change(rows: DataFrame) -> DataFrame:
+                stored = rows.withColumn("stored", F.lit(True))
+                return stored.unionByName(changes.withColumn("stored", F.lit(False)), allowMissingColumns=True)
+
+            def settle(dealt: DataFrame) -> DataFrame:
+                new = F.max("new_status").over(Window.partitionBy(*keys))
+                return dealt.withColumn("status", F.coalesce(new, "status")).where("stored")
+
+            self.rewrite("files", change, touched, settle)
 
     def upsert_scores(self, new: DataFrame, batch: str, order: str | None = None) -> None:
         """Insert scores or put them in place of the project's; ids as ``ledger.upsert_scores``.

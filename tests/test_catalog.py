@@ -1,6 +1,7 @@
 """Shredding, the stored tables, checks, exports and SQL."""
 
 import datetime
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from harvestlake.session import stage
 from harvestlake.sources.catalog import Catalog
 from harvestlake.sources.export import export_files, export_projects, read_export
 from workload.payloads import landing_pages, side_documents
+from workload.tables import stored_files
 
 RECORDS = (
     "repo STRING, query STRING, query_idx INT, repo_idx INT, page INT, pos INT, fetched_at TIMESTAMP, "
@@ -387,3 +389,40 @@ def test_block_staging_leaves_nothing_behind(spark, tmp_path):
     with staging(spark) as put:
         assert put(spark.range(5), "numbers").count() == 5
     assert {p.name for p in root.glob("*/block")} | {str(p) for p in root.glob("*/block/*")} == before
+
+
+def test_status_changes_deal_whole_rows_once(spark, tmp_path, monkeypatch):
+    store = Catalog(spark, str(tmp_path / "catalog"))
+    files = spark.createDataFrame(
+        [(i, i % 3, f"f{i}", "csv", None, "pending") for i in range(9)], schemas.TABLES["files"]
+    )
+    for batch in (0, 1):
+        store.append({"files": files.where(F.col("id") % 2 == batch)}, str(batch))
+    plans = []
+    overwrite = Catalog._overwrite
+
+    def spied(self, table, rows, settle=None):
+        dealt = rows.repartitionByRange("batch", "project_id", "id").sortWithinPartitions("batch", "project_id", "id")
+        plans.append(settle(dealt)._jdf.queryExecution().executedPlan().toString())
+        overwrite(self, table, rows, settle)
+
+    monkeypatch.setattr(Catalog, "_overwrite", spied)
+    updates = [(1, "failed", 1), (1, "success", 2), (4, None, 9), (7, "failed", 1), (99, "failed", 1)]
+    store.apply_status(spark.createDataFrame(updates, "id BIGINT, status STRING, updated_at BIGINT"))
+    assert [re.findall(r"\bExchange (\w+)", plan) for plan in plans] == [["rangepartitioning"]]
+    changed = {r["id"]: r["status"] for r in store.read("files").where("status <> 'pending'").collect()}
+    assert changed == {1: "success", 7: "failed"} and store.read("files").count() == 9
+
+
+def test_stored_files_of_one_name_are_stored_once_each(spark, tmp_path):
+    kind = (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_extendedprice DOUBLE, l_linestatus STRING"
+    )
+    rows = [(1, 5, 4, 1, 1.0, "O"), (1, 5, 4, 1, 1.0, "F"), (2, 7, 4, 1, 1.0, "F"), (1, 5, 4, 2, 1.0, "O")]
+    spark.createDataFrame(rows, kind).write.parquet(str(tmp_path / "lineitem.parquet"))
+    files, updates = stored_files(spark, str(tmp_path))
+    assert sorted((r["id"], r["name"], r["status"]) for r in files.collect()) == [
+        (1, "1_1_5_4", "success"), (2, "1_1_5_4", "pending"), (3, "1_2_5_4", "pending"), (4, "2_1_7_4", "success")
+    ]
+    # Three rows of a changed part, in two steps each; those of one name are changes of both files of that name.
+    assert sorted(r["id"] for r in updates.collect()) == [1] * 4 + [2] * 4 + [3] * 2

@@ -80,21 +80,34 @@ def stored_files(spark, sf_dir):
     """Files and status changes with ids as they are stored."""
     files = view(spark, sf_dir, "files").withColumnRenamed("id", "name")
     # Stored ids are numbers: places in the order of the names.
-    names = files.select("name").repartitionByRange("name").sortWithinPartitions("name")
-    numbers = _numbered(stage(names.withColumn("part", F.spark_partition_id()), "names"))
-    files = stage(files.join(numbers, "name"), "files")
-    updates = view(spark, sf_dir, "updates").withColumnRenamed("id", "name").join(numbers, "name")
+    files = _numbered(files.select("name", *[c for c in table_columns("files") if c != "id"]))
+    named = view(spark, sf_dir, "updates").withColumnRenamed("id", "name")
+    updates = named.join(files.select("name", "id"), "name")
     return files, updates.select("id", "status", "updated_at")
 
 
-def _numbered(names):
-    """``name``, ``id``: dense numbers of names that are sorted in ranges (``part``)."""
-    inside = Window.partitionBy("part").orderBy("name")
-    sizes = names.groupBy("part").agg(F.count("*").alias("n"))
+def _numbered(files):
+    """The files staged with their dense place in the order of the names (``id``); files without a name drop out.
+
+    Whole rows are dealt once, in ranges, and written with their place in the range. Of files of one
+    name that with the greatest status comes first.
+    """
+    order = ["name", F.desc_nulls_last("status"), *[c for c in files.columns if c not in ("name", "status")]]
+    ranged = files.repartitionByRange(*order).sortWithinPartitions(*order)
+    # Of a task's sorted rows: its number and the place in it.
+    placed = ranged.withColumn("place", F.monotonically_increasing_id())
+    placed = stage(
+        placed.withColumns({"part": F.shiftright("place", 33), "k": F.col("place").bitwiseAND(F.lit((1 << 33) - 1))})
+        .drop("place"),
+        "files",
+    )
+    sizes = placed.groupBy("part").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("part")) - F.col("n")  # a row per part
-    ranked = names.withColumn("k", F.row_number().over(inside))
-    return ranked.join(sizes.withColumn("before", before), "part").select(
-        "name", (F.col("k") + F.col("before")).alias("id")
+    starts = sizes.select("part", before.alias("before"))
+    return (
+        placed.where("name is not null")
+        .join(F.broadcast(starts), "part")
+        .select((F.col("before") + F.col("k") + 1).alias("id"), *files.columns)
     )
 
 
