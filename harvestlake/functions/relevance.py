@@ -21,9 +21,17 @@ def _points(condition: Column, points: int) -> Column:
     return F.when(condition, F.lit(points)).otherwise(F.lit(0))
 
 
+def lower_title(title: Column) -> Column:
+    return F.lower(text(title))
+
+
 def title_score(title: Column, keywords: list[str] | None = None) -> Column:
     """One point per keyword that occurs in the title, however often."""
-    low = F.lower(text(title))
+    return keyword_points(lower_title(title), keywords)
+
+
+def keyword_points(low: Column, keywords: list[str] | None = None) -> Column:
+    """``title_score`` of a title in lower case."""
     return reduce(
         lambda a, b: a + b,
         [_points(F.contains(low, F.lit(k)), 1) for k in keywords or TITLE_KEYWORDS],
@@ -41,6 +49,11 @@ def file_score(tool_export: Column, text_file: Column, all_code: Column) -> Colu
 
 def record_score(title: Column, files: Column) -> Column:
     """Score of a nested record."""
-    return title_score(title) + file_score(
+    return lowered_record_score(lower_title(title), files)
+
+
+def lowered_record_score(low: Column, files: Column) -> Column:
+    """``record_score`` by the title in lower case."""
+    return keyword_points(low) + file_score(
         has_tool_export(files), has_text_file(files), is_all_code(files)
     )

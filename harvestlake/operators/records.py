@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from harvestlake.functions.licences import is_open_licence
-from harvestlake.functions.relevance import file_score, record_score, title_score
+from harvestlake.functions.relevance import file_score, lower_title, lowered_record_score, title_score
 from harvestlake.refdata import (
     CODE_EXTENSIONS,
     DEFAULT_METHOD,
@@ -21,11 +21,14 @@ def score(records: DataFrame) -> DataFrame:
     """Add ``relevance_score`` to nested records.
 
     The score comes out of a generator: a filter on it stays above and doesn't score
-    again, while filters on other columns still pass down to the scan.
+    again, while filters on other columns still pass down to the scan. Inside a generator
+    Spark repeats equal parts of an expression, so the title is put in lower case below it,
+    once and not for every keyword.
     """
-    points = record_score(F.col("title"), F.col("files"))
+    points = lowered_record_score(F.col("_low"), F.col("files"))
     others = [c for c in records.columns if c != "relevance_score"]
-    return records.select(*others, F.explode(F.array(points)).alias("relevance_score"))
+    lowered = records.withColumn("_low", lower_title(F.col("title")))
+    return lowered.select(*others, F.explode(F.array(points)).alias("relevance_score"))
 
 
 def is_relevant(

@@ -426,3 +426,8 @@ def test_stored_files_of_one_name_are_stored_once_each(spark, tmp_path):
     ]
     # Three rows of a changed part, in two steps each; those of one name are changes of both files of that name.
     assert sorted(r["id"] for r in updates.collect()) == [1] * 4 + [2] * 4 + [3] * 2
+
+
+def test_a_title_is_put_in_lower_case_once(spark):
+    plan = records(spark)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 1

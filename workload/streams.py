@@ -77,7 +77,7 @@ def streaming_first_hits(spark, sf_dir):
     """Later hits of every record land before its first; the first of the run is kept."""
     landing, hits = scratch_path(spark, "landing"), scratch_path(spark, "hits")
     checkpoint = scratch_path(spark, "checkpoint")
-    pages = landing_pages(spark, sf_dir)
+    pages = stage(landing_pages(spark, sf_dir), "pages")
     side = stage(side_documents(spark, sf_dir), "side")
     for step in (pages.withColumn("query_idx", F.col("query_idx") + 5000), pages):
         write_landing(step, landing)
