@@ -7,14 +7,22 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from harvestlake.operators.joins import join_to_one
+from harvestlake.operators.joins import join_to_one, only_in
 from harvestlake.refdata import query_terms
 from harvestlake.session import stage
 
 #: Kinds of n-grams that queries are filed under, the last that one of the terms has: at any place of
 #: the text, or only behind white space, of which a text has far fewer. As many characters each.
 ANYWHERE, BEHIND_SPACE = (1, 2, 3, 8), (6, 9, 12)
-KINDS = [("", n) for n in ANYWHERE] + [(r"\s", n) for n in BEHIND_SPACE]
+#: The last kind: a whole word with the white space around it and so many characters on either side. A text
+#: has no more of them than of those behind white space, and far fewer texts share one.
+AROUND_WORD = 3
+KINDS = (
+    [rf"(?s)(?=(.{{{n}}}))" for n in ANYWHERE]
+    + [rf"(?s)\s(?=(.{{{n}}}))" for n in BEHIND_SPACE]
+    # Tried at white space only, looking back to where the n-gram begins.
+    + [rf"(?s)\s(?<=(?=(.{{{AROUND_WORD}}}\s\S++\s.{{{AROUND_WORD}}})).{{{AROUND_WORD}}}\s)"]
+)
 #: n-grams (numbers of eight bytes) of queries that are broadcast.
 MAX_SENT = 1_000_000
 
@@ -55,9 +63,7 @@ def terms_of(query: Column) -> Column:
 
 def grams_of(text: Column, kind: int) -> Column:
     """Hashes of the n-grams of a kind; equal hashes only cost a verification."""
-    before, n = KINDS[kind]
-    pattern = rf"(?s){before}(?=(.{{{n}}}))"
-    return F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), _hash)
+    return F.transform(F.regexp_extract_all(text, F.lit(KINDS[kind]), F.lit(1)), _hash)
 
 
 def _hash(value: Column) -> Column:
@@ -70,15 +76,17 @@ def _grams(kind: int):
 
 def _only(grams: DataFrame, wanted: DataFrame) -> DataFrame:
     """Rows of ``grams`` whose n-gram is wanted; at most ``MAX_SENT`` wanted ones are sent to where the texts are."""
-    return grams.join(F.broadcast(wanted) if wanted.count() <= MAX_SENT else wanted, "gram", "left_semi")
+    if wanted.count() > MAX_SENT:
+        return only_in(grams, wanted, "gram")
+    return grams.join(F.broadcast(wanted), "gram", "left_semi")
 
 
 def query_index(records: DataFrame, queries: DataFrame, text: Column) -> DataFrame:
     """Each query with its terms and the one n-gram it is filed under.
 
     That is the n-gram of its terms that occurs in the fewest texts, as a text without it can't
-    match. A text that contains a term also has the term's n-grams of every kind, as those behind
-    white space are behind white space inside the term. Which n-gram it is changes what moves, not
+    match. A text that contains a term also has the term's n-grams of every kind, as the white space
+    that they stand behind, or that a word stands between, is inside the term. Which n-gram it is changes what moves, not
     the matches.
     """
     terms = queries.select(*queries.columns, terms_of(F.col("query")).alias("terms")).where(F.size("terms") > 0)
@@ -115,7 +123,8 @@ def match_query_table(records: DataFrame, queries: DataFrame, key: str, *text_co
     ``key`` is unique among the records, ``query_idx`` among the queries. Texts meet the queries
     filed under one of their n-grams; only those pairs meet the text again, to be verified.
     Only pairs carry the query, and nothing the text. Up to ``MAX_SENT`` n-grams of the index go
-    to the texts, so that all others are dropped where they arise; beyond it n-grams are exchanged. A
+    to the texts, so that all others are dropped where they arise; beyond it a bitmap of them goes, and
+    what passes it is exchanged. A
     text or n-gram with very many pairs can be split. Null texts count as empty, null or empty
     queries match nothing; records without a match drop out.
     """

@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 
 from harvestlake.operators import reports as rep
 from harvestlake.operators import worklist as wl
-from harvestlake.operators.matching import match_queries, match_query_table, terms_of
+from harvestlake.operators.joins import only_in, perhaps_in
+from harvestlake.operators.matching import (
+    gram_kinds, match_queries, match_query_table, query_index, terms_of, text_grams,
+)
 from harvestlake.refdata import all_queries, query_terms
 from harvestlake.sources.bucketed import BUCKET_BYTES, BucketedTables, buckets_for
 from harvestlake.sources.catalog import Catalog
@@ -142,6 +145,15 @@ QUERIES = [
     "interview", '"focus group" interview', "of", "x", '"one\nline"', "🏠", "a🏠b", "nothing-here", "", '""',
     "of the", 'city "a🏠', "Of  of", " of the", "y", "tran script",
 ]
+#: Terms of several words, with characters outside the basic plane at either side of white space.
+LONG_TEXTS = [
+    (1, "a🏠b of the city"), (2, "x🏠🏠 b🏠c 🏠🏠🏠 d"), (3, "abc  def\nghi jkl"), (4, "xabc def ghijk"), (5, "the abc defg hij"),
+    (6, "🏠abc def ghi🏠"),
+]
+LONG_QUERIES = [
+    '"a🏠b of the"', '"🏠b of the city"', '"🏠🏠 b🏠c 🏠🏠"', '"b🏠c 🏠🏠🏠 d"', '"abc  def\nghi"', '"abc def ghi"', '"bc def gh" abc',
+    '"e abc defg"', '" of the c"', '"🏠abc def ghi🏠"',
+]
 
 
 def matches(df):
@@ -156,6 +168,13 @@ def test_query_table_finds_what_the_compiled_queries_find(spark):
     assert {q for _, q, _ in want} >= {0, 1, 2, 3, 4, 5, 6, 10, 11, 12}
 
 
+def test_query_table_with_long_terms(spark):
+    docs = spark.createDataFrame(LONG_TEXTS, "doc_id INT, text STRING")
+    table = spark.createDataFrame(list(enumerate(LONG_QUERIES)), "query_idx INT, query STRING")
+    got = matches(match_query_table(docs, table, "doc_id", "text"))
+    assert got == matches(match_queries(docs, LONG_QUERIES, "text")) and {q for _, q, _ in got} == set(range(10))
+
+
 def test_query_table_without_broadcast(spark, sf_dir, no_broadcast):
     docs = view(spark, sf_dir, "documents", "doc_id", "text")
     queries = all_queries() + ["the", "der die", "worthless", "in", "ing tion"]
@@ -173,6 +192,38 @@ def test_query_table_with_nothing_in_it(spark):
     assert match_query_table(docs, table.where("false"), "doc_id", "text").collect() == []
 
 
+def test_queries_alike_behind_white_space_are_told_apart(spark):
+    """A first word that tells the queries apart keeps texts from meeting the queries of all others."""
+    n = 60
+    docs = spark.createDataFrame([(i, f"a word{i}x common wording here") for i in range(n)], "doc_id INT, text STRING")
+    asked = [f'"word{i}x common wording" here' for i in range(n)]
+    table = spark.createDataFrame(list(enumerate(asked)), "query_idx INT, query STRING")
+    index = query_index(docs, table, F.col("text")).cache()
+    pairs = text_grams(docs, F.col("text"), gram_kinds(index), "doc_id").join(index, "gram").count()
+    assert pairs < 12 * n  # n-grams share the last figure of the number; were they all one, n * n
+    assert [(d, q) for d, q, _ in matches(match_query_table(docs, table, "doc_id", "text"))] == [(i, i) for i in range(n)]
+
+
+def test_query_table_beyond_what_is_sent(spark, sf_dir, monkeypatch):
+    docs = view(spark, sf_dir, "documents", "doc_id", "text")
+    queries = all_queries() + ["the", "der die", "in", '"a b c d"', '"or more of the"']
+    table = spark.createDataFrame(list(enumerate(queries)), "query_idx INT, query STRING")
+    want = matches(match_queries(docs, queries, "text"))
+    monkeypatch.setattr("harvestlake.operators.matching.MAX_SENT", 0)
+    assert want and matches(match_query_table(docs, table, "doc_id", "text")) == want
+
+
+def test_rows_with_a_wanted_key(spark, no_broadcast):
+    rows = spark.createDataFrame([(i % 50_000 if i % 7 else None, f"t{i}") for i in range(100_000)], "k BIGINT, t STRING")
+    wanted = rows.select("k").where("k % 40 = 3").distinct()
+    want = rows.join(wanted, "k", "left_semi")
+    got = only_in(rows, wanted, "k")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty() and got.count() > 1000
+    marked = perhaps_in(rows, wanted, "k", "m").where("m").count()
+    assert got.count() <= marked < got.count() + 0.15 * rows.count()
+    assert only_in(rows, wanted.where("false"), "k").isEmpty() and only_in(rows.where("false"), wanted, "k").isEmpty()
+
+
 def test_terms_of_a_column(spark):
     for query in [q for q in QUERIES if q]:
         got = spark.createDataFrame([(query,)], "q STRING").select(terms_of(F.col("q"))).first()[0]
