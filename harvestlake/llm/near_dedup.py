@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from harvestlake.llm.common import free_name, row_tie, small_batches, stage, text_of
 from harvestlake.llm.components import components
-from harvestlake.operators.joins import join_to_one
+from harvestlake.operators.joins import join_to_one, only_in, perhaps_in
 
 BANDS = 40
 ROWS = 6
@@ -325,7 +325,7 @@ def similar_classes(
         ),
         "involved",
     )
-    sets = stage(_sets_of(docs.join(involved, "node", "left_semi"), words), "sets")
+    sets = stage(_sets_of(only_in(docs, involved.select("node"), "node"), words), "sets")
     rounds = _Rounds(sets, percent, heads)
     if not buckets.isEmpty():
         rounds.run(join_to_one(buckets, involved, ["node"], "inner"))
@@ -406,10 +406,15 @@ def drop_near_copies(
     mark = free_name([*docs.columns, own], "kept_hash")
     node = F.coalesce(F.col(f"`{id_column}`").cast("bigint"), F.lit(_NO_ID))
     rows = docs.select(node.alias("node"), text_of(text).alias("text"))
-    found = stage(similar_rows(rows, words, percent, **options).where("head").distinct(), "heads")
+    all_rows = stage(similar_rows(rows, words, percent, **options).distinct(), "heads")
+    found = all_rows.where("head")
     ids = docs.withColumn(own, node)
     if found.where(F.col("hash").isNotNull()).isEmpty():
-        return ids.join(found.select(F.col("node").alias(own)), own, "left_semi").select(*docs.columns)
+        # No id repeats. Most rows stay, and only those that a bitmap can't tell from the others are exchanged.
+        gone = all_rows.where(~F.col("head")).select(F.col("node").alias(own))
+        marked = perhaps_in(ids, gone, own, mark)
+        asked = marked.where(mark).join(gone, own, "left_anti")
+        return marked.where(~F.col(mark)).select(*docs.columns).unionByName(asked.select(*docs.columns))
     number = free_name([*docs.columns, own, mark], "number")
     kept = found.select(F.col("node").alias(own), F.col("hash").alias(mark), (F.col("n_shingles") > 0).alias(number))
     staying = ids.withColumn(mark, F.xxhash64(text_of(text))).join(kept, [own, mark])

@@ -183,6 +183,34 @@ def test_near_groups_at_the_edges(odd, empty):
     assert near_dedup.drop_near_copies(empty).collect() == []
 
 
+def exchanged(df) -> int:
+    """Rows that the joins of an executed plan have exchanged."""
+
+    def walk(node):
+        name = node.nodeName()
+        below = [node.executedPlan()] if name == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in name else []
+        children = node.children()
+        below += [children.apply(i) for i in range(children.size())]
+        own = node.metrics().apply("shuffleRecordsWritten").value() if name == "Exchange" else 0
+        return own + sum(walk(x) for x in below)
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_dropping_near_copies_exchanges_few_rows(spark):
+    rng = random.Random(9)
+    texts = [words(rng, 30) for _ in range(2000)]
+    df = frame(spark, [(i, t, "x") for i, t in enumerate([*texts, *texts[:40]])])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = near_dedup.drop_near_copies(df)
+        assert sorted(r["doc_id"] for r in out.collect()) == list(range(2000))
+        assert exchanged(out) < 500
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_densified_signatures_estimate_the_overlap():
     signer = near_dedup.Signer(40, 6)
     rng = np.random.default_rng(1)
