@@ -4,7 +4,8 @@ The model file is a protobuf message; the few fields needed are read from its wi
 From them the same tokenizer is rebuilt: the normaliser (compiled character map, extra
 spaces, leading space), the metaspace marker U+2581, the unigram lattice with its scores or
 the BPE merges in the order of their scores, and byte fallback. Batches are encoded by the
-library's threads. The rebuilt tokenizer is checked against the SentencePiece library on
+library's threads; where words get their pieces independently of each other, each different word
+is encoded once and the texts put together from them. The rebuilt tokenizer is checked against the SentencePiece library on
 every text or on chosen ones, and the round trip on every text.
 """
 
@@ -18,6 +19,8 @@ from typing import TYPE_CHECKING
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,10 +31,15 @@ if TYPE_CHECKING:
     from tokenizers import Tokenizer
 
 SPACE = "▁"
-#: Characters of text given to the library at once; bounds what its encodings take.
-BATCH_CHARS = 400_000
+#: Characters of text given to the library at once; bounds what its encodings take. As many where only
+#: different words go to it.
+BATCH_CHARS, WORD_BATCH_CHARS = 400_000, 1_200_000
 #: Characters of texts whose pieces a task remembers, for copies that follow.
 REMEMBERED = 4_000_000
+#: Words whose ids a process remembers before it forgets them all.
+KNOWN_WORDS = 400_000
+#: New words that are joined to one text, and that are encoded at once.
+WORDS_A_TEXT, WORDS_AT_ONCE = 128, 50_000
 #: Threads of one task.
 THREADS = 2
 
@@ -116,6 +124,20 @@ class PieceModel:
             return bytes([int(piece[3:5], 16)])  # written <0x..>
         return (piece.replace(SPACE, " ") if self.escape else piece).encode("utf-8")
 
+    @property
+    def words_apart(self) -> bool:
+        """Whether words get their pieces independently of each other, markers going with the word behind.
+
+        So it is where texts are taken as they are, every piece is made by merges or bytes, and no
+        piece has a marker behind anything but markers: then no merge joins a word and the next marker.
+        """
+        kinds = [kind for _, _, kind in self.pieces]
+        normal = {p for p, _, kind in self.pieces if kind == NORMAL}
+        joined = SPACE not in normal or any(SPACE in p.lstrip(SPACE) for p in normal)
+        plain = not self.charsmap and not self.trim and self.dummy_prefix and self.escape
+        whole = self.kind == BPE and self.byte_fallback and kinds.count(BYTE) == 256 and USER_DEFINED not in kinds
+        return plain and whole and not joined
+
     def merges(self) -> list[tuple[str, str]]:
         """BPE merges: each piece's splits into two pieces, best piece first.
 
@@ -189,11 +211,15 @@ class Codec:
         #: the bytes that each id stands for
         self.bytes = [parsed.bytes_of(p, kind) for p, _, kind in parsed.pieces]
         self._own = None
+        self.words_apart = parsed.words_apart
+        #: which ids begin with a marker, and the ids of words met so far, four bytes each
+        self.begins = np.array([p.startswith(SPACE) for p, _, _ in parsed.pieces])
+        self.words: dict[str, bytes] = {}
 
-    def _packs(self, texts: list[str]) -> Iterator[list[str]]:
+    def _packs_of(self, texts: list[str], most: int) -> Iterator[list[str]]:
         pack, chars = [], 0
         for text in texts:
-            if pack and chars + len(text) > BATCH_CHARS:
+            if pack and chars + len(text) > most:
                 yield pack
                 pack, chars = [], 0
             pack.append(text)
@@ -202,9 +228,54 @@ class Codec:
             yield pack
 
     def encode(self, texts: list[str]) -> Iterator[list[int]]:
-        for pack in self._packs(texts):
-            for encoding in self.tokenizer.encode_batch_fast(pack, add_special_tokens=False):
-                yield encoding.ids
+        most, encode = (
+            (WORD_BATCH_CHARS, self._encode_by_words) if self.words_apart else (BATCH_CHARS, self._encode_whole)
+        )
+        for pack in self._packs_of(texts, most):
+            yield from encode(pack)
+
+    def _encode_whole(self, texts: list[str]) -> Iterator[list[int]]:
+        for encoding in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
+            yield encoding.ids
+
+    def _encode_by_words(self, texts: list[str]) -> Iterator[list[int]]:
+        """Each different word of the texts is encoded once; texts with other markers than one between words go whole."""
+        odd = {i for i, t in enumerate(texts) if not t or "  " in t or SPACE in t or t[0] == " " or t[-1] == " "}
+        packs = self._packs_of([texts[i] for i in sorted(odd)], BATCH_CHARS)
+        whole = (ids for pack in packs for ids in self._encode_whole(pack))
+        parted = pc.split_pattern(pa.array([t for i, t in enumerate(texts) if i not in odd], pa.large_string()), " ")
+        coded = parted.flatten().dictionary_encode()
+        words, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        if len(self.words) > KNOWN_WORDS:
+            self.words.clear()
+        self._learn([w for w in words if w not in self.words])
+        each = list(map(self.words.__getitem__, words))
+        sizes = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        flat = np.frombuffer(b"".join(each), np.int32)
+        # Where each word's ids stand in flat, and where they go.
+        length = sizes[at]
+        ends = np.cumsum(length)
+        shift = (np.cumsum(sizes) - sizes)[at] - (ends - length)
+        ids = flat[np.arange(length.sum()) + np.repeat(shift, length)].tolist()
+        bounds = np.concatenate([[0], ends])[parted.offsets.to_numpy()].tolist()
+        spans = zip(bounds, bounds[1:], strict=False)
+        for i in range(len(texts)):
+            if i in odd:
+                yield next(whole)
+            else:
+                begin, end = next(spans)
+                yield ids[begin:end]
+
+    def _learn(self, new: list[str]) -> None:
+        """Put the ids of the words into ``words``: joined to texts, whose ids are parted at the markers."""
+        for lists in (new[k : k + WORDS_AT_ONCE] for k in range(0, len(new), WORDS_AT_ONCE)):
+            parts = [lists[k : k + WORDS_A_TEXT] for k in range(0, len(lists), WORDS_A_TEXT)]
+            for part, ids in zip(parts, self._encode_whole([" ".join(p) for p in parts]), strict=True):
+                packed = np.array(ids, np.int32)
+                starts = (4 * np.flatnonzero(self.begins[packed])).tolist()
+                data = packed.tobytes()
+                for word, begin, end in zip(part, starts, [*starts[1:], len(data)], strict=True):
+                    self.words[word] = data[begin:end]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)

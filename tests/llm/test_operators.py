@@ -319,6 +319,31 @@ def test_pieces_are_those_of_the_library(odd, empty):
     assert sentencepiece.encode_documents(empty, path).collect() == []
 
 
+def test_different_words_are_encoded_once(monkeypatch):
+    import sentencepiece as library
+
+    path = tokenizer_path("piece_bpe_32k.model")
+    with open(path, "rb") as file:
+        codec = sentencepiece.Codec(file.read(), 1)
+    own = library.SentencePieceProcessor(model_file=path)
+    rng = random.Random(4)
+    odd = ["", " ", "a", "two  spaces", " led", "trailed ", "mar\u2581ked", "\u2581", "tab\tand\nline", "é 🤗 日本", "\x00 \u200b", "x" * 300]
+    texts = [" ".join(rng.choices(["the", "interviewing", "ß🏠", "<s>", "-", "\n", "Ab1"], k=rng.randrange(1, 40))) for _ in range(200)]
+    texts = rng.sample(texts + odd, k=len(texts) + len(odd))
+    monkeypatch.setattr(sentencepiece, "WORD_BATCH_CHARS", 900)
+    given, whole = [], codec._encode_whole
+    monkeypatch.setattr(codec, "_encode_whole", lambda t: given.extend(t) or whole(t))
+    want = want_of(own, texts)
+    assert list(codec.encode(texts)) == want
+    assert sum(map(len, given)) < sum(map(len, texts)) / 4
+    monkeypatch.setattr(sentencepiece, "KNOWN_WORDS", 2)  # forgets at every batch
+    assert list(codec.encode(texts)) == want and list(codec.encode(odd[:2])) == want_of(own, odd[:2])
+
+
+def want_of(own, texts):
+    return [own.encode_as_ids(t) for t in texts]
+
+
 def test_unigram_model_is_rebuilt():
     """A unigram model written by hand: scores decide, unknown characters fall back to bytes."""
 
