@@ -56,6 +56,7 @@ def load_catalog(
     batch: str | None = None,
     dedup: bool = False,
     staged: bool = True,
+    stored: bool = False,
 ) -> None:
     """Shred scored records into the six tables and append them.
 
@@ -63,7 +64,8 @@ def load_catalog(
     k queries gives k project rows; ``dedup=True`` stores first hits only. The
     relevant records are staged once in the shared folder before they are numbered,
     so payloads are parsed once, and the numbered parents once more, so each of the
-    six writes reads only the columns it needs; both are deleted at the end. A batch
+    six writes reads only the columns it needs; both are deleted at the end. Records that
+    the caller reads from a table (``stored``) are not staged once more. A batch
     that the catalog already holds is not loaded again.
     """
     kept = dedup_records(records, dedup)
@@ -74,5 +76,5 @@ def load_catalog(
         catalog.append(shred(catalog_parents(kept, start)), batch)
         return
     with staging(catalog.spark) as put:
-        numbered = catalog_parents(put(kept, "records"), start)
+        numbered = catalog_parents(kept if stored else put(kept, "records"), start)
         catalog.append(shred(put(numbered, "parents")), batch)

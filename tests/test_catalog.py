@@ -160,6 +160,19 @@ def test_append_rewrite_reset(spark, staged, tmp_path):
     assert store.read("projects").agg(F.min("id")).first()[0] == 1, "ids restart after a reset"
 
 
+def test_stored_records_are_not_staged_again(spark, sf_dir, tmp_path, monkeypatch):
+    pages, side = landing_pages(spark, sf_dir), side_documents(spark, sf_dir)
+    records = stage(relevant_records(pages, side), "records")
+    tables, written = [], []
+    monkeypatch.setattr("harvestlake.session.stage", lambda df, name, path: written.append(name) or stage(df, name, path))
+    for stored in (False, True):
+        store = Catalog(spark, str(tmp_path / str(stored)))
+        load_catalog(store, records, "0", stored=stored)
+        tables.append({t: df.drop("download_date").collect() for t, df in store.tables().items()})
+    assert written == ["records", "parents", "parents"]
+    assert tables[0]["files"] and all(sorted(tables[0][t], key=str) == sorted(tables[1][t], key=str) for t in tables[0])
+
+
 def test_a_write_that_dies_half_way(spark, staged, tmp_path, monkeypatch):
     """Its rows aren't seen, its ids aren't taken, others may write, and a repetition completes it."""
     store = Catalog(spark, str(tmp_path / "catalog"))

@@ -376,7 +376,7 @@ def reset_catalog(spark, sf_dir):
     """A run stored, all tables emptied, and the same batch stored again: ids restart."""
     store = Catalog(spark, scratch_path(spark, "catalog"))
     records = stage(_relevant(spark, sf_dir), "records")
-    load_catalog(store, records, "0")
+    load_catalog(store, records, "0", stored=True)
     store.reset()
-    load_catalog(store, records, "0")
+    load_catalog(store, records, "0", stored=True)
     return _table_totals(store)
