@@ -11,17 +11,27 @@ from harvestlake.session import scratch_path, stage
 
 __all__ = [
     "fold", "free_name", "row_tie", "sample_of_ids", "sample_of_texts", "scratch_path", "small_batches",
-    "stage", "stop_if_missing", "table", "text_of",
+    "stage", "stage_rows", "stop_if_missing", "table", "text_of",
 ]
 
 #: Rows in one Arrow batch of the operators that hand whole texts to Python.
 BATCH_ROWS = 256
+#: Rows of narrow columns that a task puts together, whatever the number of shuffle partitions.
+ROWS_A_TASK = 50_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def stage_rows(df: DataFrame, rows: int, name: str) -> DataFrame:
+    """``stage`` for narrow rows, ``rows`` of them at most: in as many tasks as these ask for.
+
+    What many tasks would leave as very small files costs more to write and read than to work out.
+    """
+    return stage(df.coalesce(max(1, -(-rows // ROWS_A_TASK))), name)
+
+
 def text_of(name: str = "text") -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))

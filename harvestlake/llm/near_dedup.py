@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from harvestlake.llm.common import free_name, row_tie, small_batches, stage, text_of
+from harvestlake.llm.common import free_name, row_tie, small_batches, stage, stage_rows, text_of
 from harvestlake.llm.components import components
 from harvestlake.operators.joins import join_to_one, only_in, perhaps_in
 
@@ -175,17 +175,18 @@ def _crowded(members: DataFrame) -> DataFrame:
     return join_to_one(members, sizes.select("bucket"), ["bucket"], "inner")
 
 
-def _unfinished(members: DataFrame, component: DataFrame) -> DataFrame:
+def _unfinished(members: DataFrame, component: DataFrame, rows: int) -> DataFrame:
     """Members of the buckets where a pair may still be a missed link.
 
     Adds ``component`` and ``open``: whether the member is outside its bucket's largest
-    component and was no centre yet. A bucket without open members is finished: of any two
+    component and was no centre yet. ``members`` has ``rows`` rows. A bucket without open members is finished: of any two
     members in different components one has been compared with the other.
     """
-    labelled = join_to_one(members, component, ["node"]).withColumn(
-        "component", F.coalesce("component", "node")
-    )
-    parts = labelled.groupBy("bucket", "component").agg(
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        return join_to_one(rows, component, ["node"]).withColumn("component", F.coalesce("component", "node"))
+
+    parts = labelled(members).groupBy("bucket", "component").agg(
         F.count("*").alias("members"), F.count(F.when(~F.col("done"), 1)).alias("fresh")
     )
     top = parts.groupBy("bucket").agg(
@@ -196,7 +197,8 @@ def _unfinished(members: DataFrame, component: DataFrame) -> DataFrame:
     top = top.where(F.col("fresh") > F.col("top.fresh")).select(
         "bucket", "members", F.col("top.component").alias("largest"), (F.col("fresh") - F.col("top.fresh")).alias("n_open")
     )
-    return join_to_one(labelled, top, ["bucket"], "inner").withColumn(
+    # Staged, so that Spark knows how few buckets are left; members of others then stay where they are.
+    return labelled(join_to_one(members, stage_rows(top, rows, "open"), ["bucket"], "inner")).withColumn(
         "open", ~F.col("done") & (F.col("component") != F.col("largest"))
     )
 
@@ -248,8 +250,8 @@ class _Rounds:
         self.sets, self.percent = sets, percent
         self.component = heads.select("node", F.col("node").alias("component")).limit(0)
 
-    def star(self, members: DataFrame, centres: DataFrame) -> DataFrame:
-        """Compare the members of each bucket with its centres; returns them with these done.
+    def star(self, members: DataFrame, centres: DataFrame, rows: int) -> DataFrame:
+        """Compare the members of each bucket (``rows`` at most) with its centres; returns them with these done.
 
         ``centres`` has one array of (node, size, component) per bucket. Members of one
         component aren't compared, nor sets whose sizes alone rule a link out.
@@ -260,11 +262,12 @@ class _Rounds:
             lambda c: (c["component"] != F.col("component"))
             & (100 * F.least(c["size"], F.col("size")) >= self.percent * F.greatest(c["size"], F.col("size"))),
         )
-        near = stage(
+        near = stage_rows(
             near.select(
                 "bucket", "node", "size", wanted.alias("wanted"),
                 (F.col("done") | F.coalesce(F.array_contains("centres.node", F.col("node")), F.lit(False))).alias("done"),
             ),
+            rows,
             "members",
         )
         pairs = near.select("node", F.explode("wanted").alias("c"))
@@ -278,23 +281,23 @@ class _Rounds:
         links = stage(links, "links")
         if not links.isEmpty():
             stars = self.component.where("node <> component").toDF("u", "v")
-            self.component = stage(components(links.unionByName(stars)), "components")
+            self.component = components(links.unionByName(stars))
 
-    def run(self, members: DataFrame) -> None:
-        """Until every bucket of ``members`` (bucket, node, size) is finished."""
+    def run(self, members: DataFrame, rows: int) -> None:
+        """Until every bucket of ``members`` (bucket, node, size; ``rows`` rows) is finished."""
         whole = F.struct("node", "size", "component")
 
         def star(frame: DataFrame, centres) -> DataFrame:
-            return self.star(frame, frame.groupBy("bucket").agg(centres.alias("centres")))
+            return self.star(frame, frame.groupBy("bucket").agg(centres.alias("centres")), rows)
 
         members = members.withColumns({"done": F.lit(False), "component": F.col("node")})
         members = star(members, F.array(F.min_by(whole, F.col("node"))))
-        left = stage(_unfinished(members, self.component), "unfinished")
+        left = stage(_unfinished(members, self.component, rows), "unfinished")
         if left.isEmpty():
             return
         # A second star, around a centre that differs from bucket to bucket.
         members = star(left, F.array(F.min_by(whole, F.xxhash64("node", "bucket"))))
-        left = stage(_unfinished(members, self.component), "unfinished")
+        left = stage(_unfinished(members, self.component, rows), "unfinished")
         if left.isEmpty():
             return
         small = F.col("members") <= SMALL
@@ -314,8 +317,11 @@ def similar_classes(
     small_batches(docs.sparkSession)
     facts = stage(describe(docs, words, bands, rows), "minhash")
     filled = facts.where("n_shingles > 0")
-    classes = filled.groupBy("set_hash").agg(F.min("node").alias("class"))
-    member_of = stage(join_to_one(filled, classes, ["set_hash"], "inner").drop("set_hash"), "classes")
+    # Only sets that repeat, of which Spark knows the size; most texts then stay where they are.
+    classes = filled.groupBy("set_hash").agg(F.min("node").alias("class"), F.count("*").alias("members"))
+    classes = stage_rows(classes.where("members > 1").select("set_hash", "class"), facts.count(), "repeated")
+    member_of = join_to_one(filled, classes, ["set_hash"]).withColumn("class", F.coalesce("class", "node"))
+    member_of = stage(member_of.drop("set_hash"), "classes")
     heads = member_of.where(F.col("node") == F.col("class"))
     buckets = _crowded(heads.select("node", F.explode("buckets").alias("bucket")))
     buckets = stage(buckets, "buckets")
@@ -328,7 +334,7 @@ def similar_classes(
     sets = stage(_sets_of(only_in(docs, involved.select("node"), "node"), words), "sets")
     rounds = _Rounds(sets, percent, heads)
     if not buckets.isEmpty():
-        rounds.run(join_to_one(buckets, involved, ["node"], "inner"))
+        rounds.run(join_to_one(buckets, involved, ["node"], "inner"), buckets.count())
 
     by_class = rounds.component.select(F.col("node").alias("class"), "component")
     whole = join_to_one(member_of.select("node", "class"), by_class, ["class"], "left").select(

@@ -235,6 +235,20 @@ def test_components(spark):
     assert got == {k: v for k, v in want.items() if any(k in e and e[0] != e[1] for e in edges)}
 
 
+def test_few_links_take_few_tasks(spark):
+    """However many shuffle partitions there are, a few links are not dealt to as many files."""
+    merge = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merge, "false")
+    try:
+        edges = [(i, i + 1) for i in range(0, 200, 2)] + [(i, i + 1) for i in range(0, 200, 2)] + [(7, 9), (9, 7), (3, 3)]
+        found = components(spark.createDataFrame(edges, "u LONG, v LONG"))
+        assert len(found.inputFiles()) == 1
+        assert found.where("node in (6, 8, 9)").agg({"component": "max"}).first()[0] == 6
+        assert found.count() == 200
+    finally:
+        spark.conf.set(merge, "true")
+
+
 # mixing
 
 
