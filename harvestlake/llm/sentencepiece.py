@@ -24,6 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from harvestlake.llm.common import free_name, small_batches, text_of
 
@@ -228,17 +229,21 @@ class Codec:
             yield pack
 
     def encode(self, texts: list[str]) -> Iterator[list[int]]:
+        yield from map(np.ndarray.tolist, self.encode_packed(texts))
+
+    def encode_packed(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text, four bytes each."""
         most, encode = (
             (WORD_BATCH_CHARS, self._encode_by_words) if self.words_apart else (BATCH_CHARS, self._encode_whole)
         )
         for pack in self._packs_of(texts, most):
             yield from encode(pack)
 
-    def _encode_whole(self, texts: list[str]) -> Iterator[list[int]]:
+    def _encode_whole(self, texts: list[str]) -> Iterator[np.ndarray]:
         for encoding in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-            yield encoding.ids
+            yield np.array(encoding.ids, np.int32)
 
-    def _encode_by_words(self, texts: list[str]) -> Iterator[list[int]]:
+    def _encode_by_words(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Each different word of the texts is encoded once; texts with other markers than one between words go whole."""
         odd = {i for i, t in enumerate(texts) if not t or "  " in t or SPACE in t or t[0] == " " or t[-1] == " "}
         packs = self._packs_of([texts[i] for i in sorted(odd)], BATCH_CHARS)
@@ -256,7 +261,7 @@ class Codec:
         length = sizes[at]
         ends = np.cumsum(length)
         shift = (np.cumsum(sizes) - sizes)[at] - (ends - length)
-        ids = flat[np.arange(length.sum()) + np.repeat(shift, length)].tolist()
+        ids = flat[np.arange(length.sum()) + np.repeat(shift, length)]
         bounds = np.concatenate([[0], ends])[parted.offsets.to_numpy()].tolist()
         spans = zip(bounds, bounds[1:], strict=False)
         for i in range(len(texts)):
@@ -270,8 +275,7 @@ class Codec:
         """Put the ids of the words into ``words``: joined to texts, whose ids are parted at the markers."""
         for lists in (new[k : k + WORDS_AT_ONCE] for k in range(0, len(new), WORDS_AT_ONCE)):
             parts = [lists[k : k + WORDS_A_TEXT] for k in range(0, len(lists), WORDS_A_TEXT)]
-            for part, ids in zip(parts, self._encode_whole([" ".join(p) for p in parts]), strict=True):
-                packed = np.array(ids, np.int32)
+            for part, packed in zip(parts, self._encode_whole([" ".join(p) for p in parts]), strict=True):
                 starts = (4 * np.flatnonzero(self.begins[packed])).tolist()
                 data = packed.tobytes()
                 for word, begin, end in zip(part, starts, [*starts[1:], len(data)], strict=True):
@@ -338,19 +342,27 @@ def encode_documents(
         ]
     )
 
-    @F.pandas_udf(kind)
-    def encoded(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    arrow = to_arrow_type(kind)
+
+    @F.arrow_udf(kind)
+    def encoded(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         codec = codec_of(shared.value, threads)
         known, chars = {}, 0
-        for texts, asked in batches:
+        for column, asked in batches:
+            texts = column.to_pylist()
             # Equal texts, also of earlier batches, are encoded and checked once.
-            ask = {t: a for t, a in zip(texts, asked, strict=True) if t not in known}
-            for text, ids in zip(ask, codec.encode(list(ask)), strict=True):
+            ask = {t: a for t, a in zip(texts, asked.to_pylist(), strict=True) if t not in known}
+            for text, packed in zip(ask, codec.encode_packed(list(ask)), strict=True):
+                ids = packed.tolist()
                 parity = codec.same_as_library(text, ids) if ask[text] else None
-                known[text] = (np.array(ids, dtype=np.int32), len(ids), codec.round_trip(text, ids), parity)
+                known[text] = (packed.copy(), codec.round_trip(text, ids), parity)
                 chars += len(text)
-            rows = zip(*[known[text] for text in texts], strict=True)
-            yield pd.DataFrame(dict(zip(("ids", "n_pieces", "round_trip", "parity"), map(list, rows), strict=True)))
+            packs, round_trips, parities = zip(*[known[text] for text in texts], strict=True) if texts else ((), (), ())
+            sizes = np.fromiter(map(len, packs), np.int64, len(packs))
+            bounds = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(bounds, np.concatenate(packs or [np.empty(0, np.int32)]))
+            facts = [pa.array(sizes), pa.array(round_trips, pa.bool_()), pa.array(parities, pa.bool_())]
+            yield pa.StructArray.from_arrays([ids, *facts], fields=list(arrow))
             if chars > REMEMBERED:
                 known, chars = {}, 0
 

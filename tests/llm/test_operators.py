@@ -249,6 +249,23 @@ def test_few_links_take_few_tasks(spark):
         spark.conf.set(merge, "true")
 
 
+def test_ids_stay_packed_until_they_are_compared(spark):
+    """Ids go from the encoder to Spark as numbers of four bytes, without lists of them between."""
+    path = tokenizer_path("piece_bpe_32k.model")
+    with open(path, "rb") as file:
+        codec = sentencepiece.Codec(file.read(), 1)
+    texts = ["one word", "", " two  words", "one word again"]
+    packed = list(codec.encode_packed(texts))
+    assert all(ids.dtype == np.int32 for ids in packed)
+    assert [ids.tolist() for ids in packed] == list(codec.encode(texts))
+    df = spark.createDataFrame(list(enumerate([*texts, None, texts[0]])), "doc_id LONG, text STRING").repartition(3)
+    rows = {r["doc_id"]: r for r in sentencepiece.encode_documents(df, path).collect()}
+    assert [rows[i]["piece_ids"] for i in range(6)] == [*map(list, codec.encode(texts)), [], rows[0]["piece_ids"]]
+    assert all(r["piece_facts"]["n_pieces"] == len(r["piece_ids"]) and r["piece_facts"]["parity"] for r in rows.values())
+    none = sentencepiece.encode_documents(df, path, verify_every=1 << 40).collect()
+    assert all(r["piece_facts"]["parity"] is None and r["piece_facts"]["round_trip"] for r in none)
+
+
 # mixing
 
 
