@@ -30,8 +30,9 @@ from harvestlake.functions.nested import (
 )
 from harvestlake.functions.text import doi_from_identifiers, iso_day, prefixed_url, text
 from harvestlake.operators.dedup import first_per_key
-from harvestlake.operators.joins import join_to_one
+from harvestlake.operators.joins import join_to_one, perhaps_in
 from harvestlake.refdata import REPOSITORY_ORDER
+from harvestlake.session import stage
 
 # Named so that from_json keeps the whole schema and with it the corrupt-record field.
 _PERMISSIVE = {"mode": "PERMISSIVE"}
@@ -238,14 +239,15 @@ def side_documents_by_key(
     what is left are two rows per key at most. The texts are parsed on this side of the
     join, once per key; after it they would be parsed again wherever a filter on a
     record's files is pushed down to. ``wanted`` restricts the documents to the keys of
-    a small set of hits.
+    a small set of hits, by a bitmap before anything is exchanged: a few others may come
+    through, which no hit asks for.
     """
     usable = side.where(
         (F.col("repo") == fmt.name) & ~F.coalesce(F.col("failed"), F.lit(False))
     )
     if wanted is not None:
-        keys = wanted.select(F.col("side_key").alias("key")).distinct()
-        usable = join_to_one(usable, keys, ["key"], "left_semi")
+        keys = stage(wanted.select(F.col("side_key").alias("key")).distinct(), "side-keys")
+        usable = perhaps_in(usable, keys, "key", "_wanted").where("_wanted").drop("_wanted")
 
     newest_first = [F.desc_nulls_last("fetched_at"), F.xxhash64("payload").desc()]
 

@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app_name: str = "harvestlake", master: str | None = None, **conf: str):
@@ -62,16 +63,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/harvestlake/{uuid.uuid4().hex}/{name}"
 
 
-def stage(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", path: str | None = None, by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where several outputs hang on one expensive parent: the parent is
     computed once, later readers prune columns, and a lost executor costs a
-    re-read rather than a recomputation.
+    re-read rather than a recomputation. With a folder per value of ``by``, a reader of
+    one value reads no other rows.
     """
     path = path or scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def no_rows(spark: SparkSession, schema: str) -> DataFrame:
+    """An empty table; unlike one made of an empty list it starts no Python worker."""
+    return spark.range(0).select(F.from_json(F.lit(None), schema).alias("row")).select("row.*")
 
 
 def _folder(spark: SparkSession, path: str):
@@ -108,13 +115,13 @@ def folder_names(spark: SparkSession, path: str, prefix: str = "", finished: boo
 
 
 @contextmanager
-def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+def staging(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
     """``stage`` for the length of a block; what it wrote is deleted afterwards.
 
     Only for blocks that finish all reads of the staged frames inside.
     """
     root = scratch_path(spark, "block")
     try:
-        yield lambda df, name: stage(df, name, f"{root}/{name}")
+        yield lambda df, name, by=None: stage(df, name, f"{root}/{name}", by)
     finally:
         delete_folder(spark, root)

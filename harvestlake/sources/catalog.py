@@ -21,7 +21,7 @@ from harvestlake.operators import ledger
 from harvestlake.operators.integrity import with_broken_rules, with_repeated_scores
 from harvestlake.operators.shred import table_columns, with_defaults
 from harvestlake.schemas import NOT_NULL, TABLES
-from harvestlake.session import delete_folder, folder_names, staging
+from harvestlake.session import delete_folder, folder_names, no_rows, staging
 
 #: Ends the name of the partition with the rows that a batch's checks have turned down.
 _REJECTED = ".rejected"
@@ -41,7 +41,7 @@ class Catalog:
         """All rows below a folder with their batch; none if the folder is missing."""
         path, schema = f"{self.base}/{name}", f"{schema}, batch STRING"
         if not folder_names(self.spark, path):
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema)
         return self.spark.read.schema(schema).parquet(path)
 
     # ---- reading --------------------------------------------------------------

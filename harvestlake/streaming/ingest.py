@@ -71,14 +71,21 @@ class PageLedger:
         return frames.parquet(*paths).withColumn("landed_in", F.col("batch").cast("bigint"))
 
     def land(self, pages: DataFrame, number: int) -> None:
-        """Add a micro-batch; one that was finished before is left alone."""
+        """Add a micro-batch; one that was finished before is left alone.
+
+        What a stream hands over reads all its columns and catalogs at every use, so it is
+        written once in a folder per catalog, from which each format reads its own pages.
+        """
         name = f"{number:09d}"
         if self.store.has(name):
             return
         with staging(self.spark) as put:
-            facts = put(page_facts(pages).withColumn("landed_in", F.lit(number).cast("bigint")), "facts")
-            self.log.append(number, facts)
-            self._store_records(pages, facts, number, name, put)
+            with staging(self.spark) as put_pages:
+                pages = put_pages(pages, "pages", "repo")
+                facts = put(page_facts(pages).withColumn("landed_in", F.lit(number).cast("bigint")), "facts")
+                self.log.append(number, facts)
+                records = self._records(pages, facts, put)
+            self._store_records(records, name)
             changed = self._changes(facts, number, put)
             older = [r["landed_in"] for r in changed.select("landed_in").distinct().collect() if r["landed_in"] != number]
             if older:
@@ -87,10 +94,12 @@ class PageLedger:
         if number and number % self.fold_every == 0:
             self.log.fold(number - 1)
 
-    def _store_records(self, pages: DataFrame, facts: DataFrame, number: int, name: str, put) -> None:
+    def _records(self, pages: DataFrame, facts: DataFrame, put) -> DataFrame:
         landed = effective_copies(pages, facts)
-        records = relevant_records(landed, self.side, self.min_score, cut_off=False, few_hits=True)
-        parents = catalog_parents(put(records, "records"), self.store.highest_ids())
+        return put(relevant_records(landed, self.side, self.min_score, cut_off=False, few_hits=True), "records")
+
+    def _store_records(self, records: DataFrame, name: str) -> None:
+        parents = catalog_parents(records, self.store.highest_ids())
         parents.write.mode("overwrite").parquet(f"{self.base}/page_records/batch={name}")
         self.schema = T.StructType([*parents.schema.fields, T.StructField("batch", T.StringType())])
 

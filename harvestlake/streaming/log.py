@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from harvestlake.operators.dedup import first_per_key
-from harvestlake.session import delete_folder, folder_names
+from harvestlake.session import delete_folder, folder_names, no_rows
 
 
 class FoldedLog:
@@ -42,7 +42,7 @@ class FoldedLog:
         frames = [f"{self.path}/snapshot/upto={since}"] if snapshots else []
         frames += [f"{self.path}/log/batch={b}" for b in tail]
         if not frames:
-            return self.spark.createDataFrame([], self.schema)
+            return no_rows(self.spark, self.schema)
         return self.spark.read.schema(self.schema).parquet(*frames)
 
     def read(self, upto: int | None = None) -> DataFrame:

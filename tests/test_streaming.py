@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from harvestlake.operators.dedup import dedup_records
+from harvestlake.operators.extract import extract_all
 from harvestlake.plans.collect import load_catalog, relevant_records
 from harvestlake.session import stage
 from harvestlake.sources.catalog import Catalog
@@ -232,3 +233,34 @@ def test_a_snapshot_that_dies_is_not_read(spark, tmp_path):
     log.append(1, spark.createDataFrame([("a", "success", 2)], UPDATES))
     log.fold(1)
     assert [tuple(r) for r in log.read().collect()] == [("a", "success", 2)]
+
+
+def test_a_micro_batch_is_read_once(spark, sf_dir, tmp_path):
+    """A stream's micro-batch reads every column of every catalog whenever it is used."""
+    side = stage(side_documents(spark, sf_dir))
+    pages = stage(landing_pages(spark, sf_dir).where("query_idx < 4"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted_rows(parts):
+        for part in parts:
+            seen.add(len(part))
+            yield part
+
+    base = str(tmp_path / "catalog")
+    PageLedger(spark, base, side, 1, fold_every=3).land(pages.mapInPandas(counted_rows, pages.schema), 0)
+    assert Catalog(spark, base).read("projects").count() > 0
+    assert seen.value == pages.count()
+
+
+def test_pages_are_made_of_one_scan(spark, sf_dir):
+    plan = landing_pages(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("FileScan") == 1
+
+
+def test_side_documents_of_few_hits_are_not_dealt_to_be_left_out(spark, sf_dir):
+    """Hits of an increment get the documents that a whole run gives them."""
+    pages = stage(landing_pages(spark, sf_dir).where("query_idx = 0 and page < 4"))
+    side = stage(side_documents(spark, sf_dir))
+    few, all_ = (extract_all(pages, side, few_hits=f) for f in (True, False))
+    assert "LeftSemi" not in few._jdf.queryExecution().executedPlan().toString()
+    assert few.count() > 0 and few.exceptAll(all_).isEmpty() and all_.exceptAll(few).isEmpty()

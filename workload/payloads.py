@@ -45,12 +45,13 @@ POSITION = [
 ]
 
 
-def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with their position and the pieces of their records."""
-    docs = table(spark, sf_dir, "documents")
-    return docs.selectExpr(
+def hits(spark: SparkSession, sf_dir: str, dealt: list[str] | None = None) -> DataFrame:
+    """Documents with their position and the pieces of their records; ``dealt`` puts those alike in it together."""
+    docs = table(spark, sf_dir, "documents").selectExpr(
         "doc_id", "text", "lang", "source as doc_source", *[f"{e} as `{c}`" for c, e in POSITION]
-    ).withColumns({"title": F.expr(TITLE), "day": F.expr(DAY), "sid": F.expr("cast(doc_id as string)")})
+    )
+    docs = docs.repartition(*dealt) if dealt else docs
+    return docs.withColumns({"title": F.expr(TITLE), "day": F.expr(DAY), "sid": F.expr("cast(doc_id as string)")})
 
 
 def _named(absent: str, *fields: str) -> Column:
@@ -186,51 +187,53 @@ def _cessda_hit() -> Column:
     )
 
 
-def _pages(documents: DataFrame, repo: str, hit: Column, payload, total: Column) -> DataFrame:
-    """Collect the (at most five) hits of each page in order and wrap them."""
-    grouped = (
-        documents.where(F.col("repo") == repo)
-        .groupBy("repo", "query", "query_idx", "page")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", hit.alias("hit")))).alias("_hits"))
-        .withColumn("_hits", F.transform("_hits", lambda h: h["hit"]))
-        .withColumn("_total", total)
-    )
-    return grouped.select(
-        "repo",
-        "query",
-        "query_idx",
-        "page",
-        F.lit(5).alias("page_size"),
-        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("page")).alias("fetched_at"),
-        F.lit(False).alias("failed"),
-        (F.col("_total") if repo == "figshare" else F.lit(None).cast("bigint")).alias("total"),
-        F.to_json(payload).alias("payload"),
-    )
-
-
-def _wrap(repo: str) -> tuple[Column, Column]:
-    """The hit and the page object of a catalog."""
-    items, total = F.col("_hits"), F.col("_total")
+def _wrap(repo: str, items: Column, total: Column) -> Column:
+    """The page object of a catalog."""
     if repo == "zenodo":
-        page = F.struct(F.struct(total.alias("total"), items.alias("hits")).alias("hits"))
-        return _zenodo_hit(), page
+        return F.struct(F.struct(total.alias("total"), items.alias("hits")).alias("hits"))
     if repo == "dryad":
         found = F.struct(items.alias("stash:datasets")).alias("_embedded")
-        return _dryad_hit(), F.struct(total.alias("total"), found)
+        return F.struct(total.alias("total"), found)
     if repo == "figshare":
-        return F.struct(*_figshare_article(F.col("title"))), items
+        return items
     count = F.struct(total.alias("available")).alias("ResultsCount")
-    return _cessda_hit(), F.struct(count, items.alias("Results"))
+    return F.struct(count, items.alias("Results"))
+
+
+def _hit(repo: str) -> Column:
+    if repo == "figshare":
+        return F.struct(*_figshare_article(F.col("title")))
+    return {"zenodo": _zenodo_hit, "dryad": _dryad_hit, "cessda": _cessda_hit}[repo]()
 
 
 def landing_pages(spark: SparkSession, sf_dir: str, *repos: str) -> DataFrame:
-    """The response pages of some or all catalogs."""
-    docs = hits(spark, sf_dir)
+    """The response pages of some or all catalogs: their (at most five) hits in order, wrapped.
+
+    The documents are read and dealt once, before hits are made of them, so that a text
+    travels once and not as title and description.
+    """
+    keys, repos = ["repo", "query", "query_idx", "page"], repos or REPOS
+    docs = hits(spark, sf_dir, keys).where(F.col("repo").isin(*repos))
+
+    def own(repo: str) -> Column:
+        return F.col("repo") == repo
+
+    grouped = docs.groupBy(*keys).agg(
+        *[F.collect_list(F.when(own(r), F.struct("pos", _hit(r).alias("hit")))).alias(f"_{r}") for r in repos]
+    )
     # Every third query reports no total.
     total = F.expr("case when query_idx % 3 <> 0 then cast(50 + query_idx % 5 as bigint) end")
-    return reduce(
-        DataFrame.unionByName,
-        [_pages(docs, repo, *_wrap(repo), total) for repo in repos or REPOS],
+
+    def payload(repo: str) -> Column:
+        return F.to_json(_wrap(repo, F.transform(F.sort_array(f"_{repo}"), lambda h: h["hit"]), total))
+
+    return grouped.select(
+        *keys,
+        F.lit(5).alias("page_size"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("page")).alias("fetched_at"),
+        F.lit(False).alias("failed"),
+        F.when(own("figshare"), total).alias("total"),
+        F.coalesce(*[F.when(own(r), payload(r)) for r in repos]).alias("payload"),
     )
 
 
