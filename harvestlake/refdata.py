@@ -6,7 +6,10 @@ data, and every list has a constant size (the largest has 67 entries).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # ---- fixed values: licence prefixes that count as open -----------------------
 OPEN_LICENCE_PREFIXES = ["cc-by", "cc0", "cc-zero", "odc-by", "pddl", "cc-pddc"]
@@ -129,9 +132,18 @@ def query_terms(query: str) -> list[str]:
     return [t for t in terms if t]
 
 
+def _lookup(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few constant rows; unlike a table made of a list they start no Python worker in each query."""
+    fields = [part.split() for part in schema.split(", ")]
+    text = json.dumps([{name: value for (name, _), value in zip(fields, row, strict=True)} for row in rows])
+    kind = f"ARRAY<STRUCT<{', '.join(f'{name}: {kind}' for name, kind in fields)}>>"
+    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(text), kind)))
+
+
 def repositories(spark: SparkSession) -> DataFrame:
     """The four repositories; size fixed by ``REPOSITORIES``."""
-    return spark.createDataFrame(
+    return _lookup(
+        spark,
         REPOSITORIES,
         "repository_id INT, repo STRING, alias STRING, repository_url STRING, api_root STRING,"
         " download_method STRING, page_cap INT, page_cap_with_token INT, repo_idx INT",
@@ -141,7 +153,7 @@ def repositories(spark: SparkSession) -> DataFrame:
 def repository_names(spark: SparkSession) -> DataFrame:
     """Every name a repository is known by (8 rows) with its id."""
     rows = [(name, r[0]) for r in REPOSITORIES for name in (r[1], r[2])]
-    return spark.createDataFrame(rows, "name STRING, repository_id INT")
+    return _lookup(spark, rows, "name STRING, repository_id INT")
 
 
 def queries_table(spark: SparkSession, queries: list[str] | None = None) -> DataFrame:

@@ -63,22 +63,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/harvestlake/{uuid.uuid4().hex}/{name}"
 
 
+#: Bytes of a row group that one task reads.
+ROW_GROUP = 1 << 24
+
+
 def stage(df: DataFrame, name: str = "stage", path: str | None = None, by: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where several outputs hang on one expensive parent: the parent is
     computed once, later readers prune columns, and a lost executor costs a
     re-read rather than a recomputation. With a folder per value of ``by``, a reader of
-    one value reads no other rows.
+    one value reads no other rows; row groups are small there, so that many tasks can share a folder.
     """
     path = path or scratch_path(df.sparkSession, name)
-    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    if by:
+        df.write.partitionBy(by).option("parquet.block.size", ROW_GROUP).parquet(path)
+    else:
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def no_rows(spark: SparkSession, schema: str) -> DataFrame:
     """An empty table; unlike one made of an empty list it starts no Python worker."""
-    return spark.range(0).select(F.from_json(F.lit(None), schema).alias("row")).select("row.*")
+    return spark.range(0, 0, 1, 1).select(F.from_json(F.lit(None), schema).alias("row")).select("row.*")
 
 
 def _folder(spark: SparkSession, path: str):
@@ -122,6 +129,6 @@ def staging(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
     """
     root = scratch_path(spark, "block")
     try:
-        yield lambda df, name, by=None: stage(df, name, f"{root}/{name}", by)
+        yield lambda df, name, **by: stage(df, name, f"{root}/{name}", **by)
     finally:
         delete_folder(spark, root)

@@ -81,7 +81,7 @@ class PageLedger:
             return
         with staging(self.spark) as put:
             with staging(self.spark) as put_pages:
-                pages = put_pages(pages, "pages", "repo")
+                pages = put_pages(pages, "pages", by="repo")
                 facts = put(page_facts(pages).withColumn("landed_in", F.lit(number).cast("bigint")), "facts")
                 self.log.append(number, facts)
                 records = self._records(pages, facts, put)

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from harvestlake.operators.dedup import dedup_records
 from harvestlake.operators.extract import extract_all
 from harvestlake.plans.collect import load_catalog, relevant_records
-from harvestlake.session import stage
+from harvestlake.refdata import REPOSITORIES, repositories, repository_names
+from harvestlake.session import no_rows, stage
 from harvestlake.sources.catalog import Catalog
 from harvestlake.sources.landing import read_landing, write_landing
 from harvestlake.streaming.first_hits import first_records, keep_first_hits, read_first_hits
@@ -264,3 +265,11 @@ def test_side_documents_of_few_hits_are_not_dealt_to_be_left_out(spark, sf_dir):
     few, all_ = (extract_all(pages, side, few_hits=f) for f in (True, False))
     assert "LeftSemi" not in few._jdf.queryExecution().executedPlan().toString()
     assert few.count() > 0 and few.exceptAll(all_).isEmpty() and all_.exceptAll(few).isEmpty()
+
+
+def test_small_tables_start_no_python_worker(spark):
+    """Lookup tables and empty tables are part of many jobs of every micro-batch."""
+    for table in (repositories(spark), repository_names(spark), no_rows(spark, "id BIGINT, batch STRING")):
+        assert "ExistingRDD" not in table._jdf.queryExecution().executedPlan().toString()
+    assert sorted(tuple(r) for r in repositories(spark).collect()) == sorted(REPOSITORIES)
+    assert no_rows(spark, "id BIGINT, batch STRING").collect() == []
