@@ -6,25 +6,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from harvestlake.operators.joins import join_to_one, only_in
+from harvestlake.operators.grams import PLACE_SHIFT, PLACES, query_batches, text_batches
+from harvestlake.operators.joins import ROW_BITS, join_to_one
 from harvestlake.refdata import query_terms
 from harvestlake.session import stage
 
-#: Kinds of n-grams that queries are filed under, the last that one of the terms has: at any place of
-#: the text, or only behind white space, of which a text has far fewer. As many characters each.
-ANYWHERE, BEHIND_SPACE = (1, 2, 3, 8), (6, 9, 12)
-#: The last kind: a whole word with the white space around it and so many characters on either side. A text
-#: has no more of them than of those behind white space, and far fewer texts share one.
-AROUND_WORD = 3
-KINDS = (
-    [rf"(?s)(?=(.{{{n}}}))" for n in ANYWHERE]
-    + [rf"(?s)\s(?=(.{{{n}}}))" for n in BEHIND_SPACE]
-    # Tried at white space only, looking back to where the n-gram begins.
-    + [rf"(?s)\s(?<=(?=(.{{{AROUND_WORD}}}\s\S++\s.{{{AROUND_WORD}}})).{{{AROUND_WORD}}}\s)"]
-)
-#: n-grams (numbers of eight bytes) of queries that are broadcast.
-MAX_SENT = 1_000_000
+#: n-grams of queries for each of which the bitmap has sixteen bits, so that it takes 8 MB at most.
+MAX_SENT = (1 << 22) - 1
 
 
 def match_queries(records: DataFrame, queries: list[str], *text_columns: str) -> DataFrame:
@@ -61,82 +51,112 @@ def terms_of(query: Column) -> Column:
     return F.array_distinct(F.transform(F.filter(F.flatten(parts), lambda t: t != ""), F.lower))
 
 
-def grams_of(text: Column, kind: int) -> Column:
-    """Hashes of the n-grams of a kind; equal hashes only cost a verification."""
-    return F.transform(F.regexp_extract_all(text, F.lit(KINDS[kind]), F.lit(1)), _hash)
-
-
-def _hash(value: Column) -> Column:
-    return F.xxhash64(value)
-
-
-def _grams(kind: int):
-    return lambda text: grams_of(text, kind)
-
-
-def _only(grams: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``grams`` whose n-gram is wanted; at most ``MAX_SENT`` wanted ones are sent to where the texts are."""
-    if wanted.count() > MAX_SENT:
-        return only_in(grams, wanted, "gram")
-    return grams.join(F.broadcast(wanted), "gram", "left_semi")
-
-
 def query_index(records: DataFrame, queries: DataFrame, text: Column) -> DataFrame:
     """Each query with its terms and the one n-gram it is filed under.
 
     That is the n-gram of its terms that occurs in the fewest texts, as a text without it can't
-    match. A text that contains a term also has the term's n-grams of every kind, as the white space
-    that they stand behind, or that a word stands between, is inside the term. Which n-gram it is changes what moves, not
-    the matches.
+    match; where there is one only, no text is read. Which n-gram it is changes what moves, not
+    the matches. ``near`` must stand where the n-gram does; ``open`` are the terms that this leaves
+    to be looked for.
     """
     terms = queries.select(*queries.columns, terms_of(F.col("query")).alias("terms")).where(F.size("terms") > 0)
-    own = F.array(*[F.array_distinct(F.flatten(F.transform("terms", _grams(k)))) for k in range(len(KINDS))])
-    kinds = terms.withColumn("own", own).withColumn(
-        "kind", F.array_max(F.transform("own", lambda grams, k: F.when(F.size(grams) > 0, k)))
+    # Queries may be made of whole texts: that is done once.
+    terms = stage(terms, "queries")
+    kind = terms.schema["query_idx"].dataType.simpleString()
+    filed = stage(
+        terms.select("query_idx", "terms").mapInArrow(
+            query_batches, f"query_idx {kind}, kind INT, gram BIGINT, core BIGINT, near BINARY, open ARRAY<INT>, alone BOOLEAN"
+        ),
+        "query_grams",
     )
-    filed = stage(kinds.select("query_idx", "kind", F.explode(F.get("own", "kind")).alias("gram")), "query_grams")
-    wanted = stage(filed.select("gram").distinct(), "wanted_grams")
+    chosen, several = filed.where("alone"), filed.where("not alone")
+    if not several.isEmpty():
+        chosen = chosen.drop("alone").unionByName(_rarest(several, records, text))
+    places = F.transform("open", lambda i: F.get("terms", i)).alias("open")
+    return terms.join(chosen, "query_idx").select(*queries.columns, "terms", "gram", "core", "kind", "near", places)
+
+
+def _rarest(filed: DataFrame, records: DataFrame, text: Column) -> DataFrame:
+    """Of several n-grams of a query the one that the fewest texts have; none if one of them is in no text."""
+    found = text_grams(records, text, gram_kinds(filed), sent=gram_bitmap(filed))
     # One row per n-gram and task leaves for the exchange, however many texts hold it.
-    counts = (
-        _only(text_grams(records, text, gram_kinds(filed)), wanted).groupBy("gram").agg(F.count("*").alias("n_texts"))
-    )
-    best = F.min(F.struct("n_texts", "gram", "kind"))
+    counts = found.groupBy("gram").agg(F.count("*").alias("n_texts"))
+    best = F.min(F.struct("n_texts", "gram", "kind", "core", "near", "open")).alias("best")
     missing = F.max(F.col("n_texts").isNull()).alias("missing")
-    chosen = filed.join(counts, "gram", "left").groupBy("query_idx").agg(best.alias("best"), missing)
+    chosen = filed.join(counts, "gram", "left").groupBy("query_idx").agg(best, missing)
     # A query with an n-gram that no text has matches nothing.
-    return terms.join(chosen.where("not missing"), "query_idx").select(*queries.columns, "terms", "best.gram", "best.kind")
+    return chosen.where("not missing").select("query_idx", "best.kind", "best.gram", "best.core", "best.near", "best.open")
 
 
 def gram_kinds(filed: DataFrame) -> list[int]:
     return sorted(r["kind"] for r in filed.select("kind").distinct().collect())
 
 
-def text_grams(records: DataFrame, text: Column, kinds: list[int], *columns: str) -> DataFrame:
-    """One row per text and distinct n-gram of the given kinds."""
-    grams = F.array_distinct(F.concat(*[grams_of(text, k) for k in kinds])) if kinds else F.array().cast("array<bigint>")
-    return records.select(*columns, F.explode(grams).alias("gram"))
+def gram_bitmap(filed: DataFrame) -> bytes:
+    """A bitmap of n-grams and their cores, each with ``PLACES`` bits set: about one in two hundred others passes it.
+
+    It is made in rows of ``ROW_BITS`` bits and at most 8 MB, however many n-grams there are.
+    """
+    bits = max(ROW_BITS, 1 << (16 * min(2 * filed.count(), MAX_SENT)).bit_length())
+    places = [
+        F.shiftrightunsigned(number, PLACE_SHIFT * i).bitwiseAND(F.lit(bits - 1).cast("bigint"))
+        for number in ("gram", "core")
+        for i in range(PLACES)
+    ]
+    place = filed.select(F.explode(F.array_distinct(F.array(*places))).alias("_place"))
+    block, bit = (F.col("_place") / ROW_BITS).cast("int"), F.col("_place") % ROW_BITS
+    # Dealt before they are put together: else each task would send bitmaps.
+    dealt = place.select(block.alias("_block"), bit.alias("_bit")).repartition("_block")
+    rows = dealt.groupBy("_block").agg(F.bitmap_construct_agg("_bit").alias("_bitmap")).collect()
+    bitmap = bytearray(bits // 8)
+    for row in rows:
+        at = row["_block"] * ROW_BITS // 8
+        bitmap[at : at + ROW_BITS // 8] = row["_bitmap"]
+    return bytes(bitmap)
+
+
+def text_grams(
+    records: DataFrame, text: Column, kinds: list[int], *columns: str, sent: bytes | None = None
+) -> DataFrame:
+    """One row per text and distinct n-gram of the given kinds, with the different surroundings it has in the text.
+
+    Only n-grams that pass the bitmap ``sent`` leave their task.
+    """
+    own = records.select(*columns, text.cast("binary").alias("_text"))
+    added = [T.StructField("gram", T.LongType()), T.StructField("around", T.ArrayType(T.BinaryType()))]
+    if not kinds:
+        return own.where("false").select(*columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in added])
+    bitmap = records.sparkSession.sparkContext.broadcast(sent)
+    return own.mapInArrow(text_batches(kinds, lambda: bitmap.value), T.StructType([*own.schema.fields[:-1], *added]))
 
 
 def match_query_table(records: DataFrame, queries: DataFrame, key: str, *text_columns: str) -> DataFrame:
     """``match_queries`` for any number of queries: a table (query_idx, query).
 
     ``key`` is unique among the records, ``query_idx`` among the queries. Texts meet the queries
-    filed under one of their n-grams; only those pairs meet the text again, to be verified.
-    Only pairs carry the query, and nothing the text. Up to ``MAX_SENT`` n-grams of the index go
-    to the texts, so that all others are dropped where they arise; beyond it a bitmap of them goes, and
-    what passes it is exchanged. A
+    filed under one of their n-grams, and most pairs that don't match are told by what stands around
+    the n-gram, which goes with it. Only pairs of which this leaves terms open, and those of a key that
+    repeats, meet the text again. Only pairs carry the query, and nothing the text. A
+    bitmap of the n-grams of the index goes to the texts, so that all but few others are dropped where they arise. A
     text or n-gram with very many pairs can be split. Null texts count as empty, null or empty
     queries match nothing; records without a match drop out.
     """
     text = F.lower(F.concat_ws("\n", *text_columns))
     index = stage(query_index(records, queries, text), "query_index")
-    wanted = stage(index.select("gram").distinct(), "filed_grams")
-    found = _only(text_grams(records, text, gram_kinds(index), key), wanted)
-    pairs = join_to_one(found, index.select("gram", "query_idx"), ["gram"], "inner").drop("gram")
-    asked = join_to_one(pairs, index.drop("gram", "kind"), ["query_idx"], "inner")
-    texts = records.withColumn("_text", text)
-    return (
-        join_to_one(asked, texts, [key], "inner")
-        .where(F.forall("terms", lambda term: F.contains(F.col("_text"), term)))
-        .select(*records.columns, "query_idx", "query")
+    found = text_grams(records, text, gram_kinds(index), key, sent=gram_bitmap(index))
+    pairs = join_to_one(found, index.drop("kind", "core"), ["gram"], "inner").where(
+        F.col("near").isNull() | F.exists("around", lambda part: F.contains(part, F.col("near")))
+    )
+    twice = records.groupBy(key).count().where("count > 1").select(key, F.lit(True).alias("_twice"))
+    known, columns = twice.isEmpty(), [*records.columns, "query_idx", "query"]
+    if known and index.where(F.size("open") > 0).isEmpty():
+        return join_to_one(pairs.select(key, "query_idx", "query"), records, [key], "inner").select(*columns)
+    if not known:
+        pairs = join_to_one(pairs, twice, [key]).withColumn("open", F.when(F.col("_twice"), F.col("terms")).otherwise(F.col("open")))
+    pairs = stage(pairs.select(key, "query_idx", "query", "open"), "query_pairs")
+    sure = join_to_one(pairs.where(F.size("open") == 0).drop("open"), records, [key], "inner")
+    asked = (
+        join_to_one(pairs.where(F.size("open") > 0), records.withColumn("_text", text), [key], "inner")
+        .where(F.forall("open", lambda term: F.contains(F.col("_text"), term)))
     )
+    return sure.select(*columns).unionByName(asked.select(*columns))

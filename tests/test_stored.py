@@ -1,13 +1,17 @@
 """Tables bucketed by project, the report from partial counts, and the index of a query table."""
 
+import random
 import re
 import uuid
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from harvestlake.operators import reports as rep
 from harvestlake.operators import worklist as wl
+from harvestlake.operators.grams import FIRST_AROUND, Slice, grams_of_texts, slices
 from harvestlake.operators.joins import only_in, perhaps_in
 from harvestlake.operators.matching import (
     gram_kinds, match_queries, match_query_table, query_index, terms_of, text_grams,
@@ -213,6 +217,49 @@ def test_query_table_beyond_what_is_sent(spark, sf_dir, monkeypatch):
     assert want and matches(match_query_table(docs, table, "doc_id", "text")) == want
 
 
+def test_phrases_are_told_without_the_texts(spark, sf_dir, no_broadcast):
+    """Texts are read once to find n-grams; what stands around these tells the rest, no text is exchanged."""
+    docs = view(spark, sf_dir, "documents", "doc_id", "text")
+    phrases = [r[0] for r in docs.select(F.regexp_extract("text", "[a-z]{3,} [a-z]+ [a-z]{3,}", 0)).distinct().collect() if r[0]]
+    queries = [f'"{p}" {p.split()[1]}' for p in phrases[:60]]
+    table = spark.createDataFrame(list(enumerate(queries)), "query_idx INT, query STRING")
+    got = match_query_table(docs, table, "doc_id", "text")
+    assert len(phrases) >= 60 and matches(got) == matches(match_queries(docs, queries, "text"))
+    scans = re.findall(r"ReadSchema: struct<([^>]*)>", executed(got.select("doc_id", "query")))
+    assert len(scans) > 1 and sum("text:" in columns for columns in scans) == 1
+
+
+def test_query_table_over_random_texts(spark):
+    """Terms cut out of texts: short and long words, every kind of white space, keys that repeat or are null."""
+    pick = random.Random(4)
+    words = ["ab", "the", "that", "theab", "é", "a🏠b", "x" * 40, "abcdefghij", "a" * 33 + "b", ""]
+    texts = ["".join(pick.choice(words) + pick.choice(" \t\n ") for _ in range(pick.randrange(40))) for _ in range(60)]
+    terms = []
+    for text in texts * 3:
+        at = pick.randrange(len(text) + 1)
+        terms.append(text[at : at + pick.choice([1, 4, 9, 20, 60, 120])])
+    queries = [f'"{t}" {pick.choice(terms).split(" ")[0]}' if i % 2 else f'"{t}"' for i, t in enumerate(terms)]
+    table = spark.createDataFrame(list(enumerate(queries)), "query_idx INT, query STRING")
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id INT, text STRING")
+    want = matches(match_queries(docs, queries, "text"))
+    assert len(want) > 200 and matches(match_query_table(docs, table, "doc_id", "text")) == want
+    again = docs.withColumn("doc_id", F.expr("if(doc_id % 9 = 0, null, doc_id % 50)"))
+    want = {tuple(r) for r in match_queries(again, queries, "text").collect() if r["doc_id"] is not None}
+    assert want == {tuple(r) for r in match_query_table(again, table, "doc_id", "text").collect()}
+
+
+def test_surroundings_of_one_number_are_told_apart(monkeypatch):
+    """Were all n-grams of one number, none that differs would be lost."""
+    text = "one two three four\n one two three  one  two xtwo thre"
+    part = next(slices(pa.array([text, None, text])))[1]
+    kinds = [FIRST_AROUND]
+    want = [grams_of_texts(part, kinds, None)[i] for i in (0, 2)]
+    monkeypatch.setattr(Slice, "hash", lambda self, start, end, seed: np.zeros(len(start), np.uint64))
+    index, _, around = grams_of_texts(part, kinds, None)
+    assert index.tolist() == [0, 2] and len(set(want[0].tolist())) == 2
+    assert {bytes(b) for bs in around.to_pylist() for b in bs} == {bytes(b) for bs in want[1].to_pylist() for b in bs}
+
+
 def test_rows_with_a_wanted_key(spark, no_broadcast):
     rows = spark.createDataFrame([(i % 50_000 if i % 7 else None, f"t{i}") for i in range(100_000)], "k BIGINT, t STRING")
     wanted = rows.select("k").where("k % 40 = 3").distinct()
