@@ -95,7 +95,7 @@ def gram_kinds(filed: DataFrame) -> list[int]:
 def gram_bitmap(filed: DataFrame) -> bytes:
     """A bitmap of n-grams and their cores, each with ``PLACES`` bits set: about one in two hundred others passes it.
 
-    It is made in rows of ``ROW_BITS`` bits and at most 8 MB, however many n-grams there are.
+    It is made in rows of ``ROW_BITS`` bits and at most 8 MB, however many n-grams there are; of over two million more pass.
     """
     bits = max(ROW_BITS, 1 << (16 * min(2 * filed.count(), MAX_SENT)).bit_length())
     places = [
@@ -147,12 +147,13 @@ def match_query_table(records: DataFrame, queries: DataFrame, key: str, *text_co
     pairs = join_to_one(found, index.drop("kind", "core"), ["gram"], "inner").where(
         F.col("near").isNull() | F.exists("around", lambda part: F.contains(part, F.col("near")))
     )
-    twice = records.groupBy(key).count().where("count > 1").select(key, F.lit(True).alias("_twice"))
+    twice = records.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").select(key, F.lit(True).alias("_twice"))
     known, columns = twice.isEmpty(), [*records.columns, "query_idx", "query"]
     if known and index.where(F.size("open") > 0).isEmpty():
         return join_to_one(pairs.select(key, "query_idx", "query"), records, [key], "inner").select(*columns)
     if not known:
-        pairs = join_to_one(pairs, twice, [key]).withColumn("open", F.when(F.col("_twice"), F.col("terms")).otherwise(F.col("open")))
+        left = F.when(F.col("_twice"), F.col("terms")).otherwise(F.col("open"))
+        pairs = join_to_one(pairs, twice, [key]).withColumn("open", left)
     pairs = stage(pairs.select(key, "query_idx", "query", "open"), "query_pairs")
     sure = join_to_one(pairs.where(F.size("open") == 0).drop("open"), records, [key], "inner")
     asked = (
